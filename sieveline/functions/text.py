@@ -22,14 +22,16 @@ def rebuild_abstract(index):
     a null index or an empty text gives null.
     """
     index = F.col(index) if isinstance(index, str) else index
+    # One long per token, position above and place in the map below, sorts
+    # several times faster than a struct.
     placed = F.transform(
-        F.map_entries(index),
-        lambda entry, n: F.transform(
-            entry["value"],
-            lambda pos: F.struct(pos.alias("pos"), n.alias("n"), entry["key"].alias("token")),
-        ),
+        F.map_values(index),
+        lambda positions, n: F.transform(positions, lambda pos: F.shiftleft(pos.cast("long"), 32) + n),
+    )
+    tokens = F.transform(
+        F.sort_array(F.flatten(placed)),
+        lambda packed: F.get(F.map_keys(index), packed.bitwiseAND(F.lit(2**32 - 1)).cast("int")),
     )
-    tokens = F.transform(F.array_sort(F.flatten(placed)), lambda t: t["token"])
     return F.nullif(F.array_join(tokens, " "), F.lit(""))
 
 

@@ -59,12 +59,12 @@ class RunningTopK:
     Equal distances are ordered by id.
     """
 
-    def __init__(self, queries, k, metric="euclidean"):
+    def __init__(self, queries, k, metric="euclidean", bound=None):
         self.queries = queries
         self.sizes = (queries * queries).sum(axis=1)
         self.k = k
         self.metric = metric
-        self.bound = np.full(len(queries), np.inf)
+        self.bound = np.full(len(queries), np.inf) if bound is None else np.array(bound)
         self.kept = None
         self.waiting = []
         self.waiting_rows = 0
@@ -118,7 +118,7 @@ class RunningTopK:
         query = table["query"].to_numpy()
         place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
         last = place == self.k - 1
-        self.bound[query[last]] = table["distance"].to_numpy()[last]
+        self.bound[query[last]] = np.minimum(self.bound[query[last]], table["distance"].to_numpy()[last])
         self.kept = table.filter(pa.array(place < self.k))
 
     def result(self):

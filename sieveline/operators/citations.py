@@ -24,7 +24,11 @@ def citing_works(edges, ids, rows=settings.BROADCAST_ROWS):
     beyond the bound the edges of each cited work are salted. Repeated edges
     collapse before the shuffle.
     """
-    keys = ids.select(F.col("id").alias("cited")).distinct()
+    return _citing(edges, ids.select("id").distinct(), rows)
+
+
+def _citing(edges, distinct_ids, rows):
+    keys = distinct_ids.withColumnRenamed("id", "cited")
     found = semi_join_hot(edges, keys, "cited", "citing", rows)
     return found.select(F.col("citing").alias("id")).distinct()
 
@@ -36,7 +40,7 @@ def snowball(edges, seeds, review, rows=settings.BROADCAST_ROWS):
     primary works; works of the review are removed at the end only.
     """
     primary = stage(citing_works(edges, seeds, rows), "primary")
-    secondary = citing_works(edges, primary, rows)
+    secondary = _citing(edges, primary, rows)
     both = primary.withColumn("hop", F.lit(1)).unionByName(secondary.withColumn("hop", F.lit(2)))
     found = both.groupBy("id").agg(F.min("hop").alias("hop"))
     known = review.select("id").filter(F.col("id").isNotNull()).distinct()

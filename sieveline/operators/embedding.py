@@ -11,11 +11,12 @@ from pyspark.sql import types as T
 
 from sieveline.functions.text import encoder_text
 from sieveline.settings import ENCODER_PREFIX, VECTOR_DIM
+from sieveline.staging import spread
 
 
 def hashed_terms(df, text_col, dim=VECTOR_DIM, prefix=ENCODER_PREFIX):
     """Term counts of the whole text hashed into a `terms` vector."""
-    read = df.withColumn("_text", encoder_text(text_col, prefix))
+    read = spread(df).withColumn("_text", encoder_text(text_col, prefix))
     words = RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\s+").transform(read)
     return HashingTF(inputCol="_words", outputCol="terms", numFeatures=dim).transform(words).drop("_text", "_words")
 
@@ -52,4 +53,4 @@ def embed_with(df, load_model, text_col="text", prefix=ENCODER_PREFIX, batch_siz
             ]
             yield pd.Series([vector for part in parts for vector in part], dtype=object)
 
-    return df.withColumn(output, encode(encoder_text(text_col, prefix)))
+    return spread(df).withColumn(output, encode(encoder_text(text_col, prefix)))

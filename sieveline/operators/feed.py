@@ -2,17 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from sieveline.settings import MIN_YEAR, VECTOR_DIM
+from sieveline.settings import BROADCAST_ROWS, MIN_YEAR, VECTOR_DIM
+from sieveline.staging import fits, stage
 
 PART_KEYS = ("updated_date", "part")
 
 
-def recent(embeddings, metadata, min_year=MIN_YEAR, on=("id", *PART_KEYS), year="publication_year"):
+def recent(embeddings, metadata=None, min_year=MIN_YEAR, on=("id", *PART_KEYS), year="publication_year"):
     """Vectors of works published in or after `min_year`; an unknown year is out.
 
-    The year stands in the metadata, so that table is filtered first and the
-    wide vectors are joined to what is left of it.
+    Vectors written with their year, as `write_parts` does, are filtered in
+    the scan. Else the year comes from the metadata: that table is filtered
+    first and the wide vectors are joined to what is left of it.
     """
+    if metadata is None:
+        return embeddings.filter(F.col(year) >= min_year)
     kept = metadata.filter(F.col(year) >= min_year).select(*on)
     return embeddings.join(kept, list(on), "left_semi")
 
@@ -29,12 +33,25 @@ def split_valid(rows, dim=VECTOR_DIM, id_col="id", vector_col="embedding"):
     return accepted, judged.filter(F.col("reason").isNotNull())
 
 
-def keep_latest(rows, key="id", order=PART_KEYS):
+def keep_latest(rows, key="id", order=PART_KEYS, bound=BROADCAST_ROWS):
     """The last version of each key by `order`; equal versions by content.
 
-    A maximum combines on the map side, so a key with very many versions
-    costs no more than others.
+    Keys are counted without their vectors. If those with several versions
+    are few, only their rows are shuffled and all others stay in place. A
+    maximum combines on the map side, so a key with very many versions costs
+    no more than others.
     """
+    counts = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    repeated = stage(counts.select(key), "repeated")
+    if not fits(repeated, bound):
+        return _last(rows, key, order)
+    repeated = F.broadcast(repeated)
+    single = rows.join(repeated, key, "left_anti")
+    several = rows.join(repeated, key, "left_semi")
+    return single.unionByName(_last(several, key, order))
+
+
+def _last(rows, key, order):
     rest = [name for name in rows.columns if name != key and name not in order]
     last = rows.groupBy(key).agg(F.max(F.struct(*order, *rest)).alias("last"))
     return last.select(key, *[F.col("last")[name].alias(name) for name in (*order, *rest)])

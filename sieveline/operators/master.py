@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sieveline import settings
 from sieveline.functions.text import master_id, numeric_suffix
-from sieveline.staging import number_rows, small
+from sieveline.staging import number_rows, small, stage
 
 
 def flag_members(rows, others, name, on="id", other_on="id"):
@@ -54,7 +54,7 @@ def upsert(master, incoming, flag="Data_3b", flags=settings.MASTER_FLAGS, key="o
             F.lit(1).alias(flag),
         )
     )
-    numbered = small(numbered)
+    numbered = stage(numbered, "incoming")
     extra = {"MID": "_mid", "doi": "_doi", "title": "_title", "abstract": "_abstract"}
     known = coalesce_columns(master.drop(flag).join(numbered, key, "left"), extra)
     held = master.select(key).filter(F.col(key).isNotNull()).distinct()

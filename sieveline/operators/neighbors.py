@@ -7,10 +7,12 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sieveline import settings
 from sieveline.functions.text import short_id
 from sieveline.functions.vectors import RunningTopK, as_matrix
+from sieveline.staging import stage
 
 BATCH_ROWS = 65_536
 
@@ -46,7 +48,7 @@ def nearest(
     if head.num_rows <= bound and head.num_rows * dim * 8 <= max_bytes:
         partial, names = _search_in_place(rows, head, vector_col, depth, metric)
     else:
-        partial, names = _search_blocks(rows, queries, vector_col, depth, metric)
+        partial, names = _search_blocks(rows, corpus.count(), queries, vector_col, depth, metric)
     hits = merge_hits(partial, depth, F.col("query_pos"))
     hits = hits.join(names, "query_pos")
     if exclude_self:
@@ -109,18 +111,22 @@ def _search_in_place(rows, head, vector_col, k, metric):
     return partial, F.broadcast(names)
 
 
-def _search_blocks(rows, queries, vector_col, k, metric):
+def _search_blocks(rows, n_rows, queries, vector_col, k, metric):
     """Match every block of queries with every block of corpus rows.
 
     Blocks are cut by a hash, so they have the same size whatever the data,
-    and each pair of blocks is one group that returns k rows per query.
+    and each pair of blocks is one group that returns k rows per query. With
+    many blocks of rows a share of them is searched first: its k-th distance
+    per query can only be too large, so the other blocks need not return
+    anything beyond it.
     """
     block_queries = max(1, min(settings.BLOCK_QUERIES, settings.TASK_HITS // k))
     query_blocks = math.ceil(queries.count() / block_queries)
-    row_blocks = max(1, math.ceil(rows.count() / settings.BLOCK_VECTORS))
+    row_blocks = max(1, math.ceil(n_rows / settings.BLOCK_VECTORS))
     left = queries.select(
         "query_pos",
         F.col(vector_col).alias("embedding"),
+        F.lit(float("inf")).alias("reach"),
         F.pmod(F.xxhash64("query_pos"), F.lit(query_blocks)).cast("int").alias("query_block"),
         F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("row_block"),
     )
@@ -130,23 +136,30 @@ def _search_blocks(rows, queries, vector_col, k, metric):
         F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"),
         F.pmod(F.xxhash64("id"), F.lit(row_blocks)).cast("int").alias("row_block"),
     )
-    schema = _partial_schema(rows)
-    kind = rows.schema["id"].dataType
-
-    def search(some_queries, some_rows):
-        if some_queries.num_rows == 0 or some_rows.num_rows == 0:
-            id_type = pa.string() if kind == T.StringType() else some_rows.schema.field("id").type
-            return pa.table(
-                {"query_pos": pa.array([], pa.int64()), "id": pa.array([], id_type), "distance": pa.array([], pa.float64())}
-            )
-        some_queries, some_rows = some_queries.combine_chunks(), some_rows.combine_chunks()
-        best = RunningTopK(as_matrix(some_queries["embedding"].chunk(0)), k, metric)
-        best.add(some_rows["id"].chunk(0), as_matrix(some_rows["embedding"].chunk(0)))
-        return _hits_table(some_queries["query_pos"].to_numpy().astype(np.int64), best.result())
+    if row_blocks > settings.FIRST_BLOCKS:
+        some = F.col("row_block") % settings.FIRST_BLOCKS == 0
+        first = merge_hits(_match_blocks(left.filter(some), right.filter(some), k, metric), k, F.col("query_pos"))
+        reach = F.when(F.count("*") == k, F.max("distance")).otherwise(float("inf")).alias("reach")
+        reaches = stage(first.groupBy("query_pos").agg(reach), "reach")
+        left = left.drop("reach").join(reaches, "query_pos", "left").fillna(float("inf"), "reach")
+    return _match_blocks(left, right, k, metric), queries.select("query_pos", "query_id")
+
+
+def _match_blocks(left, right, k, metric):
+    schema = _partial_schema(right)
+    nothing = to_arrow_schema(schema).empty_table()
+
+    def search(queries, rows):
+        if queries.num_rows == 0 or rows.num_rows == 0:
+            return nothing
+        queries, rows = queries.combine_chunks(), rows.combine_chunks()
+        best = RunningTopK(as_matrix(queries["embedding"].chunk(0)), k, metric, queries["reach"].to_numpy())
+        best.add(rows["id"].chunk(0), as_matrix(rows["embedding"].chunk(0)))
+        found = best.result()
+        return nothing if found is None else _hits_table(queries["query_pos"].to_numpy(), found)
 
     keys = ["query_block", "row_block"]
-    partial = left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(search, schema)
-    return partial, queries.select("query_pos", "query_id")
+    return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(search, schema)
 
 
 def merge_hits(partial, k, *query):

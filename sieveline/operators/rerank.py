@@ -18,7 +18,7 @@ def balance(training, label="label_included"):
     )
 
 
-def fit_classifier(training, label="label_included", vector_col="embedding", c=1.0, max_iter=100):
+def fit_classifier(training, label="label_included", vector_col="embedding", c=1.0, max_iter=100, tol=1e-6):
     """Logistic model with an L2 penalty of strength 1/c on the summed loss.
 
     Spark averages the loss over the weights, so the penalty is divided by
@@ -31,7 +31,7 @@ def fit_classifier(training, label="label_included", vector_col="embedding", c=1
     try:
         total = rows.agg(F.sum("weight")).first()[0]
         model = LogisticRegression(
-            weightCol="weight", regParam=1.0 / (c * total), standardization=False, maxIter=max_iter, tol=1e-10
+            weightCol="weight", regParam=1.0 / (c * total), standardization=False, maxIter=max_iter, tol=tol
         ).fit(rows)
     finally:
         rows.unpersist()

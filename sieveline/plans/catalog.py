@@ -142,7 +142,7 @@ def resp_overlap(spark, sf_dir):
 def resp_membership(spark, sf_dir):
     found = standins.hits(spark, sf_dir).select("id", F.lit("included").alias("list"))
     near = stage(standins.criteria_hits(spark, sf_dir).select("id"), "criteria")
-    cited = _snowball(spark, sf_dir)
+    cited = stage(_snowball(spark, sf_dir), "citations")
     review = standins.table(spark, sf_dir, "labels").select(standins.work_id("doc_id").alias("id"))
     lists = found.unionByName(near.withColumn("list", F.lit("criteria")))
     others = {
@@ -572,9 +572,8 @@ def write_split(spark, sf_dir):
     works = readers.prepare_works(raw).withColumn("text", text.document_text())
     texts, vectors = staged_path(spark, "texts"), staged_path(spark, "vectors")
     writers.write_parts(embedding.embed(works), texts, vectors)
-    both = readers.read_parquet_parts(spark, texts).join(
-        readers.read_parquet_parts(spark, vectors), ["id", "part"]
-    )
+    kept = feed.recent(readers.read_parquet_parts(spark, vectors), min_year=SINCE).select("id", "part", "embedding")
+    both = readers.read_parquet_parts(spark, texts).join(kept, ["id", "part"])
     return both.select("id", "title", "abstract", "publication_year", F.size("embedding").alias("dim"))
 
 

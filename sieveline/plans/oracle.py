@@ -388,7 +388,7 @@ GROUP BY day, part"""
 SQL["ingest_json"] = _with([WORKS, DATES], INGESTED)
 SQL["ingest_stream"] = _with([WORKS, DATES], INGESTED)
 SQL["write_split"] = _with(
-    [WORKS, DATES], f"SELECT id, title, abstract, publication_year, 384 AS dim FROM ({INGESTED})"
+    [WORKS, DATES], f"SELECT id, title, abstract, publication_year, 384 AS dim FROM ({INGESTED}) WHERE publication_year >= {SINCE}"
 )
 SQL["upsert_stream"] = """WITH versions AS (
   SELECT 'W' || l_partkey AS id, strftime(l_shipdate, '%Y-%m-%d') AS updated_date,

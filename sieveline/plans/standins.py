@@ -11,14 +11,32 @@ from pyspark.sql import types as T
 from sieveline.functions.text import full_id
 from sieveline.operators.neighbors import nearest
 from sieveline.operators.seeds import included
+from sieveline.staging import spread
 
 EXCLUDED = ("10.SRC1/8", "10.src6/1", "10.src12/5", "10.src15/1")
 DEPTH = 100
 DIM = 64
 
 
+SCHEMAS = {
+    "documents": "doc_id long, text string, lang string, source string, n_chars long",
+    "embeddings": "vec_id long, embedding array<float>, label int",
+    "labels": "doc_id long, quality int, toxic int",
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+        " o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double,"
+        " l_extendedprice double, l_discount double, l_tax double, l_returnflag string,"
+        " l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "pages": "page_id long, url string, html string",
+}
+
+
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def work_id(col):
@@ -107,11 +125,27 @@ def referencing_works(spark, sf_dir):
 
 def inverted_works(spark, sf_dir):
     """Raw works whose abstract is an inverted index of the whole text."""
-    documents = table(spark, sf_dir, "documents")
-    words = documents.select("doc_id", F.posexplode(F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")))
-    places = words.groupBy("doc_id", F.col("col").alias("token")).agg(F.sort_array(F.collect_list("pos")).alias("places"))
-    index = F.map_from_entries(F.collect_list(F.struct("token", "places")))
-    return places.groupBy("doc_id").agg(index.alias("abstract_inverted_index"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
+    placed = F.sort_array(F.transform(words, lambda token, pos: F.struct(token.alias("token"), pos.alias("pos"))))
+    first = F.filter(
+        F.sequence(F.lit(0), F.size("placed") - 1),
+        lambda n: (n == 0) | (F.get("placed", n)["token"] != F.get("placed", n - 1)["token"]),
+    )
+    ends = F.concat(F.slice("first", 2, F.size("first")), F.array(F.size("placed")))
+    tokens = F.transform("first", lambda n: F.get("placed", n)["token"])
+    positions = F.transform(
+        F.arrays_zip("first", "ends"),
+        lambda run: F.transform(
+            F.slice("placed", run["first"] + 1, run["ends"] - run["first"]), lambda entry: entry["pos"]
+        ),
+    )
+    return (
+        documents.select("doc_id", "lang", placed.alias("placed"))
+        .withColumn("first", first)
+        .withColumn("ends", ends)
+        .select("doc_id", "lang", F.map_from_arrays(tokens, positions).alias("abstract_inverted_index"))
+    )
 
 
 def raw_works(spark, sf_dir):
@@ -119,7 +153,6 @@ def raw_works(spark, sf_dir):
     dated = dates(spark, sf_dir)
     return (
         inverted_works(spark, sf_dir)
-        .join(table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id")
         .withColumn("id", work_id("doc_id"))
         .join(dated, "id", "left")
         .select(

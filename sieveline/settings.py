@@ -39,4 +39,5 @@ TASK_HITS = 4_000_000
 MERGE_ROWS = 4_000_000
 BLOCK_QUERIES = 4_096
 BLOCK_VECTORS = 32_768
+FIRST_BLOCKS = 64
 SALTS = 16

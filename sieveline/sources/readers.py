@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveline.functions.text import has_text, nan_to_null, part_number, rebuild_abstract, short_id
+from sieveline.staging import spread
 
 RAW_WORK = T.StructType(
     [
@@ -34,14 +35,12 @@ REVIEW = T.StructType(
 )
 
 
-def read_works(spark, folder, schema=RAW_WORK, pattern="part_*.gz", partitions=None):
+def read_works(spark, folder, schema=RAW_WORK, pattern="part_*.gz"):
     """JSON-lines works below `updated_date=` folders, with their part label.
 
-    A gzip file is read by one task; give `partitions` to spread its rows
-    before expensive steps.
+    A gzip file is read by one task, so the rows of few files are spread.
     """
-    works = with_part(spark.read.schema(dated(schema)).option("pathGlobFilter", pattern).json(folder))
-    return works.repartition(partitions) if partitions else works
+    return spread(with_part(spark.read.schema(dated(schema)).option("pathGlobFilter", pattern).json(folder)))
 
 
 def dated(schema):

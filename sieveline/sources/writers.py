@@ -9,6 +9,7 @@ from sieveline.staging import stage
 def write_parts(works, metadata_path, vectors_path, mode="overwrite"):
     """Texts and vectors of the works as two tables, by update date.
 
+    The year stands in both, so that vectors can be selected without a join.
     The works are staged first, so that embeddings are computed once. Dates may differ much in size; rebalancing splits large ones and joins
     small ones before the files are written.
     """
@@ -16,7 +17,8 @@ def write_parts(works, metadata_path, vectors_path, mode="overwrite"):
     keys = ["updated_date", "part"]
     metadata = spread.select("id", "title", "abstract", "publication_year", *keys)
     metadata.write.mode(mode).partitionBy("updated_date").parquet(metadata_path)
-    spread.select("id", "embedding", *keys).write.mode(mode).partitionBy("updated_date").parquet(vectors_path)
+    vectors = spread.select("id", "embedding", "publication_year", *keys)
+    vectors.write.mode(mode).partitionBy("updated_date").parquet(vectors_path)
 
 
 def write_parquet(df, path, mode="overwrite"):

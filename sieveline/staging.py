@@ -3,6 +3,7 @@
 import tempfile
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sieveline import settings
@@ -48,8 +49,24 @@ def materialize(df, path):
     return spark.read.parquet(path)
 
 
+def spread(df):
+    """`df` over all cores if it is read from fewer files than there are cores.
+
+    For costly row-wise steps over few or unsplittable files; an input of
+    enough files stays in place.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def fits(df, rows=settings.BROADCAST_ROWS):
-    """True if `df` has at most `rows` rows; reads no more than that."""
+    """True if `df`, a table of keys, has at most `rows` rows.
+
+    Tables with texts or vectors are staged instead, so that Catalyst judges
+    them by their bytes.
+    """
     return df.limit(rows + 1).count() <= rows
 
 
@@ -75,23 +92,25 @@ def semi_join_hot(left, keys, on, salt_by, rows=settings.BROADCAST_ROWS, salts=s
 def number_rows(df, name, *order, start=0):
     """Number rows by a total order without sorting them all in one task.
 
-    Rows are range-partitioned by `order`, staged, counted per partition and
-    numbered inside their partition from that partition's offset.
+    Rows are range-partitioned by `order`, sorted and counted inside their
+    partitions and staged; adding the sizes of the partitions before gives
+    the number.
     """
-    from pyspark.sql import Window
-
+    local = F.monotonically_increasing_id()
     ranged = stage(
-        df.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()), "numbered"
+        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_local", local), "numbered"
     )
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    # The generated id holds the partition above bit 33 and the row below.
+    part, row = F.shiftright("_local", 33), F.col("_local").bitwiseAND(F.lit(2**33 - 1))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        ranged.groupBy("_slice")
-        .count()
-        .select("_slice", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_offset"))
+        ranged.groupBy(part.alias("_part"))
+        .agg(F.count("*").alias("n"))
+        .select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
     )
-    inside = Window.partitionBy("_slice").orderBy(*order)
     return (
-        ranged.join(F.broadcast(offsets), "_slice")
-        .withColumn(name, F.row_number().over(inside) + F.col("_offset") + F.lit(start - 1))
-        .drop("_slice", "_offset")
+        ranged.withColumns({"_part": part, "_row": row})
+        .join(F.broadcast(offsets), "_part")
+        .withColumn(name, F.col("_row") + F.col("_offset") + F.lit(start))
+        .drop("_local", "_part", "_row", "_offset")
     )
