@@ -34,9 +34,16 @@ def closeness(distance):
     return F.lit(1.0) / (F.lit(1.0) + distance)
 
 
-def as_matrix(column):
-    """Rows of an Arrow list column as a float64 matrix."""
+def as_matrix(column, element="float"):
+    """Rows of an Arrow list column as a float64 matrix.
+
+    With element `bfloat16` the values are first rounded to its 8 significant
+    bits, half to even, as an index with that element type stores them.
+    """
     values = column.flatten().to_numpy(zero_copy_only=False)
+    if element == "bfloat16":
+        bits = values.astype(np.float32).view(np.uint32)
+        values = ((bits + 0x7FFF + ((bits >> 16) & 1)) & 0xFFFF0000).astype(np.uint32).view(np.float32)
     return values.astype(np.float64).reshape(len(column), -1)
 
 

@@ -25,6 +25,7 @@ def nearest(
     id_col="id",
     vector_col="embedding",
     exclude_self=False,
+    element="float",
     max_hits=settings.TASK_HITS,
     max_bytes=settings.QUERY_VECTOR_BYTES,
 ):
@@ -33,6 +34,8 @@ def nearest(
     `queries` has query_pos (list order), query_id and embedding. The result
     has query_pos, query_id, rank (from 0), the corpus id and distance.
 
+    With element `bfloat16` vectors are compared in that precision.
+
     A query set within the bounds is broadcast and the corpus is read once in
     place, every task keeping k rows per query. A larger one is matched block
     by block through a shuffle. Rows whose vector is missing or of another
@@ -46,9 +49,9 @@ def nearest(
     dim = len(head[vector_col][0])
     rows = corpus.filter(F.size(vector_col) == dim).select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"))
     if head.num_rows <= bound and head.num_rows * dim * 8 <= max_bytes:
-        partial, names = _search_in_place(rows, head, vector_col, depth, metric)
+        partial, names = _search_in_place(rows, head, vector_col, depth, metric, element)
     else:
-        partial, names = _search_blocks(rows, corpus.count(), queries, vector_col, depth, metric)
+        partial, names = _search_blocks(rows, corpus.count(), queries, vector_col, depth, metric, element)
     hits = merge_hits(partial, depth, F.col("query_pos"))
     hits = hits.join(names, "query_pos")
     if exclude_self:
@@ -85,18 +88,18 @@ def _hits_table(positions, found):
     )
 
 
-def _search_in_place(rows, head, vector_col, k, metric):
+def _search_in_place(rows, head, vector_col, k, metric, element):
     """Each task scans its part of the corpus against the broadcast queries."""
     spark = rows.sparkSession
     positions = head["query_pos"].to_numpy().astype(np.int64)
-    shared = spark.sparkContext.broadcast((positions, as_matrix(head[vector_col].combine_chunks())))
+    shared = spark.sparkContext.broadcast((positions, as_matrix(head[vector_col].combine_chunks(), element)))
 
     def search(batches):
         positions, vectors = shared.value
         best = RunningTopK(vectors, k, metric)
         for batch in batches:
             if batch.num_rows:
-                best.add(batch.column(0), as_matrix(batch.column(1)))
+                best.add(batch.column(0), as_matrix(batch.column(1), element))
         found = best.result()
         if found is not None:
             yield from _hits_table(positions, found).to_batches(max_chunksize=BATCH_ROWS)
@@ -111,7 +114,7 @@ def _search_in_place(rows, head, vector_col, k, metric):
     return partial, F.broadcast(names)
 
 
-def _search_blocks(rows, n_rows, queries, vector_col, k, metric):
+def _search_blocks(rows, n_rows, queries, vector_col, k, metric, element):
     """Match every block of queries with every block of corpus rows.
 
     Blocks are cut by a hash, so they have the same size whatever the data,
@@ -138,14 +141,15 @@ def _search_blocks(rows, n_rows, queries, vector_col, k, metric):
     )
     if row_blocks > settings.FIRST_BLOCKS:
         some = F.col("row_block") % settings.FIRST_BLOCKS == 0
-        first = merge_hits(_match_blocks(left.filter(some), right.filter(some), k, metric), k, F.col("query_pos"))
+        first = _match_blocks(left.filter(some), right.filter(some), k, metric, element)
+        first = merge_hits(first, k, F.col("query_pos"))
         reach = F.when(F.count("*") == k, F.max("distance")).otherwise(float("inf")).alias("reach")
         reaches = stage(first.groupBy("query_pos").agg(reach), "reach")
         left = left.drop("reach").join(reaches, "query_pos", "left").fillna(float("inf"), "reach")
-    return _match_blocks(left, right, k, metric), queries.select("query_pos", "query_id")
+    return _match_blocks(left, right, k, metric, element), queries.select("query_pos", "query_id")
 
 
-def _match_blocks(left, right, k, metric):
+def _match_blocks(left, right, k, metric, element):
     schema = _partial_schema(right)
     nothing = to_arrow_schema(schema).empty_table()
 
@@ -153,8 +157,9 @@ def _match_blocks(left, right, k, metric):
         if queries.num_rows == 0 or rows.num_rows == 0:
             return nothing
         queries, rows = queries.combine_chunks(), rows.combine_chunks()
-        best = RunningTopK(as_matrix(queries["embedding"].chunk(0)), k, metric, queries["reach"].to_numpy())
-        best.add(rows["id"].chunk(0), as_matrix(rows["embedding"].chunk(0)))
+        vectors = as_matrix(queries["embedding"].chunk(0), element)
+        best = RunningTopK(vectors, k, metric, queries["reach"].to_numpy())
+        best.add(rows["id"].chunk(0), as_matrix(rows["embedding"].chunk(0), element))
         found = best.result()
         return nothing if found is None else _hits_table(queries["query_pos"].to_numpy(), found)
 

@@ -74,6 +74,12 @@ def knn_without_self(spark, sf_dir):
     return _rounded(standins.hits(spark, sf_dir, exclude_self=True))
 
 
+@query
+def knn_bfloat16(spark, sf_dir):
+    """The search as an index with 16-bit vectors answers it."""
+    return _rounded(standins.hits(spark, sf_dir, element="bfloat16"))
+
+
 @query
 def knn_vectors(spark, sf_dir):
     """Hits with their vectors, as saved by a search."""

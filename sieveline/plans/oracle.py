@@ -143,6 +143,21 @@ SQL["knn_without_self"] = _with(
     FROM seeds, embeddings WHERE vec_id <> query_pos))
 WHERE n <= {DEPTH}""",
 )
+STEP = "pow(2, floor(log2(abs(x))) - 7)"
+COARSE = f"list_transform({{0}}::DOUBLE[], lambda x: CASE WHEN x = 0 THEN 0 ELSE round_even(x / {STEP}, 0) * {STEP} END)"
+SQL["knn_bfloat16"] = _with(
+    [
+        *BASE,
+        f"coarse AS (SELECT 'W' || vec_id AS id, {COARSE.format('embedding')} AS vector FROM embeddings)",
+        f"""hits AS (
+  SELECT query_pos, query_id, CAST(n - 1 AS INTEGER) AS rank, id, distance FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_pos ORDER BY distance, id) AS n FROM (
+      SELECT query_pos, query_id, coarse.id AS id, list_distance(own.vector, coarse.vector) AS distance
+      FROM seeds JOIN coarse own ON own.id = 'W' || query_pos, coarse))
+  WHERE n <= {DEPTH})""",
+    ],
+    HIT_LIST,
+)
 SQL["knn_vectors"] = _with(
     [CRITERIA, NEAR], f"SELECT rank, id, {CHECKSUM} FROM near JOIN embeddings ON id = 'W' || vec_id"
 )

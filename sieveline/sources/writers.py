@@ -26,12 +26,15 @@ def write_parquet(df, path, mode="overwrite"):
 
 
 def write_csv(df, path, mode="overwrite"):
-    """CSV with a header; list columns as JSON, quotes doubled."""
+    """CSV with a header; list columns as JSON, quotes doubled.
+
+    Null and the empty string are both written as nothing and read as null.
+    """
     nested = (T.ArrayType, T.MapType, T.StructType)
     flat = [
         F.to_json(f.name).alias(f.name) if isinstance(f.dataType, nested) else F.col(f"`{f.name}`") for f in df.schema
     ]
-    options = {"header": True, "quote": '"', "escape": '"', "escapeQuotes": True, "emptyValue": '""'}
+    options = {"header": True, "quote": '"', "escape": '"', "emptyValue": ""}
     df.select(*flat).write.mode(mode).options(**options).csv(path)
 
 

@@ -1,0 +1,65 @@
+import random
+
+import pytest
+
+from sieveline.operators import citations
+from sieveline.staging import semi_join_hot
+
+
+@pytest.fixture
+def edges(spark):
+    works = spark.createDataFrame(
+        [
+            ("P1", ["S1"]),
+            ("P2", ["S1", "S2", "P1"]),
+            ("R", ["S2"]),
+            ("T1", ["P1", "P1"]),
+            ("T2", ["R"]),
+            ("U", ["T1"]),
+            ("V", []),
+            ("N", None),
+        ],
+        "id string, referenced_works array<string>",
+    )
+    return citations.citation_edges(works)
+
+
+@pytest.mark.parametrize("rows", [500, 0])
+def test_snowball(spark, edges, rows):
+    seeds = spark.createDataFrame([("S1",), ("S2",)], "id string")
+    review = spark.createDataFrame([("S1",), ("S2",), ("R",), ("R",), (None,)], "id string")
+    found = {r.id: r.level for r in citations.snowball(edges, seeds, review, rows).collect()}
+    # P2 cites a seed and a primary work; R is in the review but still expanded.
+    assert found == {"P1": "primary", "P2": "primary", "T1": "secondary", "T2": "secondary"}
+
+
+def test_links_and_citing(spark, edges):
+    ids = spark.createDataFrame([("P1",)], "id string")
+    links = {tuple(r) for r in citations.citation_links(edges, ids).select("citing", "cited").collect()}
+    assert links == {("P2", "P1"), ("T1", "P1")}
+    assert sorted(r.id for r in citations.citing_works(edges, ids).collect()) == ["P2", "T1"]
+
+
+@pytest.mark.parametrize("rows", [500, 0])
+def test_hot_key(spark, rows):
+    rng = random.Random(3)
+    pairs = [(f"c{n}", "hub" if n % 3 == 0 else f"w{rng.randint(0, 50)}") for n in range(3000)]
+    edges = spark.createDataFrame(pairs, "citing string, cited string")
+    keys = spark.createDataFrame([("hub",), ("w7",)], "cited string")
+    found = sorted(tuple(r) for r in semi_join_hot(edges, keys, "cited", "citing", rows).select("citing", "cited").collect())
+    assert found == sorted(p for p in pairs if p[1] in ("hub", "w7"))
+
+
+def test_small_seed_set_leaves_edges_in_place(spark, edges, plan):
+    ids = spark.createDataFrame([("P1",)], "id string")
+    text = plan(citations.citing_works(edges, ids))
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+
+
+def test_level_summary(spark):
+    found = spark.createDataFrame(
+        [("a", "primary", 2016), ("b", "secondary", 2014), ("c", "secondary", None), ("d", "secondary", 2015)],
+        "id string, level string, publication_year int",
+    )
+    rows = [tuple(r) for r in citations.level_summary(found, 2015).collect()]
+    assert rows == [("all", 4, 1, 3), ("since", 2, 1, 1)]

@@ -1,0 +1,97 @@
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sieveline.functions import text
+from sieveline.sources.readers import clean_floats
+
+
+def one(spark, value, kind, expression):
+    return spark.createDataFrame([(value,)], f"v {kind}").select(expression.alias("r")).first().r
+
+
+INDEX = "map<string,array<int>>"
+
+
+@pytest.mark.parametrize(
+    "index, expected",
+    [
+        ({"b": [1, 3], "a": [0], "c": [2]}, "a b c b"),
+        ({}, None),
+        (None, None),
+        ({"z": [0], "y": [0], "x": [1]}, "z y x"),
+        ({"": [0]}, None),
+        ({"late": [900000], "soon": [5]}, "soon late"),
+    ],
+)
+def test_rebuild_abstract(spark, index, expected):
+    # Parsed from JSON as in the source files, which keeps the order of a map.
+    value = None if index is None else json.dumps(index)
+    assert one(spark, value, "string", text.rebuild_abstract(F.from_json("v", INDEX))) == expected
+
+
+def test_rebuild_inverts_any_text(spark):
+    rng = random.Random(1)
+    texts = [" ".join(rng.choices(["ab", "c", "ü", "d e".split()[0], "x-y"], k=rng.randint(1, 200))) for _ in range(50)]
+    indexes = []
+    for value in texts:
+        index = {}
+        for n, token in enumerate(value.split()):
+            index.setdefault(token, []).append(n)
+        indexes.append(index)
+    rows = spark.createDataFrame(list(zip(texts, indexes)), f"t string, v {INDEX}")
+    assert rows.filter(text.rebuild_abstract("v") == F.col("t")).count() == len(texts)
+
+
+def test_short_id_removes_a_leading_prefix_only(spark):
+    ids = ["https://openalex.org/W1", "W1", "x https://openalex.org/W1", None]
+    found = spark.createDataFrame([(i,) for i in ids], "v string").select(text.short_id("v").alias("r")).collect()
+    assert [row.r for row in found] == ["W1", "W1", "x https://openalex.org/W1", None]
+    assert one(spark, "W7", "string", text.full_id(F.col("v"))) == "https://openalex.org/W7"
+
+
+@pytest.mark.parametrize(
+    "title, abstract, expected, kept",
+    [(None, "x", " x", True), ("", None, " ", True), ("t", "a", "t a", True), (None, None, " ", False)],
+)
+def test_document_text(spark, title, abstract, expected, kept):
+    rows = spark.createDataFrame([(title, abstract)], "title string, abstract string")
+    found = rows.select(text.document_text().alias("r"), text.has_text().alias("k")).first()
+    assert (found.r, found.k) == (expected, kept)
+
+
+def test_encoder_prefix(spark):
+    assert one(spark, "a", "string", text.encoder_text("v")) == "query: a"
+    assert one(spark, "a", "string", text.encoder_text("v", None)) == "a"
+
+
+@pytest.mark.parametrize(
+    "doi, literal, pattern",
+    [
+        ("https://doi.org/10.1097/bcr.0B013E3181CB8EE6", True, True),
+        ("10x1037/a0020809", False, True),
+        (None, False, False),
+        ("10.1/other", False, False),
+    ],
+)
+def test_matches_doi(spark, doi, literal, pattern):
+    from sieveline.settings import EXCLUDED_DOIS
+
+    assert one(spark, doi, "string", text.matches_doi("v", EXCLUDED_DOIS)) is literal
+    assert one(spark, doi, "string", text.matches_doi("v", EXCLUDED_DOIS, regex=True)) is pattern
+
+
+def test_small_functions(spark):
+    assert one(spark, "co\x02operate", "string", text.restore_hyphens("v")) == "co-operate"
+    assert one(spark, "M0123", "string", text.numeric_suffix("v")) == 123
+    assert one(spark, 7, "int", text.master_id(F.col("v"))) == "M7"
+    path = "/data/updated_date=2023-10-20/part_003.gz"
+    assert one(spark, path, "string", text.partition_value(F.col("v"))) == "2023-10-20"
+    assert one(spark, path, "string", text.part_number(F.col("v"))) == "003"
+
+
+def test_clean_floats(spark):
+    rows = spark.createDataFrame([(float("nan"), 1.0, "nan")], "a double, b double, c string")
+    assert tuple(clean_floats(rows).first()) == (None, 1.0, "nan")
