@@ -6,6 +6,7 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 PAIR_CELLS = 2_000_000
+CACHED_CELLS = 100_000
 
 
 def dot(a, b):
@@ -47,14 +48,27 @@ def as_matrix(column, element="float"):
     return values.astype(np.float64).reshape(len(column), -1)
 
 
-def exact_distance(rows, others, metric):
-    """Distance of row pairs, summed the same way wherever a pair occurs."""
-    if metric == "euclidean":
-        gap = rows - others
-        return np.sqrt((gap * gap).sum(axis=1))
-    size = np.sqrt((rows * rows).sum(axis=1) * (others * others).sum(axis=1))
-    cos = np.divide((rows * others).sum(axis=1), size, out=np.zeros(len(size)), where=size > 0)
-    return 1.0 - cos
+def exact_distances(rows, row, others, other, metric):
+    """Distances of the pairs (rows[row], others[other]).
+
+    Each pair is summed by itself, in the same way wherever it occurs.
+    """
+    found = np.empty(len(row))
+    step = max(1, CACHED_CELLS // rows.shape[1])
+    for start in range(0, len(row), step):
+        part = slice(start, start + step)
+        a, b = rows[row[part]], others[other[part]]
+        if metric == "euclidean":
+            a -= b
+            found[part] = np.sqrt(_dots(a, a))
+        else:
+            size = np.sqrt(_dots(a, a) * _dots(b, b))
+            found[part] = 1.0 - np.divide(_dots(a, b), size, out=np.zeros(len(size)), where=size > 0)
+    return found
+
+
+def _dots(a, b):
+    return np.einsum("ij,ij->i", a, b)
 
 
 class RunningTopK:
@@ -91,16 +105,14 @@ class RunningTopK:
             kth = np.partition(screened, self.k - 1, axis=0)[self.k - 1]
             limit = np.minimum(limit, kth[None, :] + 2 * margin.max())
         row, col = np.nonzero(screened <= limit)
-        step = max(1, PAIR_CELLS // rows.shape[1])
-        for start in range(0, len(row), step):
-            r, c = row[start : start + step], columns[col[start : start + step]]
-            found = exact_distance(rows[r], self.queries[c], self.metric)
-            self.waiting.append(
-                pa.table({"query": pa.array(c), "distance": pa.array(found), "id": ids.take(pa.array(r))})
-            )
-            self.waiting_rows += len(r)
-            if self.waiting_rows > max(20_000, self.kept.num_rows if self.kept else 0):
-                self.compact()
+        col = columns[col]
+        found = exact_distances(rows, row, self.queries, col, self.metric)
+        self.waiting.append(
+            pa.table({"query": pa.array(col), "distance": pa.array(found), "id": ids.take(pa.array(row))})
+        )
+        self.waiting_rows += len(row)
+        if self.waiting_rows > max(20_000, self.kept.num_rows if self.kept else 0):
+            self.compact()
 
     def _screen(self, rows, columns):
         queries, sizes = self.queries[columns], self.sizes[columns]
@@ -141,11 +153,7 @@ def most_similar_rows(rows, references):
     row, col = np.nonzero(screened >= screened.max(axis=1, keepdims=True) - 1e-9)
     best = np.full(len(rows), -np.inf)
     index = np.zeros(len(rows), dtype=np.int64)
-    cos = np.empty(len(row))
-    step = max(1, PAIR_CELLS // rows.shape[1])
-    for start in range(0, len(row), step):
-        part = slice(start, start + step)
-        cos[part] = 1.0 - exact_distance(rows[row[part]], references[col[part]], "cosine")
+    cos = 1.0 - exact_distances(rows, row, references, col, "cosine")
     order = np.lexsort((col, -cos, row))
     row, col, cos = row[order], col[order], cos[order]
     first = np.r_[True, row[1:] != row[:-1]]

@@ -81,7 +81,7 @@ def test_csv_round_trip(spark, tmp_path):
     back = readers.read_csv(spark, str(tmp_path / "csv"), T._parse_datatype_string(schema))
     assert sorted(map(tuple, back.collect())) == [rows[0], ("b", None, [], None), rows[2]]
     fewer = readers.read_csv(spark, str(tmp_path / "csv"), T._parse_datatype_string("n int, id string"))
-    assert sorted(fewer.collect()) and fewer.columns == ["n", "id"]
+    assert fewer.columns == ["n", "id"] and fewer.count() == 3
     with pytest.raises(ValueError):
         readers.read_csv(spark, str(tmp_path / "csv"), T._parse_datatype_string("missing int"))
 
