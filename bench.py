@@ -35,7 +35,6 @@ HEADLINE = (
     "recall_master",
     "recall_at_n",
     "master_upsert",
-    "ingest_json",
 )
 
 

@@ -3,9 +3,11 @@
 from pyspark.sql import functions as F
 
 from sieveline import settings
+from sieveline.functions.text import rebuild_abstract
 from sieveline.staging import small
 
 WORK_COLUMNS = ("id", "doi", "title", "abstract")
+INDEX = "abstract_inverted_index"
 
 
 def cut(hits, n):
@@ -37,13 +39,17 @@ def enrich(ids, works, columns=WORK_COLUMNS, merged=None, bound=None):
 
     `bound` is the number of ids there can be at most; within the broadcast
     bound the works are filtered in place. Without it the ids are counted.
+    Works that hold an inverted index give `abstract` from it.
     """
     keys = resolve(ids, merged)
     if bound is None:
         keys = small(keys)
     elif bound <= settings.BROADCAST_ROWS:
         keys = F.broadcast(keys)
-    return works.select(*columns).join(keys, "id", "left_semi")
+    if "abstract" not in columns or "abstract" in works.columns:
+        return works.select(*columns).join(keys, "id", "left_semi")
+    kept = works.select(*[INDEX if name == "abstract" else name for name in columns]).join(keys, "id", "left_semi")
+    return kept.select(*[rebuild_abstract(INDEX).alias(name) if name == "abstract" else name for name in columns])
 
 
 def unresolved(ids, works):

@@ -11,13 +11,15 @@ from sieveline.functions.vectors import RunningTopK, as_matrix
 from sieveline.operators.neighbors import BATCH_ROWS, _hits_table, _partial_schema, merge_hits
 
 
-def fit_clusters(corpus, n_clusters, seed=settings.RERANK_SEED, vector_col="embedding"):
-    """K-means model over all vectors."""
-    rows = corpus.select(array_to_vector(vector_col).alias("features")).persist()
-    try:
-        return KMeans(k=n_clusters, seed=seed, featuresCol="features").fit(rows)
-    finally:
-        rows.unpersist()
+def fit_clusters(corpus, n_clusters, seed=settings.RERANK_SEED, vector_col="embedding", fraction=1.0):
+    """K-means model of the vectors.
+
+    For a large corpus a `fraction` of the rows is enough to place the
+    centers; every row is then assigned to one of them.
+    """
+    rows = corpus.select(array_to_vector(vector_col).alias("features"))
+    rows = rows.sample(fraction, seed) if fraction < 1.0 else rows
+    return KMeans(k=n_clusters, seed=seed, featuresCol="features").fit(rows)
 
 
 def write_clusters(corpus, model, path, vector_col="embedding"):

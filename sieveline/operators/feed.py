@@ -1,6 +1,7 @@
 """Selecting, checking and keeping the latest vectors per work."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sieveline.settings import BROADCAST_ROWS, MIN_YEAR, VECTOR_DIM
 from sieveline.staging import fits, stage
@@ -36,18 +37,21 @@ def split_valid(rows, dim=VECTOR_DIM, id_col="id", vector_col="embedding"):
 def keep_latest(rows, key="id", order=PART_KEYS, bound=BROADCAST_ROWS):
     """The last version of each key by `order`; equal versions by content.
 
-    Keys are counted without their vectors. If those with several versions
-    are few, only their rows are shuffled and all others stay in place. A
-    maximum combines on the map side, so a key with very many versions costs
-    no more than others.
+    A maximum combines on the map side, so a key with very many versions
+    costs no more than others. Rows with vectors are wide, so their versions
+    are compared without them first: if the keys with several versions are
+    few, older ones are dropped in place and only equal last versions are
+    shuffled. Keys are not null.
     """
-    counts = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    repeated = stage(counts.select(key), "repeated")
+    if not any(isinstance(field.dataType, T.ArrayType) for field in rows.schema):
+        return _last(rows, key, order)
+    versions = rows.groupBy(key).agg(F.count("*").alias("_n"), F.max(F.struct(*order)).alias("_last"))
+    repeated = stage(versions.filter(F.col("_n") > 1).select(F.col(key).alias("_key"), "_last"), "repeated")
     if not fits(repeated, bound):
         return _last(rows, key, order)
-    repeated = F.broadcast(repeated)
-    single = rows.join(repeated, key, "left_anti")
-    several = rows.join(repeated, key, "left_semi")
+    repeated, same = F.broadcast(repeated), F.col(key) == F.col("_key")
+    single = rows.join(repeated, same, "left_anti")
+    several = rows.join(repeated, same & F.struct(*order).eqNullSafe(F.col("_last")), "left_semi")
     return single.unionByName(_last(several, key, order))
 
 

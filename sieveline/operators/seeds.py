@@ -14,7 +14,7 @@ def mark_excluded(review, dois=EXCLUDED_DOIS, regex=False):
 def included(review, dois=EXCLUDED_DOIS, regex=False):
     """Rows labelled as included and not excluded afterwards."""
     marked = mark_excluded(review, dois, regex)
-    return marked.filter(F.col("label_included").cast("boolean") & ~F.col("extra_excluded"))
+    return marked.filter((F.col("label_included") != 0) & ~F.col("extra_excluded"))
 
 
 def relabel_excluded(review, dois=EXCLUDED_DOIS, regex=False, first_only=True, order="id"):

@@ -22,7 +22,7 @@ from sieveline.operators import (
 )
 from sieveline.plans import screening, standins
 from sieveline.sources import manifest, readers, writers
-from sieveline.staging import stage, staged_path
+from sieveline.staging import small, stage, staged_path
 from sieveline.streaming import ingest, upsert
 
 QUERIES = {}
@@ -218,19 +218,27 @@ def enrich_missing(spark, sf_dir):
 @query
 def merged_works(spark, sf_dir):
     """Enrichment where works with one text were merged into the newest."""
-    documents = standins.table(spark, sf_dir, "documents")
-    newest = documents.groupBy("text").agg(F.max("doc_id").alias("new_doc")).withColumnRenamed("text", "same")
-    merged = (
-        documents.join(newest, F.col("text") == F.col("same"))
-        .filter(F.col("doc_id") != F.col("new_doc"))
-        .select(standins.work_id("doc_id").alias("old_id"), standins.work_id("new_doc").alias("new_id"))
-    )
-    found = screening.included_dataset(
-        standins.hits(spark, sf_dir), standins.works(spark, sf_dir), CUT, merged=stage(merged, "merged")
+    hits = stage(candidates.cut(standins.hits(spark, sf_dir), CUT), "hits")
+    copies = standins.table(spark, sf_dir, "documents").select(
+        standins.work_id("doc_id").alias("id"), "doc_id", F.md5(F.col("text")).alias("digest")
     )
+    pooled = stage(copies.join(small(hits.select("id").distinct()), "id", "left_semi"), "pooled")
+    same = copies.join(small(pooled.select("digest").distinct()), "digest", "left_semi")
+    newest = same.groupBy("digest").agg(F.max("doc_id").alias("new_doc"))
+    merged = pooled.join(newest, "digest").filter(F.col("doc_id") != F.col("new_doc"))
+    merged = merged.select(F.col("id").alias("old_id"), standins.work_id("new_doc").alias("new_id"))
+    found = screening.included_dataset(hits, standins.works(spark, sf_dir), CUT, merged=merged)
     return found.select("id", "doi", "rank")
 
 
+@query
+def enrich_from_index(spark, sf_dir):
+    """Enrichment by works that hold inverted indexes instead of abstracts."""
+    works = standins.raw_works(spark, sf_dir).withColumn("id", text.short_id("id"))
+    near = stage(standins.criteria_hits(spark, sf_dir).select("id"), "near")
+    return candidates.enrich(near, works, ("id", "title", "abstract"), bound=standins.DEPTH)
+
+
 # Review labels
 
 
@@ -242,7 +250,7 @@ def seed_selection(spark, sf_dir):
         "doi",
         "label_included",
         "extra_excluded",
-        (F.col("label_included").cast("boolean") & ~F.col("extra_excluded")).alias("is_seed"),
+        ((F.col("label_included") != 0) & ~F.col("extra_excluded")).alias("is_seed"),
     )
 
 
@@ -265,7 +273,7 @@ def _snowball(spark, sf_dir):
 @query
 def citation_edges(spark, sf_dir):
     """Edges from exploding the reference lists, with works cited per work."""
-    edges = citations.citation_edges(standins.referencing_works(spark, sf_dir))
+    edges = citations.citation_edges(standins.referencing_works(spark, sf_dir)).distinct()
     return edges.groupBy("citing").agg(F.count("*").alias("n_cited"), F.min("cited").alias("first_cited"))
 
 
@@ -416,16 +424,17 @@ def _labelled_vectors(spark, sf_dir):
     return labelled.join(standins.corpus(spark, sf_dir), "id")
 
 
-def _similarities(spark, sf_dir):
+def _similarities(spark, sf_dir, queries, criteria):
     vectors = _labelled_vectors(spark, sf_dir)
-    nearest = similarity.most_similar(vectors, standins.seeds(spark, sf_dir), key="MID")
-    to_criteria = similarity.similarity_to(vectors, standins.criteria(spark, sf_dir), "criteria_similarity", key="MID")
+    nearest = similarity.most_similar(vectors, queries, key="MID")
+    to_criteria = similarity.similarity_to(vectors, criteria, "criteria_similarity", key="MID")
     return nearest, to_criteria
 
 
 @query
 def recall_similarity(spark, sf_dir):
-    nearest, to_criteria = _similarities(spark, sf_dir)
+    queries, criteria = standins.seeds(spark, sf_dir), standins.criteria(spark, sf_dir)
+    nearest, to_criteria = _similarities(spark, sf_dir, queries, criteria)
     return nearest.join(to_criteria, "MID").select(
         "MID",
         "query_id",
@@ -435,11 +444,13 @@ def recall_similarity(spark, sf_dir):
 
 
 def _attributed(spark, sf_dir, reranked=None):
-    nearest, to_criteria = _similarities(spark, sf_dir)
+    queries = stage(standins.seeds(spark, sf_dir), "seeds")
+    criteria = stage(standins.criteria(spark, sf_dir), "criteria")
+    nearest, to_criteria = _similarities(spark, sf_dir, queries, criteria)
     found = recall.attribute(
         standins.master(spark, sf_dir),
-        standins.hits(spark, sf_dir),
-        standins.criteria_hits(spark, sf_dir),
+        standins.hits(spark, sf_dir, queries=queries),
+        standins.criteria_hits(spark, sf_dir, queries=criteria),
         nearest,
         to_criteria,
         reranked,
@@ -536,7 +547,7 @@ def snapshot_completeness(spark, sf_dir):
         F.count("*").alias("record_count")
     )
     sold = standins.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
-    counts = orders.join(sold, "o_orderkey", "left_semi").groupBy(file.alias("file")).agg(F.count("*").alias("n_read"))
+    counts = orders.join(sold.distinct(), "o_orderkey", "left_semi").groupBy(file.alias("file")).agg(F.count("*").alias("n_read"))
     return manifest.completeness(entries, counts).select(
         "file",
         text.partition_value(F.col("file")).alias("updated_date"),

@@ -220,6 +220,10 @@ WHERE w.doc_id IN (
   SELECT (SELECT max(doc_id) FROM documents e WHERE e.text = d.text)
   FROM documents d JOIN pool p ON p.id = 'W' || d.doc_id)""",
 )
+SQL["enrich_from_index"] = _with(
+    [CRITERIA, NEAR],
+    f"""SELECT id, lang AS title, {NORMALISED} AS abstract FROM documents JOIN near ON id = 'W' || doc_id""",
+)
 
 # Review labels
 
@@ -238,9 +242,10 @@ SQL["training_labels"] = _with(
 
 # Citations
 
-SQL["citation_edges"] = _with(
-    [EDGES], "SELECT citing, count(*) AS n_cited, min(cited) AS first_cited FROM edges GROUP BY citing"
-)
+SQL["citation_edges"] = """SELECT citing, count(*) AS n_cited, min(cited) AS first_cited FROM (
+  SELECT 'W' || l_orderkey AS citing, 'W' || l_partkey AS cited FROM lineitem
+  UNION SELECT 'W' || l_orderkey, 'W' || l_suppkey FROM lineitem)
+GROUP BY citing"""
 CITING = [WORKS, REVIEW, SEED_IDS, EDGES]
 SQL["citing_works"] = _with(
     CITING, "SELECT DISTINCT citing AS id FROM edges WHERE cited IN (SELECT id FROM seed_ids)"

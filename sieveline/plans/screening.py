@@ -11,7 +11,7 @@ from sieveline.staging import stage
 
 def criteria_dataset(criteria_hits, works, cut=settings.CUT_CRITERIA, merged=None):
     """Dataset A: the works closest to the inclusion criteria."""
-    ranked = candidates.cut(criteria_hits, cut).select("id", "rank")
+    ranked = stage(candidates.cut(criteria_hits, cut).select("id", "rank"), "ranked")
     return _at_edge(candidates.ranked_dataset(ranked, works, "rank", merged=merged, bound=cut))
 
 

@@ -103,12 +103,12 @@ def criteria(spark, sf_dir):
     )
 
 
-def hits(spark, sf_dir, k=DEPTH, **options):
-    return nearest(corpus(spark, sf_dir), seeds(spark, sf_dir), k, **options)
+def hits(spark, sf_dir, k=DEPTH, queries=None, **options):
+    return nearest(corpus(spark, sf_dir), queries or seeds(spark, sf_dir), k, **options)
 
 
-def criteria_hits(spark, sf_dir, k=DEPTH, **options):
-    return nearest(corpus(spark, sf_dir), criteria(spark, sf_dir), k, **options)
+def criteria_hits(spark, sf_dir, k=DEPTH, queries=None, **options):
+    return nearest(corpus(spark, sf_dir), queries or criteria(spark, sf_dir), k, **options)
 
 
 def edges(spark, sf_dir):
@@ -118,9 +118,11 @@ def edges(spark, sf_dir):
 
 
 def referencing_works(spark, sf_dir):
-    """Works with their reference lists, as an API would return them."""
-    links = edges(spark, sf_dir)
-    return links.groupBy(F.col("citing").alias("id")).agg(F.collect_set("cited").alias("referenced_works"))
+    """Works with reference lists: the part and the supplier of each line."""
+    return table(spark, sf_dir, "lineitem").select(
+        work_id("l_orderkey").alias("id"),
+        F.array(work_id("l_partkey"), work_id("l_suppkey")).alias("referenced_works"),
+    )
 
 
 def inverted_works(spark, sf_dir):

@@ -92,14 +92,12 @@ def semi_join_hot(left, keys, on, salt_by, rows=settings.BROADCAST_ROWS, salts=s
 def number_rows(df, name, *order, start=0):
     """Number rows by a total order without sorting them all in one task.
 
-    Rows are range-partitioned by `order`, sorted and counted inside their
-    partitions and staged; adding the sizes of the partitions before gives
-    the number.
+    Rows are staged, as the range bounds are sampled first, then partitioned
+    by range of `order`, sorted inside their partitions and staged again;
+    adding the sizes of the partitions before gives the number.
     """
-    local = F.monotonically_increasing_id()
-    ranged = stage(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_local", local), "numbered"
-    )
+    ranged = stage(df, "unnumbered").repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = stage(ranged.withColumn("_local", F.monotonically_increasing_id()), "numbered")
     # The generated id holds the partition above bit 33 and the row below.
     part, row = F.shiftright("_local", 33), F.col("_local").bitwiseAND(F.lit(2**33 - 1))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

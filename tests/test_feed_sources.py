@@ -137,9 +137,10 @@ def test_split_valid(spark):
 @pytest.mark.parametrize("bound", [100, 0])
 def test_keep_latest(spark, bound):
     rows = [("a", [1.0], "2023-01-01", "000"), ("a", [2.0], "2023-01-02", "000"), ("a", [3.0], "2023-01-02", "001")]
+    rows += [("d", [7.0], "2023-01-01", None), ("d", [8.0], None, None), ("d", [9.0], "2023-01-01", None)]
     rows += [("b", [4.0], "2023-01-01", "000"), ("c", [5.0], "2023-01-01", "000"), ("c", [6.0], "2023-01-01", "000")]
     kept = feed.keep_latest(spark.createDataFrame(rows, VECTORS), bound=bound)
-    assert {r.id: r.embedding for r in kept.collect()} == {"a": [3.0], "b": [4.0], "c": [6.0]}
+    assert {r.id: r.embedding for r in kept.collect()} == {"a": [3.0], "b": [4.0], "c": [6.0], "d": [9.0]}
     assert kept.columns == ["id", "embedding", "updated_date", "part"] or bound == 0
 
 
