@@ -14,22 +14,22 @@ def citation_edges(works, id_col="id", references="referenced_works"):
 def citation_links(edges, ids, rows=settings.BROADCAST_ROWS):
     """The edges that cite one of `ids`, as distinct (citing, cited) pairs."""
     keys = ids.select(F.col("id").alias("cited")).distinct()
-    return semi_join_hot(edges, keys, "cited", "citing", rows).distinct()
+    return semi_join_hot(edges, keys, "cited", rows).distinct()
 
 
 def citing_works(edges, ids, rows=settings.BROADCAST_ROWS):
     """Ids of all works that cite one of `ids`, each once.
 
     A much-cited work is no bottleneck: a small set of ids is broadcast, and
-    beyond the bound the edges of each cited work are salted. Repeated edges
-    collapse before the shuffle.
+    beyond the bound the edges of much-cited works are picked in place.
+    Repeated citing works collapse before the shuffle.
     """
     return _citing(edges, ids.select("id").distinct(), rows)
 
 
 def _citing(edges, distinct_ids, rows):
     keys = distinct_ids.withColumnRenamed("id", "cited")
-    found = semi_join_hot(edges, keys, "cited", "citing", rows)
+    found = semi_join_hot(edges, keys, "cited", rows)
     return found.select(F.col("citing").alias("id")).distinct()
 
 

@@ -33,7 +33,18 @@ def max_number(master):
     return master.agg(F.max(numeric_suffix("MID")).alias("max_mid"))
 
 
-def upsert(master, incoming, flag="Data_3b", flags=settings.MASTER_FLAGS, key="openalex_id", order=("rank", "id")):
+RENAMED = {settings.MASTER_OLD_FLAG: "Data_3b_old"}
+
+
+def upsert(
+    master,
+    incoming,
+    flag="Data_3b",
+    flags=settings.MASTER_FLAGS,
+    key="openalex_id",
+    order=("rank", "id"),
+    renamed=RENAMED,
+):
     """Add ranked candidates to the master table and set `flag` on them.
 
     Known works keep their own doi, title and abstract where present. New ones
@@ -41,22 +52,22 @@ def upsert(master, incoming, flag="Data_3b", flags=settings.MASTER_FLAGS, key="o
     runs over all incoming rows in rank order, so known ones leave gaps.
     Incoming rows have one row per id; master rows without a key never match.
     """
+    master = master.withColumnsRenamed(renamed)
+    master = master if flag in master.columns else master.withColumn(flag, F.lit(None).cast("int"))
     first = max_number(master)
     sort = (F.col(order[0]).asc_nulls_last(), *order[1:])
-    numbered = (
-        number_rows(incoming, "_n", *sort, start=1)
-        .select(
-            F.col("id").alias(key),
-            F.col("doi").alias("_doi"),
-            F.col("title").alias("_title"),
-            F.col("abstract").alias("_abstract"),
-            master_id(F.coalesce(first.scalar(), F.lit(0)) + F.col("_n")).alias("_mid"),
-            F.lit(1).alias(flag),
-        )
+    numbered = number_rows(incoming, "_n", *sort, start=1).select(
+        F.col("id").alias(key),
+        F.col("doi").alias("_doi"),
+        F.col("title").alias("_title"),
+        F.col("abstract").alias("_abstract"),
+        master_id(F.coalesce(first.scalar(), F.lit(0)) + F.col("_n")).alias("_mid"),
+        F.lit(1).alias("_flag"),
     )
     numbered = stage(numbered, "incoming")
-    extra = {"MID": "_mid", "doi": "_doi", "title": "_title", "abstract": "_abstract"}
-    known = coalesce_columns(master.drop(flag).join(numbered, key, "left"), extra)
+    extra = {"MID": "_mid", "doi": "_doi", "title": "_title", "abstract": "_abstract", flag: "_flag"}
+    marked = master.join(numbered, key, "left").withColumn(flag, F.coalesce("_flag", flag))
+    known = coalesce_columns(marked, extra)
     held = master.select(key).filter(F.col(key).isNotNull()).distinct()
     new = numbered.join(held, key, "left_anti").withColumnsRenamed({v: k for k, v in extra.items()})
     return fill_flags(known.unionByName(new, allowMissingColumns=True), flags)

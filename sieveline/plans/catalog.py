@@ -292,6 +292,18 @@ def snowball(spark, sf_dir):
     return _snowball(spark, sf_dir).join(standins.dates(spark, sf_dir), "id", "left")
 
 
+@query
+def citation_dataset(spark, sf_dir):
+    review = standins.table(spark, sf_dir, "labels").select(standins.work_id("doc_id").alias("id"))
+    return screening.citation_dataset(
+        standins.edges(spark, sf_dir),
+        standins.dated_works(spark, sf_dir),
+        standins.seed_ids(spark, sf_dir),
+        review,
+        ("id", "doi", "title", "abstract", "publication_date"),
+    )
+
+
 @query
 def snowball_summary(spark, sf_dir):
     found = _snowball(spark, sf_dir).join(standins.dates(spark, sf_dir), "id", "left")

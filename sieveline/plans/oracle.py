@@ -255,6 +255,11 @@ SQL["snowball"] = _with(
     [*CITING, SNOWBALL, DATES],
     "SELECT id, level, publication_date, publication_year FROM snowball LEFT JOIN dates USING (id)",
 )
+SQL["citation_dataset"] = _with(
+    [*CITING, SNOWBALL, DATES],
+    f"""SELECT '{PREFIX}' || w.id AS id, doi, title, abstract, publication_date, level
+FROM works w JOIN snowball s ON s.id = w.id LEFT JOIN dates ON dates.id = w.id""",
+)
 SQL["snowball_summary"] = _with(
     [*CITING, SNOWBALL, DATES],
     f"""SELECT scope, count(*) AS total, count(*) FILTER (level = 'primary') AS "primary",

@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from sieveline import settings
 from sieveline.functions.text import full_id
-from sieveline.operators import candidates, rerank
+from sieveline.operators import candidates, citations, rerank
 from sieveline.operators.neighbors import with_vectors
 from sieveline.staging import stage
 
+CITATION_COLUMNS = ("id", "doi", "title", "abstract", "referenced_works", "publication_date")
+
 
 def criteria_dataset(criteria_hits, works, cut=settings.CUT_CRITERIA, merged=None):
     """Dataset A: the works closest to the inclusion criteria."""
@@ -45,5 +47,11 @@ def reranked_dataset(pool, works, keep=settings.RERANK_KEEP, merged=None):
     )
 
 
+def citation_dataset(edges, works, included, review, columns=CITATION_COLUMNS):
+    """The works found by snowballing, with their columns and level."""
+    found = stage(citations.snowball(edges, included, review), "snowball")
+    return _at_edge(works.select(*columns).join(found, "id"))
+
+
 def _at_edge(dataset):
     return dataset.withColumn("id", full_id(F.col("id")))

@@ -40,4 +40,4 @@ MERGE_ROWS = 4_000_000
 BLOCK_QUERIES = 4_096
 BLOCK_VECTORS = 32_768
 FIRST_BLOCKS = 64
-SALTS = 16
+HOT_ROWS = 1_000_000

@@ -75,18 +75,21 @@ def small(df, rows=settings.BROADCAST_ROWS):
     return F.broadcast(df) if fits(df, rows) else df
 
 
-def semi_join_hot(left, keys, on, salt_by, rows=settings.BROADCAST_ROWS, salts=settings.SALTS):
+def semi_join_hot(left, keys, on, rows=settings.BROADCAST_ROWS, hot_rows=settings.HOT_ROWS):
     """Semi join for a `left` side in which single keys may be very frequent.
 
     `keys` holds one column `on`, each value once. Within the row bound it is
-    broadcast and `left` stays in place; beyond it the rows of each key are
-    spread over `salts` partitions by a hash of `salt_by`.
+    broadcast and `left` stays in place. Beyond it the keys with more than
+    `hot_rows` rows, of which there cannot be many, are set apart: their rows
+    are kept or dropped in place, and only the others are shuffled.
     """
     if fits(keys, rows):
         return left.join(F.broadcast(keys), on, "left_semi")
-    salted = left.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(salts)).cast("int"))
-    spread = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(spread, [on, "_salt"], "left_semi").drop("_salt")
+    counts = left.groupBy(on).agg(F.count("*").alias("_n"))
+    hot = small(stage(counts.filter(F.col("_n") > hot_rows).select(on), "hot"))
+    wanted = small(stage(hot.join(keys, on, "left_semi"), "wanted"))
+    others = left.join(hot, on, "left_anti").join(keys, on, "left_semi")
+    return left.join(wanted, on, "left_semi").unionByName(others)
 
 
 def number_rows(df, name, *order, start=0):

@@ -40,13 +40,14 @@ def test_links_and_citing(spark, edges):
     assert sorted(r.id for r in citations.citing_works(edges, ids).collect()) == ["P2", "T1"]
 
 
-@pytest.mark.parametrize("rows", [500, 0])
-def test_hot_key(spark, rows):
+@pytest.mark.parametrize("rows, hot_rows", [(500, 1), (0, 500), (0, 10_000), (0, 10)])
+def test_hot_key(spark, rows, hot_rows):
     rng = random.Random(3)
     pairs = [(f"c{n}", "hub" if n % 3 == 0 else f"w{rng.randint(0, 50)}") for n in range(3000)]
     edges = spark.createDataFrame(pairs, "citing string, cited string")
     keys = spark.createDataFrame([("hub",), ("w7",)], "cited string")
-    found = sorted(tuple(r) for r in semi_join_hot(edges, keys, "cited", "citing", rows).select("citing", "cited").collect())
+    joined = semi_join_hot(edges, keys, "cited", rows, hot_rows).select("citing", "cited")
+    found = sorted(map(tuple, joined.collect()))
     assert found == sorted(p for p in pairs if p[1] in ("hub", "w7"))
 
 

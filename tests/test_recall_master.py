@@ -79,6 +79,19 @@ def test_upsert_numbers_all_incoming_rows(spark):
     assert rows["M13"].openalex_id == "n3"
 
 
+def test_upsert_keeps_earlier_flags(spark):
+    old = settings.MASTER_OLD_FLAG
+    table = spark.createDataFrame(
+        [("M1", "a", "d", "t", "x", 1, 1), ("M2", "b", "d", "t", "x", 0, None)],
+        f"MID string, openalex_id string, doi string, title string, abstract string, Data_3b int, `{old}` int",
+    )
+    incoming = spark.createDataFrame(
+        [("b", None, None, None, 0)], "id string, doi string, title string, abstract string, rank int"
+    )
+    rows = {r.MID: (r.Data_3b, r.Data_3b_old) for r in master.upsert(table, incoming).collect()}
+    assert rows == {"M1": (1, 1), "M2": (1, 0)}
+
+
 def test_number_rows(spark):
     values = [(n * 37 % 1000, f"i{n % 7}") for n in range(1000)]
     rows = spark.createDataFrame(values, "a int, b string").repartition(5)
