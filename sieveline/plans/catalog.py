@@ -146,11 +146,11 @@ def resp_overlap(spark, sf_dir):
 
 @query
 def resp_membership(spark, sf_dir):
-    found = standins.hits(spark, sf_dir).select("id", F.lit("included").alias("list"))
-    near = stage(standins.criteria_hits(spark, sf_dir).select("id"), "criteria")
+    hits, near = standins.both_hits(spark, sf_dir)
     cited = stage(_snowball(spark, sf_dir), "citations")
     review = standins.table(spark, sf_dir, "labels").select(standins.work_id("doc_id").alias("id"))
-    lists = found.unionByName(near.withColumn("list", F.lit("criteria")))
+    list_name = F.when(F.col("query_pos") >= 0, "included").otherwise("criteria")
+    lists = hits.unionByName(near).select("id", list_name.alias("list"))
     others = {
         "in_review": review,
         "in_criteria": near,
@@ -437,7 +437,7 @@ def _labelled_vectors(spark, sf_dir):
 
 
 def _similarities(spark, sf_dir, queries, criteria):
-    vectors = _labelled_vectors(spark, sf_dir)
+    vectors = stage(_labelled_vectors(spark, sf_dir), "labelled")
     nearest = similarity.most_similar(vectors, queries, key="MID")
     to_criteria = similarity.similarity_to(vectors, criteria, "criteria_similarity", key="MID")
     return nearest, to_criteria
@@ -459,14 +459,9 @@ def _attributed(spark, sf_dir, reranked=None):
     queries = stage(standins.seeds(spark, sf_dir), "seeds")
     criteria = stage(standins.criteria(spark, sf_dir), "criteria")
     nearest, to_criteria = _similarities(spark, sf_dir, queries, criteria)
-    found = recall.attribute(
-        standins.master(spark, sf_dir),
-        standins.hits(spark, sf_dir, queries=queries),
-        standins.criteria_hits(spark, sf_dir, queries=criteria),
-        nearest,
-        to_criteria,
-        reranked,
-    )
+    hits, near = standins.both_hits(spark, sf_dir, queries=queries, one=criteria)
+    table = standins.master(spark, sf_dir)
+    found = recall.attribute(table, hits, near, nearest, to_criteria, reranked)
     return (
         found.withColumn("n_lists", F.size("inclusions_recall_data"))
         .withColumn("inclusions_similarity", F.round("inclusions_similarity", 6))
@@ -498,10 +493,10 @@ def recall_at_n(spark, sf_dir):
 
 
 def _linked(spark, sf_dir):
-    pool = stage(candidates.keep_first(candidates.cut(standins.hits(spark, sf_dir), CUT)), "pool")
-    near = candidates.cut(standins.criteria_hits(spark, sf_dir), CUT)
+    hits, near = standins.both_hits(spark, sf_dir)
+    pool, near = candidates.keep_first(candidates.cut(hits, CUT)), candidates.cut(near, CUT)
     full = text.full_id(F.col("id")).alias("id")
-    return standins.master(spark, sf_dir), {"included": pool.select(full), "criteria": stage(near.select(full), "near")}
+    return standins.master(spark, sf_dir), {"included": pool.select(full), "criteria": near.select(full)}
 
 
 @query

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from sieveline.functions.text import full_id
 from sieveline.operators.neighbors import nearest
 from sieveline.operators.seeds import included
-from sieveline.staging import spread
+from sieveline.staging import spread, stage
 
 EXCLUDED = ("10.SRC1/8", "10.src6/1", "10.src12/5", "10.src15/1")
 DEPTH = 100
@@ -103,12 +103,20 @@ def criteria(spark, sf_dir):
     )
 
 
-def hits(spark, sf_dir, k=DEPTH, queries=None, **options):
-    return nearest(corpus(spark, sf_dir), queries or seeds(spark, sf_dir), k, **options)
+def hits(spark, sf_dir, k=DEPTH, **options):
+    return nearest(corpus(spark, sf_dir), seeds(spark, sf_dir), k, **options)
 
 
-def criteria_hits(spark, sf_dir, k=DEPTH, queries=None, **options):
-    return nearest(corpus(spark, sf_dir), queries or criteria(spark, sf_dir), k, **options)
+def criteria_hits(spark, sf_dir, k=DEPTH, **options):
+    return nearest(corpus(spark, sf_dir), criteria(spark, sf_dir), k, **options)
+
+
+def both_hits(spark, sf_dir, k=DEPTH, queries=None, one=None):
+    """Hits of the seeds and of the criteria, found by one scan of the corpus."""
+    one = (one or criteria(spark, sf_dir)).withColumn("query_pos", F.lit(-1).cast("long"))
+    every = (queries or seeds(spark, sf_dir)).unionByName(one)
+    found = stage(nearest(corpus(spark, sf_dir), every, k), "hits")
+    return found.filter(F.col("query_pos") >= 0), found.filter(F.col("query_pos") == -1)
 
 
 def edges(spark, sf_dir):
