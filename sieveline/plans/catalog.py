@@ -20,7 +20,7 @@ from sieveline.operators import (
     seeds,
     similarity,
 )
-from sieveline.plans import screening, standins
+from sieveline.plans import corpus, screening, standins
 from sieveline.sources import manifest, readers, writers
 from sieveline.staging import small, stage, staged_path
 from sieveline.streaming import ingest, upsert
@@ -83,9 +83,9 @@ def knn_bfloat16(spark, sf_dir):
 @query
 def knn_vectors(spark, sf_dir):
     """Hits with their vectors, as saved by a search."""
-    corpus = standins.corpus(spark, sf_dir)
+    vectors = standins.corpus(spark, sf_dir)
     found = stage(standins.criteria_hits(spark, sf_dir), "criteria")
-    full = neighbors.with_vectors(found, corpus, standins.DEPTH)
+    full = neighbors.with_vectors(found, vectors, standins.DEPTH)
     return full.select("rank", "id", _checksum("embedding"))
 
 
@@ -95,9 +95,9 @@ def _checksum(col):
 
 
 def _clustered(spark, sf_dir):
-    corpus = standins.corpus(spark, sf_dir)
-    model = clusters.fit_clusters(corpus, CLUSTERS)
-    return model, clusters.write_clusters(corpus, model, staged_path(spark, "clusters"))
+    vectors = standins.corpus(spark, sf_dir)
+    model = clusters.fit_clusters(vectors, CLUSTERS)
+    return model, clusters.write_clusters(vectors, model, staged_path(spark, "clusters"))
 
 
 @query
@@ -179,12 +179,12 @@ def dataset_b(spark, sf_dir):
 
 
 def _reranked(spark, sf_dir):
-    corpus = standins.corpus(spark, sf_dir)
+    vectors = standins.corpus(spark, sf_dir)
     review = standins.review(spark, sf_dir).select("id", "doi", "position", "label_included")
     labelled = seeds.relabel_excluded(review, standins.EXCLUDED, order="position")
-    training = labelled.withColumn("id", text.short_id("id")).join(corpus, "id").select("embedding", "label_included")
+    training = labelled.withColumn("id", text.short_id("id")).join(vectors, "id").select("embedding", "label_included")
     hits = standins.hits(spark, sf_dir)
-    return screening.reranked_pool(hits, corpus, training, POOL_CUT, KEEP)
+    return screening.reranked_pool(hits, vectors, training, POOL_CUT, KEEP)
 
 
 @query
@@ -592,12 +592,10 @@ def ingest_stream(spark, sf_dir):
 @query
 def write_split(spark, sf_dir):
     """Texts and hashed vectors written as two tables and joined again."""
-    raw = readers.read_works(spark, _json_works(spark, sf_dir), pattern=WORK_FILES)
-    works = readers.prepare_works(raw).withColumn("text", text.document_text())
     texts, vectors = staged_path(spark, "texts"), staged_path(spark, "vectors")
-    writers.write_parts(embedding.embed(works), texts, vectors)
-    kept = feed.recent(readers.read_parquet_parts(spark, vectors), min_year=SINCE).select("id", "part", "embedding")
-    both = readers.read_parquet_parts(spark, texts).join(kept, ["id", "part"])
+    corpus.build(spark, _json_works(spark, sf_dir), texts, vectors, WORK_FILES)
+    kept, _ = corpus.searchable(spark.read.parquet(vectors), min_year=SINCE)
+    both = spark.read.parquet(texts).join(kept.select("id", "part", "embedding"), ["id", "part"])
     return both.select("id", "title", "abstract", "publication_year", F.size("embedding").alias("dim"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import types as T
 
 from sieveline import staging
 from sieveline.operators import feed, profile
+from sieveline.plans import corpus
 from sieveline.sources import manifest, readers, writers
 from sieveline.streaming import ingest, upsert
 
@@ -165,6 +166,31 @@ def test_streams(spark, tmp_path):
     assert run() == [("W1", "a b", "000"), ("W1", "a b", "000"), ("W3", None, "000")]
 
 
+def test_stream_with_embedding(spark, tmp_path):
+    write_part(tmp_path / "in", "2023-01-01", "000", WORKS)
+    out = str(tmp_path / "out")
+    running = ingest.ingest_stream(
+        spark, str(tmp_path / "in"), out, str(tmp_path / "state"), embed=lambda works: corpus.embed_works(works)
+    )
+    running.awaitTermination()
+    assert [len(r.embedding) for r in spark.read.parquet(out).collect()] == [384, 384]
+
+
+def test_build_and_searchable(spark, tmp_path):
+    write_part(tmp_path / "in", "2023-01-01", "000", WORKS)
+    write_part(tmp_path / "in", "2023-01-02", "000", [dict(WORKS[0], title="New"), dict(WORKS[2], publication_year=2001)])
+    texts, vectors = str(tmp_path / "texts"), str(tmp_path / "vectors")
+    corpus.build(spark, str(tmp_path / "in"), texts, vectors)
+    kept, refused = corpus.searchable(spark.read.parquet(vectors))
+    assert [(r.id, str(r.updated_date), len(r.embedding)) for r in kept.collect()] == [("W1", "2023-01-02", 384)]
+    assert refused.count() == 0
+    assert spark.read.parquet(texts).count() == 4
+    by_join, _ = corpus.searchable(
+        spark.read.parquet(vectors).drop("publication_year"), spark.read.parquet(texts)
+    )
+    assert [r.id for r in by_join.collect()] == ["W1"]
+
+
 def test_upsert_stream(spark, tmp_path):
     source, table, rejected, state = (str(tmp_path / name) for name in ("in", "table", "rejected", "state"))
 
