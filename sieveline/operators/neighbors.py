@@ -38,11 +38,13 @@ def nearest(
 
     A query set within the bounds is broadcast and the corpus is read once in
     place, every task keeping k rows per query. A larger one is matched block
-    by block through a shuffle. Rows whose vector is missing or of another
-    length than the queries cannot be compared; `split_valid` reports those.
+    by block through a shuffle. Queries without a vector have no hits. Corpus
+    rows whose vector is missing or of another length cannot be compared;
+    `split_valid` reports those.
     """
     depth = k + 1 if exclude_self else k
     bound = max(1, max_hits // depth)
+    queries = queries.filter(F.col(vector_col).isNotNull())
     head = queries.select("query_pos", "query_id", vector_col).limit(bound + 1).toArrow()
     if head.num_rows == 0:
         return _empty(corpus, id_col)

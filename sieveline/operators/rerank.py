@@ -5,17 +5,22 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from sieveline.settings import RERANK_KEEP
+from sieveline.staging import stage
 
 
-def balance(training, label="label_included"):
+def class_sizes(training, label="label_included"):
+    sizes = training.agg(
+        F.count_if(F.col(label) == 1).alias("positive"), F.count_if(F.col(label) == 0).alias("negative")
+    ).first()
+    return sizes.positive, sizes.negative
+
+
+def balance(training, sizes, label="label_included"):
     """Add `weight` so that both classes have the same total weight."""
-    totals = training.groupBy(label).agg(F.count("*").alias("_n"))
-    whole = training.agg(F.count("*"))
-    return (
-        training.join(F.broadcast(totals), label)
-        .withColumn("weight", whole.scalar() / (2.0 * F.col("_n")))
-        .drop("_n")
-    )
+    positive, negative = sizes
+    total = positive + negative
+    weight = F.when(F.col(label) == 1, total / (2.0 * positive)).otherwise(total / (2.0 * negative))
+    return training.withColumn("weight", weight)
 
 
 def fit_classifier(training, label="label_included", vector_col="embedding", c=1.0, max_iter=100, tol=1e-6):
@@ -24,18 +29,17 @@ def fit_classifier(training, label="label_included", vector_col="embedding", c=1
     Spark averages the loss over the weights, so the penalty is divided by
     their sum, which `balance` makes the number of rows.
     """
-    rows = balance(training, label).select(
+    training = stage(training.select(label, vector_col), "training")
+    sizes = class_sizes(training, label)
+    if 0 in sizes:
+        raise ValueError(f"both classes are needed, got {sizes[0]} included and {sizes[1]} excluded")
+    rows = balance(training, sizes, label).select(
         F.col(label).cast("double").alias("label"), "weight", array_to_vector(vector_col).alias("features")
     )
-    rows = rows.persist()
-    try:
-        total = rows.agg(F.sum("weight")).first()[0]
-        model = LogisticRegression(
-            weightCol="weight", regParam=1.0 / (c * total), standardization=False, maxIter=max_iter, tol=tol
-        ).fit(rows)
-    finally:
-        rows.unpersist()
-    return model
+    penalty = 1.0 / (c * sum(sizes))
+    return LogisticRegression(
+        weightCol="weight", regParam=penalty, standardization=False, maxIter=max_iter, tol=tol
+    ).fit(rows)
 
 
 def score(model, candidates, vector_col="embedding", output="relevance_score"):

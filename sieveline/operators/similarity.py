@@ -25,7 +25,7 @@ def most_similar(
     query_pos wins. No row-by-reference pairs are produced. Returns `key`,
     query_pos, query_id and similarity.
     """
-    columns = references.select("query_pos", "query_id", vector_col)
+    columns = references.select("query_pos", "query_id", vector_col).filter(F.col(vector_col).isNotNull())
     head = columns.limit(max_references + 1).toArrow().sort_by("query_pos")
     dim = len(head[vector_col][0]) if head.num_rows else 0
     if head.num_rows > max_references or head.num_rows * dim * 8 > max_bytes:

@@ -95,6 +95,8 @@ def test_self_hits(spark):
 def test_no_queries_and_unusable_rows(spark):
     data, corpus, queries = make(spark)
     assert neighbors.nearest(corpus, queries.limit(0), 5).count() == 0
+    unknown = spark.createDataFrame([(99, "none", None)], QUERIES)
+    assert triples(neighbors.nearest(corpus, queries.unionByName(unknown), 9)) == sorted(brute(data, 5, 9))
     odd = spark.createDataFrame([("X", None), ("Y", [1.0])], CORPUS)
     hits = neighbors.nearest(corpus.unionByName(odd), queries, 400)
     assert triples(hits) == sorted(brute(data, 5, 400))
