@@ -526,7 +526,8 @@ def link_coverage(spark, sf_dir):
 
 @query
 def master_upsert(spark, sf_dir):
-    return master.upsert(standins.master(spark, sf_dir), dataset_b(spark, sf_dir))
+    works = standins.works(spark, sf_dir)
+    return screening.update_master(standins.master(spark, sf_dir), standins.hits(spark, sf_dir), works, CUT)
 
 
 @query

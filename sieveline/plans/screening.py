@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from sieveline import settings
 from sieveline.functions.text import full_id
-from sieveline.operators import candidates, citations, rerank
+from sieveline.operators import candidates, citations, master, rerank
 from sieveline.operators.neighbors import with_vectors
 from sieveline.staging import stage
 
@@ -47,6 +47,11 @@ def reranked_dataset(pool, works, keep=settings.RERANK_KEEP, merged=None):
     )
 
 
+def update_master(table, hits, works, cut=settings.CUT_MASTER, queries=None):
+    """The master table with the pooled tops of all lists added and flagged."""
+    return master.upsert(table, included_dataset(hits, works, cut, queries=queries))
+
+
 def citation_dataset(edges, works, included, review, columns=CITATION_COLUMNS):
     """The works found by snowballing, with their columns and level."""
     found = stage(citations.snowball(edges, included, review), "snowball")

@@ -6,7 +6,6 @@ ID_PREFIX = "https://openalex.org/"
 ENCODER_PREFIX = "query: "
 VECTOR_DIM = 384
 SEARCH_DEPTH = 5000
-MAX_SEARCH_DEPTH = 10000
 MIN_YEAR = 2015
 CUT_CRITERIA = 1000
 CUT_INCLUDED = 427
