@@ -14,17 +14,18 @@ from sieveline.llm.tables import text_of
 # the calibration; longer texts are not among them, which bounds what reaches the driver.
 FIT_ROWS = 2_000
 FIT_CHARS = 20_000
-DICTIONARY_BYTES = 48 * 1024
+DICTIONARY_BYTES = 108 * 1024
 # Texts are compressed in pieces, so that a dictionary counts as much at the end of a long text.
-PIECE_BYTES = 2_048
+PIECE_BYTES = 1_024
 LEVEL = 3
 RIDGE = 1e-2
 THRESHOLD = 0.3
+FEATURES = 4
 
 
 @dataclass(frozen=True)
 class Model:
-    """Two dictionaries, and scale and weights of the calibration over (mean, least, 1)."""
+    """Two dictionaries, and scale and weights of the calibration over the numbers of Sizes and 1."""
 
     good: bytes
     bad: bytes
@@ -44,8 +45,14 @@ def _compressor(dictionary):
     )
 
 
-class Differences:
-    """Normalised differences of compressed sizes of a text: over all of it, and of its worst piece."""
+class Sizes:
+    """What the compressed sizes of a text say: FEATURES numbers, zeros for an empty text.
+
+    The normalised difference of its sizes by the two dictionaries, over all of
+    it and in the worst piece; and, as text that repeats itself is small by
+    either, the logarithm of its least size by its length, over all of it and in
+    the smallest piece.
+    """
 
     def __init__(self, good, bad):
         self.good, self.bad = _compressor(good), _compressor(bad)
@@ -53,13 +60,17 @@ class Differences:
     def __call__(self, text):
         pieces = _pieces(text)
         if not pieces:
-            return 0.0, 0.0
+            return (0.0,) * FEATURES
+        length = np.array([len(piece) for piece in pieces], float)
         good = np.array([len(self.good.compress(piece)) for piece in pieces], float)
         bad = np.array([len(self.bad.compress(piece)) for piece in pieces], float)
-        each = (bad - good) / (bad + good)
         # Pieces much shorter than the others say little by themselves.
-        long = each[np.array([len(piece) for piece in pieces]) * 4 >= min(len(text), PIECE_BYTES)]
-        return float((bad.sum() - good.sum()) / (bad.sum() + good.sum())), float(long.min())
+        telling = length * 4 >= min(len(text), PIECE_BYTES)
+        each = ((bad - good) / (bad + good))[telling]
+        least = np.minimum(good, bad)
+        sizes = np.log(least / length)[telling]
+        total = (bad.sum() - good.sum()) / (bad.sum() + good.sum())
+        return float(total), float(each.min()), float(np.log(least.sum() / length.sum())), float(sizes.min())
 
 
 def _dictionary(texts):
@@ -112,9 +123,9 @@ def fit(docs, labels, rows=FIT_ROWS, chars=FIT_CHARS):
     if min(len(sample[0]), len(sample[1])) < 20:
         raise ValueError("fewer than 20 labelled texts in a class")
     model = [_dictionary(sample[quality][::2]) for quality in (1, 0)]
-    differences = Differences(*model)
+    sizes_of = Sizes(*model)
     rest = {quality: sample[quality][1::2] for quality in (1, 0)}
-    features = np.array([differences(text) for quality in (1, 0) for text in rest[quality]])
+    features = np.array([sizes_of(text) for quality in (1, 0) for text in rest[quality]])
     truth = np.array([quality for quality in (1, 0) for _ in rest[quality]], float)
     scale, weights = _calibrated(features, truth)
     prior = np.log(counts[1] / counts[0]) - np.log(len(rest[1]) / len(rest[0]))
@@ -124,18 +135,18 @@ def fit(docs, labels, rows=FIT_ROWS, chars=FIT_CHARS):
 def with_score(docs, model, name="score"):
     """`docs` with a column `name`, 0 to 1, higher for texts that are likelier good.
 
-    The score is a function of the whole text alone. Null and empty texts have no
-    difference and get the score of that; a column `name` of `docs` is replaced;
+    The score is a function of the whole text alone. Null and empty texts have
+    no sizes and get the score of that; a column `name` of `docs` is replaced;
     an empty table gives no rows.
     """
     docs = docs.select(*(column for column in docs.columns if column != name))
 
     def run(batches):
-        differences = Differences(model.good, model.bad)
+        sizes_of = Sizes(model.good, model.bad)
         scale, weights = np.array(model.scale), np.array(model.weights)
         for batch in batches:
             texts = batch.column(batch.num_columns - 1)
-            features = np.array([differences(text.as_buffer().to_pybytes()) for text in texts]).reshape(-1, 2)
+            features = np.array([sizes_of(text.as_buffer().to_pybytes()) for text in texts]).reshape(-1, FEATURES)
             logits = features / scale @ weights[:-1] + weights[-1]
             scores = pa.array(1 / (1 + np.exp(-np.clip(logits, -35, 35))))
             yield batch.set_column(batch.num_columns - 1, name, scores)
