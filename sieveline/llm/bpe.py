@@ -28,8 +28,10 @@ def merge(word, ranks):
     """Ranks of the tokens of a word: the adjacent pair of lowest rank, leftmost first, is merged until none has a rank."""
     if word in ranks:
         return [ranks[word]]
-    if len(word) > SCANNED_BYTES:
-        return _merge_long(word, ranks)
+    return _merge_short(word, ranks) if len(word) <= SCANNED_BYTES else _merge_long(word, ranks)
+
+
+def _merge_short(word, ranks):
     parts = [word[i : i + 1] for i in range(len(word))]
     pairs = [ranks.get(word[i : i + 2], NONE) for i in range(len(word) - 1)]
     while pairs:

@@ -38,7 +38,7 @@ def _pieces(text):
 
 
 def _compressor(dictionary):
-    trained = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_FULLDICT)
+    trained = zstandard.ZstdCompressionDict(dictionary)
     trained.precompute_compress(level=LEVEL)
     return zstandard.ZstdCompressor(
         dict_data=trained, level=LEVEL, write_content_size=False, write_dict_id=False, write_checksum=False
@@ -74,8 +74,12 @@ class Sizes:
 
 
 def _dictionary(texts):
+    """A trained dictionary; of too few texts to train one, the texts themselves."""
     samples = [piece for text in texts for piece in _pieces(text)]
-    return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
+    try:
+        return zstandard.train_dictionary(DICTIONARY_BYTES, samples, level=LEVEL).as_bytes()
+    except zstandard.ZstdError:
+        return b"\n".join(samples)[-DICTIONARY_BYTES:]
 
 
 def _calibrated(features, labels):
@@ -116,12 +120,12 @@ def fit(docs, labels, rows=FIT_ROWS, chars=FIT_CHARS):
 
     Every second text of a class trains its dictionary, the others calibrate the
     score. Class weights are those of the sample, corrected to the numbers of
-    `labels`. Raises if a class has too few texts to train a dictionary.
+    `labels`. Raises if a class has fewer than two texts.
     """
     sample = labelled_sample(docs, labels, rows, chars)
     counts = {row["quality"]: row["count"] for row in labels.groupBy("quality").count().collect() if row["quality"] in (0, 1)}
-    if min(len(sample[0]), len(sample[1])) < 20:
-        raise ValueError("fewer than 20 labelled texts in a class")
+    if min(len(sample[0]), len(sample[1])) < 2:
+        raise ValueError("fewer than two labelled texts in a class")
     model = [_dictionary(sample[quality][::2]) for quality in (1, 0)]
     sizes_of = Sizes(*model)
     rest = {quality: sample[quality][1::2] for quality in (1, 0)}
