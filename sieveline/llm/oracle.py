@@ -20,3 +20,94 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
 """
+
+SQL["op4_rule_cascade"] = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), places AS (
+  SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM split WHERE len(words) >= 8
+), windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i:i + 7]) AS n FROM places
+), repeated AS (
+  SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 8)) AS place FROM windows WHERE n > 1) GROUP BY doc_id
+), counted AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, len(lines) AS n_lines,
+         CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+         length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) AS n_upper
+  FROM split LEFT JOIN repeated USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words OR 100 * n_symbols > 8 * word_chars
+            OR n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines OR 100 * n_upper > 40 * word_chars) AS kept
+FROM counted
+"""
+
+SQL["op7_chat_masks"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+         sum(length('<|turn|>') + length(replace(replace(replace(role, '\', '\\'), '<|', '\<|'), chr(10), '\n'))
+             + 1 + length(replace(replace(text, '\', '\\'), '<|', '\<|')) + length('<|over|>') + 1) AS formatted_chars
+  FROM turns GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+FROM joined
+"""
+
+# Components: the smallest node that links reach, by a recursion over all nodes reached.
+REACHED = """reached AS (
+  SELECT a AS node, b AS other FROM links
+  UNION SELECT r.node, l.b FROM reached r JOIN links l ON l.a = r.other
+)"""
+
+SQL["op8_minhash_hamming"] = rf"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+), places AS (
+  SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 2))) AS i FROM split WHERE len(words) > 0
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 4], ' ') AS shingle, least(len(words), 5) AS span FROM places
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.shingle = y.shingle AND x.span = y.span AND x.doc_id <> y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * common >= 75 * (p.n + q.n - common)
+), {REACHED}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(least_other, doc_id)) AS component_id,
+       doc_id <= coalesce(least_other, doc_id) AS kept
+FROM documents LEFT JOIN sizes USING (doc_id)
+LEFT JOIN (SELECT node AS doc_id, min(other) AS least_other FROM reached GROUP BY node) USING (doc_id)
+"""
+
+SQL["op10_flat_graph"] = f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS size
+  FROM embeddings
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y ON x.vec_id <> y.vec_id
+  WHERE list_dot_product(x.v, y.v) >= 0.95 * x.size * y.size
+), {REACHED}
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+       least(vec_id, coalesce(least_other, vec_id)) AS component_id, vec_id <= coalesce(least_other, vec_id) AS kept
+FROM embeddings LEFT JOIN (SELECT node AS vec_id, min(other) AS least_other FROM reached GROUP BY node) USING (vec_id)
+"""
