@@ -157,14 +157,15 @@ def ordered(estimates):
     return [rule for rule, *_ in sorted(estimates, key=lambda e: (-e[2] / e[1], e[1], e[0].name))]
 
 
-def cascade(docs, rules):
-    """`docs` with the columns kept, failed_rule and measured, by `rules` in the given order.
+def cascade(docs, rules, complete=()):
+    """`docs` with the columns kept, failed_rule, measured and counts, by `rules` in the given order.
 
     A text's rules are tried one after the other; the first that rejects it ends
     it, and no measure of later rules is computed (SQL CASE). `kept` does not
     depend on the order; `failed_rule`, the first rule to reject, does.
-    `measured` is a struct of the measures of `rules`, null where the cascade
-    did not come to them.
+    `measured` is a struct of the measures of `rules`, null where the cascade did
+    not come to them. `counts` is one of the measures named in `complete`, those
+    taken from the cascade as it found them and the others computed after it.
 
     Columns of `docs` of these names are replaced. Null text counts as empty;
     rows are judged each for itself, so repeated rows are judged alike.
@@ -186,19 +187,15 @@ def cascade(docs, rules):
         "failed_rule": F.col("_failed"),
         "measured": F.struct(*(F.col(f"_m_{name}").alias(name) for name in names)),
     }
+    if complete:
+        found = {name: F.coalesce(f"_m_{name}", _measure(name)) if name in known else _measure(name) for name in complete}
+        own["counts"] = F.struct(*(column.alias(name) for name, column in found.items()))
     return rows.select(
         *(F.col("_doc")[c].alias(c) for c in docs.columns if c not in own),
         *(column.alias(name) for name, column in own.items()),
-        F.col("_text"),
-        F.col("_words"),
     )
 
 
 def apply_rules(docs, rules=RULES):
     """cascade() in the order that estimate() finds."""
-    return cascade(docs, ordered(estimate(docs, rules))).drop("_text", "_words")
-
-
-def completed(judged, names):
-    """Columns of all measures `names`: as measured, else computed now, for the rows that cascade() returned."""
-    return {name: F.coalesce(F.col("measured")[name], _measure(name)) for name in names}
+    return cascade(docs, ordered(estimate(docs, rules)))

@@ -76,11 +76,8 @@ def keep_bitmaps(docs, least=10):
     )
 
 
-def apply_bitmaps(docs, bitmaps, kept="kept_text"):
-    """`docs` with the lines left by `bitmaps` in column `kept`, and n_lines, n_dropped.
-
-    Columns of `docs` of these names are replaced. A null text has one line.
-    """
+def _left(docs, bitmaps):
+    """(_doc, _n, _left): each row packed, its number of lines and the lines that stay."""
     text = text_of(docs)
     rows = docs.select(F.struct("*").alias("_doc"), docs["doc_id"].alias("_id"), row_hash(docs).alias("_row"), text.alias("_text"))
     # Dense words, so that a line finds its bit by position.
@@ -95,17 +92,25 @@ def apply_bitmaps(docs, bitmaps, kept="kept_text"):
         word = F.coalesce(F.get("_bits", F.floor(pos / WORD).cast("int")), F.lit(-1).cast("long"))
         return F.getbit(word, F.pmod(pos, F.lit(WORD))) == 1
 
-    joined = rows.join(bits, ["_id", "_row"], "left")
     lines = F.split("_text", "\n")
     left = F.when(F.col("_bits").isNull(), lines).otherwise(F.filter(lines, stays))
-    joined = joined.select("_doc", F.size(lines).cast("long").alias("_n"), left.alias("_left"))
+    return rows.join(bits, ["_id", "_row"], "left").select("_doc", F.size(lines).cast("long").alias("_n"), left.alias("_left"))
+
+
+def apply_bitmaps(docs, bitmaps, kept="kept_text"):
+    """`docs` with the lines left by `bitmaps` in column `kept`, and n_lines, n_dropped.
+
+    Columns of `docs` of these names are replaced. A null text has one line.
+    """
     own = {kept: F.array_join("_left", "\n"), "n_lines": F.col("_n"), "n_dropped": F.col("_n") - F.size("_left")}
-    return joined.select(
+    return _left(docs, bitmaps).select(
         *(F.col("_doc")[name].alias(name) for name in docs.columns if name not in own), *(c.alias(n) for n, c in own.items())
     )
 
 
 def dedup_lines(docs, least=10):
     """`docs` with its texts rewritten to the lines that stay, in the columns it came with."""
-    done = apply_bitmaps(docs, keep_bitmaps(docs, least), "_kept")
-    return done.select(*(F.col("_kept").alias(name) if name == "text" else F.col(name) for name in docs.columns))
+    text = F.array_join("_left", "\n")
+    return _left(docs, keep_bitmaps(docs, least)).select(
+        *((text if name == "text" else F.col("_doc")[name]).alias(name) for name in docs.columns)
+    )

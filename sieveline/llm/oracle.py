@@ -30,7 +30,7 @@ WITH split AS (
 ), places AS (
   SELECT doc_id, words, unnest(range(1, len(words) - 6)) AS i FROM split WHERE len(words) >= 8
 ), windows AS (
-  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, words[i:i + 7]) AS n FROM places
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(words[i:i + 7], ' ')) AS n FROM places
 ), repeated AS (
   SELECT doc_id, count(DISTINCT place) AS n_repeat_words
   FROM (SELECT doc_id, unnest(range(i, i + 8)) AS place FROM windows WHERE n > 1) GROUP BY doc_id

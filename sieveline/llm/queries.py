@@ -56,11 +56,10 @@ def op3_hilbert_shards(spark, sf_dir):
 @query
 def op4_rule_cascade(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    judged = cascade.cascade(docs, cascade.ordered(cascade.estimate(docs)))
-    counts = cascade.completed(judged, ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
-    counted = judged.select("doc_id", "kept", *(column.alias(name) for name, column in counts.items()))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    judged = cascade.cascade(docs, cascade.ordered(cascade.estimate(docs)), complete=counts)
     base_failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return counted.select("doc_id", *counts, base_failed.alias("base_failed"), "kept")
+    return judged.select("doc_id", "kept", "counts.*").withColumn("base_failed", base_failed)
 
 
 @query
