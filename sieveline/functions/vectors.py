@@ -31,6 +31,22 @@ def cosine(a, b):
     return F.when(size == 0, F.lit(0.0)).otherwise(dot(a, b) / size)
 
 
+def vector_fault(col, dim):
+    """Why a vector cannot be compared with vectors of `dim` numbers; null if it can."""
+    vector = F.col(col) if isinstance(col, str) else col
+    endless = F.lit(float("inf"))
+    return (
+        F.when(vector.isNull(), "missing embedding")
+        .when(F.size(vector) != dim, "wrong length")
+        .when(F.exists(vector, lambda x: x.isNull()), "missing value")
+        .when(F.exists(vector, lambda x: F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == endless)), "not a number")
+    )
+
+
+def comparable(col, dim):
+    return vector_fault(col, dim).isNull()
+
+
 def closeness(distance):
     return F.lit(1.0) / (F.lit(1.0) + distance)
 

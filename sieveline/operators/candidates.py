@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from sieveline import settings
 from sieveline.functions.text import rebuild_abstract
 from sieveline.staging import small
 
@@ -34,18 +33,13 @@ def resolve(ids, merged=None):
     return renamed.select(F.coalesce("new_id", "id").alias("id")).distinct()
 
 
-def enrich(ids, works, columns=WORK_COLUMNS, merged=None, bound=None):
+def enrich(ids, works, columns=WORK_COLUMNS, merged=None):
     """The given columns of the works with these ids.
 
-    `bound` is the number of ids there can be at most; within the broadcast
-    bound the works are filtered in place. Without it the ids are counted.
-    Works that hold an inverted index give `abstract` from it.
+    The ids are counted; within the broadcast bound the works are filtered in
+    place. Works that hold an inverted index give `abstract` from it.
     """
-    keys = resolve(ids, merged)
-    if bound is None:
-        keys = small(keys)
-    elif bound <= settings.BROADCAST_ROWS:
-        keys = F.broadcast(keys)
+    keys = small(resolve(ids, merged))
     if "abstract" not in columns or "abstract" in works.columns:
         return works.select(*columns).join(keys, "id", "left_semi")
     kept = works.select(*[INDEX if name == "abstract" else name for name in columns]).join(keys, "id", "left_semi")
@@ -57,17 +51,15 @@ def unresolved(ids, works):
     return ids.select("id").distinct().join(works.select("id"), "id", "left_anti")
 
 
-def ranked_dataset(ranked, works, value, descending=False, columns=WORK_COLUMNS, merged=None, bound=None):
+def ranked_dataset(ranked, works, value, descending=False, columns=WORK_COLUMNS, merged=None, ordered=True):
     """Work columns plus `value`, in its order with nulls last, then by id.
 
     Starts from the works found: one that is found under another id than the
     ranked one has a null value and comes last.
     """
-    found = enrich(ranked, works, columns, merged, bound)
-    values = ranked.select("id", value)
-    values = F.broadcast(values) if bound is not None and bound <= settings.BROADCAST_ROWS else values
+    found = enrich(ranked, works, columns, merged).join(small(ranked.select("id", value)), "id", "left")
     order = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
-    return found.join(values, "id", "left").orderBy(order, "id")
+    return found.orderBy(order, "id") if ordered else found
 
 
 def preview(df, *order, n=5):

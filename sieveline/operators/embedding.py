@@ -4,7 +4,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer, RegexTokenizer
+from pyspark.ml.feature import CountVectorizerModel, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,11 +14,22 @@ from sieveline.settings import ENCODER_PREFIX, VECTOR_DIM
 from sieveline.staging import spread
 
 
+def term_bucket(word, dim):
+    """Bucket of a word: the first 8 hexadecimal digits of its MD5, modulo `dim`."""
+    return F.pmod(F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("long"), F.lit(dim))
+
+
 def hashed_terms(df, text_col, dim=VECTOR_DIM, prefix=ENCODER_PREFIX):
-    """Term counts of the whole text hashed into a `terms` vector."""
-    read = spread(df).withColumn("_text", encoder_text(text_col, prefix))
-    words = RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"\s+").transform(read)
-    return HashingTF(inputCol="_words", outputCol="terms", numFeatures=dim).transform(words).drop("_text", "_words")
+    """Counts of the words of the whole text, by bucket, as a `terms` vector.
+
+    Words are runs without blanks, tabs and line ends, in lower case. The
+    bucket is one any engine can compute, so vectors can be checked elsewhere.
+    """
+    words = F.filter(F.split(F.lower(encoder_text(text_col, prefix)), r"[ \t\r\n]+"), lambda word: word != "")
+    buckets = F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda word: term_bucket(word, dim).cast("string"))
+    read = spread(df).withColumn("_buckets", buckets)
+    counts = CountVectorizerModel.from_vocabulary([str(n) for n in range(dim)], inputCol="_buckets", outputCol="terms", minTF=1.0)
+    return counts.transform(read).drop("_buckets")
 
 
 def embed(df, text_col="text", dim=VECTOR_DIM, prefix=ENCODER_PREFIX, output="embedding"):

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sieveline.functions.vectors import vector_fault
 from sieveline.settings import BROADCAST_ROWS, MIN_YEAR, VECTOR_DIM
-from sieveline.staging import fits, stage
+from sieveline.staging import fits, plain_scan, stage
 
 PART_KEYS = ("updated_date", "part")
 
@@ -23,12 +24,8 @@ def recent(embeddings, metadata=None, min_year=MIN_YEAR, on=("id", *PART_KEYS),
 
 
 def split_valid(rows, dim=VECTOR_DIM, id_col="id", vector_col="embedding"):
-    """Rows that can be stored, and the others with the reason why not."""
-    reason = (
-        F.when(F.col(id_col).isNull(), "missing id")
-        .when(F.col(vector_col).isNull(), "missing embedding")
-        .when(F.size(vector_col) != dim, "wrong length")
-    )
+    """Rows that can be stored and searched, and the others with the reason why not."""
+    reason = F.when(F.col(id_col).isNull(), "missing id").otherwise(vector_fault(vector_col, dim))
     judged = rows.withColumn("reason", reason)
     accepted = judged.filter(F.col("reason").isNull()).drop("reason")
     return accepted, judged.filter(F.col("reason").isNotNull())
@@ -41,10 +38,14 @@ def keep_latest(rows, key="id", order=PART_KEYS, bound=BROADCAST_ROWS):
     costs no more than others. Rows with vectors are wide, so their versions
     are compared without them first: if the keys with several versions are
     few, older ones are dropped in place and only equal last versions are
-    shuffled. Keys are not null.
+    shuffled. Rows without a key are no version of anything and left out;
+    `split_valid` reports them. Rows that are more than a filtered scan are
+    staged, as they are read several times.
     """
+    rows = rows.where(F.col(key).isNotNull())
     if not any(isinstance(field.dataType, T.ArrayType) for field in rows.schema):
         return _last(rows, key, order)
+    rows = rows if plain_scan(rows) else stage(rows, "versions")
     versions = rows.groupBy(key).agg(F.count("*").alias("_n"), F.max(F.struct(*order)).alias("_last"))
     repeated = stage(versions.filter(F.col("_n") > 1).select(F.col(key).alias("_key"), "_last"), "repeated")
     if not fits(repeated, bound):

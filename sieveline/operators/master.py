@@ -4,15 +4,14 @@ from pyspark.sql import functions as F
 
 from sieveline import settings
 from sieveline.functions.text import master_id, numeric_suffix
-from sieveline.staging import number_rows, small, stage
+from sieveline.staging import join_known, number_rows, small, stage
 
 
 def flag_members(rows, others, name, on="id", other_on="id"):
     """Add `name`: the key occurs in `others`. Null keys are in no table."""
     keys = others.select(F.col(other_on).alias("_key")).filter(F.col("_key").isNotNull()).distinct()
-    keys = small(keys).withColumn(name, F.lit(True))
-    joined = rows.join(keys, F.col(on) == F.col("_key"), "left").drop("_key")
-    return joined.withColumn(name, F.coalesce(name, F.lit(False)))
+    keys = small(keys).select(F.col("_key").alias(on), F.lit(True).alias(name))
+    return join_known(rows, keys, on).withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def coverage(rows, flag):
@@ -51,12 +50,15 @@ def upsert(
     are appended and get ids M<n> counted on from the largest number; counting
     runs over all incoming rows in rank order, so known ones leave gaps.
     Incoming rows have one row per id; master rows without a key never match.
+    Only ids and ranks are sorted; the incoming texts are staged once.
     """
     master = master.withColumnsRenamed(renamed)
     master = master if flag in master.columns else master.withColumn(flag, F.lit(None).cast("int"))
     first = max_number(master)
     sort = (F.col(order[0]).asc_nulls_last(), *order[1:])
-    numbered = number_rows(incoming, "_n", *sort, start=1).select(
+    incoming = stage(incoming.select(*dict.fromkeys(["id", "doi", "title", "abstract", *order])), "incoming")
+    numbers = number_rows(incoming.select(*dict.fromkeys(["id", *order])), "_n", *sort, start=1).select("id", "_n")
+    numbered = incoming.join(numbers, "id").select(
         F.col("id").alias(key),
         F.col("doi").alias("_doi"),
         F.col("title").alias("_title"),
@@ -64,9 +66,8 @@ def upsert(
         master_id(F.coalesce(first.scalar(), F.lit(0)) + F.col("_n")).alias("_mid"),
         F.lit(1).alias("_flag"),
     )
-    numbered = stage(numbered, "incoming")
     extra = {"MID": "_mid", "doi": "_doi", "title": "_title", "abstract": "_abstract", flag: "_flag"}
-    marked = master.join(numbered, key, "left").withColumn(flag, F.coalesce("_flag", flag))
+    marked = join_known(master, numbered, key).withColumn(flag, F.coalesce("_flag", flag))
     known = coalesce_columns(marked, extra)
     held = master.select(key).filter(F.col(key).isNotNull()).distinct()
     new = numbered.join(held, key, "left_anti").withColumnsRenamed({v: k for k, v in extra.items()})

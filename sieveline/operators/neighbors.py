@@ -11,8 +11,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from sieveline import settings
 from sieveline.functions.text import short_id
-from sieveline.functions.vectors import RunningTopK, as_matrix
-from sieveline.staging import stage
+from sieveline.functions.vectors import RunningTopK, as_matrix, comparable, vector_fault
+from sieveline.staging import few_tasks, fits, stage
 
 BATCH_ROWS = 65_536
 
@@ -38,23 +38,23 @@ def nearest(
 
     A query set within the bounds is broadcast and the corpus is read once in
     place, every task keeping k rows per query. A larger one is matched block
-    by block through a shuffle. Queries without a vector have no hits. Corpus
-    rows whose vector is missing or of another length cannot be compared;
-    `split_valid` reports those.
+    by block through a shuffle. Queries without a vector have no hits; queries
+    of different lengths, or with elements that are no numbers, are an error that
+    names them. Corpus rows that cannot be compared (see `vector_fault`) are no
+    hits of any query; `split_valid` reports them by the same rule.
     """
     depth = k + 1 if exclude_self else k
-    bound = max(1, max_hits // depth)
-    queries = queries.filter(F.col(vector_col).isNotNull())
-    head = queries.select("query_pos", "query_id", vector_col).limit(bound + 1).toArrow()
-    if head.num_rows == 0:
+    dim, head = query_head(queries, vector_col, max(1, max_hits // depth), max_bytes)
+    if not dim:
         return _empty(corpus, id_col)
-    dim = len(head[vector_col][0])
-    rows = corpus.filter(F.size(vector_col) == dim).select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"))
-    if head.num_rows <= bound and head.num_rows * dim * 8 <= max_bytes:
-        partial, names = _search_in_place(rows, head, vector_col, depth, metric, element)
+    rows = corpus.filter(comparable(vector_col, dim))
+    rows = rows.select(F.col(id_col).alias("id"), F.col(vector_col).alias("embedding"))
+    if head is not None:
+        partial, names, parts = _search_in_place(rows, head, vector_col, depth, metric, element)
     else:
-        partial, names = _search_blocks(rows, corpus.count(), queries, vector_col, depth, metric, element)
-    hits = merge_hits(partial, depth, F.col("query_pos"))
+        queries = queries.filter(F.col(vector_col).isNotNull())
+        partial, names, parts = _search_blocks(rows, corpus.count(), queries, vector_col, depth, metric, element)
+    hits = merge_hits(partial, depth, parts, F.col("query_pos"))
     hits = hits.join(names, "query_pos")
     if exclude_self:
         hits = hits.filter(F.col("id").cast("string") != short_id(F.col("query_id")))
@@ -64,6 +64,28 @@ def nearest(
     return hits.select("query_pos", "query_id", "rank", F.col("id").alias(id_col), "distance")
 
 
+def query_head(queries, vector_col, max_rows, max_bytes):
+    """Length of the query vectors, and the queries that have one as an Arrow table.
+
+    The table is None if there are more than `max_rows` or their numbers take
+    more than `max_bytes`; nothing beyond that reaches the driver. The length is
+    0 if no query has a vector.
+    """
+    queries = queries.filter(F.col(vector_col).isNotNull())
+    size = F.size(vector_col)
+    found = queries.agg(F.min(size).alias("least"), F.max(size).alias("most"), F.count("*").alias("n")).first()
+    if not found.n:
+        return 0, None
+    fault = F.coalesce(vector_fault(vector_col, found.most), F.when(size == 0, "empty"))
+    faulty = queries.withColumn("_fault", fault).filter(F.col("_fault").isNotNull()).select("query_id", "_fault")
+    faulty = faulty.limit(20).collect()
+    if faulty:
+        raise ValueError(f"queries that cannot be compared: {[tuple(row) for row in faulty]}")
+    if found.n > max_rows or found.n * found.most * 8 > max_bytes:
+        return found.most, None
+    return found.most, queries.select("query_pos", "query_id", vector_col).toArrow()
+
+
 def _empty(corpus, id_col):
     kind = corpus.schema[id_col].dataType.simpleString()
     schema = f"query_pos long, query_id string, rank int, {id_col} {kind}, distance double"
@@ -108,12 +130,12 @@ def _search_in_place(rows, head, vector_col, k, metric, element):
 
     # Every task emits up to k rows per query, so few long tasks shuffle less
     # than one task per file split.
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    partial = rows.coalesce(tasks).mapInArrow(search, _partial_schema(rows))
+    rows, tasks = few_tasks(rows)
+    partial = rows.mapInArrow(search, _partial_schema(rows))
     names = spark.createDataFrame(
         head.select(["query_pos", "query_id"]).to_pandas(), "query_pos long, query_id string"
     )
-    return partial, F.broadcast(names)
+    return partial, F.broadcast(names), tasks
 
 
 def _search_blocks(rows, n_rows, queries, vector_col, k, metric, element):
@@ -144,14 +166,14 @@ def _search_blocks(rows, n_rows, queries, vector_col, k, metric, element):
     if row_blocks > settings.FIRST_BLOCKS:
         some = F.col("row_block") % settings.FIRST_BLOCKS == 0
         first = _match_blocks(left.filter(some), right.filter(some), k, metric, element)
-        first = merge_hits(first, k, F.col("query_pos"))
+        first = merge_hits(first, k, math.ceil(row_blocks / settings.FIRST_BLOCKS), F.col("query_pos"))
         reach = F.when(F.count("*") == k, F.max("distance")).otherwise(float("inf")).alias("reach")
         reaches = stage(first.groupBy("query_pos").agg(reach), "reach")
         left = left.drop("reach").join(reaches, "query_pos", "left").fillna(float("inf"), "reach")
-    return _match_blocks(left, right, k, metric, element), queries.select("query_pos", "query_id")
+    return _match_blocks(left, right, k, metric, element), queries.select("query_pos", "query_id"), row_blocks
 
 
-def _match_blocks(left, right, k, metric, element):
+def _match_blocks(left, right, k, metric, element="float", keys=("query_block", "row_block")):
     schema = _partial_schema(right)
     nothing = to_arrow_schema(schema).empty_table()
 
@@ -165,19 +187,19 @@ def _match_blocks(left, right, k, metric, element):
         found = best.result()
         return nothing if found is None else _hits_table(queries["query_pos"].to_numpy(), found)
 
-    keys = ["query_block", "row_block"]
+    keys = list(keys)
     return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(search, schema)
 
 
-def merge_hits(partial, k, *query):
+def merge_hits(partial, k, parts, *query):
     """Global k best rows per query from the rows the tasks kept.
 
-    A query with very many candidate rows is first reduced in salted parts.
+    `parts` is the number of tasks or blocks that return up to k rows per query
+    each. Very many candidate rows are first reduced in salted parts.
     The filter stands on the row number itself so that Spark limits each
     group before the shuffle.
     """
-    spark = partial.sparkSession
-    expected = 4 * spark.sparkContext.defaultParallelism * k
+    expected = parts * k
     if expected > settings.MERGE_ROWS:
         salts = math.ceil(expected / settings.MERGE_ROWS)
         salted = partial.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(salts)))
@@ -191,10 +213,11 @@ def merge_hits(partial, k, *query):
 def with_vectors(hits, corpus, bound, id_col="id", vector_col="embedding"):
     """Add the embedding of each hit by one more scan of the corpus.
 
-    `bound` is the number of distinct ids the hits can have at most.
+    `bound` is the number of distinct ids the hits are thought to have; whether
+    they do is counted before they are broadcast.
     """
     ids = hits.select(id_col).distinct()
-    ids = F.broadcast(ids) if bound <= settings.BROADCAST_ROWS else ids
+    ids = F.broadcast(ids) if bound <= settings.BROADCAST_ROWS and fits(ids) else ids
     return hits.join(corpus.select(id_col, vector_col).join(ids, id_col, "left_semi"), id_col)
 
 

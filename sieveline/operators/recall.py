@@ -3,9 +3,9 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from sieveline import settings
 from sieveline.functions.text import short_id
-from sieveline.operators.responses import rank_counts
+from sieveline.operators.responses import lowest_ranks, rank_counts
+from sieveline.staging import join_known, number_rows
 
 
 def rank_lists(hits):
@@ -37,11 +37,9 @@ def best_rank(hits):
     )
 
 
-def dataset_positions(dataset, score="relevance_score", keep=settings.RERANK_KEEP):
-    """Position from 0 of each row of a re-ranked dataset of at most `keep` rows."""
-    order = (F.col(score).desc_nulls_last(), F.col("id"))
-    top = dataset.orderBy(*order).limit(keep)
-    return top.withColumn("position", F.row_number().over(Window.orderBy(*order)) - 1)
+def dataset_positions(dataset, score="relevance_score"):
+    """Position from 0 of each row of a re-ranked dataset, of any size."""
+    return number_rows(dataset.select("id", score), "position", F.col(score).desc_nulls_last(), "id")
 
 
 def attribute(master, hits, criteria_hits, similarity, criteria_similarity, reranked=None, key="openalex_id"):
@@ -59,10 +57,9 @@ def attribute(master, hits, criteria_hits, similarity, criteria_similarity, rera
         F.col("similarity").alias("inclusions_similarity"),
         F.col("query_id").alias("inclusions_most_similar"),
     )
+    found = lists.join(criteria, "short_id", "full")
     table = (
-        master.withColumn("short_id", short_id(key))
-        .join(lists, "short_id", "left")
-        .join(criteria, "short_id", "left")
+        join_known(master.withColumn("short_id", short_id(key)), found, "short_id")
         .drop("short_id")
         .join(nearest, "MID", "left")
         .join(criteria_similarity, "MID", "left")
@@ -70,17 +67,21 @@ def attribute(master, hits, criteria_hits, similarity, criteria_similarity, rera
     if reranked is None:
         return table
     placed = dataset_positions(reranked).select(
-        F.col("id").alias("found_id"),
+        F.col("id").alias(key),
         F.col("relevance_score").alias("logistic_score"),
-        F.col("position").alias("logistic_rank"),
+        F.col("position").cast("int").alias("logistic_rank"),
     )
-    return table.join(placed, F.col(key) == F.col("found_id"), "left").drop("found_id")
+    return join_known(table, placed, key)
 
 
-def recall_curve(hits, relevant, depth=settings.SEARCH_DEPTH):
-    """Relevant ids found at rank <= n for every n, also as a share of all."""
+def recall_curve(hits, relevant, depth=None):
+    """Relevant ids found at rank <= n for every n, also as a share of all.
+
+    There are as many n as `hits` has ranks, or `depth`.
+    """
     wanted = relevant.select("id").filter(F.col("id").isNotNull()).distinct()
-    lowest = hits.join(wanted, "id", "left_semi").groupBy("id").agg(F.min("rank").alias("rank"))
+    lowest, depth = lowest_ranks(hits, depth)
+    lowest = lowest.join(wanted, "id", "left_semi")
     total = wanted.agg(F.count("*").alias("n_relevant"))
     running = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     return (

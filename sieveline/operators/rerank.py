@@ -4,6 +4,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
+from sieveline.functions.vectors import dot
 from sieveline.settings import RERANK_KEEP
 from sieveline.staging import stage
 
@@ -42,6 +43,44 @@ def fit_classifier(training, label="label_included", vector_col="embedding", c=1
     ).fit(rows)
 
 
+def logistic(training, vector_col="embedding", output="relevance_score"):
+    """The scoring function of the balanced logistic model of `training`."""
+    model = fit_classifier(training, vector_col=vector_col)
+    return lambda candidates: score(model, candidates, vector_col, output)
+
+
+def mean_difference(training, label="label_included", vector_col="embedding"):
+    """Mean vector of the included rows less that of the others."""
+    numbers = training.select(label, F.posexplode(vector_col).alias("place", "x"))
+    x = F.col("x").cast("double")
+    means = numbers.groupBy("place").agg(
+        F.avg(F.when(F.col(label) == 1, x)).alias("one"), F.avg(F.when(F.col(label) == 0, x)).alias("none")
+    )
+    return [row.one - row.none for row in means.orderBy("place").collect()]
+
+
+def linear(training, vector_col="embedding", output="relevance_score"):
+    """A scoring function without a fit: the product with the difference of the class means."""
+    direction = F.array(*map(F.lit, mean_difference(training, vector_col=vector_col)))
+    return lambda candidates: candidates.withColumn(output, dot(F.col(vector_col), direction))
+
+
+def largest_gradient(model, training, label="label_included", vector_col="embedding", c=1.0):
+    """Largest absolute partial derivative of the penalised mean loss at the fit.
+
+    It is zero at the optimum. The intercept is not penalised.
+    """
+    sizes = class_sizes(training, label)
+    penalty = 1.0 / (c * sum(sizes))
+    rows = score(model, balance(training, sizes, label), vector_col, "_p").select(
+        (F.col("weight") * (F.col("_p") - F.col(label)) / sum(sizes)).alias("pull"), vector_col
+    )
+    slopes = rows.select("pull", F.posexplode(vector_col).alias("place", "x")).groupBy("place")
+    slopes = {row.place: row.s for row in slopes.agg(F.sum(F.col("pull") * F.col("x").cast("double")).alias("s")).collect()}
+    slope = rows.agg(F.sum("pull")).first()[0]
+    return max(abs(slope), *(abs(slopes[n] + penalty * x) for n, x in enumerate(model.coefficients)))
+
+
 def score(model, candidates, vector_col="embedding", output="relevance_score"):
     featured = candidates.withColumn("features", array_to_vector(vector_col))
     scored = model.transform(featured)

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sieveline import settings
+from sieveline.staging import stage
 
 
 def distinct_ids(hits):
@@ -24,6 +25,21 @@ def frequency_histogram(hits):
     return per_id.groupBy("n_responses").agg(F.count("*").alias("n_records")).orderBy(F.desc("n_responses"))
 
 
+def lowest_ranks(hits, depth=None):
+    """(id, rank) with each id at its lowest rank, and the number of ranks there are.
+
+    That is one more than the highest rank of `hits`, or `depth` if it is given;
+    hits beyond it are an error, as they would be lost.
+    """
+    ranks = hits.groupBy("id").agg(F.min("rank").alias("rank"), F.max("rank").alias("_deepest"))
+    ranks = stage(ranks, "ranks")
+    deepest = ranks.agg(F.max("_deepest")).first()[0]
+    found = 0 if deepest is None else deepest + 1
+    if depth is not None and found > depth:
+        raise ValueError(f"there are hits at rank {deepest}, beyond a depth of {depth}")
+    return ranks.drop("_deepest"), found if depth is None else depth
+
+
 def rank_counts(ranks, depth, rank="rank"):
     """Dense (rank, n) over 0..depth-1 from one rank per row."""
     counts = ranks.groupBy(rank).agg(F.count("*").alias("n"))
@@ -31,13 +47,14 @@ def rank_counts(ranks, depth, rank="rank"):
     return domain.join(counts, rank, "left").select(rank, F.coalesce("n", F.lit(0)).alias("n"))
 
 
-def discovery_curve(hits, depth=settings.SEARCH_DEPTH):
+def discovery_curve(hits, depth=None):
     """Per rank the distinct ids up to it and those new at it.
 
     The first new_ids is 0 by definition. Each id counts at its lowest rank,
-    so one aggregation serves all ranks; the running sum is over `depth` rows.
+    so one aggregation serves all ranks; the running sum is over `depth` rows,
+    by default as many as the hits have ranks.
     """
-    lowest = hits.groupBy("id").agg(F.min("rank").alias("rank"))
+    lowest, depth = lowest_ranks(hits, depth)
     running = Window.orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     return rank_counts(lowest, depth).select(
         "rank",
@@ -46,7 +63,7 @@ def discovery_curve(hits, depth=settings.SEARCH_DEPTH):
     )
 
 
-def choose_cutoff(hits, target, depth=settings.SEARCH_DEPTH):
+def choose_cutoff(hits, target, depth=None):
     """The rank cuts whose pooled lists come nearest to `target` ids.
 
     A cut n keeps ranks below n. Returns the largest cut with at most
@@ -69,9 +86,13 @@ def overlap(hits, lists):
 
     `lists` has the query_pos of every list. Each id is turned into one 0/1
     vector of the lists that contain it; adding these vectors per list gives
-    the rows of the matrix without producing any pair of hits.
+    the rows of the matrix without producing any pair of hits. Beyond MOST_LISTS
+    lists, whose names and totals are held whole, that is an error.
     """
-    names = [str(row.query_pos) for row in lists.select("query_pos").distinct().orderBy("query_pos").collect()]
+    found = lists.select("query_pos").distinct().orderBy("query_pos").limit(settings.MOST_LISTS + 1).collect()
+    if len(found) > settings.MOST_LISTS:
+        raise ValueError(f"more than {settings.MOST_LISTS} lists: compare them in parts")
+    names = [str(row.query_pos) for row in found]
     marks = CountVectorizerModel.from_vocabulary(names, inputCol="names", outputCol="marks", minTF=1.0)
     per_id = hits.groupBy("id").agg(F.collect_set(F.col("query_pos").cast("string")).alias("names"))
     rows = marks.transform(per_id).select(F.explode("names").alias("name"), "marks")
@@ -92,11 +113,17 @@ def membership(rows, others, by):
 
     `others` maps a column name to a table with an id column.
     """
-    ids = rows.select(by, "id").distinct()
+    # All tables are tagged and meet in one grouping by id.
+    tags = {name: n + 1 for n, name in enumerate(others)}
+    tagged = rows.select("id", F.col(by).alias("_by"), F.lit(0).alias("_tag"))
     for name, other in others.items():
-        keys = other.select("id").filter(F.col("id").isNotNull()).distinct()
-        ids = ids.join(keys.withColumn(name, F.lit(True)), "id", "left")
-    return ids.groupBy(by).agg(F.count("id").alias("n_ids"), *[F.count(name).alias(name) for name in others])
+        nothing = F.lit(None).cast(rows.schema[by].dataType)
+        tagged = tagged.unionByName(other.select("id", nothing.alias("_by"), F.lit(tags[name]).alias("_tag")))
+    own, tag = F.collect_set(F.when(F.col("_tag") == 0, F.struct("_by"))), F.col("_tag")
+    marks = [F.max((tag == tags[name]).cast("int")).alias(name) for name in others]
+    per_id = tagged.filter(F.col("id").isNotNull()).groupBy("id").agg(own.alias("_lists"), *marks)
+    per_list = per_id.select(F.explode("_lists").alias("_list"), *others).groupBy(F.col("_list._by").alias(by))
+    return per_list.agg(F.count("*").alias("n_ids"), *[F.sum(name).cast("long").alias(name) for name in others])
 
 
 def count_members(hits, other):

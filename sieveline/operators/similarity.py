@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveline import settings
-from sieveline.functions.vectors import as_matrix, most_similar_rows
-from sieveline.operators.neighbors import nearest
+from sieveline.functions.vectors import as_matrix, comparable, most_similar_rows
+from sieveline.operators.neighbors import nearest, query_head
 from sieveline.staging import stage
 
 
@@ -23,13 +23,14 @@ def most_similar(
 
     `references` has query_pos, query_id and embedding; on a tie the lowest
     query_pos wins. No row-by-reference pairs are produced. Returns `key`,
-    query_pos, query_id and similarity.
+    query_pos, query_id and similarity. Rows that cannot be compared are left
+    out; references that cannot be compared with each other are an error.
     """
     columns = references.select("query_pos", "query_id", vector_col).filter(F.col(vector_col).isNotNull())
-    head = columns.limit(max_references + 1).toArrow().sort_by("query_pos")
-    dim = len(head[vector_col][0]) if head.num_rows else 0
-    if head.num_rows > max_references or head.num_rows * dim * 8 > max_bytes:
-        return _by_join(rows, columns, key, vector_col)
+    dim, head = query_head(columns, vector_col, max_references, max_bytes)
+    if dim and head is None:
+        return _by_join(rows.filter(comparable(vector_col, dim)), columns, key, vector_col)
+    head = head.sort_by("query_pos") if dim else columns.limit(0).toArrow()
     return _in_place(rows, head, key, vector_col, dim)
 
 
@@ -56,7 +57,7 @@ def _in_place(rows, head, key, vector_col, dim):
             T.StructField("similarity", T.DoubleType()),
         ]
     )
-    compared = rows.filter(F.size(vector_col) == dim).select(key, vector_col).mapInArrow(compare, schema)
+    compared = rows.filter(comparable(vector_col, dim)).select(key, vector_col).mapInArrow(compare, schema)
     names = spark.createDataFrame(
         head.select(["query_pos", "query_id"]).to_pandas(), "query_pos long, query_id string"
     )

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveline.functions import text
-from sieveline.functions.vectors import closeness
+from sieveline.functions.vectors import closeness, cosine, dot, euclidean, norm
 from sieveline.operators import (
     candidates,
     citations,
@@ -16,13 +16,14 @@ from sieveline.operators import (
     neighbors,
     profile,
     recall,
+    rerank,
     responses,
     seeds,
     similarity,
 )
 from sieveline.plans import corpus, screening, standins
 from sieveline.sources import manifest, readers, writers
-from sieveline.staging import small, stage, staged_path
+from sieveline.staging import materialize, small, stage, staged_path
 from sieveline.streaming import ingest, upsert
 
 QUERIES = {}
@@ -33,6 +34,7 @@ SINCE = 1998
 POOL_CUT = 80
 KEEP = 200
 CLUSTERS = 16
+TEXT_DEPTH = 20
 
 
 def query(function):
@@ -94,25 +96,77 @@ def _checksum(col):
     return F.round(total, 6).alias("checksum")
 
 
-def _clustered(spark, sf_dir):
+@query
+def knn_all_clusters(spark, sf_dir):
     vectors = standins.corpus(spark, sf_dir)
-    model = clusters.fit_clusters(vectors, CLUSTERS)
-    return model, clusters.write_clusters(vectors, model, staged_path(spark, "clusters"))
+    centers = stage(clusters.fit_centers(vectors, CLUSTERS), "centers")
+    table = clusters.write_clusters(vectors, centers, staged_path(spark, "clusters"))
+    queries = standins.seeds(spark, sf_dir)
+    return _rounded(clusters.nearest_in_clusters(table, centers, queries, standins.DEPTH, CLUSTERS))
+
+
+def _clustered(spark, sf_dir):
+    """The corpus by its closest one of a few given vectors."""
+    centers = standins.table(spark, sf_dir, "embeddings").filter(F.col("vec_id") < CLUSTERS)
+    centers = centers.select(F.col("vec_id").cast("int").alias("cluster"), "embedding")
+    table = clusters.write_clusters(standins.corpus(spark, sf_dir), centers, staged_path(spark, "clusters"))
+    return centers, table
 
 
 @query
-def knn_all_clusters(spark, sf_dir):
-    model, table = _clustered(spark, sf_dir)
+def knn_in_clusters(spark, sf_dir):
+    centers, table = _clustered(spark, sf_dir)
+    queries = standins.seeds(spark, sf_dir)
+    return _rounded(clusters.nearest_in_clusters(table, centers, queries, standins.DEPTH, CLUSTERS // 2))
+
+
+@query
+def knn_in_cluster_blocks(spark, sf_dir):
+    """The same search along the way taken by query sets too large to broadcast."""
+    centers, table = _clustered(spark, sf_dir)
     queries = standins.seeds(spark, sf_dir)
-    return _rounded(clusters.nearest_in_clusters(table, model, queries, standins.DEPTH, CLUSTERS))
+    return _rounded(clusters.nearest_in_clusters(table, centers, queries, standins.DEPTH, CLUSTERS // 2, max_bytes=0))
 
 
 @query
 def knn_approx_recall(spark, sf_dir):
-    model, table = _clustered(spark, sf_dir)
+    centers, table = _clustered(spark, sf_dir)
     queries = standins.seeds(spark, sf_dir)
-    found = clusters.nearest_in_clusters(table, model, queries, standins.DEPTH, CLUSTERS // 2)
-    return clusters.recall_report(found, standins.hits(spark, sf_dir))
+    found = clusters.nearest_in_clusters(table, centers, queries, standins.DEPTH, CLUSTERS // 2)
+    report = clusters.recall_report(found, standins.hits(spark, sf_dir))
+    return report.withColumn("recall", F.round("recall", 6))
+
+
+@query
+def vector_measures(spark, sf_dir):
+    """Every vector against that of the criteria, by column expressions."""
+    other = standins.criteria(spark, sf_dir).select("embedding").scalar()
+    both = standins.corpus(spark, sf_dir).withColumn("other", other)
+    return both.select(
+        "id",
+        F.round(dot(F.col("embedding"), F.col("other")), 6).alias("product"),
+        F.round(euclidean(F.col("embedding"), F.col("other")), 6).alias("distance"),
+        F.round(cosine(F.col("embedding"), F.col("other")), 6).alias("cosine"),
+        F.round(norm(F.col("embedding")), 6).alias("norm"),
+    )
+
+
+@query
+def search_by_text(spark, sf_dir):
+    """Seeds and the newest record searched for by their texts among the texts of all works."""
+    vectors = stage(_encoded(standins.works(spark, sf_dir)), "encoded")
+    seeds_of = standins.seed_ids(spark, sf_dir)
+    newest = standins.table(spark, sf_dir, "documents").agg(F.max("doc_id").alias("doc_id"))
+    newest = newest.select(standins.work_id("doc_id").alias("id"), F.lit(-1).cast("long").alias("query_pos"))
+    asked = seeds_of.unionByName(newest).join(standins.works(spark, sf_dir), "id")
+    asked = stage(_encoded(asked.withColumnRenamed("id", "query_id"), "query_pos", "query_id"), "asked")
+    return _rounded(neighbors.nearest(vectors, asked, TEXT_DEPTH))
+
+
+def _encoded(works, *keys):
+    """The works' vectors by the hashed encoder."""
+    keys = keys or ("id",)
+    return embedding.embed(works.select(*keys, text.document_text().alias("text"))).select(*keys, "embedding")
 
 
 # Result lists
@@ -178,22 +232,42 @@ def dataset_b(spark, sf_dir):
     return screening.included_dataset(standins.hits(spark, sf_dir), standins.works(spark, sf_dir), CUT)
 
 
-def _reranked(spark, sf_dir):
-    vectors = standins.corpus(spark, sf_dir)
+def _training(spark, sf_dir):
+    """Labels and vectors of all labelled works; a work without a given vector cannot train a scorer of them."""
     review = standins.review(spark, sf_dir).select("id", "doi", "position", "label_included")
     labelled = seeds.relabel_excluded(review, standins.EXCLUDED, order="position")
-    training = labelled.withColumn("id", text.short_id("id")).join(vectors, "id").select("embedding", "label_included")
-    hits = standins.hits(spark, sf_dir)
-    return screening.reranked_pool(hits, vectors, training, POOL_CUT, KEEP)
+    vectors = standins.corpus(spark, sf_dir)
+    return labelled.withColumn("id", text.short_id("id")).join(vectors, "id").select("embedding", "label_included")
+
+
+def _reranked(spark, sf_dir, fit=None):
+    training = stage(_training(spark, sf_dir), "training")
+    return screening.reranked_pool(standins.hits(spark, sf_dir), standins.corpus(spark, sf_dir), training, POOL_CUT, KEEP, fit)
 
 
 @query
 def dataset_c(spark, sf_dir):
-    pool = _reranked(spark, sf_dir)
-    found = screening.reranked_dataset(pool, standins.works(spark, sf_dir), KEEP)
+    found = screening.reranked_dataset(_reranked(spark, sf_dir), standins.works(spark, sf_dir))
     return found.withColumn("relevance_score", F.round("relevance_score", 6))
 
 
+@query
+def dataset_c_linear(spark, sf_dir):
+    """Dataset C by the difference of the class means instead of a fitted model."""
+    found = screening.reranked_dataset(_reranked(spark, sf_dir, rerank.linear), standins.works(spark, sf_dir))
+    return found.withColumn("relevance_score", F.round("relevance_score", 6))
+
+
+@query
+def classifier_optimality(spark, sf_dir):
+    """Class sizes and weights of the training set, and whether the fit is at the optimum of its loss."""
+    training = stage(_training(spark, sf_dir), "training")
+    model = rerank.fit_classifier(training, tol=1e-9)
+    optimal = rerank.largest_gradient(model, training) < 1e-4
+    weights = rerank.balance(training, rerank.class_sizes(training)).groupBy("label_included")
+    return weights.agg(F.count("*").alias("n"), F.round(F.avg("weight"), 6).alias("weight")).withColumn("optimal", F.lit(optimal))
+
+
 @query
 def dataset_csv(spark, sf_dir):
     """Dataset B written as CSV and read back, with its multi-line texts."""
@@ -236,7 +310,7 @@ def enrich_from_index(spark, sf_dir):
     """Enrichment by works that hold inverted indexes instead of abstracts."""
     works = standins.raw_works(spark, sf_dir).withColumn("id", text.short_id("id"))
     near = stage(standins.criteria_hits(spark, sf_dir).select("id"), "near")
-    return candidates.enrich(near, works, ("id", "title", "abstract"), bound=standins.DEPTH)
+    return candidates.enrich(near, works, ("id", "title", "abstract"))
 
 
 # Review labels
@@ -304,6 +378,12 @@ def citation_dataset(spark, sf_dir):
     )
 
 
+@query
+def citation_unresolved(spark, sf_dir):
+    """Works found by snowballing of which only the id is known."""
+    return candidates.unresolved(_snowball(spark, sf_dir), standins.works(spark, sf_dir))
+
+
 @query
 def snowball_summary(spark, sf_dir):
     found = _snowball(spark, sf_dir).join(standins.dates(spark, sf_dir), "id", "left")
@@ -346,8 +426,9 @@ def restored_text(spark, sf_dir):
 
 @query
 def embed_documents(spark, sf_dir):
-    works = standins.works(spark, sf_dir).select("id", text.document_text().alias("text"))
-    return embedding.embed(works).select("id", "embedding")
+    """The numbers of the encoder's vectors that are not zero."""
+    placed = _encoded(standins.works(spark, sf_dir)).select("id", F.posexplode("embedding").alias("place", "x"))
+    return placed.filter(F.col("x") != 0).select("id", "place", F.round(F.col("x").cast("double"), 5).alias("x"))
 
 
 @query
@@ -384,6 +465,23 @@ def feed_rejected(spark, sf_dir):
     return rejected.select("id", "reason")
 
 
+@query
+def feed_invalid_vectors(spark, sf_dir):
+    """Given vectors, most of them damaged in one of several ways, with what is wrong."""
+    kind, vector = F.col("vec_id") % 6, F.col("embedding")
+    damaged = (
+        F.when(kind == 1, F.slice(vector, 1, standins.DIM - 1))
+        .when(kind == 2, F.transform(vector, lambda x, n: F.when(n != 3, x)))
+        .when(kind == 3, F.transform(vector, lambda x, n: F.when(n != 5, x).otherwise(float("nan"))))
+        .when(kind != 4, vector)
+    )
+    rows = standins.table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(kind != 5, standins.work_id("vec_id")).alias("id"), damaged.alias("embedding")
+    )
+    accepted, rejected = feed.split_valid(rows, standins.DIM)
+    return accepted.select("vec_id", F.lit("accepted").alias("reason")).unionByName(rejected.select("vec_id", "reason"))
+
+
 @query
 def keep_latest(spark, sf_dir):
     versions = standins.table(spark, sf_dir, "lineitem").select(
@@ -429,15 +527,17 @@ def recall_min_rank(spark, sf_dir):
     return recall.best_rank(standins.hits(spark, sf_dir))
 
 
-def _labelled_vectors(spark, sf_dir):
+def _similarities(spark, sf_dir):
+    """Every labelled record's text against those of the seeds and of the criteria, all encoded alike."""
     labelled = standins.table(spark, sf_dir, "labels").select(
         standins.work_id("doc_id").alias("id"), F.concat(F.lit("M"), F.col("doc_id").cast("string")).alias("MID")
     )
-    return labelled.join(standins.corpus(spark, sf_dir), "id")
-
-
-def _similarities(spark, sf_dir, queries, criteria):
-    vectors = stage(_labelled_vectors(spark, sf_dir), "labelled")
+    told = labelled.join(standins.works(spark, sf_dir), "id")
+    vectors = stage(_encoded(told, "id", "MID"), "labelled")
+    seeds_of = vectors.join(standins.seed_ids(spark, sf_dir), "id")
+    queries = seeds_of.select("query_pos", text.full_id(F.col("id")).alias("query_id"), "embedding")
+    newest = standins.table(spark, sf_dir, "documents").agg(F.max("doc_id").alias("doc_id"))
+    criteria = _encoded(standins.works(spark, sf_dir).join(newest.select(standins.work_id("doc_id").alias("id")), "id"))
     nearest = similarity.most_similar(vectors, queries, key="MID")
     to_criteria = similarity.similarity_to(vectors, criteria, "criteria_similarity", key="MID")
     return nearest, to_criteria
@@ -445,8 +545,7 @@ def _similarities(spark, sf_dir, queries, criteria):
 
 @query
 def recall_similarity(spark, sf_dir):
-    queries, criteria = standins.seeds(spark, sf_dir), standins.criteria(spark, sf_dir)
-    nearest, to_criteria = _similarities(spark, sf_dir, queries, criteria)
+    nearest, to_criteria = _similarities(spark, sf_dir)
     return nearest.join(to_criteria, "MID").select(
         "MID",
         "query_id",
@@ -456,10 +555,8 @@ def recall_similarity(spark, sf_dir):
 
 
 def _attributed(spark, sf_dir, reranked=None):
-    queries = stage(standins.seeds(spark, sf_dir), "seeds")
-    criteria = stage(standins.criteria(spark, sf_dir), "criteria")
-    nearest, to_criteria = _similarities(spark, sf_dir, queries, criteria)
-    hits, near = standins.both_hits(spark, sf_dir, queries=queries, one=criteria)
+    nearest, to_criteria = _similarities(spark, sf_dir)
+    hits, near = standins.both_hits(spark, sf_dir)
     table = standins.master(spark, sf_dir)
     found = recall.attribute(table, hits, near, nearest, to_criteria, reranked)
     return (
@@ -477,8 +574,16 @@ def recall_master(spark, sf_dir):
 
 @query
 def recall_master_reranked(spark, sf_dir):
-    pool = _reranked(spark, sf_dir).withColumn("id", text.full_id(F.col("id")))
-    return _attributed(spark, sf_dir, pool)
+    """Positions in the enriched dataset C, which lacks works that were not found."""
+    found = screening.reranked_dataset(_reranked(spark, sf_dir), standins.works(spark, sf_dir))
+    return _attributed(spark, sf_dir, found)
+
+
+@query
+def recall_master_linear(spark, sf_dir):
+    found = screening.reranked_dataset(_reranked(spark, sf_dir, rerank.linear), standins.works(spark, sf_dir))
+    placed = _attributed(spark, sf_dir, found)
+    return placed.withColumn("logistic_score", F.round("logistic_score", 6))
 
 
 @query
@@ -496,7 +601,9 @@ def _linked(spark, sf_dir):
     hits, near = standins.both_hits(spark, sf_dir)
     pool, near = candidates.keep_first(candidates.cut(hits, CUT)), candidates.cut(near, CUT)
     full = text.full_id(F.col("id")).alias("id")
-    return standins.master(spark, sf_dir), {"included": pool.select(full), "criteria": near.select(full)}
+    reranked = _reranked(spark, sf_dir, rerank.linear)
+    datasets = {"included": pool.select(full), "criteria": near.select(full), "reranked": reranked.select(full)}
+    return standins.master(spark, sf_dir), datasets
 
 
 @query
@@ -504,7 +611,7 @@ def link_flags(spark, sf_dir):
     table, datasets = _linked(spark, sf_dir)
     for name, rows in datasets.items():
         table = master.flag_members(table, rows, f"in_{name}", on="openalex_id")
-    return table.select("MID", "openalex_id", "in_included", "in_criteria")
+    return table.select("MID", "openalex_id", *[f"in_{name}" for name in datasets])
 
 
 @query
@@ -551,7 +658,7 @@ def snapshot_completeness(spark, sf_dir):
         "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), F.lower("o_orderstatus").alias("part")
     )
     file = F.concat(F.lit("updated_date="), F.col("day"), F.lit("/part_"), F.col("part"), F.lit(".gz"))
-    entries = orders.groupBy(F.concat(F.lit("s3://bucket/data/works/"), file).alias("url")).agg(
+    entries = orders.groupBy(F.concat(F.lit("data/works/"), file).alias("url")).agg(
         F.count("*").alias("record_count")
     )
     sold = standins.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
@@ -566,6 +673,97 @@ def snapshot_completeness(spark, sf_dir):
     )
 
 
+@query
+def manifest_scan(spark, sf_dir):
+    """A manifest of all orders per month against a scan of the files written of the sold ones."""
+    orders = standins.table(spark, sf_dir, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM").alias("updated_date"))
+    sold = standins.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    scanned, listed = staged_path(spark, "scanned"), staged_path(spark, "manifest")
+    month = orders.join(sold, "o_orderkey", "left_semi").repartition("updated_date")
+    month.write.partitionBy("updated_date").json(scanned)
+    counts = stage(manifest.file_counts(spark.read.schema("o_orderkey long").json(scanned)), "counts")
+    declared = orders.groupBy("updated_date").agg(F.count("*").alias("record_count"))
+    named = counts.select("file", text.partition_value(F.col("file")).alias("updated_date"))
+    absent = F.concat(F.lit("updated_date="), "updated_date", F.lit("/none"))
+    url = F.concat(F.lit("data/works/"), F.coalesce("file", absent)).alias("url")
+    meta = F.struct(F.lit(None).cast("long").alias("content_length"), "record_count").alias("meta")
+    entries = declared.join(named, "updated_date", "left").agg(F.collect_list(F.struct(url, meta)).alias("entries"))
+    entries.write.json(listed)
+    found = manifest.completeness(manifest.read_manifest(spark, listed), counts)
+    return found.select(text.partition_value(F.col("file")).alias("updated_date"), "record_count", "n_read", "state")
+
+
+@query
+def vector_json(spark, sf_dir):
+    """The criteria vector written as one JSON array and read back."""
+    path = staged_path(spark, "vector")
+    standins.criteria(spark, sf_dir).select(F.to_json("embedding").alias("value")).coalesce(1).write.text(path)
+    return readers.read_vector(spark, path).select(F.size("embedding").alias("dim"), _checksum("embedding"))
+
+
+@query
+def master_csv(spark, sf_dir):
+    """The master table written as CSV and read back, with its missing values."""
+    path = f"{staged_path(spark, 'master')}.csv"
+    writers.write_csv(standins.master(spark, sf_dir), path)
+    return readers.read_master(spark, path, standins.MASTER_SCHEMA)
+
+
+@query
+def hits_parquet(spark, sf_dir):
+    """Hits with their vectors as written by a search and read again."""
+    found, path = stage(standins.criteria_hits(spark, sf_dir), "criteria"), staged_path(spark, "hits")
+    writers.write_parquet(neighbors.with_vectors(found, standins.corpus(spark, sf_dir), standins.DEPTH), path)
+    return spark.read.parquet(path).select("rank", "id", _checksum("embedding"))
+
+
+@query
+def materialized_twice(spark, sf_dir):
+    """The second call finds the first one's table and computes nothing."""
+    path = staged_path(spark, "once")
+    counts = standins.table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    materialize(counts, path)
+    return materialize(counts.withColumn("n", F.raise_error(F.lit("computed again")).cast("long")), path)
+
+
+@query
+def cleaned_floats(spark, sf_dir):
+    """Discounts with not-a-number for none, read as null."""
+    price = F.when(F.col("l_discount") == 0, F.lit(float("nan"))).otherwise(F.col("l_discount")).alias("discount")
+    lines = standins.table(spark, sf_dir, "lineitem").select("l_returnflag", price)
+    return readers.clean_floats(lines).groupBy("l_returnflag").agg(
+        F.count("*").alias("n"), F.count("discount").alias("n_discount"), F.round(F.sum("discount"), 4).alias("discount")
+    )
+
+
+@query
+def parts_pruned(spark, sf_dir):
+    """Vectors of one update date; the other folders are not opened."""
+    path = staged_path(spark, "parts")
+    dated = standins.corpus(spark, sf_dir).join(standins.dates(spark, sf_dir), "id")
+    dated = dated.select("id", "embedding", F.col("publication_year").cast("string").alias("updated_date"))
+    dated.hint("rebalance", "updated_date").write.partitionBy("updated_date").parquet(path)
+    parts = readers.read_parquet_parts(spark, path).filter(F.col("updated_date") == SINCE)
+    return parts.select("id", F.col("updated_date").cast("int").alias("updated_date"), _checksum("embedding"))
+
+
+@query
+def upsert_corrected(spark, sf_dir):
+    """All vectors, then some of them again under the same version, doubled: the correction stays."""
+    first = standins.corpus(spark, sf_dir).select("id", F.lit("2024-01-01").alias("updated_date"), F.lit("1").alias("part"), "embedding")
+    number = F.substring("id", 2, 20).cast("long")
+    doubled = F.transform("embedding", lambda x: (x * 2).cast("float"))
+    again = first.filter(number % 3 == 0).withColumn("embedding", doubled)
+    folder = staged_path(spark, "arriving")
+    table, rejected, progress = (staged_path(spark, name) for name in ("table", "rejected", "progress"))
+    for rows in (first, again):
+        rows.coalesce(1).write.mode("append").parquet(folder)
+        arriving = spark.readStream.schema(first.schema).parquet(folder)
+        upsert.upsert_stream(arriving, table, rejected, progress, standins.DIM, buckets=8).awaitTermination()
+    upsert.vacuum(spark, table)
+    return upsert.current(spark, table).select("id", _checksum("embedding"))
+
+
 def _json_works(spark, sf_dir):
     path = staged_path(spark, "works")
     raw = standins.raw_works(spark, sf_dir).hint("rebalance", "updated_date")

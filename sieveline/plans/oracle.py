@@ -1,7 +1,8 @@
 """SQL over the given tables that each registered query must agree with."""
 
-from sieveline.plans.catalog import CUT, SINCE, TARGET
+from sieveline.plans.catalog import CLUSTERS, CUT, KEEP, POOL_CUT, SINCE, TARGET, TEXT_DEPTH
 from sieveline.plans.standins import DEPTH, DIM, EXCLUDED
+from sieveline.settings import VECTOR_DIM
 
 PREFIX = "https://openalex.org/"
 
@@ -93,24 +94,80 @@ DATASET_B = _with(
     f"SELECT '{PREFIX}' || w.id AS id, w.doi, w.title, w.abstract, p.rank FROM works w JOIN pool p ON p.id = w.id",
 )
 
-LABELLED = """labelled AS (
-  SELECT 'M' || doc_id AS MID, embedding::DOUBLE[] AS vector FROM labels JOIN embeddings ON vec_id = doc_id)"""
+PLACED = rf"""placed AS (
+  SELECT doc_id, b, (n / sqrt(sum(n * n) OVER (PARTITION BY doc_id)))::FLOAT::DOUBLE AS x FROM (
+    SELECT doc_id, ('0x' || substr(md5(w), 1, 8))::UBIGINT % {VECTOR_DIM} AS b, count(*) AS n FROM (
+      SELECT doc_id, unnest(regexp_extract_all(lower('query: ' || title || ' ' || coalesce(abstract, '')), '[^ \t\r\n]+')) AS w
+      FROM works)
+    GROUP BY ALL))"""
+
+ENCODED = f"""encoded AS (
+  SELECT doc_id, list(coalesce(x, 0) ORDER BY b) AS vector
+  FROM (SELECT doc_id, b FROM documents, range({VECTOR_DIM}) AS t(b)) LEFT JOIN placed USING (doc_id, b) GROUP BY doc_id)"""
+
+TEXT_SEEDS = f"""text_seeds AS (
+  SELECT doc_id AS query_pos, 'W' || doc_id AS short_id, '{PREFIX}W' || doc_id AS query_id, vector AS qv
+  FROM review JOIN encoded USING (doc_id) WHERE label_included = 1 AND NOT extra_excluded)"""
+
+TEXT_CRITERIA = "text_criteria AS (SELECT vector AS qv FROM encoded WHERE doc_id = (SELECT max(doc_id) FROM documents))"
+
+TEXTS = [PLACED, ENCODED, TEXT_SEEDS, TEXT_CRITERIA]
+
+LABELLED = "labelled AS (SELECT 'M' || doc_id AS MID, vector FROM labels JOIN encoded USING (doc_id))"
 
 CLOSEST = f"""closest AS (
   SELECT MID, query_id, similarity FROM (
     SELECT MID, query_id, {PAIR_COSINE} AS similarity,
            row_number() OVER (PARTITION BY MID ORDER BY {PAIR_COSINE} DESC, query_pos) AS n
-    FROM labelled, seeds)
+    FROM labelled, text_seeds)
   WHERE n = 1)"""
 
-TO_CRITERIA = f"to_criteria AS (SELECT MID, {PAIR_COSINE} AS criteria_similarity FROM labelled, criteria)"
+TO_CRITERIA = f"to_criteria AS (SELECT MID, {PAIR_COSINE} AS criteria_similarity FROM labelled, text_criteria)"
 
 BEST = """best AS (
   SELECT id, min(rank) AS min_rank, arg_min(query_id, rank * 10000000000 + query_pos) AS min_rank_id,
          count(*) AS n_lists
   FROM hits GROUP BY id)"""
 
-LINKED = f"""in_pool AS (SELECT '{PREFIX}' || id AS id FROM pool),
+FIRSTS = " OR ".join(
+    f"doc_id = (SELECT min(doc_id) FROM review WHERE contains(lower(doi), '{doi.lower()}'))" for doi in EXCLUDED
+)
+
+TRAINING = f"""training AS (
+  SELECT CASE WHEN {FIRSTS} THEN 0 ELSE label_included END AS label, embedding::DOUBLE[] AS vector
+  FROM review JOIN embeddings ON vec_id = doc_id),
+direction AS (
+  SELECT list(d ORDER BY b) AS direction FROM (
+    SELECT b, avg(x) FILTER (label = 1) - avg(x) FILTER (label = 0) AS d FROM (
+      SELECT label, unnest(vector) AS x, generate_subscripts(vector, 1) AS b FROM training) GROUP BY b))"""
+
+RERANKED = f"""reranked AS (
+  SELECT id, score FROM (
+    SELECT 'W' || vec_id AS id, list_dot_product(embedding::DOUBLE[], direction) AS score FROM embeddings, direction
+    WHERE 'W' || vec_id IN (SELECT id FROM hits WHERE rank < {POOL_CUT}))
+  ORDER BY score DESC, id LIMIT {KEEP}),
+dataset_c AS (
+  SELECT '{PREFIX}' || w.id AS id, doi, title, abstract, score,
+         CAST(row_number() OVER (ORDER BY score DESC, w.id) - 1 AS INTEGER) AS position
+  FROM works w JOIN reranked r ON r.id = w.id)"""
+
+IN_CLUSTERS = f"""centers AS (SELECT vec_id AS cluster, embedding::DOUBLE[] AS cv FROM embeddings WHERE vec_id < {CLUSTERS}),
+assigned AS (
+  SELECT id, vector, arg_min(cluster, (gap, cluster)) AS cluster FROM (
+    SELECT 'W' || vec_id AS id, embedding::DOUBLE[] AS vector, cluster, list_distance(embedding::DOUBLE[], cv) AS gap
+    FROM embeddings, centers) GROUP BY id, vector),
+probes AS (
+  SELECT query_pos, query_id, qv, cluster FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_pos ORDER BY list_distance(qv, cv), cluster) AS n FROM seeds, centers)
+  WHERE n <= {CLUSTERS // 2}),
+found AS (
+  SELECT query_pos, query_id, CAST(n - 1 AS INTEGER) AS rank, id, distance FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_pos ORDER BY distance, id) AS n FROM (
+      SELECT query_pos, query_id, id, list_distance(qv, vector) AS distance FROM probes JOIN assigned USING (cluster)))
+  WHERE n <= {DEPTH})"""
+
+LINKED = f"""in_reranked AS (SELECT '{PREFIX}' || id AS id FROM reranked),
+in_pool AS (SELECT '{PREFIX}' || id AS id FROM pool),
 in_near AS (SELECT '{PREFIX}' || id AS id FROM near WHERE rank < {CUT})"""
 
 NORMALISED = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
@@ -158,6 +215,28 @@ SQL["knn_bfloat16"] = _with(
     ],
     HIT_LIST,
 )
+SQL["knn_in_clusters"] = _with([*BASE, IN_CLUSTERS], HIT_LIST.replace("FROM hits", "FROM found"))
+SQL["knn_in_cluster_blocks"] = SQL["knn_in_clusters"]
+SQL["knn_approx_recall"] = _with(
+    [*RESPONSES, IN_CLUSTERS],
+    """SELECT h.query_pos, count(*) AS n_exact, count(f.id) AS n_found, round(count(f.id) / count(*), 6) AS recall
+FROM hits h LEFT JOIN found f ON f.query_pos = h.query_pos AND f.id = h.id GROUP BY h.query_pos""",
+)
+SQL["vector_measures"] = _with(
+    [CRITERIA],
+    f"""SELECT 'W' || vec_id AS id, round(list_dot_product(v, qv), 6) AS product, round(list_distance(v, qv), 6) AS distance,
+       round({COSINE.format("v", "qv")}, 6) AS cosine, round(sqrt(list_dot_product(v, v)), 6) AS norm
+FROM (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), criteria""",
+)
+SQL["search_by_text"] = _with(
+    [WORKS, REVIEW, *TEXTS],
+    f"""SELECT query_pos, query_id, CAST(n - 1 AS INTEGER) AS rank, id, round(distance, 6) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_pos ORDER BY distance, id) AS n FROM (
+    SELECT query_pos, query_id, 'W' || doc_id AS id, list_distance(qv, vector) AS distance
+    FROM (SELECT query_pos, short_id AS query_id, qv FROM text_seeds
+          UNION ALL SELECT -1, 'W' || (SELECT max(doc_id) FROM documents), qv FROM text_criteria), encoded))
+WHERE n <= {TEXT_DEPTH}""",
+)
 SQL["knn_vectors"] = _with(
     [CRITERIA, NEAR], f"SELECT rank, id, {CHECKSUM} FROM near JOIN embeddings ON id = 'W' || vec_id"
 )
@@ -225,6 +304,17 @@ SQL["enrich_from_index"] = _with(
     f"""SELECT id, lang AS title, {NORMALISED} AS abstract FROM documents JOIN near ON id = 'W' || doc_id""",
 )
 
+SQL["dataset_c_linear"] = _with(
+    [*RESPONSES, TRAINING, RERANKED],
+    "SELECT id, doi, title, abstract, round(score, 6) AS relevance_score FROM dataset_c",
+)
+SQL["classifier_optimality"] = _with(
+    [*BASE, TRAINING],
+    """SELECT CAST(label AS INTEGER) AS label_included, count(*) AS n,
+       round((SELECT count(*) FROM training) / (2.0 * count(*)), 6) AS weight, true AS optimal
+FROM training GROUP BY label""",
+)
+
 # Review labels
 
 SQL["seed_selection"] = _with(
@@ -232,9 +322,6 @@ SQL["seed_selection"] = _with(
     """SELECT id, doi, label_included, extra_excluded,
        label_included = 1 AND NOT extra_excluded AS is_seed FROM review""",
 )
-FIRSTS = " OR ".join(
-    f"doc_id = (SELECT min(doc_id) FROM review WHERE contains(lower(doi), '{doi.lower()}'))" for doi in EXCLUDED
-)
 SQL["training_labels"] = _with(
     [WORKS, REVIEW],
     f"SELECT id, CASE WHEN {FIRSTS} THEN 0 ELSE label_included END AS label_included FROM review",
@@ -257,9 +344,10 @@ SQL["snowball"] = _with(
 )
 SQL["citation_dataset"] = _with(
     [*CITING, SNOWBALL, DATES],
-    f"""SELECT '{PREFIX}' || w.id AS id, doi, title, abstract, publication_date, level
-FROM works w JOIN snowball s ON s.id = w.id LEFT JOIN dates ON dates.id = w.id""",
+    f"""SELECT '{PREFIX}' || s.id AS id, doi, title, abstract, CASE WHEN w.id IS NOT NULL THEN publication_date END AS publication_date, level
+FROM snowball s LEFT JOIN works w ON s.id = w.id LEFT JOIN dates ON dates.id = w.id""",
 )
+SQL["citation_unresolved"] = _with([*CITING, SNOWBALL], "SELECT id FROM snowball WHERE id NOT IN (SELECT id FROM works)")
 SQL["snowball_summary"] = _with(
     [*CITING, SNOWBALL, DATES],
     f"""SELECT scope, count(*) AS total, count(*) FILTER (level = 'primary') AS "primary",
@@ -295,6 +383,9 @@ SQL["column_profile"] = _with(
 SQL["abstract_rebuild"] = f"SELECT doc_id, {NORMALISED} AS abstract FROM documents"
 SQL["work_text"] = _with([WORKS], "SELECT id, 'query: ' || title || ' ' || coalesce(abstract, '') AS text FROM works")
 SQL["restored_text"] = _with([WORKS], "SELECT id, replace(abstract, ',', '-') AS abstract FROM works")
+SQL["embed_documents"] = _with(
+    [WORKS, PLACED], "SELECT 'W' || doc_id AS id, CAST(b AS INTEGER) AS place, round(x, 5) AS x FROM placed"
+)
 SQL["embed_profile"] = _with(
     [WORKS],
     r"""SELECT id, 384 AS dim, 1.0::DOUBLE AS norm,
@@ -312,6 +403,9 @@ WHERE publication_year >= {SINCE} AND len(embedding) = {DIM}""",
 )
 SQL["feed_rejected"] = """SELECT 'W' || doc_id AS id, 'missing embedding' AS reason FROM documents
 WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)"""
+SQL["feed_invalid_vectors"] = """SELECT vec_id, CASE vec_id % 6
+  WHEN 0 THEN 'accepted' WHEN 1 THEN 'wrong length' WHEN 2 THEN 'missing value' WHEN 3 THEN 'not a number'
+  WHEN 4 THEN 'missing embedding' ELSE 'missing id' END AS reason FROM embeddings"""
 SQL["keep_latest"] = """SELECT id, updated_date, part, source, value FROM (
   SELECT 'W' || l_partkey AS id, CAST(l_shipdate AS DATE) AS updated_date, l_linenumber AS part,
          l_orderkey AS source, l_extendedprice AS value,
@@ -332,13 +426,12 @@ FROM works w LEFT JOIN hits h ON h.id = w.id GROUP BY w.id""",
 )
 SQL["recall_min_rank"] = _with([*RESPONSES, BEST], "SELECT id, min_rank, min_rank_id FROM best")
 SQL["recall_similarity"] = _with(
-    [*BASE, CRITERIA, LABELLED, CLOSEST, TO_CRITERIA],
+    [WORKS, REVIEW, *TEXTS, LABELLED, CLOSEST, TO_CRITERIA],
     """SELECT MID, query_id, round(similarity, 6) AS similarity, round(criteria_similarity, 6) AS criteria_similarity
 FROM closest JOIN to_criteria USING (MID)""",
 )
-SQL["recall_master"] = _with(
-    [*RESPONSES, CRITERIA, NEAR, MASTER, LABELLED, CLOSEST, TO_CRITERIA, BEST],
-    f"""SELECT m.MID, m.openalex_id, m.doi, m.Data_0_Synergy, m.Data_3b_old,
+RECALLED = [*RESPONSES, CRITERIA, NEAR, MASTER, *TEXTS, LABELLED, CLOSEST, TO_CRITERIA, BEST]
+RECALL_MASTER = f"""SELECT m.MID, m.openalex_id, m.doi, m.Data_0_Synergy, m.Data_3b_old,
        b.min_rank AS inclusions_min_rank, b.min_rank_id AS inclusions_min_rank_id,
        CAST(b.n_lists AS INTEGER) AS n_lists, near.rank AS criteria_rank,
        round(s.similarity, 6) AS inclusions_similarity, s.query_id AS inclusions_most_similar,
@@ -346,7 +439,12 @@ SQL["recall_master"] = _with(
 FROM master m
 LEFT JOIN best b ON '{PREFIX}' || b.id = m.openalex_id
 LEFT JOIN near ON '{PREFIX}' || near.id = m.openalex_id
-LEFT JOIN closest s ON s.MID = m.MID LEFT JOIN to_criteria c ON c.MID = m.MID""",
+LEFT JOIN closest s ON s.MID = m.MID LEFT JOIN to_criteria c ON c.MID = m.MID"""
+SQL["recall_master"] = _with(RECALLED, RECALL_MASTER)
+SQL["recall_master_linear"] = _with(
+    [*RECALLED, TRAINING, RERANKED, f"recalled AS ({RECALL_MASTER})"],
+    """SELECT recalled.*, round(score, 6) AS logistic_score, position AS logistic_rank
+FROM recalled LEFT JOIN dataset_c ON dataset_c.id = openalex_id""",
 )
 SQL["recall_at_n"] = _with(
     [
@@ -361,11 +459,12 @@ SQL["recall_at_n"] = _with(
 
 # Master table
 
-LINK = [*RESPONSES, POOL, CRITERIA, NEAR, MASTER, LINKED]
+LINK = [*RESPONSES, POOL, CRITERIA, NEAR, MASTER, TRAINING, RERANKED, LINKED]
 SQL["link_flags"] = _with(
     LINK,
     """SELECT MID, openalex_id, coalesce(openalex_id IN (SELECT id FROM in_pool), false) AS in_included,
-       coalesce(openalex_id IN (SELECT id FROM in_near), false) AS in_criteria FROM master""",
+       coalesce(openalex_id IN (SELECT id FROM in_near), false) AS in_criteria,
+       coalesce(openalex_id IN (SELECT id FROM in_reranked), false) AS in_reranked FROM master""",
 )
 SQL["link_coverage"] = _with(
     LINK,
@@ -375,7 +474,11 @@ SQL["link_coverage"] = _with(
 UNION ALL
 SELECT 'criteria', count(*),
        count(*) FILTER (id IN (SELECT openalex_id FROM master WHERE openalex_id IS NOT NULL)),
-       (SELECT count(*) FROM master WHERE openalex_id IN (SELECT id FROM in_near)) FROM in_near""",
+       (SELECT count(*) FROM master WHERE openalex_id IN (SELECT id FROM in_near)) FROM in_near
+UNION ALL
+SELECT 'reranked', count(*),
+       count(*) FILTER (id IN (SELECT openalex_id FROM master WHERE openalex_id IS NOT NULL)),
+       (SELECT count(*) FROM master WHERE openalex_id IN (SELECT id FROM in_reranked)) FROM in_reranked""",
 )
 SQL["master_upsert"] = _with(
     [
@@ -410,6 +513,28 @@ SQL["snapshot_completeness"] = """SELECT 'updated_date=' || day || '/part_' || p
 FROM (SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, lower(o_orderstatus) AS part,
              o_orderkey IN (SELECT l_orderkey FROM lineitem) AS sold FROM orders)
 GROUP BY day, part"""
+SQL["manifest_scan"] = """SELECT month AS updated_date, count(*) AS record_count, nullif(count(*) FILTER (sold), 0) AS n_read,
+       CASE WHEN count(*) FILTER (sold) = 0 THEN 'missing'
+            WHEN count(*) FILTER (sold) = count(*) THEN 'complete' ELSE 'differs' END AS state
+FROM (SELECT strftime(o_orderdate, '%Y-%m') AS month, o_orderkey IN (SELECT l_orderkey FROM lineitem) AS sold FROM orders)
+GROUP BY month"""
+SQL["vector_json"] = f"""SELECT CAST(len(embedding) AS INTEGER) AS dim, {CHECKSUM} FROM embeddings
+WHERE vec_id = (SELECT max(vec_id) FROM embeddings)"""
+SQL["master_csv"] = _with(
+    [WORKS, REVIEW, MASTER],
+    "SELECT MID, openalex_id, doi, nullif(title, '') AS title, nullif(abstract, '') AS abstract, Data_0_Synergy, Data_3b_old FROM master",
+)
+SQL["hits_parquet"] = SQL["knn_vectors"]
+SQL["materialized_twice"] = "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus"
+SQL["cleaned_floats"] = """SELECT l_returnflag, count(*) AS n, count(*) FILTER (l_discount <> 0) AS n_discount,
+       round(sum(l_discount), 4) AS discount FROM lineitem GROUP BY l_returnflag"""
+SQL["parts_pruned"] = _with(
+    [DATES],
+    f"""SELECT id, publication_year AS updated_date, {CHECKSUM} FROM embeddings JOIN dates ON id = 'W' || vec_id
+WHERE publication_year = {SINCE}""",
+)
+SQL["upsert_corrected"] = """SELECT 'W' || vec_id AS id,
+       round(list_sum(embedding::DOUBLE[]) * CASE WHEN vec_id % 3 = 0 THEN 2 ELSE 1 END, 6) AS checksum FROM embeddings"""
 SQL["ingest_json"] = _with([WORKS, DATES], INGESTED)
 SQL["ingest_stream"] = _with([WORKS, DATES], INGESTED)
 SQL["write_split"] = _with(

@@ -35,7 +35,9 @@ MASTER_OLD_FLAG = "Data_3b_includedrecords_top88-corrected"
 BROADCAST_ROWS = 500_000
 QUERY_VECTOR_BYTES = 64 * 1024 * 1024
 TASK_HITS = 4_000_000
+TASK_BYTES = 1024 * 1024 * 1024
 MERGE_ROWS = 4_000_000
+MOST_LISTS = 2_000
 BLOCK_QUERIES = 4_096
 BLOCK_VECTORS = 32_768
 FIRST_BLOCKS = 64

@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveline.functions.text import has_text, nan_to_null, part_number, rebuild_abstract, short_id
-from sieveline.staging import spread
 
 RAW_WORK = T.StructType(
     [
@@ -38,9 +37,14 @@ REVIEW = T.StructType(
 def read_works(spark, folder, schema=RAW_WORK, pattern="part_*.gz"):
     """JSON-lines works below `updated_date=` folders, with their part label.
 
-    A gzip file is read by one task, so the rows of few files are spread.
+    A gzip file is read by one task. Where there are fewer files than cores, or
+    one is much larger than the others, rows are dealt anew by size once parsed.
     """
-    return spread(with_part(spark.read.schema(dated(schema)).option("pathGlobFilter", pattern).json(folder)))
+    works = with_part(spark.read.schema(dated(schema)).option("pathGlobFilter", pattern).json(folder))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+    sizes = files.load(folder).agg(F.count("*").alias("n"), F.max("length").alias("most"), F.avg("length").alias("mean")).first()
+    uneven = sizes.n and (sizes.n < spark.sparkContext.defaultParallelism or sizes.most > 4 * sizes.mean)
+    return works.hint("rebalance") if uneven else works
 
 
 def dated(schema):
@@ -59,13 +63,16 @@ def prepare_works(raw):
 
 
 def read_parquet_parts(spark, folder, pattern="*.parquet"):
-    return spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").parquet(folder)
+    """Parquet files below a folder; `key=value` folders are columns, by which whole folders are pruned."""
+    return spark.read.option("pathGlobFilter", pattern).parquet(folder)
 
 
 def read_csv(spark, path, schema):
     """CSV with a header and quoted fields that may hold quotes and newlines.
 
-    Columns are taken by name, so files may have more or in another order.
+    Columns are taken by name, so files may have more or in another order. Whole
+    numbers may be written with a decimal point, as nullable columns are. A
+    field that cannot be read as its type fails the query that reads it.
     """
     options = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
     names = spark.read.options(**options).csv(path).columns
@@ -80,8 +87,15 @@ def read_csv(spark, path, schema):
 def _parsed(field):
     text = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.from_json(text, field.dataType).alias(field.name)
-    return text.try_cast(field.dataType).alias(field.name)
+        value = F.from_json(text, field.dataType)
+    elif isinstance(field.dataType, T.IntegralType):
+        number = text.try_cast(T.DecimalType(38, 9))
+        value = F.when(number == F.floor(number), number.try_cast(field.dataType))
+    else:
+        value = text.try_cast(field.dataType)
+    wrong = F.concat(F.lit(f"{field.name} is not {field.dataType.simpleString()}: "), text)
+    failed = text.isNotNull() & value.isNull()
+    return F.when(failed, F.raise_error(wrong).cast(field.dataType)).otherwise(value).alias(field.name)
 
 
 def read_master(spark, path, schema):

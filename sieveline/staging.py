@@ -1,6 +1,5 @@
 """Shared-folder tables, size checks and joins that choose by size."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import Window
@@ -10,22 +9,29 @@ from sieveline import settings
 
 
 def shared_dir(spark):
-    """Folder every executor can read, as named by `spark.checkpoint.dir`.
+    """Folder every executor can read: `spark.checkpoint.dir`, or the context's checkpoint folder.
 
-    Only a local session without that setting gets a folder of its own.
+    The caller chooses it; without one this raises.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="sieveline-")
-    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
+def run_folder(spark):
+    """The one folder below the shared one that this application stages its tables in."""
+    return f"{shared_dir(spark).rstrip('/')}/sieveline-{spark.sparkContext.applicationId}"
+
+
+def drop_run(spark):
+    """Remove all tables this application has staged; for when its results are written."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def staged_path(spark, name):
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df, name="stage"):
@@ -61,6 +67,46 @@ def spread(df):
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
+def input_bytes(df):
+    """Catalyst's estimate of the size of `df` in bytes, from the files it reads; 0 if it knows nothing."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return size if size < 2**60 else 0
+
+
+def few_tasks(df, task_bytes=settings.TASK_BYTES):
+    """(df, tasks): `df` in place, in no more tasks than four per core or one per `task_bytes` need.
+
+    For steps whose results per task are large: fewer tasks return less, but
+    none reads much more than `task_bytes` however few cores there are yet.
+    """
+    tasks = max(4 * df.sparkSession.sparkContext.defaultParallelism, -(-input_bytes(df) // task_bytes))
+    return df.coalesce(tasks), tasks
+
+
+PLAIN = {"Project", "Filter", "LogicalRelation", "LocalRelation", "LogicalRDD", "InMemoryRelation"}
+
+
+def plain_scan(df):
+    """True if `df` is no more than a filtered scan, so that reading it again costs little."""
+    pending = [df._jdf.queryExecution().optimizedPlan()]
+    while pending:
+        node = pending.pop()
+        if node.nodeName().split(" ")[0] not in PLAIN:
+            return False
+        pending += [node.children().apply(n) for n in range(node.children().size())]
+    return True
+
+
+def join_known(left, right, on):
+    """Left join on a key that may be null for very many rows of `left`.
+
+    Rows without the key match nothing; they are set apart, as the join would
+    send all of them to one task.
+    """
+    known = left.where(F.col(on).isNotNull()).join(right, on, "left")
+    return known.unionByName(left.where(F.col(on).isNull()), allowMissingColumns=True)
+
+
 def fits(df, rows=settings.BROADCAST_ROWS):
     """True if `df`, a table of keys, has at most `rows` rows.
 

@@ -1,24 +1,47 @@
 """Incremental upsert of vectors into a keyed table."""
 
-from sieveline.operators.feed import keep_latest, split_valid
+import re
 
+from pyspark.sql import functions as F
 
-def upsert_stream(rows, table, rejected, checkpoint, dim):
+from sieveline.operators.feed import PART_KEYS, keep_latest, split_valid
+from sieveline.staging import stage
+
+BUCKETS = 64
+# Of two rows of one version the one that arrived later stays.
+ORDER = (*PART_KEYS, "arrived")
+
+
+def _bucket(buckets):
+    return F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int")
+
+
+def upsert_stream(rows, table, rejected, checkpoint, dim, buckets=BUCKETS):
     """Start a query that adds the batches of a stream to the vector table.
 
-    Each batch goes to a folder of its own number, so a repeated batch
-    replaces itself. Rows that cannot be stored go to `rejected` with the
-    reason. `current` reads the table as one row per id.
+    The table is cut into `buckets` by id. A batch writes the buckets it touches
+    anew, with the latest version of each id in them, to a folder of its own
+    number; so a read opens one folder per bucket however many batches there
+    were, and a repeated batch replaces itself. Rows that cannot be stored go to
+    `rejected` with the reason. `current` reads the table as one row per id.
     """
 
     def add(batch, number):
+        spark = batch.sparkSession
         batch = batch.persist()
         try:
             accepted, refused = split_valid(batch, dim)
-            keep_latest(accepted).write.mode("overwrite").parquet(f"{table}/batch={number}")
             refused.write.mode("overwrite").parquet(f"{rejected}/batch={number}")
+            new = keep_latest(accepted).withColumns({"arrived": F.lit(number).cast("long"), "bucket": _bucket(buckets)})
+            new = stage(new, "new")
         finally:
             batch.unpersist()
+        touched = [row.bucket for row in new.select("bucket").distinct().collect()]
+        held = _newest(spark, table, before=number)
+        if held is not None:
+            new = new.unionByName(held.where(F.col("bucket").isin(touched)))
+        latest = keep_latest(new, order=ORDER)
+        latest.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{table}/batch={number}")
 
     return (
         rows.writeStream.foreachBatch(add)
@@ -28,11 +51,48 @@ def upsert_stream(rows, table, rejected, checkpoint, dim):
     )
 
 
+def _hadoop(spark, path):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def _folders(spark, path, key):
+    """{number: folder} of the `key=number` folders in a folder."""
+    files, path = _hadoop(spark, path)
+    if not files.exists(path):
+        return {}
+    names = [status.getPath().getName() for status in files.listStatus(path)]
+    return {int(name[len(key) + 1 :]): f"{path}/{name}" for name in names if re.fullmatch(rf"{key}=\d+", name)}
+
+
+def _newest_folders(spark, table, before=None):
+    """{bucket: folder} with each bucket as the last finished batch that touched it left it."""
+    newest = {}
+    for number, batch in sorted(_folders(spark, table, "batch").items()):
+        files, done = _hadoop(spark, f"{batch}/_SUCCESS")
+        if (before is None or number < before) and files.exists(done):
+            newest |= _folders(spark, batch, "bucket")
+    return newest
+
+
+def _newest(spark, table, before=None):
+    folders = sorted(_newest_folders(spark, table, before).values())
+    if not folders:
+        return None
+    # The bucket is the only folder column read; the batch stands in `arrived`.
+    return spark.read.parquet(*folders).withColumn("bucket", F.regexp_extract("_metadata.file_path", r"bucket=(\d+)", 1).cast("int"))
+
+
 def current(spark, table):
     """The latest version per id over all batches added so far."""
-    return keep_latest(spark.read.parquet(table).drop("batch"))
+    return _newest(spark, table).drop("bucket", "arrived")
 
 
-def compact(spark, table, path):
-    """Write the current rows as a new table with one batch."""
-    current(spark, table).write.mode("errorifexists").parquet(f"{path}/batch=0")
+def vacuum(spark, table):
+    """Remove what later batches have written anew."""
+    newest = set(_newest_folders(spark, table).values())
+    for batch in _folders(spark, table, "batch").values():
+        for folder in _folders(spark, batch, "bucket").values():
+            if folder not in newest:
+                files, path = _hadoop(spark, folder)
+                files.delete(path, True)

@@ -7,16 +7,18 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from sieveline.session import session  # noqa: E402
+from sieveline.staging import drop_run  # noqa: E402
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     started = session(
         "tests",
         "local[8]",
         **{
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("staged")),
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
             "spark.ui.showConsoleProgress": "false",
@@ -24,6 +26,7 @@ def spark():
     )
     started.sparkContext.setLogLevel("ERROR")
     yield started
+    drop_run(started)
     started.stop()
 
 

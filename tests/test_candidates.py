@@ -53,7 +53,7 @@ def test_merged_work_has_no_rank_and_comes_last(spark, hits, works):
 def test_nulls_last_in_either_direction(spark, works):
     values = spark.createDataFrame([("A", 0.5), ("B", None), ("M", 0.9)], "id string, score double")
     for descending, first in ((True, "M"), (False, "A")):
-        rows = candidates.ranked_dataset(values, works, "score", descending=descending, bound=3).collect()
+        rows = candidates.ranked_dataset(values, works, "score", descending=descending).collect()
         assert rows[0].id == first and rows[-1].id == "B"
 
 
@@ -66,7 +66,7 @@ def test_dataset_has_full_ids(hits, works):
 
 
 def test_works_are_filtered_in_place(hits, works, plan):
-    text = plan(candidates.enrich(hits, works, ("id", "title"), bound=100))
+    text = plan(candidates.enrich(hits, works, ("id", "title")))
     assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
 
 

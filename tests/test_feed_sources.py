@@ -56,7 +56,7 @@ def test_completeness(spark, tmp_path):
         json.dumps(
             {
                 "entries": [
-                    {"url": f"s3://b/works/updated_date={date}/part_000.gz", "meta": {"content_length": 1, "record_count": n}}
+                    {"url": f"data/works/updated_date={date}/part_000.gz", "meta": {"content_length": 1, "record_count": n}}
                     for date, n in (("2023-01-02", 4), ("2023-01-01", 3), ("2023-01-09", 1))
                 ],
                 "meta": {"content_length": 3, "record_count": 8},
@@ -204,8 +204,13 @@ def test_upsert_stream(spark, tmp_path):
     late = [("a", [9.0], "2023-01-01", "000"), ("b", [3.0], "2023-01-03", "000"), ("c", [1.0, 2.0], "2023-01-03", "000")]
     assert add(late) == {"a": [1.0], "b": [3.0]}
     assert [r.reason for r in spark.read.parquet(rejected).collect()] == ["wrong length"]
-    upsert.compact(spark, table, str(tmp_path / "compact"))
-    assert {r.id: r.embedding for r in upsert.current(spark, str(tmp_path / "compact")).collect()} == {"a": [1.0], "b": [3.0]}
+    # A later row of the same version is a correction.
+    assert add([("a", [0.5], "2023-01-02", "000")]) == {"a": [0.5], "b": [3.0]}
+    before = len(list((tmp_path / "table").rglob("*.parquet")))
+    upsert.vacuum(spark, table)
+    assert len(list((tmp_path / "table").rglob("*.parquet"))) == 2 < before
+    assert {r.id: r.embedding for r in upsert.current(spark, table).collect()} == {"a": [0.5], "b": [3.0]}
+    assert add([("d", [4.0], "2023-01-01", "000")]) == {"a": [0.5], "b": [3.0], "d": [4.0]}
 
 
 def test_profiles(spark):
@@ -229,10 +234,24 @@ def test_fed_counts(spark):
 
 def test_shared_folder_is_the_one_of_the_session(spark):
     folder = staging.shared_dir(spark)
-    assert staging.staged_path(spark, "x").startswith(folder.rstrip("/") + "/x-")
+    assert folder == spark.conf.get("spark.checkpoint.dir")
+    assert staging.staged_path(spark, "x").startswith(f"{staging.run_folder(spark)}/x-")
+    assert staging.run_folder(spark).startswith(folder.rstrip("/") + "/")
     assert staging.stage(spark.range(5)).count() == 5
 
 
+def test_a_folder_has_to_be_named():
+    class Nothing:
+        class conf:
+            get = staticmethod(lambda key, default: None)
+
+        class sparkContext:
+            getCheckpointDir = staticmethod(lambda: None)
+
+    with pytest.raises(ValueError):
+        staging.shared_dir(Nothing)
+
+
 def test_columns_reach_the_scan(spark, sf_dir, plan):
     from sieveline.plans import standins
 
@@ -241,3 +260,56 @@ def test_columns_reach_the_scan(spark, sf_dir, plan):
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
     kept = plan(feed.recent(standins.corpus(spark, sf_dir), standins.dates(spark, sf_dir), on=("id",)))
     assert "ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in kept
+
+
+def test_cells_that_cannot_be_read_are_an_error(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('id,n,x,d\na,1.0,2,2020-01-01\nb,,1e-3,\nc,-7,"",2020-02-29\n')
+    schema = T._parse_datatype_string("id string, n int, x double, d date")
+    rows = sorted(map(tuple, readers.read_csv(spark, str(tmp_path / "t.csv"), schema).select("id", "n", "x").collect()))
+    assert rows == [("a", 1, 2.0), ("b", None, 0.001), ("c", -7, None)]
+    for cell in ("1.5", "one", "99999999999"):
+        (tmp_path / "bad.csv").write_text(f"id,n,x,d\na,{cell},,\n")
+        with pytest.raises(Exception, match="n is not int"):
+            readers.read_csv(spark, str(tmp_path / "bad.csv"), schema).collect()
+
+
+def test_partition_columns_are_kept_and_prune(spark, tmp_path):
+    path = str(tmp_path / "parts")
+    spark.createDataFrame([("a", 1, "x"), ("b", 2, "y")], "id string, n int, updated_date string").write.partitionBy("updated_date").parquet(path)
+    table = readers.read_parquet_parts(spark, path)
+    assert sorted(map(tuple, table.select("id", "updated_date").collect())) == [("a", "x"), ("b", "y")]
+    assert "PartitionFilters: [isnotnull(updated_date" in table.filter("updated_date = 'x'")._jdf.queryExecution().toString()
+
+
+def test_one_large_gzip_file_is_dealt_anew(spark, tmp_path):
+    many = [dict(WORKS[0], id=f"https://openalex.org/W{n}", title="t" * 50 + str(n)) for n in range(2000)]
+    write_part(tmp_path, "2023-01-01", "000", many)
+    works = readers.read_works(spark, str(tmp_path))
+    assert "RebalancePartitions" in works._jdf.queryExecution().optimizedPlan().toString()
+    assert works.count() == 2000
+
+
+def test_staged_tables_of_a_run_can_be_dropped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "run_folder", lambda spark: str(tmp_path / "run"))
+    staging.stage(spark.range(3))
+    assert (tmp_path / "run").exists()
+    staging.drop_run(spark)
+    assert not (tmp_path / "run").exists()
+
+
+@pytest.mark.parametrize("bound", [100, 0])
+def test_rows_without_a_key_are_no_versions(spark, bound):
+    rows = [(None, [1.0], "2023-01-01", "000"), (None, [2.0], "2023-01-02", "000"), ("a", [3.0], "2023-01-01", "000")]
+    kept = feed.keep_latest(spark.createDataFrame(rows, VECTORS), bound=bound)
+    assert [r.id for r in kept.collect()] == ["a"]
+
+
+def test_every_fault_of_a_vector(spark):
+    nan, inf = float("nan"), float("inf")
+    cases = {"a": [1.0, 2.0], "b": [1.0], "c": None, "d": [1.0, None], "e": [nan, 1.0], "f": [1.0, -inf], "g": []}
+    rows = spark.createDataFrame([(i, v, "d", "0") for i, v in cases.items()], VECTORS)
+    accepted, rejected = feed.split_valid(rows, 2)
+    assert [r.id for r in accepted.collect()] == ["a"]
+    assert {r.id: r.reason for r in rejected.collect()} == {
+        "b": "wrong length", "c": "missing embedding", "d": "missing value", "e": "not a number", "f": "not a number", "g": "wrong length",
+    }

@@ -1,9 +1,9 @@
+import hashlib
 import math
 import random
 
 import numpy as np
 import pytest
-from pyspark.ml.feature import HashingTF
 from pyspark.sql import functions as F
 
 from sieveline.operators import embedding, rerank
@@ -13,7 +13,10 @@ def test_hashed_embedding(spark):
     texts = ["a b b", "a b b", "A  c\nd", "", None]
     rows = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "n int, text string").fillna("", "text")
     found = {r.n: r.embedding for r in embedding.embed(rows, dim=32).collect()}
-    index = HashingTF(numFeatures=32).indexOf
+
+    def index(word):
+        return int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % 32
+
     for n, text in enumerate(texts):
         counts = np.zeros(32)
         for word in ("query: " + (text or "")).lower().split():
@@ -85,3 +88,18 @@ def test_balanced_weights(spark):
     table, _ = training(spark)
     weights = {r.label_included: r.w for r in rerank.balance(table, rerank.class_sizes(table)).groupBy("label_included").agg(F.sum("weight").alias("w")).collect()}
     assert weights == {0: pytest.approx(60), 1: pytest.approx(60)}
+
+
+def test_gradient_is_zero_at_the_fit_only(spark):
+    table, _ = training(spark)
+    assert rerank.largest_gradient(rerank.fit_classifier(table, tol=1e-9), table) < 1e-5
+    assert rerank.largest_gradient(rerank.fit_classifier(table, max_iter=1), table) > 1e-3
+
+
+def test_linear_scores(spark):
+    table, rows = training(spark)
+    x = np.array([np.float32(r[2]) for r in rows], dtype=float)
+    y = np.array([r[1] for r in rows])
+    direction = x[y == 1].mean(axis=0) - x[y == 0].mean(axis=0)
+    found = {r.id: r.relevance_score for r in rerank.linear(table)(table).collect()}
+    assert found == {r[0]: pytest.approx(float(v @ direction)) for r, v in zip(rows, x)}

@@ -141,20 +141,24 @@ def test_vectors_of_hits(spark):
 
 def test_all_clusters_are_exact_and_few_are_a_subset(spark, tmp_path):
     data, corpus, queries = make(spark)
-    model = clusters.fit_clusters(corpus, 6)
-    table = clusters.write_clusters(corpus, model, str(tmp_path / "clusters"))
-    every = clusters.nearest_in_clusters(table, model, queries, 20, 6)
+    centers = clusters.fit_centers(corpus, 6)
+    table = clusters.write_clusters(corpus, centers, str(tmp_path / "clusters"))
+    every = clusters.nearest_in_clusters(table, centers, queries, 20, 6)
     assert triples(every) == sorted(brute(data, 5, 20))
-    some = clusters.nearest_in_clusters(table, model, queries, 20, 2)
+    some = clusters.nearest_in_clusters(table, centers, queries, 20, 2)
+    in_blocks = clusters.nearest_in_clusters(table, centers, queries, 20, 2, max_bytes=0)
+    assert triples(in_blocks) == triples(some)
+    unknown = spark.createDataFrame([(99, "none", None)], QUERIES)
+    assert clusters.nearest_in_clusters(table, centers, queries.limit(0).union(unknown), 20, 2).count() == 0
     report = clusters.recall_report(some, every).collect()
     assert all(0 < row.recall <= 1 and row.n_exact == 20 for row in report)
 
 
 def test_probed_clusters_are_pruned(spark, tmp_path, plan):
     _, corpus, queries = make(spark)
-    model = clusters.fit_clusters(corpus, 6)
-    table = clusters.write_clusters(corpus, model, str(tmp_path / "clusters"))
-    text = plan(clusters.nearest_in_clusters(table, model, queries.limit(1), 20, 1))
+    centers = clusters.fit_centers(corpus, 6)
+    table = clusters.write_clusters(corpus, centers, str(tmp_path / "clusters"))
+    text = plan(clusters.nearest_in_clusters(table, centers, queries.limit(1), 20, 1))
     assert "PartitionFilters: [isnotnull(cluster" in text or "PartitionFilters: [(cluster" in text
 
 
@@ -194,3 +198,51 @@ def test_similarity_to_one_vector(spark):
     one = spark.createDataFrame([([3.0, 0.0],)], "embedding array<float>")
     found = similarity.similarity_to(corpus, one, "s").collect()
     assert {r.id: r.s for r in found} == {"a": 1.0, "b": 0.0}
+
+
+def test_queries_that_cannot_be_compared_are_named(spark):
+    _, corpus, queries = make(spark)
+    dim = len(queries.first().embedding)
+    for bad in ([1.0], [float("nan")] * dim, [None] * dim, []):
+        odd = spark.createDataFrame([(99, "odd one", bad)], QUERIES)
+        for search in (
+            lambda asked: neighbors.nearest(corpus, asked, 3),
+            lambda asked: neighbors.nearest(corpus, asked, 3, max_bytes=0),
+            lambda asked: similarity.most_similar(corpus, asked),
+        ):
+            with pytest.raises(ValueError, match="odd one|W"):
+                search(queries.unionByName(odd))
+
+
+def test_rows_that_cannot_be_compared_are_no_hits(spark):
+    data, corpus, queries = make(spark)
+    dim = len(queries.first().embedding)
+    odd = spark.createDataFrame([("X", [float("nan")] * dim), ("Y", [None] * dim), ("Z", [float("inf")] * dim)], CORPUS)
+    every = corpus.unionByName(odd)
+    for max_bytes in (10**9, 0):
+        assert triples(neighbors.nearest(every, queries, 400, max_bytes=max_bytes)) == sorted(brute(data, 5, 400))
+    assert similarity.most_similar(every, queries).count() == len(data)
+
+
+def test_the_driver_receives_no_more_than_the_bound(spark, monkeypatch):
+    _, corpus, queries = make(spark)
+    received = []
+    kind = type(queries)
+    fetch = kind.toArrow
+    monkeypatch.setattr(kind, "toArrow", lambda self: received.append(fetch(self)) or received[-1])
+    dim = len(queries.first().embedding)
+    neighbors.nearest(corpus, corpus.select(F.monotonically_increasing_id().alias("query_pos"), F.col("id").alias("query_id"), "embedding"), 1, max_bytes=dim * 8 * 7)
+    assert sum(table.num_rows for table in received) <= 7
+    neighbors.nearest(corpus, queries, 1, max_bytes=dim * 8 * 7)
+    assert received and all(table.num_rows <= 7 for table in received)
+
+
+def test_tasks_are_bounded_by_bytes(spark, tmp_path):
+    from sieveline.staging import few_tasks
+
+    path = str(tmp_path / "rows")
+    spark.range(100_000).repartition(200).write.parquet(path)
+    rows = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    assert few_tasks(rows)[1] == 4 * cores
+    assert few_tasks(rows, task_bytes=1000)[1] > 4 * cores

@@ -45,8 +45,8 @@ def test_attribution_keeps_records_found_nowhere(spark, hits):
 
 def test_recall_curve(spark, hits):
     relevant = spark.createDataFrame([("X",), ("X",), ("B",), ("never",), (None,)], "id string")
-    curve = recall.recall_curve(hits, relevant, 7).orderBy("rank").collect()
-    assert [r.n_found for r in curve] == [0, 0, 1, 1, 1, 2, 2]
+    curve = recall.recall_curve(hits, relevant, 10).orderBy("rank").collect()
+    assert [r.n_found for r in curve] == [0, 0, 1, 1, 1, 2, 2, 2, 2, 2]
     assert {r.n_relevant for r in curve} == {3}
     assert curve[-1].recall == pytest.approx(2 / 3)
 
@@ -120,3 +120,49 @@ def test_seeds(spark):
     assert every == {"1": 0, "2": 0, "3": 1, "4": 1, "5": 0}
     with pytest.raises(ValueError):
         seeds.relabel_excluded(review, ["10.9/none"])
+
+
+def test_positions_of_a_long_dataset(spark):
+    rows = spark.range(7_100).select(F.col("id").cast("string").alias("id"), (F.col("id") * 1.0).alias("relevance_score"))
+    placed = recall.dataset_positions(rows)
+    assert placed.count() == 7_100
+    assert placed.filter(F.col("position") != 7_099 - F.col("relevance_score")).count() == 0
+
+
+def test_curves_are_as_deep_as_the_hits(spark):
+    from sieveline.operators import responses
+
+    deep = spark.range(6_000).select(
+        F.lit(0).cast("long").alias("query_pos"), F.lit("q").alias("query_id"), F.col("id").cast("int").alias("rank"), F.col("id").cast("string").alias("id")
+    )
+    assert responses.discovery_curve(deep).count() == 6_000
+    assert tuple(responses.choose_cutoff(deep, 5_500).first()) == (5_500, 5_500, 5_500, 5_500)
+    assert recall.recall_curve(deep, deep.select("id")).agg(F.max("n_found")).first()[0] == 6_000
+    for curve in (responses.discovery_curve, lambda hits, depth: recall.recall_curve(hits, hits, depth)):
+        with pytest.raises(ValueError):
+            curve(deep, 5_000)
+
+
+def test_null_keys_do_not_meet_in_one_task(spark):
+    rows = spark.range(8_000).select(F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).alias("openalex_id"), F.col("id").alias("n"))
+    others = spark.range(0, 8_000, 20).select(F.col("id").cast("string").alias("id"))
+    flagged = master.flag_members(rows.repartition(8), others, "hit", on="openalex_id")
+    assert flagged.filter("hit").count() == 400 and flagged.count() == 8_000
+    sizes = flagged.select(F.spark_partition_id().alias("p")).groupBy("p").count().collect()
+    assert max(row["count"] for row in sizes) < 4_000
+
+
+def test_many_lists_are_an_error(spark, hits, monkeypatch):
+    from sieveline.operators import responses
+
+    monkeypatch.setattr(settings, "MOST_LISTS", 2)
+    with pytest.raises(ValueError):
+        responses.overlap(hits, hits)
+
+
+def test_membership_of_ids_without_a_list(spark, hits):
+    from sieveline.operators import responses
+
+    other = spark.createDataFrame([("A",), ("A",), ("Z",), (None,)], "id string")
+    found = {r.query_id: tuple(r)[1:] for r in responses.membership(hits, {"in_other": other, "in_none": other.limit(0)}, "query_id").collect()}
+    assert found == {"q0": (2, 1, 0), "q1": (2, 0, 0), "q2": (1, 0, 0)}
