@@ -1,0 +1,88 @@
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from sieveline.llm import quality
+
+
+def texts(rng, n):
+    """(text, quality): prose, or the same words shouted, in a table, or repeated."""
+    for _ in range(n):
+        words = ["".join(rng.choices(["an", "the", "er", "ing", "st", "ou"], k=rng.randint(1, 3))) for _ in range(rng.randint(40, 300))]
+        kind = rng.randrange(6)
+        if kind == 0:
+            yield "!! ".join(words).upper(), 0
+        elif kind == 1:
+            yield " | ".join(words), 0
+        elif kind == 2:
+            yield " ".join(word for word in words[:20] for _ in range(12)), 0
+        else:
+            yield " ".join(words) + ".", 1
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    rows = [(i, text, truth) for i, (text, truth) in enumerate(texts(random.Random(4), 900))]
+    table = spark.createDataFrame(rows, "doc_id long, text string, quality int").cache()
+    return table.select("doc_id", "text"), table.select("doc_id", "quality")
+
+
+@pytest.fixture(scope="module")
+def model(tables):
+    docs, labels = tables
+    return quality.fit(docs, labels.where(~quality.held_out(F.col("doc_id"))))
+
+
+def test_held_out_accuracy(tables, model):
+    docs, labels = tables
+    scored = quality.with_score(docs, model).join(labels, "doc_id").where(quality.held_out(F.col("doc_id"))).collect()
+    assert len(scored) > 100 and all(zlib.crc32(str(row.doc_id).encode()) % 5 == 0 for row in scored)
+    right = [(row.score >= quality.THRESHOLD) == bool(row.quality) for row in scored]
+    assert sum(right) >= 0.97 * len(right)
+    # Calibrated: scores are right as often as they say.
+    assert abs(sum(row.score for row in scored) / len(scored) - sum(row.quality for row in scored) / len(scored)) < 0.05
+
+
+def test_fit_is_the_same_again(tables, model):
+    docs, labels = tables
+    again = quality.fit(docs.repartition(7), labels.repartition(3).where(~quality.held_out(F.col("doc_id"))))
+    assert again == model
+
+
+def test_edges(spark, model):
+    long = "the anst ering ou " * 60_000
+    rows = [(1, None), (2, ""), (None, "the an"), (4, long), (4, long)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    scores = {}
+    for row in quality.with_score(docs, model).collect():
+        assert 0 <= row.score <= 1
+        scores.setdefault(row.doc_id, set()).add(row.score)
+    assert scores[1] == scores[2] and len(scores[4]) == 1
+    assert quality.with_score(docs.limit(0), model).count() == 0
+
+
+def test_the_end_of_a_text_counts(model):
+    sizes = quality.Sizes(model.good, model.bad)
+    prose = b"the anst ering ou er inger stou anthe " * 200
+    assert sizes(prose + b"THEAN!! OUING!! STER!! " * 200)[1] < sizes(prose)[1]
+
+
+def test_only_good_rows_and_their_columns(spark, tables, model):
+    docs = tables[0].withColumns({"score": F.lit("score"), "_score": F.lit("x")})
+    kept = quality.good_only(docs, model)
+    assert kept.columns == docs.columns
+    assert 0 < kept.count() < docs.count()
+
+
+def test_too_few_labels_are_an_error(spark, tables):
+    docs, labels = tables
+    with pytest.raises(ValueError):
+        quality.fit(docs, labels.where("quality = 1"))
+
+
+def test_fit_is_bounded(spark, tables):
+    docs, labels = tables
+    sample = quality.labelled_sample(docs, labels, rows=30, chars=500)
+    assert all(len(sample[q]) <= 30 and all(len(text.decode()) <= 500 for text in sample[q]) for q in (0, 1))
