@@ -93,11 +93,11 @@ def fair_mix(docs, weights=WEIGHTS, repeats=MOST_REPEATS, share=1.0, seed=0):
         .where(F.col("given") - F.col("total") < F.col("target"))
         .select((F.col("given") / F.col("target")).alias("finish"), "key", "doc_id", "row", "source", "total")
     )
-    budget = targets.agg((F.sum("source_size") * F.lit(share)).alias("budget"))
+    budget = targets.agg((F.sum("source_size") * F.lit(share)).alias("budget")).scalar()
     order = ["finish", "key", "doc_id", "row", "source"]
     taken = (
         running(stage(queued, "queued"), order, {"mixed": "total"})
-        .join(F.broadcast(budget), F.col("mixed") - F.col("total") < F.col("budget"))
+        .where(F.col("mixed") - F.col("total") < budget)
         .groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("source").alias("_source"))
         .agg(F.count("*").alias("_copies"))
     )
