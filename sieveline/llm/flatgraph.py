@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sieveline.llm.components import components
+from sieveline.llm.components import Sets, components
 from sieveline.staging import stage
 
 COSINE = 0.95
@@ -170,27 +170,6 @@ def search(query, points, links, medoid, beam=BEAM, cosine=COSINE):
     return np.concatenate(within) if within else np.empty(0, np.int64)
 
 
-class _Sets:
-    """Union of ids."""
-
-    def __init__(self):
-        self.parent = {}
-
-    def find(self, x):
-        root = x
-        while (up := self.parent.setdefault(root, root)) != root:
-            root = up
-        while self.parent[x] != root:
-            self.parent[x], x = root, self.parent[x]
-        return root
-
-    def join(self, ids):
-        roots = sorted(map(self.find, ids))
-        for root in roots[1:]:
-            self.parent[root] = roots[0]
-        return roots[0]
-
-
 def _graph(members):
     """(id, neighbours) of all vectors, the union of their lists over all cells.
 
@@ -226,7 +205,7 @@ def _found(members, graph, queries, beam, cosine):
     asked = queries.select(*(F.col(name).alias(f"_{name}") for name in ("cell", "block", "id", "vector")))
 
     def searched(key, left, right):
-        counts, sets = {}, _Sets()
+        counts, sets = {}, Sets()
         if len(left) and len(right):
             ids = left.column("id").to_numpy()
             order = np.argsort(ids)
