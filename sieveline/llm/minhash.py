@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from sieveline.llm.components import components
+from sieveline.llm.components import Sets, components
 from sieveline.llm.shingles import digest, minhashes, shingle_set, similar
 from sieveline.llm.tables import text_of
 from sieveline.staging import small, stage
@@ -15,14 +15,15 @@ SIZE = 5
 PERCENT = 75
 # A signature has POSITIONS values of 16 bits. The first CHUNKS * CHUNK are indexed in chunks; a
 # chunk may have one error. So all pairs that differ in fewer than 2 * CHUNKS indexed positions meet.
-POSITIONS = 128
+POSITIONS = 192
 CHUNKS = 10
 CHUNK = 4
-# Candidates with fewer equal positions are no pairs: at a similarity of 0.75, 96 are expected, with
-# a deviation of 4.9; fewer than 64 come about once in 10**9 pairs.
-LEAST_EQUAL = 64
+# Candidates with fewer equal positions are no pairs: at a similarity of 0.75, 144 are expected, with
+# a deviation of 6; fewer than 114 come less than once in a million pairs, and for more similar ones not at all.
+LEAST_EQUAL = 114
 # A cell of the exhaustive join holds at most about two blocks.
-BLOCK = 256
+BLOCK = 1_024
+KEPT = list(itertools.combinations(range(CHUNK), CHUNK - 1))
 
 SIGNED = "doc_id long, n long, digest binary, keys array<long>, signature binary"
 
@@ -32,14 +33,21 @@ def _keys(values):
     own = values.astype(np.int64)
     keys = []
     for chunk in range(CHUNKS):
-        for kept in itertools.combinations(range(chunk * CHUNK, (chunk + 1) * CHUNK), CHUNK - 1):
+        for kept in KEPT:
             packed = np.int64(len(keys))
             for position in kept:
-                packed = (packed << 16) | own[position]
+                packed = (packed << 16) | own[chunk * CHUNK + position]
             keys.append(packed)
     return keys
 
 
+def _first_common(equal):
+    """Number of the first key that pairs have in common, from the equal positions (n, POSITIONS) of each."""
+    chunks = equal[:, : CHUNKS * CHUNK].reshape(len(equal), CHUNKS, CHUNK)
+    common = np.stack([chunks[:, :, kept].all(axis=2) for kept in KEPT], axis=2)
+    return common.reshape(len(equal), CHUNKS * len(KEPT)).argmax(axis=1)
+
+
 def signatures(docs, size=SIZE):
     """(doc_id, n, digest, keys, signature) per row: size and digest of its shingle set, the rest null if it is empty."""
 
@@ -86,6 +94,13 @@ def _matrix(column):
     return np.array([np.frombuffer(value.as_py(), np.uint16) for value in column], np.uint16).reshape(len(column), POSITIONS)
 
 
+def _texts(docs, ids):
+    """(doc_id, text) of the documents in `ids`, a table with one column, staged."""
+    texts = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).cast("binary").alias("text"))
+    wanted = small(stage(ids.toDF("_id").distinct(), "needed"))
+    return stage(texts.join(wanted, F.col("doc_id") == F.col("_id"), "left_semi"), "texts")
+
+
 def _verified(pairs, docs, size, percent):
     """The pairs (a, b) whose full shingle sets are similar."""
 
@@ -100,41 +115,77 @@ def _verified(pairs, docs, size, percent):
             yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
 
     pairs = stage(pairs, "pairs")
-    needed = pairs.select(F.col("a").alias("_id")).union(pairs.select("b")).distinct()
-    texts = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).cast("binary").alias("text"))
-    texts = stage(texts.join(small(stage(needed, "needed")), F.col("doc_id") == F.col("_id"), "left_semi"), "texts")
+    texts = _texts(docs, pairs.select("a").union(pairs.select("b")))
     for side in ("b", "a"):
         pairs = pairs.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"{side}_text")), side)
     return pairs.select("a", "b", "a_text", "b_text").mapInArrow(verify, "a long, b long")
 
 
-def _mixed_pairs(members, signed):
-    """Pairs of near signatures that share a bucket and are in different components so far.
+def _members(reps):
+    """(key, doc_id, hub) of all buckets of several documents.
 
-    `members` (key, doc_id, component) are the buckets; only those of several
-    components come here. Buckets are cut into blocks and each pair of blocks is
-    a cell of at most about 2 * BLOCK rows, compared as matrices in one task.
+    The hub of a bucket is the member that is in the most and largest buckets, so
+    one that many others are near; of equal ones the smallest.
     """
+    buckets = reps.select(F.explode("keys").alias("key"), "doc_id")
+    shared = buckets.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    rows = stage(buckets.join(shared, "key"), "shared")
+    weights = rows.groupBy("doc_id").agg(F.sum("n").alias("weight"))
+    most = F.max(F.struct("weight", (-F.col("doc_id")).alias("minus")))
+    hubs = rows.join(weights, "doc_id").groupBy("key").agg((-most["minus"]).alias("hub"))
+    return stage(rows.join(hubs, "key").select("key", "doc_id", "hub"), "members")
+
+
+def _mixed(members):
+    """(key, n) of the buckets whose members (key, doc_id, component), hubs left out, are in several components."""
     counts = members.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n"))
-    counts = stage(counts.where("lo <> hi").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "mixed")
-    rows = members.join(counts, "key").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    other = F.sequence(F.lit(0), F.col("blocks") - 1)
-    rows = rows.select("key", "doc_id", "component", "block", F.explode(other).alias("other"))
+    return stage(counts.where("lo <> hi").select("key", "n"), "mixed")
+
+
+def _cell_links(members, mixed, signed, docs, size, percent):
+    """Links between components of mixed buckets, as many as join what is similar there.
+
+    Buckets are cut into blocks and each pair of blocks is a cell of at most
+    about 2 * BLOCK rows, compared in one task: signatures as matrices, near
+    ones on their full sets. A pair is compared in the first bucket it has in
+    common; where one of the two is that bucket's hub, the star has done so.
+    Pairs of sets the cell has joined already are skipped, so it returns fewer
+    links than it has rows.
+    """
+    sizes = mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    rows = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = rows.select("key", "doc_id", "component", "block", other)
     cell = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
-    rows = rows.select(cell.alias("cell"), "doc_id", "component", F.when(F.col("block") != F.col("other"), F.signum(F.col("block") - F.col("other"))).otherwise(0).cast("int").alias("side"))
-    rows = rows.join(signed.select("doc_id", "signature"), "doc_id").select("cell", "doc_id", "component", "side", "signature")
+    side = F.signum(F.col("block") - F.col("other")).cast("int")
+    number = F.shiftright("key", 48).cast("int")
+    rows = rows.select(cell.alias("cell"), "doc_id", "component", side.alias("side"), number.alias("number"))
+    rows = stage(rows, "cells")
+    told = _texts(docs, rows.select("doc_id")).join(signed.select("doc_id", "signature"), "doc_id")
+    rows = rows.join(told, "doc_id").select("cell", "doc_id", "component", "side", "number", "signature", "text")
 
     def compare(table):
-        """Pairs of one cell; within a block all, else across its two sides."""
-        ids, comps, sides = (table.column(n).to_numpy() for n in (1, 2, 3))
-        signs = _matrix(table.column(4).combine_chunks() if isinstance(table, pa.Table) else table.column(4))
+        """Links of one cell: among all of a block, or across two."""
+        ids, comps, sides, numbers = (table.column(n).to_numpy() for n in range(1, 5))
+        signs, texts = _matrix(table.column(5).combine_chunks()), table.column(6)
+        joined, sets = Sets(), {}
+
+        def own(i):
+            if i not in sets:
+                sets[i] = shingle_set(texts[i].as_buffer().to_pybytes(), size)
+            return sets[i]
+
         for i in range(len(ids)):
             rest = slice(i + 1, None)
-            close = (comps[rest] != comps[i]) & (ids[rest] != ids[i]) & ((sides[rest] == 0) | (sides[rest] != sides[i]))
-            at = np.nonzero(close)[0] + i + 1
-            if len(at):
-                at = at[(signs[at] == signs[i]).sum(axis=1) >= LEAST_EQUAL]
-                yield from ((ids[i], ids[j]) for j in at)
+            apart = (comps[rest] != comps[i]) & (ids[rest] != ids[i]) & ((sides[rest] == 0) | (sides[rest] != sides[i]))
+            at = np.nonzero(apart)[0] + i + 1
+            equal = signs[at] == signs[i]
+            near = equal.sum(axis=1) >= LEAST_EQUAL
+            at, equal = at[near], equal[near]
+            for j in map(int, at[_first_common(equal) == numbers[i]]):
+                if joined.find(int(comps[i])) != joined.find(int(comps[j])) and similar(own(i), own(j), percent):
+                    joined.join([int(comps[i]), int(comps[j])])
+                    yield ids[i], ids[j]
 
     def cells(batches):
         left = None
@@ -164,11 +215,11 @@ def near_duplicates(docs, size=SIZE, percent=PERCENT):
     component is the smallest doc_id reachable by links; it alone is kept.
 
     1. Equal sets are one class, held by its smallest doc_id.
-    2. Signatures of 128 minhashes of 16 bits: ten chunks of four positions are
+    2. Signatures of POSITIONS minhashes of 16 bits: ten chunks of four positions are
        indexed with each position left out in turn (one error a chunk), so that
        all pairs that differ in fewer than 20 of the 40 positions share a bucket.
-    3. Each member of a bucket is compared with the bucket's smallest one (a
-       star, not all pairs) and pairs confirmed on the full sets become links.
+    3. Each member of a bucket is compared with the bucket's hub (a star, not all
+       pairs) and pairs confirmed on the full sets become links.
     4. Buckets whose other members are then in several components are compared
        exhaustively across components, in bounded cells; confirmed pairs join.
 
@@ -186,18 +237,15 @@ def near_duplicates(docs, size=SIZE, percent=PERCENT):
     several = rows.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a <> b")
     several = rows.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).distinct()
 
-    buckets = reps.select(F.explode("keys").alias("key"), "doc_id")
-    leaders = buckets.groupBy("key").agg(F.min("doc_id").alias("leader"), F.max("doc_id").alias("last"))
-    leaders = leaders.where("leader <> last").select("key", "leader")
-    members = stage(buckets.join(leaders, "key").where("doc_id <> leader"), "members")
-    stars = members.select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct()
-    links = stage(_verified(_near(stars, reps), docs, size, percent).union(several), "links")
-
+    members = _members(reps).where("doc_id <> hub")
+    stars = _pairs(members.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")))
+    links = _verified(_near(stars, reps), docs, size, percent).union(several)
     found = stage(components(links), "found")
     component = F.coalesce("component", "doc_id").alias("component")
-    placed = members.join(found, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", component)
-    more = _verified(_mixed_pairs(stage(placed, "placed"), reps), docs, size, percent)
-    found = components(links.union(found.select("node", "component")).union(more))
+    apart = members.join(found, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", component)
+    apart = stage(apart, "apart")
+    more = _cell_links(apart, _mixed(apart), reps, docs, size, percent)
+    found = components(more.union(found.select("node", "component")))
 
     ends = rows.select("digest", "rep").distinct().join(found, F.col("rep") == F.col("node"), "left")
     ends = ends.select(F.col("digest").alias("_digest"), F.coalesce("component", "rep").alias("_component"))

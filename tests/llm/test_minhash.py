@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sieveline.llm import minhash
 from sieveline.llm.components import components
+from sieveline.staging import stage
 
 
 def frame(spark, rows):
@@ -73,14 +74,13 @@ def test_dedup_keeps_columns(spark):
 
 def test_buckets_of_many_components_are_compared_in_cells(spark, monkeypatch):
     monkeypatch.setattr(minhash, "BLOCK", 16)
-    # So near that each pair has a key in common.
-    monkeypatch.setattr(minhash, "LEAST_EQUAL", 170)
-    rng = random.Random(2)
-    signed = minhash.signatures(frame(spark, list(enumerate(variants(rng, 90, 60, 3)))))
+    texts = dict(enumerate(variants(random.Random(2), 90, 60, 3)))
+    docs = frame(spark, list(texts.items()))
+    signed = stage(minhash.signatures(docs), "signed")
     members = signed.select(F.explode("keys").alias("key"), "doc_id", F.col("doc_id").alias("component"))
-    pairs = minhash._cell_pairs(members, minhash._mixed(members), signed)
-    near = minhash._near(signed.select(F.col("doc_id").alias("a")).crossJoin(signed.select(F.col("doc_id").alias("b"))).where("a < b"), signed)
-    assert sorted(map(tuple, pairs.collect())) == sorted(map(tuple, near.collect()))
+    links = minhash._cell_links(members, minhash._mixed(members), signed, docs, 5, 75)
+    groups = dict(map(tuple, components(links).collect()))
+    assert {i: groups.get(i, i) for i in texts} == {i: component for i, (_, component) in near_groups(texts).items()}
 
 
 @pytest.mark.parametrize("task_links", [10**6, 100])
