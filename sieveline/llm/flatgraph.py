@@ -1,6 +1,7 @@
 """Embedding near-dedup by a flat graph of robustly pruned neighbours."""
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,11 @@ OVERLAP = 2
 PROBES = 5
 NEAR, FAR, ALPHA, CANDIDATES = 20, 8, 1.2, 56
 BEAM = 32
-AUDITED = 512
+# The audit draws AUDITED vectors or ROOTS times the root of their number, whichever is more, in rounds
+# of up to ROUND, and goes on until LINKED of those drawn have links or none is left to draw.
+AUDITED, ROOTS, ROUND = 512, 16, 8_192
+LINKED = 200
+PLACES = 2**40
 RECALL = 0.95
 
 
@@ -192,7 +197,7 @@ def _graph(members):
 
 
 def _found(members, graph, queries, beam, cosine):
-    """(id, links, root) rows: partial counts of the links of vectors, and ids in one set with them.
+    """(id, links, nodes, root) rows: partial counts of the links and linked nodes of vectors, and ids in one set with them.
 
     The queries of a cell come in blocks, each with a copy of the cell's graph.
     Of the vectors found only those count whose nearest center is the cell's, so
@@ -205,7 +210,7 @@ def _found(members, graph, queries, beam, cosine):
     asked = queries.select(*(F.col(name).alias(f"_{name}") for name in ("cell", "block", "id", "vector")))
 
     def searched(key, left, right):
-        counts, sets = {}, Sets()
+        counts, linked, sets = {}, {}, Sets()
         if len(left) and len(right):
             ids = left.column("id").to_numpy()
             order = np.argsort(ids)
@@ -229,7 +234,7 @@ def _found(members, graph, queries, beam, cosine):
                 found = found[own[found] & (ids[found] != query_id)]
                 if len(found):
                     query_id = int(query_id)
-                    counts[query_id] = int(mult[found].sum())
+                    counts[query_id], linked[query_id] = int(mult[found].sum()), len(found)
                     root = sets.join([query_id, *map(int, np.unique(roots[found]))])
                     roots[found] = root
         touched = np.array(sorted(sets.parent), np.int64)
@@ -237,11 +242,12 @@ def _found(members, graph, queries, beam, cosine):
             {
                 "id": touched,
                 "links": np.array([counts.get(int(x), 0) for x in touched], np.int64),
+                "nodes": np.array([linked.get(int(x), 0) for x in touched], np.int64),
                 "root": np.array([sets.find(int(x)) for x in touched], np.int64),
             }
         )
 
-    return nodes.groupBy("cell", "block").cogroup(asked.groupBy("_cell", "_block")).applyInArrow(searched, "id long, links long, root long")
+    return nodes.groupBy("cell", "block").cogroup(asked.groupBy("_cell", "_block")).applyInArrow(searched, "id long, links long, nodes long, root long")
 
 
 def _linked(reps, dim, cosine, beam, probes):
@@ -266,28 +272,79 @@ def _linked(reps, dim, cosine, beam, probes):
     return stage(_found(members, graph, asked, beam, cosine), "found"), probes >= len(centers)
 
 
-def audit(reps, found, dim, cosine=COSINE, queries=AUDITED):
-    """(links found, links there) of `queries` vectors drawn by hash, by brute force over all of `reps`."""
-    drawn = reps.orderBy(F.xxhash64(F.lit(1), "id"), "id").limit(queries).select("id", "vector").toArrow()
+def _there(reps, drawn, dim, cosine):
+    """{id: (links, nodes)} of those of the vectors `drawn` (an Arrow table of id, vector) that have any, by brute force over all of `reps`."""
     points = _matrix(drawn.column("vector").combine_chunks(), dim) if drawn.num_rows else np.empty((0, dim))
-    ids = drawn.column("id").to_numpy()
-    sent = reps.sparkSession.sparkContext.broadcast((ids, points))
+    sent = reps.sparkSession.sparkContext.broadcast((drawn.column("id").to_numpy(), points))
 
     def count(batches):
         own, queries = sent.value
-        total = np.zeros(len(own), np.int64)
+        links, nodes = np.zeros(len(own), np.int64), np.zeros(len(own), np.int64)
         for batch in batches:
-            close = _matrix(batch.column(1), dim) @ queries.T >= cosine
-            close &= batch.column(0).to_numpy()[:, None] != own[None, :]
-            total += (close * batch.column(2).to_numpy()[:, None]).sum(axis=0)
-        yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total)], ["id", "there"])
+            ids, mult, vectors = batch.column(0).to_numpy(), batch.column(2).to_numpy(), _matrix(batch.column(1), dim)
+            for start in range(0, len(own), 512):
+                at = slice(start, start + 512)
+                rows, close = np.nonzero(vectors @ queries[at].T >= cosine)
+                other = ids[rows] != own[at][close]
+                rows, close = rows[other], close[other]
+                np.add.at(links[at], close, mult[rows])
+                np.add.at(nodes[at], close, 1)
+        any_ = nodes > 0
+        yield pa.RecordBatch.from_arrays([pa.array(own[any_]), pa.array(links[any_]), pa.array(nodes[any_])], ["id", "links", "nodes"])
+
+    counted = reps.select("id", "vector", "mult").mapInArrow(count, "id long, links long, nodes long")
+    rows = counted.groupBy("id").agg(F.sum("links").alias("links"), F.sum("nodes").alias("nodes")).collect()
+    sent.destroy()
+    return {row["id"]: (row["links"], row["nodes"]) for row in rows}
 
-    there = reps.select("id", "vector", "mult").mapInArrow(count, "id long, there long").groupBy("id").agg(F.sum("there").alias("there"))
-    counts = found.groupBy("id").agg(F.sum("links").alias("links"))
-    row = there.join(counts, "id", "left").agg(
-        F.coalesce(F.sum(F.least(F.coalesce("links", F.lit(0)), "there")), F.lit(0)).alias("found"), F.coalesce(F.sum("there"), F.lit(0)).alias("there")
-    ).first()
-    return row["found"], row["there"]
+
+def audit(reps, found, dim, cosine=COSINE, queries=AUDITED):
+    """(links found, links there) of `queries` vectors drawn by hash, by brute force over all of `reps`."""
+    drawn = reps.orderBy(F.xxhash64(F.lit(1), "id"), "id").limit(queries).select("id", "vector").toArrow()
+    there = {i: links for i, (links, _) in _there(reps, drawn, dim, cosine).items()}
+    counts = _of(found, there, "links")
+    return sum(min(counts.get(i, 0), links) for i, links in there.items()), sum(there.values())
+
+
+def _of(found, ids, column):
+    """{id: sum of `column`} of those of the few `ids` that `found` has."""
+    wanted = F.broadcast(found.sparkSession.createDataFrame([(i,) for i in ids], "id long"))
+    return {row["id"]: row["n"] for row in found.join(wanted, "id").groupBy("id").agg(F.sum(column).alias("n")).collect()}
+
+
+def linked_sample(reps, dim, cosine=COSINE):
+    """{id: nodes linked} of vectors drawn by hash that have links, by brute force over all of `reps`.
+
+    More and more are drawn until LINKED of them have links (see AUDITED). So if there
+    are none in the sample, every vector was drawn and `reps` has no links.
+    """
+    rows = reps.count()
+    least = max(AUDITED, ROOTS * math.isqrt(rows))
+    place = F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(PLACES))
+    there, start, size = {}, 0, min(least, ROUND)
+    while start < PLACES and (start * rows < least * PLACES or len(there) < LINKED):
+        stop = min(PLACES, start + -(-size * PLACES // max(rows, 1)))
+        drawn = reps.where((place >= start) & (place < stop)).select("id", "vector").toArrow()
+        there |= {i: nodes for i, (_, nodes) in _there(reps, drawn, dim, cosine).items()}
+        start, size = stop, min(2 * size, ROUND)
+    return there
+
+
+def recalls(there, found):
+    """(size class, recall) of each vector of a linked_sample(): the share of its linked nodes, not of rows, that `found` has.
+
+    Vectors with 1, 2 to 3, 4 to 7 ... linked nodes are one class.
+    """
+    counts = _of(found, there, "nodes") if there else {}
+    return [(nodes.bit_length(), min(counts.get(i, 0), nodes) / nodes) for i, nodes in there.items()]
+
+
+def least_mean(pairs):
+    """The least mean recall of any size class; 1 if there are no linked vectors at all."""
+    classes = {}
+    for size, own in pairs:
+        classes.setdefault(size, []).append(own)
+    return min((sum(own) / len(own) for own in classes.values()), default=1.0)
 
 
 def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_col="embedding"):
@@ -304,9 +361,14 @@ def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_
        some far ones, in both directions. A node's lists from all cells are united.
     4. Each node is searched for in the cells of its PROBES nearest centers, greedily
        from the medoid, expanding all nodes within range.
-    5. AUDITED nodes are compared with all others by brute force. If fewer than
-       `recall` of their links were found, the search is repeated with twice the
-       beam and probes, until it is enough or all cells are probed.
+    5. Nodes are drawn until LINKED of them have links, and compared with all others
+       by brute force; a table with few links or none is drawn whole. If the mean
+       recall of any class of nodes with about as many linked nodes is below `recall`,
+       the search is repeated with twice the beam and probes, until it is enough
+       or all cells are probed.
+
+    audited_recall is the mean recall of the linked nodes drawn, each counted once; null
+    only if all nodes were compared and none has a link.
 
     Null ids and unusable vectors (see unit_vectors()) have no links; their component is
     their own vec_id. Vectors of different length are not compared. Rows that
@@ -323,18 +385,19 @@ def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_
     joins = rows.join(several, "id").select("a", F.col("rep").alias("b"))
 
     counts = every.sparkSession.createDataFrame([], "id long, links long, root long")
-    hit = there = 0
+    audited = []
     for (dim,) in sorted(map(tuple, reps.select("dim").distinct().collect())):
         own = reps.where(F.col("dim") == dim)
+        there = linked_sample(own, dim, cosine)
         beam, probes = BEAM, PROBES
         while True:
             found, everywhere = _linked(own, dim, cosine, beam, probes)
-            own_hit, own_there = audit(own, found, dim, cosine)
-            if own_hit >= recall * own_there or everywhere:
+            sampled = recalls(there, found)
+            if least_mean(sampled) >= recall or everywhere:
                 break
             beam, probes = 2 * beam, 2 * probes
-        hit, there = hit + own_hit, there + own_there
-        counts = counts.union(found)
+        audited += sampled
+        counts = counts.union(found.select("id", "links", "root"))
 
     links = stage(counts.select(F.col("root").alias("a"), F.col("id").alias("b")).union(joins), "links")
     places = components(links)
@@ -352,5 +415,5 @@ def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_
         "n_links",
         "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
-        F.lit(hit / there if there else None).cast("double").alias("audited_recall"),
+        F.lit(sum(own for _, own in audited) / len(audited) if audited else None).cast("double").alias("audited_recall"),
     )

@@ -118,3 +118,25 @@ def test_audit_counts_links_by_brute_force(spark):
     assert flatgraph.audit(reps, full, 32, queries=1000) == (links, links)
     assert flatgraph.audit(reps, full.limit(0), 32, queries=1000) == (0, links)
     assert collections.Counter(n for n, _ in truth.values())[0] > 0
+
+
+def test_audit_draws_until_vectors_have_links(spark, monkeypatch):
+    monkeypatch.setattr(flatgraph, "AUDITED", 8)
+    monkeypatch.setattr(flatgraph, "ROOTS", 0)
+    vectors = corpus(6, lone=900, balls=(2, 2), copies=0)
+    units = {i: np.array(v) / np.linalg.norm(v) for i, v in vectors.items()}
+    truth = {i: n for i, (n, _) in brute(vectors).items() if n}
+    reps = spark.createDataFrame([(i, v.tolist(), 1) for i, v in units.items()], "id long, vector array<double>, mult long")
+    assert flatgraph.linked_sample(reps, 32) == truth
+    monkeypatch.setattr(flatgraph, "LINKED", 3)
+    some = flatgraph.linked_sample(reps, 32)
+    assert 3 <= len(some) and some.items() <= truth.items()
+
+
+def test_a_hot_group_does_not_hide_missed_pairs(spark):
+    there = {1: 1, 2: 1} | {i: 500 for i in range(10, 60)}
+    found = spark.createDataFrame([(i, 9_000, 500, 10) for i in range(10, 60)], "id long, links long, nodes long, root long")
+    pairs = flatgraph.recalls(there, found)
+    assert sum(own for _, own in pairs) / len(pairs) > 0.95
+    assert flatgraph.least_mean(pairs) == 0
+    assert flatgraph.least_mean(flatgraph.recalls({}, found)) == 1
