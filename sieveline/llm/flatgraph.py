@@ -23,6 +23,8 @@ OVERLAP = 2
 PROBES = 5
 NEAR, FAR, ALPHA, CANDIDATES = 20, 8, 1.2, 56
 BEAM = 32
+# A beam that holds any cell: all its rows are compared.
+WHOLE = 2**62
 # The audit draws AUDITED vectors or ROOTS times the root of their number, whichever is more, in rounds
 # of up to ROUND, and goes on until LINKED of those drawn have links or none is left to draw.
 AUDITED, ROOTS, ROUND = 512, 16, 8_192
@@ -140,8 +142,10 @@ def search(query, points, links, medoid, beam=BEAM, cosine=COSINE):
 
     Greedy: the best of the `beam` best rows not yet expanded is next. The range
     expands: as soon as rows are within `cosine`, all of them are expanded,
-    however many, until no more come up.
+    however many, until no more come up. A beam that holds all rows compares all.
     """
+    if beam >= len(points):
+        return np.nonzero(points @ query >= cosine)[0]
     seen = np.zeros(len(points), bool)
     seen[medoid] = True
     ids, scores = np.array([medoid]), points[[medoid]] @ query
@@ -364,8 +368,9 @@ def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_
     5. Nodes are drawn until LINKED of them have links, and compared with all others
        by brute force; a table with few links or none is drawn whole. If the mean
        recall of any class of nodes with about as many linked nodes is below `recall`,
-       the search is repeated with twice the beam and probes, until it is enough
-       or all cells are probed.
+       the search is repeated with twice the beam and probes, until it is enough.
+       Once all cells are probed and the beam exceeds CELL_ROWS, cells are
+       compared whole, which finds every link.
 
     audited_recall is the mean recall of the linked nodes drawn, each counted once; null
     only if all nodes were compared and none has a link.
@@ -393,9 +398,9 @@ def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_
         while True:
             found, everywhere = _linked(own, dim, cosine, beam, probes)
             sampled = recalls(there, found)
-            if least_mean(sampled) >= recall or everywhere:
+            if least_mean(sampled) >= recall or everywhere and beam == WHOLE:
                 break
-            beam, probes = 2 * beam, 2 * probes
+            beam, probes = 2 * beam if 2 * beam <= CELL_ROWS else WHOLE, 2 * probes
         audited += sampled
         counts = counts.union(found.select("id", "links", "root"))
 

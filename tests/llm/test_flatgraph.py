@@ -140,3 +140,30 @@ def test_a_hot_group_does_not_hide_missed_pairs(spark):
     assert sum(own for _, own in pairs) / len(pairs) > 0.95
     assert flatgraph.least_mean(pairs) == 0
     assert flatgraph.least_mean(flatgraph.recalls({}, found)) == 1
+
+
+def test_search_goes_on_when_all_cells_are_probed(spark, monkeypatch):
+    # One center, so all cells are probed at once; what is searched before the last turn finds nothing.
+    search, beams = flatgraph._found, []
+
+    def blind(members, graph, queries, beam, cosine):
+        beams.append(beam)
+        found = search(members, graph, queries, beam, cosine)
+        return found if beam >= 1_024 else found.limit(0)
+
+    monkeypatch.setattr(flatgraph, "_found", blind)
+    monkeypatch.setattr(flatgraph, "BEAM", 512)
+    monkeypatch.setattr(flatgraph, "CELL_ROWS", 1_000)
+    vectors = corpus(7, lone=100, balls=(2, 2, 30), copies=3)
+    rows = flatgraph.near_vectors(frame(spark, list(vectors.items()))).collect()
+    assert len(beams) == 2 and rows[0].audited_recall == 1
+    assert {row.vec_id: (row.n_links, row.component_id) for row in rows} == brute(vectors)
+
+
+def test_a_beam_of_all_rows_compares_all():
+    points = np.array(list(corpus(5, copies=0).values()))
+    points /= np.linalg.norm(points, axis=1)[:, None]
+    links = [np.empty(0, np.int64)] * len(points)
+    for query in points[:50]:
+        truth = set(np.nonzero(points @ query >= 0.95)[0])
+        assert set(flatgraph.search(query, points, links, 0, flatgraph.WHOLE)) == truth
