@@ -121,10 +121,21 @@ def _plan_number(digits, permute):
     return f"{area + 200}{exchange + 200}{line:04d}"
 
 
+def _other_number(digits, permute):
+    """Ten digits that the plan does not have, permuted among all such."""
+    while True:
+        digits = f"{permute('phone 1', int(digits), 10**10):010d}"
+        if digits[0] < "2" or digits[3] < "2":
+            return digits
+
+
 def phone(value, permute):
+    """With +1 any ten digits are a number; without a code only those of the ten-digit plan."""
     digits = _digits(value)
     if value[0] != "+" or digits[0] == "1" and len(digits) == 11:
         own = _plan_number(digits[-10:], permute)
+        if own is None and value[0] == "+":
+            own = _other_number(digits[-10:], permute)
         return own and _refilled(value, digits[:-10] + own, str.isdigit)
     # Other countries: the last seven digits or more after a code of up to three.
     keep = min(3, len(digits) - 7)
@@ -263,7 +274,8 @@ def pseudonyms(docs, key):
 
     E-mail names, IPv4 addresses, calendar dates, US social security numbers,
     payment cards (Luhn), IBANs (mod 97), phone numbers, access keys and secrets
-    that are valid are replaced in place by values of the same format and
+    that are valid (ten digits without +1 only where area and exchange begin with
+    2 to 9) are replaced in place by values of the same format and
     validity, permuted under `key` (bytes). So equal values have equal
     pseudonyms in all documents, different ones different, and the holder of the key
     can invert them; separators stay as written. All other text stays as it is.

@@ -101,3 +101,17 @@ def test_operator(spark):
     assert found == {"x.y@example.com", "192.0.2.7"}
     assert rows[None].text in rows[1].text and rows[None].text in rows[5].text
     assert p.pseudonyms(docs.limit(0), b"k").count() == 0
+
+
+@pytest.mark.parametrize("text", ["+1 (017) 555-7713", "+1 (132) 555-1352", "+1 212-055-0100", "+1 017 155 7713", "+10175557713"])
+def test_numbers_with_a_code_need_no_plan(text):
+    new, kinds = one(f"call {text} now")
+    assert kinds == ["phone"] and text not in new and new.startswith("call +1")
+    assert re.sub(r"\d", "9", new) == re.sub(r"\d", "9", f"call {text} now")
+    digits = re.sub(r"\D", "", new)[1:]
+    # Among numbers outside the plan, so that none meets the pseudonym of one inside.
+    assert digits[0] < "2" or digits[3] < "2"
+    given = re.sub(r"\D", "", text)[1:]
+    while (digits := f"{PERMUTE.inverse('phone 1', int(digits), 10**10):010d}")[0] >= "2" and digits[3] >= "2":
+        pass
+    assert digits == given
