@@ -195,17 +195,42 @@ def email(value, permute):
 
 
 def secret(value, permute):
-    """Each character within its kind: digits or a to f of a hexadecimal number, else digits, lower or upper case letters."""
+    """Each character within its kind: digits or letters of a hexadecimal number, else digits, lower or upper case letters."""
     head, *rest = re.split(r"""(\s*[=:]\s*["']?)""", value, maxsplit=1)
     if rest:
         return head + rest[0] + _characters("secret", rest[1], permute)
     return value[:4] + _characters("key", value[4:], permute)
 
 
+# Longer values are permuted in blocks of so many characters.
+BLOCK = 128
+
+
+def _hexadecimal(value):
+    """"hex" or "HEX" if `value` is a hexadecimal number of more than eight digits; "HEX" has a capital letter."""
+    if len(value) > 8:
+        return next((kind for kind, own in (("hex", "0123456789abcdef"), ("HEX", "0123456789ABCDEF")) if not value.strip(own)), None)
+
+
 def _characters(kind, value, permute):
+    """Each character within its kind; hexadecimal numbers of either case stay such, and no other value becomes one."""
+    digits, result = _hexadecimal(value), value
+    while True:
+        blocks, after = [], ""
+        for start in range(0, len(result), BLOCK):
+            # The key of a block includes the block before, as it is written.
+            blocks.append(_block(kind, digits, after, result[start : start + BLOCK], permute))
+            after = f" after {blocks[-1]}"
+        result = "".join(blocks)
+        if _hexadecimal(result) == digits:
+            return result
+
+
+def _block(kind, digits, after, value, permute):
+    if digits:
+        own = f"{permute(f'{digits} {len(value)}{after}', int(value, 16), 16 ** len(value)):0{len(value)}x}"
+        return own.upper() if digits == "HEX" else own
     kinds = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-    if len(value) > 8 and not value.strip("0123456789abcdef"):
-        return f"{permute(f'hex {len(value)}', int(value, 16), 16 ** len(value)):0{len(value)}x}"
     number, bound, places = 0, 1, []
     for c in value:
         own = next((alphabet for alphabet in kinds if c in alphabet), None)
@@ -213,7 +238,7 @@ def _characters(kind, value, permute):
         if own:
             number, bound = number * len(own) + own.index(c), bound * len(own)
     shape = "".join(str(kinds.index(own)) if own else c for c, own in zip(value, places))
-    number = permute(f"{kind} {shape}", number, bound) if bound > 1 else 0
+    number = permute(f"{kind} {shape}{after}", number, bound) if bound > 1 else 0
     result = []
     for c, own in zip(reversed(value), reversed(places)):
         if own:
@@ -233,7 +258,7 @@ KINDS = {
     "card": (card, r"(?<![\w-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?![\w-])"),
     "iban": (iban, r"(?<!\w)[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)"),
     "phone": (phone, r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<![\w+])\+\d(?:[ .-]?\d){7,14}(?![\w-])"),
-    "secret": (secret, r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)|(?<!\w)(?:password|passwd|secret|token|api_key|apikey)\s*[=:]\s*[\"']?[A-Za-z0-9]{12,128}(?!\w)"),
+    "secret": (secret, r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)|(?<!\w)(?i:password|passwd|secret|token|api_key|apikey)\s*[=:]\s*[\"']?[A-Za-z0-9]{12,}(?!\w)"),
 }
 
 
@@ -249,7 +274,7 @@ def _numbered(patterns):
 
 
 # Texts without any of these hold nothing to replace.
-CANDIDATE = re.compile(r"[0-9@]|AKIA|passw|secret|token|api_?key", re.ASCII)
+CANDIDATE = re.compile(r"[0-9@]|AKIA|(?i:passw|secret|token|api_?key)", re.ASCII)
 FOUND = _numbered({kind: pattern for kind, (_, pattern) in KINDS.items()})
 
 

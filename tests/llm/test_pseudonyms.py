@@ -115,3 +115,32 @@ def test_numbers_with_a_code_need_no_plan(text):
     while (digits := f"{PERMUTE.inverse('phone 1', int(digits), 10**10):010d}")[0] >= "2" and digits[3] >= "2":
         pass
     assert digits == given
+
+
+@pytest.mark.parametrize("text", ['TOKEN = "9233A8EC41D07B65F0E1"', "Password: 7602AD27CF55", "API_KEY=abcDEF123456xyz", "PassWord: abcdefghijklmnop"])
+def test_secrets_after_names_of_any_case(spark, text):
+    new, kinds = one(text)
+    name, value = re.match(r"(.*[=:] ?\"?)(\w+)", text).groups()
+    assert kinds == ["secret"] and new.startswith(name) and value not in new
+    own = new[len(name) : len(name) + len(value)]
+    assert p._hexadecimal(own) == p._hexadecimal(value)
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert p.pseudonyms(docs, b"k").first().n_replaced == 1
+
+
+@pytest.mark.parametrize("value", ["0123456789abcdef" * 9, "A1" * 100, "aB3x" * 500, "f" * 128 + "z" * 40])
+def test_long_secrets(value):
+    new, kinds = one(f"token={value}.")
+    assert kinds == ["secret"] and len(new) == len(value) + 7
+    own = new[6:-1]
+    assert own != value and all(own[n : n + 20] != value[n : n + 20] for n in range(0, len(value) - 20, 20))
+    assert p._hexadecimal(own) == p._hexadecimal(value)
+    # Equal blocks do not show, and the values differ where one character does.
+    assert len({own[n : n + 128] for n in range(0, len(value), 128)}) == len(range(0, len(value), 128))
+    assert one(f"token={value[:-1]}9.")[0] != new
+
+
+def test_characters_are_permuted():
+    # Capital hexadecimal numbers among such, though nearly all digits do without capitals.
+    values = [f"{n:09X}" for n in range(0xA0, 0x1A0)]
+    assert len({p._characters("secret", value, PERMUTE) for value in values}) == len(values)
