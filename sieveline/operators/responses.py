@@ -87,7 +87,8 @@ def overlap(hits, lists):
     `lists` has the query_pos of every list. Each id is turned into one 0/1
     vector of the lists that contain it; adding these vectors per list gives
     the rows of the matrix without producing any pair of hits. Beyond MOST_LISTS
-    lists, whose names and totals are held whole, that is an error.
+    lists, whose names and totals are held whole, that is an error; common_ids()
+    has no such bound.
     """
     found = lists.select("query_pos").distinct().orderBy("query_pos").limit(settings.MOST_LISTS + 1).collect()
     if len(found) > settings.MOST_LISTS:
@@ -108,6 +109,41 @@ def overlap(hits, lists):
     )
 
 
+def common_ids(hits, lists):
+    """overlap() for any number of lists: beyond MOST_LISTS by overlap_in_blocks()."""
+    few = lists.select("query_pos").distinct().limit(settings.MOST_LISTS + 1).count() <= settings.MOST_LISTS
+    return overlap(hits, lists) if few else overlap_in_blocks(hits, lists)
+
+
+def overlap_in_blocks(hits, lists):
+    """overlap() by counts of the pairs of lists that share an id.
+
+    Lists are dealt by hash into blocks of about LIST_BLOCK. An id has one row per
+    block, with its lists there; each row meets those of the same id in other blocks, so no
+    id's lists and no list's totals are held whole. Pairs are counted before the
+    shuffle. Those that share nothing get 0.
+    """
+    names = stage(lists.select("query_pos").distinct(), "lists")
+    blocks = max(1, -(-names.count() // settings.LIST_BLOCK))
+    block = F.pmod(F.xxhash64(F.col("query_pos").cast("long")), F.lit(blocks)).cast("int")
+    hits = hits.select("id", F.col("query_pos").cast("long").alias("query_pos"))
+    per_block = stage(hits.groupBy("id", block.alias("block")).agg(F.collect_set("query_pos").alias("names")), "blocks")
+    met = per_block.groupBy("id").agg(F.collect_list("block").alias("others"))
+    own = per_block.alias("p").join(met.alias("m"), F.col("p.id").eqNullSafe(F.col("m.id")))
+    own = own.select(F.col("p.id").alias("own_id"), F.col("p.names").alias("a"), F.explode("others").alias("other"))
+    both = own.join(per_block, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("other") == F.col("block")))
+    pairs = both.select(F.explode("a").alias("query_a"), "names").select("query_a", F.explode("names").alias("query_b"))
+    counts = pairs.groupBy("query_a", "query_b").agg(F.count("*").alias("n_common"))
+    # Every two lists, by the pair of their blocks.
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    firsts = hits.select("query_pos").distinct().select(F.col("query_pos").alias("query_a"), block.alias("block_a"), every.alias("block_b"))
+    seconds = names.select(F.col("query_pos").cast("long").alias("query_b"), block.alias("block_b"), every.alias("block_a"))
+    grid = firsts.join(seconds, ["block_a", "block_b"]).select("query_a", "query_b")
+    return grid.join(counts, ["query_a", "query_b"], "left").select(
+        "query_a", "query_b", F.coalesce("n_common", F.lit(0)).cast("long").alias("n_common")
+    )
+
+
 def membership(rows, others, by):
     """Per list the distinct ids, and how many of them each other table has.
 

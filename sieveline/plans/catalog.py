@@ -195,7 +195,7 @@ def resp_new_at_rank(spark, sf_dir):
 @query
 def resp_overlap(spark, sf_dir):
     found = stage(standins.hits(spark, sf_dir), "hits")
-    return responses.overlap(found, found)
+    return responses.common_ids(found, found)
 
 
 @query

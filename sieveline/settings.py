@@ -38,6 +38,7 @@ TASK_HITS = 4_000_000
 TASK_BYTES = 1024 * 1024 * 1024
 MERGE_ROWS = 4_000_000
 MOST_LISTS = 2_000
+LIST_BLOCK = 1_000
 BLOCK_QUERIES = 4_096
 BLOCK_VECTORS = 32_768
 FIRST_BLOCKS = 64

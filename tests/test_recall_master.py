@@ -166,3 +166,29 @@ def test_membership_of_ids_without_a_list(spark, hits):
     other = spark.createDataFrame([("A",), ("A",), ("Z",), (None,)], "id string")
     found = {r.query_id: tuple(r)[1:] for r in responses.membership(hits, {"in_other": other, "in_none": other.limit(0)}, "query_id").collect()}
     assert found == {"q0": (2, 1, 0), "q1": (2, 0, 0), "q2": (1, 0, 0)}
+
+
+def test_common_ids_of_many_lists(spark, monkeypatch):
+    from sieveline.operators import responses
+
+    rows = [(f"W{n}", q) for q in range(40) for n in range(30) if (n * q) % 7 == 1 or n == 0 or q == n]
+    many = spark.createDataFrame(rows, "id string, query_pos int")
+    dense = {tuple(r) for r in responses.overlap(many, many).collect()}
+    monkeypatch.setattr(settings, "MOST_LISTS", 5)
+    monkeypatch.setattr(settings, "LIST_BLOCK", 6)
+    found = responses.common_ids(many, many)
+    assert found.columns == ["query_a", "query_b", "n_common"]
+    result = [tuple(r) for r in found.collect()]
+    assert len(result) == 1_600 and set(result) == dense
+    assert min(n for _, _, n in result) == 1 and all(type(n) is int for row in result for n in row)
+    apart = spark.createDataFrame([(f"W{q}", q) for q in range(20)], "id string, query_pos int")
+    assert {tuple(r) for r in responses.common_ids(apart, apart).collect()} == {(a, b, int(a == b)) for a in range(20) for b in range(20)}
+
+
+def test_registered_overlap_beyond_the_guard(spark, monkeypatch):
+    from sieveline.plans import catalog
+
+    small = "/root/testdata/sf0.001"
+    dense = {tuple(r) for r in catalog.QUERIES["resp_overlap"](spark, small).collect()}
+    monkeypatch.setattr(settings, "MOST_LISTS", 2)
+    assert len(dense) > 4 and {tuple(r) for r in catalog.QUERIES["resp_overlap"](spark, small).collect()} == dense
