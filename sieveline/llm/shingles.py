@@ -1,7 +1,5 @@
 """Shingle sets and minhash signatures, inside tasks."""
 
-import functools
-
 import numpy as np
 import xxhash
 
@@ -33,10 +31,16 @@ def _mixed(values):
     return values ^ (values >> np.uint64(31))
 
 
-@functools.cache
+# Factors by number and seed; a plain dict, so that the functions here travel with a job by value.
+_known = {}
+
+
 def _factors(n, seed):
-    with np.errstate(over="ignore"):
-        return _mixed((np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed << 20)) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    if (n, seed) not in _known:
+        with np.errstate(over="ignore"):
+            steps = np.arange(1, n + 1, dtype=np.uint64) + np.uint64(seed << 20)
+            _known[n, seed] = _mixed(steps * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
+    return _known[n, seed]
 
 
 def shingle_set(text, size=5):
