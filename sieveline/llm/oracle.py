@@ -111,3 +111,35 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
        least(vec_id, coalesce(least_other, vec_id)) AS component_id, vec_id <= coalesce(least_other, vec_id) AS kept
 FROM embeddings LEFT JOIN (SELECT node AS vec_id, min(other) AS least_other FROM reached GROUP BY node) USING (vec_id)
 """
+
+
+# Rounds of assignment and update, one after the other; distance and number in one integer, ties to the smaller number.
+_ROUND = """
+), a{i} AS MATERIALIZED (
+  SELECT vec_id, any_value(k.v) AS v,
+         min(16 * CAST(list_sum(list_transform(range(1, 65), lambda i: (k.v[i] - c.v[i]) * (k.v[i] - c.v[i]))) AS BIGINT) + c.c) AS best
+  FROM kept k, c{i} c GROUP BY vec_id
+), m{i} AS (
+  SELECT c, i, sum(x) AS s, count(*) AS n
+  FROM (SELECT best % 16 AS c, unnest(range(1, 65)) AS i, unnest(v) AS x FROM a{i}) GROUP BY c, i
+), c{j} AS MATERIALIZED (
+  SELECT c.c, coalesce(n.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS v FROM m{i} GROUP BY c
+  ) n ON n.c = c.c
+"""
+
+SQL["op13_laesa_clusters"] = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, v
+  FROM (SELECT sha256('1:' || vec_id) AS h, v FROM kept ORDER BY h LIMIT 16)
+{"".join(_ROUND.format(i=i, j=i + 1) for i in range(4))}
+), done AS (
+  SELECT vec_id, CAST(best % 16 AS INT) AS cluster, best // 16 AS distance FROM a3
+)
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c3.v, ',')) AS centroid_sha256
+FROM done JOIN c3 ON c3.c = cluster
+"""
