@@ -113,6 +113,29 @@ FROM embeddings LEFT JOIN (SELECT node AS vec_id, min(other) AS least_other FROM
 """
 
 
+_TERMS = r"""unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"""
+
+SQL["op12_bitsliced_search"] = f"""
+WITH held AS (
+  SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_TERMS} FROM documents) GROUP BY doc_id, term
+), sizes AS (
+  SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM held GROUP BY doc_id
+), sums AS (
+  SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sizes
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM held, sums GROUP BY term
+), wanted AS (
+  SELECT item_id, term, count(*) AS times FROM (SELECT item_id, {_TERMS} FROM benchmark) GROUP BY item_id, term
+), scored AS (
+  SELECT item_id, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM wanted JOIN held USING (term) JOIN weights USING (term) JOIN sizes USING (doc_id), sums GROUP BY item_id, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 10
+"""
+
 # Rounds of assignment and update, one after the other; distance and number in one integer, ties to the smaller number.
 _ROUND = """
 ), a{i} AS MATERIALIZED (

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sieveline.llm import bpe, cascade, chat, flatgraph, hilbert, laesa, lines, minhash, mixing, pseudonyms, quality
+from sieveline.llm import bitsliced, bpe, cascade, chat, flatgraph, hilbert, laesa, lines, minhash, mixing, pseudonyms, quality
 from sieveline.llm.tables import table
 
 QUERIES = {}
@@ -104,6 +104,11 @@ def op10_flat_graph(spark, sf_dir):
     return flatgraph.near_vectors(table(spark, sf_dir, "embeddings")).drop("audited_recall")
 
 
+@query
+def op12_bitsliced_search(spark, sf_dir):
+    return bitsliced.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op13_laesa_clusters(spark, sf_dir):
     return laesa.cluster(table(spark, sf_dir, "embeddings")).drop("n_exact")

@@ -8,6 +8,7 @@ from sieveline.staging import stage
 SCHEMAS = {
     "documents": "doc_id long, text string, lang string, source string, n_chars long",
     "embeddings": "vec_id long, embedding array<float>, label int",
+    "benchmark": "item_id long, text string",
     "labels": "doc_id long, quality int, toxic int",
     "conversations": "conv_id long, turn long, role string, text string",
 }

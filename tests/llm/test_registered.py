@@ -27,7 +27,7 @@ def docs(spark):
 
 
 def test_each_operator_has_one_query():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(SQL) <= set(QUERIES)
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert len(names) == 5 and corpus_pipeline.ORACLE_SQL is None
@@ -45,7 +45,7 @@ def test_native_plans(spark, plan, name):
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_sql(spark, name):
     connection = duckdb.connect()
-    for view in ("documents", "conversations", "embeddings"):
+    for view in ("documents", "conversations", "embeddings", "benchmark"):
         connection.execute(f"CREATE VIEW {view} AS SELECT * FROM '{SMALL}/{view}.parquet'")
     result = connection.execute(SQL[name])
     columns = [column[0] for column in result.description]
