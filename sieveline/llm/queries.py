@@ -2,7 +2,21 @@
 
 from pyspark.sql import functions as F
 
-from sieveline.llm import bitsliced, bpe, cascade, chat, flatgraph, hilbert, laesa, lines, minhash, mixing, pseudonyms, quality
+from sieveline.llm import (
+    bitsliced,
+    bpe,
+    cascade,
+    chat,
+    flatgraph,
+    hilbert,
+    laesa,
+    langid,
+    lines,
+    minhash,
+    mixing,
+    pseudonyms,
+    quality,
+)
 from sieveline.llm.tables import table
 
 QUERIES = {}
@@ -104,6 +118,14 @@ def op10_flat_graph(spark, sf_dir):
     return flatgraph.near_vectors(table(spark, sf_dir, "embeddings")).drop("audited_recall")
 
 
+@query
+def op11_language_families(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    found = langid.with_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op12_bitsliced_search(spark, sf_dir):
     return bitsliced.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -116,6 +116,14 @@ def test_op9(spark, docs):
         assert row.decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_op11(spark, docs):
+    rows = QUERIES["op11_language_families"](spark, SMALL).collect()
+    assert {row.doc_id for row in rows} == set(docs)
+    assert all(0 <= row.score <= 1 and row.held_out == (zlib.crc32(str(row.doc_id).encode()) % 3 == 1) for row in rows)
+    held = [row.lang_pred == docs[row.doc_id].lang for row in rows if row.held_out and docs[row.doc_id].lang]
+    assert sum(held) >= 0.95 * len(held)
+
+
 def test_pipeline_stages(spark):
     """Each stage against a plain form of it, on what the stage before it kept."""
     before = table(spark, SMALL, "documents")
