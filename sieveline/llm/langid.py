@@ -123,15 +123,17 @@ def svm(x, y, cost=COST, sweeps=SWEEPS):
 
 
 def _sample(known, rows):
-    """Up to `rows` profiles of each language, drawn by hash of doc_id: (lang, draw, profile)."""
-    counts = {row.lang: row["count"] for row in known.groupBy("lang").count().toLocalIterator()}
-    if not counts:
-        return counts, None
-    spark, span = known.sparkSession, 1 << 30
-    limits = [(lang, min(span, -(-2 * rows * span // n))) for lang, n in counts.items()]
-    limits = F.broadcast(spark.createDataFrame(limits, "lang string, _limit long"))
-    drawn = known.withColumn("draw", F.xxhash64("doc_id")).join(limits, "lang")
-    drawn = drawn.where(F.pmod("draw", F.lit(span)) < F.col("_limit"))
+    """Up to `rows` profiles of each language, those of least hash of doc_id: (lang, draw, profile).
+
+    The hashes alone are ranked first, and Spark limits each language before it
+    shuffles them; only texts up to a language's last hash are read on.
+    """
+    known = known.withColumn("draw", F.xxhash64("doc_id"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    first = known.select("lang", "draw").withColumn("n", place).where(F.col("n") <= rows)
+    # One row per language.
+    last = stage(first.groupBy("lang").agg(F.max("draw").alias("_last")), "last")
+    drawn = known.join(F.broadcast(last), "lang").where(F.col("draw") <= F.col("_last"))
     by = Window.partitionBy("lang").orderBy("draw", "text")
     drawn = drawn.withColumn("n", F.row_number().over(by)).where(F.col("n") <= rows).select("lang", "draw", "text")
 
@@ -143,7 +145,7 @@ def _sample(known, rows):
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), made], ["lang", "draw", "profile"])
 
     made = drawn.mapInArrow(run, "lang string, draw long, profile binary").where("profile IS NOT NULL")
-    return counts, stage(made, "profiles")
+    return stage(made, "profiles")
 
 
 def family_of(languages, families=None):
@@ -167,8 +169,8 @@ def fit(docs, rows=FIT_ROWS, families=None):
         docs["doc_id"].cast("long").alias("doc_id"), text_of(docs).alias("text"), docs["lang"].cast("string").alias("lang")
     )
     known = known.where("lang IS NOT NULL AND text <> ''")
-    counts, sample = _sample(known, rows)
-    learned = {row.lang for row in sample.select("lang").distinct().toLocalIterator()} if counts else set()
+    sample = _sample(known, rows)
+    learned = {row.lang for row in sample.select("lang").distinct().toLocalIterator()}
     groups = family_of(learned, families)
     classifiers = [(family, None) for family, _ in groups] if len(groups) > 1 else []
     classifiers += [pair for _, members in groups for pair in itertools.combinations(members, 2)]
