@@ -15,6 +15,7 @@ from sieveline.operators import (
     master,
     neighbors,
     profile,
+    pruned,
     recall,
     rerank,
     responses,
@@ -34,6 +35,7 @@ SINCE = 1998
 POOL_CUT = 80
 KEEP = 200
 CLUSTERS = 16
+PRUNED_BLOCK = 8
 TEXT_DEPTH = 20
 
 
@@ -137,6 +139,26 @@ def knn_approx_recall(spark, sf_dir):
     return report.withColumn("recall", F.round("recall", 6))
 
 
+def _pruned(spark, sf_dir, k):
+    """The search through small blocks around a few given vectors, and the share of vectors each query skipped."""
+    centers = standins.table(spark, sf_dir, "embeddings").filter(F.col("vec_id") < CLUSTERS)
+    centers = centers.select(F.col("vec_id").cast("int").alias("cluster"), "embedding")
+    blocks = pruned.write_blocks(standins.corpus(spark, sf_dir), centers, staged_path(spark, "blocks"), PRUNED_BLOCK)
+    found = _rounded(pruned.nearest_pruned(blocks, standins.seeds(spark, sf_dir), k))
+    return found.withColumn("skipped", F.round("skipped", 6))
+
+
+@query
+def knn_pruned(spark, sf_dir):
+    return _pruned(spark, sf_dir, standins.DEPTH)
+
+
+@query
+def knn_pruned_closest(spark, sf_dir):
+    """The one closest vector of each seed, for which most blocks are out."""
+    return _pruned(spark, sf_dir, 1)
+
+
 @query
 def vector_measures(spark, sf_dir):
     """Every vector against that of the criteria, by column expressions."""

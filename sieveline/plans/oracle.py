@@ -1,6 +1,6 @@
 """SQL over the given tables that each registered query must agree with."""
 
-from sieveline.plans.catalog import CLUSTERS, CUT, KEEP, POOL_CUT, SINCE, TARGET, TEXT_DEPTH
+from sieveline.plans.catalog import CLUSTERS, CUT, KEEP, POOL_CUT, PRUNED_BLOCK, SINCE, TARGET, TEXT_DEPTH
 from sieveline.plans.standins import DEPTH, DIM, EXCLUDED
 from sieveline.settings import VECTOR_DIM
 
@@ -550,3 +550,46 @@ SELECT id, updated_date, part, round(list_sum(embedding::DOUBLE[]), 6) AS checks
 UNION ALL
 SELECT id, max(updated_date), max(part), NULL, 'missing embedding' FROM versions
 WHERE embedding IS NULL GROUP BY id"""
+
+
+def _pruned(k):
+    """Blocks, bounds and reach as the search cuts and takes them; the rows are those of all pairs."""
+    return _with(
+        [
+            *BASE,
+            f"pivots AS (SELECT vec_id AS p, embedding::DOUBLE[] AS pv FROM embeddings WHERE vec_id < {CLUSTERS})",
+            "far AS (SELECT vec_id, p, list_distance(embedding::DOUBLE[], pv) AS d FROM embeddings, pivots)",
+            """placed AS (
+  SELECT vec_id, 'W' || vec_id AS id, p AS cell, d AS gap FROM far
+  QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, p) = 1)""",
+            f"""cut AS (
+  SELECT *, (row_number() OVER (ORDER BY cell, gap, id) - 1) // {PRUNED_BLOCK} AS run FROM placed)""",
+            """ends AS (
+  SELECT cell, run, p, min(d) AS lo, max(d) AS hi, count(*) AS n FROM cut JOIN far USING (vec_id) GROUP BY cell, run, p)""",
+            "asked AS (SELECT query_pos, p, list_distance(qv, pv) AS d FROM seeds, pivots)",
+            """bounds AS (
+  SELECT query_pos, cell, run, any_value(n) AS n, max(greatest(lo - d, d - hi, 0)) AS bound
+  FROM ends JOIN asked USING (p) GROUP BY query_pos, cell, run)""",
+            """ordered AS (
+  SELECT *, coalesce(sum(n) OVER (PARTITION BY query_pos ORDER BY bound, cell, run
+                                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM bounds)""",
+            """pairs AS (
+  SELECT query_pos, query_id, cell, run, id, list_distance(qv, embedding::DOUBLE[]) AS distance
+  FROM seeds, embeddings e JOIN cut USING (vec_id))""",
+            f"""reach AS (
+  SELECT query_pos, max(distance) AS r FROM (
+    SELECT p.query_pos, distance, row_number() OVER (PARTITION BY p.query_pos ORDER BY distance, id) AS n
+    FROM pairs p JOIN ordered o USING (query_pos, cell, run) WHERE o.before < {k})
+  WHERE n <= {k} GROUP BY query_pos)""",
+            """skips AS (
+  SELECT query_pos, 1 - sum(CASE WHEN bound <= r * (1 + 1e-9) + 1e-9 THEN n ELSE 0 END) / sum(n) AS skipped
+  FROM bounds JOIN reach USING (query_pos) GROUP BY query_pos)""",
+        ],
+        f"""SELECT query_pos, query_id, CAST(place - 1 AS INT) AS rank, id, round(distance, 6) AS distance, round(skipped, 6) AS skipped
+FROM (SELECT *, row_number() OVER (PARTITION BY query_pos ORDER BY distance, id) AS place FROM pairs)
+JOIN skips USING (query_pos) WHERE place <= {k}""",
+    )
+
+
+SQL["knn_pruned"] = _pruned(DEPTH)
+SQL["knn_pruned_closest"] = _pruned(1)
