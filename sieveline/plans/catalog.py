@@ -8,6 +8,7 @@ from sieveline.functions import text
 from sieveline.functions.vectors import closeness, cosine, dot, euclidean, norm
 from sieveline.operators import (
     candidates,
+    citation_index,
     citations,
     clusters,
     embedding,
@@ -15,6 +16,7 @@ from sieveline.operators import (
     master,
     neighbors,
     profile,
+    provenance,
     pruned,
     recall,
     rerank,
@@ -36,6 +38,9 @@ POOL_CUT = 80
 KEEP = 200
 CLUSTERS = 16
 PRUNED_BLOCK = 8
+BUCKETS = 16
+# More ids than this are joined with the buckets, fewer are broadcast.
+INDEXED_KEYS = 100
 TEXT_DEPTH = 20
 
 
@@ -360,10 +365,13 @@ def training_labels(spark, sf_dir):
 # Citations
 
 
+def _review_ids(spark, sf_dir):
+    return standins.table(spark, sf_dir, "labels").select(standins.work_id("doc_id").alias("id"))
+
+
 def _snowball(spark, sf_dir):
     ids = standins.seed_ids(spark, sf_dir).select("id")
-    review = standins.table(spark, sf_dir, "labels").select(standins.work_id("doc_id").alias("id"))
-    return citations.snowball(standins.edges(spark, sf_dir), ids, review)
+    return citations.snowball(standins.edges(spark, sf_dir), ids, _review_ids(spark, sf_dir))
 
 
 @query
@@ -388,6 +396,33 @@ def snowball(spark, sf_dir):
     return _snowball(spark, sf_dir).join(standins.dates(spark, sf_dir), "id", "left")
 
 
+@query
+def snowball_provenance(spark, sf_dir):
+    """Each citing work with the seeds it leads back to and the works it cites on the way."""
+    found = provenance.snowball_provenance(
+        standins.edges(spark, sf_dir), standins.seed_ids(spark, sf_dir), _review_ids(spark, sf_dir)
+    )
+    return found.select(
+        "id", "level", F.size("seeds").alias("n_seeds"),
+        F.array_join("seeds", " ").alias("seeds"), F.array_join("cites", " ").alias("cites"),
+    )
+
+
+def _index(spark, sf_dir):
+    """The edges of one return flag as they were first, the others appended to the index."""
+    lines = standins.table(spark, sf_dir, "lineitem")
+    edge = (standins.work_id("l_orderkey").alias("citing"), standins.work_id("l_partkey").alias("cited"))
+    old = F.coalesce(F.col("l_returnflag") == "N", F.lit(True))
+    index = citation_index.create_index(spark, staged_path(spark, "edges"), lines.where(old).select(*edge), BUCKETS)
+    return index.append(lines.where(~old).select(*edge))
+
+
+@query
+def snowball_indexed(spark, sf_dir):
+    """Both hops by lookup in the kept index; the second joins its buckets as they lie."""
+    return _index(spark, sf_dir).snowball(standins.seed_ids(spark, sf_dir), _review_ids(spark, sf_dir), rows=INDEXED_KEYS)
+
+
 @query
 def citation_dataset(spark, sf_dir):
     review = standins.table(spark, sf_dir, "labels").select(standins.work_id("doc_id").alias("id"))

@@ -342,6 +342,22 @@ SQL["snowball"] = _with(
     [*CITING, SNOWBALL, DATES],
     "SELECT id, level, publication_date, publication_year FROM snowball LEFT JOIN dates USING (id)",
 )
+SQL["snowball_indexed"] = _with([*CITING, SNOWBALL], "SELECT id, level FROM snowball")
+SQL["snowball_provenance"] = _with(
+    [
+        *CITING,
+        SNOWBALL,
+        "to_seed AS (SELECT citing, cited AS seed FROM edges WHERE cited IN (SELECT id FROM seed_ids))",
+        """led AS (
+  SELECT s.id, s.level, t.seed, t.seed AS via FROM snowball s JOIN to_seed t ON t.citing = s.id WHERE s.level = 'primary'
+  UNION ALL
+  SELECT s.id, s.level, t.seed, e.cited FROM snowball s JOIN edges e ON e.citing = s.id JOIN to_seed t ON t.citing = e.cited
+  WHERE s.level = 'secondary')""",
+    ],
+    """SELECT id, level, CAST(count(DISTINCT seed) AS INT) AS n_seeds,
+       array_to_string(list_sort(list(DISTINCT seed)), ' ') AS seeds, array_to_string(list_sort(list(DISTINCT via)), ' ') AS cites
+FROM led GROUP BY id, level""",
+)
 SQL["citation_dataset"] = _with(
     [*CITING, SNOWBALL, DATES],
     f"""SELECT '{PREFIX}' || s.id AS id, doi, title, abstract, CASE WHEN w.id IS NOT NULL THEN publication_date END AS publication_date, level

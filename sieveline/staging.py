@@ -138,6 +138,22 @@ def semi_join_hot(left, keys, on, rows=settings.BROADCAST_ROWS, hot_rows=setting
     return left.join(wanted, on, "left_semi").unionByName(others)
 
 
+def join_hot(left, right, on, rows=settings.BROADCAST_ROWS, hot_rows=settings.HOT_ROWS):
+    """Inner join for a `left` side in which single keys may be very frequent.
+
+    `right` has a few rows per key. Within the row bound it is broadcast and
+    `left` stays in place. Beyond it the rows of keys with more than `hot_rows`
+    rows on the left meet their keys in place, and only the others are shuffled.
+    """
+    right = stage(right, "right")
+    if fits(right, rows):
+        return left.join(F.broadcast(right), on)
+    counts = left.groupBy(on).agg(F.count("*").alias("_n"))
+    hot = small(stage(counts.filter(F.col("_n") > hot_rows).select(on), "hot"))
+    met = small(stage(right.join(hot, on, "left_semi"), "met"))
+    return left.join(met, on).unionByName(left.join(hot, on, "left_anti").join(right, on))
+
+
 def number_rows(df, name, *order, start=0):
     """Number rows by a total order without sorting them all in one task.
 
