@@ -23,6 +23,7 @@ from sieveline.operators import (
     responses,
     seeds,
     similarity,
+    vector_index,
 )
 from sieveline.plans import corpus, screening, standins
 from sieveline.sources import manifest, readers, writers
@@ -37,6 +38,8 @@ SINCE = 1998
 POOL_CUT = 80
 KEEP = 200
 CLUSTERS = 16
+CELLS = 4
+TARGET_RECALL = 0.9
 PRUNED_BLOCK = 8
 BUCKETS = 16
 # More ids than this are joined with the buckets, fewer are broadcast.
@@ -164,6 +167,30 @@ def knn_pruned_closest(spark, sf_dir):
     return _pruned(spark, sf_dir, 1)
 
 
+@query
+def knn_living_index(spark, sf_dir):
+    """Search of an index after a corrected delivery and deletes, with as many probes as recall needs.
+
+    Corrected are the vectors of works of quality 0 (turned around), deleted the included works.
+    """
+    vectors, labels = standins.corpus(spark, sf_dir), standins.table(spark, sf_dir, "labels")
+    given = standins.table(spark, sf_dir, "embeddings").select(F.col("vec_id").cast("int").alias("cluster"), "embedding")
+    cells = given.where(F.col("cluster") < CELLS)
+    fine = clusters.assign(given.where(F.col("cluster") < CLUSTERS).withColumnRenamed("cluster", "number"), cells)
+    centers = stage(fine.select(F.col("cluster").alias("coarse"), F.col("number").alias("cluster"), "embedding"), "centers")
+    index = vector_index.create_vector_index(vectors, centers, staged_path(spark, "index"))
+    poor = labels.where("quality = 0").select(standins.work_id("doc_id").alias("id"))
+    turned = vectors.join(poor, "id").withColumn("embedding", F.transform("embedding", lambda x: -x))
+    index.insert(turned, version=1)
+    index.delete(labels.where("toxic = 1").select(standins.work_id("doc_id").alias("id")), version=2)
+    queries = stage(standins.seeds(spark, sf_dir), "seeds")
+    probes, _ = index.probes_for(standins.DEPTH, TARGET_RECALL, queries)
+    found = stage(index.search(queries, standins.DEPTH, probes), "found")
+    report = clusters.recall_report(found, neighbors.nearest(index.vectors(), queries, standins.DEPTH))
+    report = report.select("query_pos", F.round("recall", 6).alias("recall"), F.lit(probes).alias("n_probes"))
+    return _rounded(found).drop("query_id").join(F.broadcast(report), "query_pos")
+
+
 @query
 def vector_measures(spark, sf_dir):
     """Every vector against that of the criteria, by column expressions."""

@@ -1,6 +1,6 @@
 """SQL over the given tables that each registered query must agree with."""
 
-from sieveline.plans.catalog import CLUSTERS, CUT, KEEP, POOL_CUT, PRUNED_BLOCK, SINCE, TARGET, TEXT_DEPTH
+from sieveline.plans.catalog import CELLS, CLUSTERS, CUT, KEEP, POOL_CUT, PRUNED_BLOCK, SINCE, TARGET, TARGET_RECALL, TEXT_DEPTH
 from sieveline.plans.standins import DEPTH, DIM, EXCLUDED
 from sieveline.settings import VECTOR_DIM
 
@@ -609,3 +609,39 @@ JOIN skips USING (query_pos) WHERE place <= {k}""",
 
 SQL["knn_pruned"] = _pruned(DEPTH)
 SQL["knn_pruned_closest"] = _pruned(1)
+
+SQL["knn_living_index"] = _with(
+    [
+        *BASE,
+        """standing AS (
+  SELECT vec_id, 'W' || vec_id AS id,
+         CASE WHEN quality = 0 THEN list_transform(embedding, lambda x: -x) ELSE embedding END::DOUBLE[] AS v
+  FROM embeddings LEFT JOIN labels ON doc_id = vec_id WHERE toxic IS NULL OR toxic <> 1)""",
+        f"""centers AS (
+  SELECT f.vec_id AS cluster, c.vec_id AS cell, f.embedding::DOUBLE[] AS cv FROM embeddings f, embeddings c
+  WHERE f.vec_id < {CLUSTERS} AND c.vec_id < {CELLS}
+  QUALIFY row_number() OVER (PARTITION BY f.vec_id ORDER BY list_distance(f.embedding::DOUBLE[], c.embedding::DOUBLE[]), c.vec_id) = 1)""",
+        f"""means AS (
+  SELECT cell, list(x ORDER BY i) AS mean
+  FROM (SELECT cell, i, avg(cv[i]) AS x FROM centers, range(1, {DIM + 1}) AS t(i) GROUP BY cell, i) GROUP BY cell)""",
+        """celled AS (
+  SELECT s.*, cell FROM standing s, means
+  QUALIFY row_number() OVER (PARTITION BY s.id ORDER BY list_distance(v, mean), cell) = 1)""",
+        """held AS (
+  SELECT s.id, v, cluster FROM celled s JOIN centers USING (cell)
+  QUALIFY row_number() OVER (PARTITION BY s.id ORDER BY list_distance(v, cv), cluster) = 1)""",
+        """places AS (
+  SELECT query_pos, cluster, row_number() OVER (PARTITION BY query_pos ORDER BY list_distance(qv, cv), cluster) AS place
+  FROM seeds, centers)""",
+        "pairs AS (SELECT query_pos, id, list_distance(qv, v) AS distance, place FROM seeds JOIN places USING (query_pos) JOIN held USING (cluster))",
+        f"""exact AS (
+  SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY query_pos ORDER BY distance, id) <= {DEPTH})""",
+        """recalls AS (
+  SELECT n, query_pos, count(*) FILTER (place <= n) / count(*) AS recall
+  FROM exact, (SELECT DISTINCT place AS n FROM places) GROUP BY n, query_pos)""",
+        f"probes AS (SELECT min(n) AS n FROM (SELECT n FROM recalls GROUP BY n HAVING avg(recall) >= {TARGET_RECALL} - 1e-9))",
+    ],
+    f"""SELECT query_pos, CAST(row_number() OVER (PARTITION BY query_pos ORDER BY distance, id) - 1 AS INT) AS rank, id,
+       round(distance, 6) AS distance, round(recall, 6) AS recall, CAST(n AS INT) AS n_probes
+FROM pairs JOIN probes ON place <= n JOIN recalls USING (n, query_pos) QUALIFY rank < {DEPTH}""",
+)
