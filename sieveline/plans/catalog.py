@@ -20,14 +20,16 @@ from sieveline.operators import (
     pruned,
     recall,
     rerank,
+    resample,
     responses,
     seeds,
     similarity,
     vector_index,
 )
 from sieveline.plans import corpus, screening, standins
+from sieveline.settings import MAX_TOKENS, RERANK_SEED
 from sieveline.sources import manifest, readers, writers
-from sieveline.staging import materialize, small, stage, staged_path
+from sieveline.staging import materialize, materialize_known, run_folder, small, stage, staged_path
 from sieveline.streaming import ingest, upsert
 
 QUERIES = {}
@@ -322,6 +324,14 @@ def classifier_optimality(spark, sf_dir):
     return weights.agg(F.count("*").alias("n"), F.round(F.avg("weight"), 6).alias("weight")).withColumn("optimal", F.lit(optimal))
 
 
+@query
+def training_resampled(spark, sf_dir):
+    """The training labels, half of all draws from either class, with the number of draws of each row."""
+    review = standins.review(spark, sf_dir).select("id", "doi", "position", "label_included")
+    labelled = seeds.relabel_excluded(review, standins.EXCLUDED, order="position")
+    return resample.balanced(labelled.select("id", "label_included"), seed=RERANK_SEED)
+
+
 @query
 def dataset_csv(spark, sf_dir):
     """Dataset B written as CSV and read back, with its multi-line texts."""
@@ -515,6 +525,14 @@ def embed_documents(spark, sf_dir):
     return placed.filter(F.col("x") != 0).select("id", "place", F.round(F.col("x").cast("double"), 5).alias("x"))
 
 
+@query
+def embed_truncated(spark, sf_dir):
+    """As embed_documents, by the first words of each text up to the encoder's limit of tokens."""
+    works = standins.works(spark, sf_dir).select("id", text.document_text().alias("text"))
+    vectors = embedding.embed(works, max_tokens=MAX_TOKENS).select("id", F.posexplode("embedding").alias("place", "x"))
+    return vectors.filter(F.col("x") != 0).select("id", "place", F.round(F.col("x").cast("double"), 5).alias("x"))
+
+
 @query
 def embed_profile(spark, sf_dir):
     """Length of each embedding and the number of terms that went into it."""
@@ -617,11 +635,13 @@ def _similarities(spark, sf_dir):
         standins.work_id("doc_id").alias("id"), F.concat(F.lit("M"), F.col("doc_id").cast("string")).alias("MID")
     )
     told = labelled.join(standins.works(spark, sf_dir), "id")
-    vectors = stage(_encoded(told, "id", "MID"), "labelled")
+    # Encoded once for as long as labels and documents stay the same.
+    vectors = materialize_known(_encoded(told, "id", "MID"), f"{run_folder(spark)}/encoded-labelled")
     seeds_of = vectors.join(standins.seed_ids(spark, sf_dir), "id")
-    queries = seeds_of.select("query_pos", text.full_id(F.col("id")).alias("query_id"), "embedding")
+    queries = stage(seeds_of.select("query_pos", text.full_id(F.col("id")).alias("query_id"), "embedding"), "seeds")
     newest = standins.table(spark, sf_dir, "documents").agg(F.max("doc_id").alias("doc_id"))
-    criteria = _encoded(standins.works(spark, sf_dir).join(newest.select(standins.work_id("doc_id").alias("id")), "id"))
+    criteria = standins.works(spark, sf_dir).join(newest.select(standins.work_id("doc_id").alias("id")), "id")
+    criteria = materialize_known(_encoded(criteria), f"{run_folder(spark)}/encoded-criteria")
     nearest = similarity.most_similar(vectors, queries, key="MID")
     to_criteria = similarity.similarity_to(vectors, criteria, "criteria_similarity", key="MID")
     return nearest, to_criteria
@@ -810,6 +830,24 @@ def materialized_twice(spark, sf_dir):
     return materialize(counts.withColumn("n", F.raise_error(F.lit("computed again")).cast("long")), path)
 
 
+@query
+def materialized_changed(spark, sf_dir):
+    """A table computed once, once again from the same input, and anew after a delivery changed the input."""
+    folder, kept = staged_path(spark, "source"), staged_path(spark, "known")
+    orders = standins.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    answers = []
+    for call, given in enumerate((orders.where("o_orderstatus <> 'P'"), None, orders.where("o_orderstatus = 'P'"))):
+        if given is not None:
+            given.write.mode("append").parquet(folder)
+        read = spark.read.schema(orders.schema).parquet(folder)
+        counts = read.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+        table = materialize_known(counts, kept)
+        answers.append(table.withColumns({"call": F.lit(call), "file": F.substring_index(F.col("_metadata.file_path"), "/", -1)}))
+    once = answers[0].unionByName(answers[1])
+    same = once.groupBy("o_orderstatus", "n").agg((F.count_distinct("file") == 1).alias("computed_once"), F.lit(0).alias("call"))
+    return same.unionByName(answers[2].select("o_orderstatus", "n", F.lit(True).alias("computed_once"), "call"))
+
+
 @query
 def cleaned_floats(spark, sf_dir):
     """Discounts with not-a-number for none, read as null."""
@@ -882,6 +920,26 @@ def write_split(spark, sf_dir):
     return both.select("id", "title", "abstract", "publication_year", F.size("embedding").alias("dim"))
 
 
+@query
+def upsert_deleted(spark, sf_dir):
+    """All vectors, then a batch in which works of quality 0 are gone, then included ones of them again."""
+    vectors = standins.corpus(spark, sf_dir).withColumns({"part": F.lit("0"), "gone": F.lit(False)})
+    first = vectors.withColumn("updated_date", F.lit("2024-01-01")).select("id", "updated_date", "part", "embedding", "gone")
+    labels = standins.table(spark, sf_dir, "labels").where("quality = 0").select(standins.work_id("doc_id").alias("id"), "toxic")
+    none = F.lit(None).cast("array<float>")
+    dead = labels.select("id", F.lit("2024-01-02").alias("updated_date"), F.lit("0").alias("part"), none.alias("embedding"), F.lit(True).alias("gone"))
+    back = first.join(labels.where("toxic = 1").select("id"), "id").withColumn("updated_date", F.lit("2024-01-03"))
+    # A row of an earlier version that comes late does not bring its id back.
+    late = first.join(labels.where("toxic = 0").select("id"), "id")
+    folder, (table, rejected, progress) = staged_path(spark, "arriving"), (staged_path(spark, n) for n in ("table", "rejected", "progress"))
+    for rows in (first, dead, back.unionByName(late)):
+        rows.write.mode("append").parquet(folder)
+        arriving = spark.readStream.schema(first.schema).parquet(folder)
+        upsert.upsert_stream(arriving, table, rejected, progress, standins.DIM).awaitTermination()
+    kept = upsert.current(spark, table).select("id", "updated_date", _checksum("embedding"))
+    return kept.unionByName(upsert.gone(spark, table).select("id", "updated_date", F.lit(None).cast("double").alias("checksum")))
+
+
 @query
 def upsert_stream(spark, sf_dir):
     """Versions of vectors arriving file by file; the last one of each id stays."""

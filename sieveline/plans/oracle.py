@@ -2,7 +2,7 @@
 
 from sieveline.plans.catalog import CELLS, CLUSTERS, CUT, KEEP, POOL_CUT, PRUNED_BLOCK, SINCE, TARGET, TARGET_RECALL, TEXT_DEPTH
 from sieveline.plans.standins import DEPTH, DIM, EXCLUDED
-from sieveline.settings import VECTOR_DIM
+from sieveline.settings import MAX_TOKENS, RERANK_SEED, VECTOR_DIM
 
 PREFIX = "https://openalex.org/"
 
@@ -327,6 +327,23 @@ SQL["training_labels"] = _with(
     f"SELECT id, CASE WHEN {FIRSTS} THEN 0 ELSE label_included END AS label_included FROM review",
 )
 
+HASHED = "('0x' || substr(md5('{seed}:' || {text}), 1, 15))::BIGINT"
+SQL["training_resampled"] = _with(
+    [
+        WORKS,
+        REVIEW,
+        f"labelled AS (SELECT id, CASE WHEN {FIRSTS} THEN 0 ELSE label_included END AS label_included FROM review)",
+        f"""placed AS (
+  SELECT *, row_number() OVER (PARTITION BY label_included ORDER BY {HASHED.format(seed=RERANK_SEED, text="id")}, id) - 1 AS place,
+         count(*) OVER (PARTITION BY label_included) AS size, count(*) OVER () // 2 AS half FROM labelled)""",
+        f"""draws AS (
+  SELECT label_included, {HASHED.format(seed=RERANK_SEED, text="label_included || ':' || j")} % size AS place, count(*) AS copies
+  FROM (SELECT DISTINCT label_included, size, unnest(range(half)) AS j FROM placed WHERE size < half) GROUP BY ALL)""",
+    ],
+    """SELECT id, label_included, 1 AS copies FROM placed WHERE size >= half AND place < half
+UNION ALL SELECT id, label_included, copies FROM placed JOIN draws USING (label_included, place)""",
+)
+
 # Citations
 
 SQL["citation_edges"] = """SELECT citing, count(*) AS n_cited, min(cited) AS first_cited FROM (
@@ -402,6 +419,15 @@ SQL["restored_text"] = _with([WORKS], "SELECT id, replace(abstract, ',', '-') AS
 SQL["embed_documents"] = _with(
     [WORKS, PLACED], "SELECT 'W' || doc_id AS id, CAST(b AS INTEGER) AS place, round(x, 5) AS x FROM placed"
 )
+SQL["embed_truncated"] = _with(
+    [
+        WORKS,
+        PLACED.replace("unnest(regexp_extract_all(", "unnest(list_slice(regexp_extract_all(").replace(
+            "r\\n]+')) AS w", f"r\\n]+'), 1, {MAX_TOKENS})) AS w"
+        ),
+    ],
+    "SELECT 'W' || doc_id AS id, CAST(b AS INTEGER) AS place, round(x, 5) AS x FROM placed",
+)
 SQL["embed_profile"] = _with(
     [WORKS],
     r"""SELECT id, 384 AS dim, 1.0::DOUBLE AS norm,
@@ -542,6 +568,9 @@ SQL["master_csv"] = _with(
 )
 SQL["hits_parquet"] = SQL["knn_vectors"]
 SQL["materialized_twice"] = "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus"
+SQL["materialized_changed"] = """WITH counts AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus)
+SELECT o_orderstatus, n, true AS computed_once, 0 AS call FROM counts WHERE o_orderstatus <> 'P'
+UNION ALL SELECT o_orderstatus, n, true, 2 FROM counts"""
 SQL["cleaned_floats"] = """SELECT l_returnflag, count(*) AS n, count(*) FILTER (l_discount <> 0) AS n_discount,
        round(sum(l_discount), 4) AS discount FROM lineitem GROUP BY l_returnflag"""
 SQL["parts_pruned"] = _with(
@@ -551,6 +580,11 @@ WHERE publication_year = {SINCE}""",
 )
 SQL["upsert_corrected"] = """SELECT 'W' || vec_id AS id,
        round(list_sum(embedding::DOUBLE[]) * CASE WHEN vec_id % 3 = 0 THEN 2 ELSE 1 END, 6) AS checksum FROM embeddings"""
+SQL["upsert_deleted"] = """SELECT 'W' || vec_id AS id, '2024-01-01' AS updated_date, round(list_sum(embedding::DOUBLE[]), 6) AS checksum
+FROM embeddings WHERE vec_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0)
+UNION ALL SELECT 'W' || doc_id, CASE WHEN toxic = 1 AND vec_id IS NOT NULL THEN '2024-01-03' ELSE '2024-01-02' END,
+       CASE WHEN toxic = 1 AND vec_id IS NOT NULL THEN round(list_sum(embedding::DOUBLE[]), 6) END
+FROM labels LEFT JOIN embeddings ON vec_id = doc_id WHERE quality = 0"""
 SQL["ingest_json"] = _with([WORKS, DATES], INGESTED)
 SQL["ingest_stream"] = _with([WORKS, DATES], INGESTED)
 SQL["write_split"] = _with(

@@ -5,6 +5,7 @@
 ID_PREFIX = "https://openalex.org/"
 ENCODER_PREFIX = "query: "
 VECTOR_DIM = 384
+MAX_TOKENS = 512
 SEARCH_DEPTH = 5000
 MIN_YEAR = 2015
 CUT_CRITERIA = 1000

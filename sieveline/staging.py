@@ -1,5 +1,6 @@
 """Shared-folder tables, size checks and joins that choose by size."""
 
+import hashlib
 import uuid
 
 from pyspark.sql import Window
@@ -55,6 +56,45 @@ def materialize(df, path):
     return spark.read.parquet(path)
 
 
+def fingerprint(df):
+    """Digest of what `df` would be computed from: its plan, and the files it reads by path, size and time.
+
+    None if it does not read files alone, as rows given as literals leave no mark on a
+    plan. Python functions enter by name only: a changed kernel is the same plan.
+    """
+    spark = df.sparkSession
+    plan = df._jdf.queryExecution().analyzed()
+    leaves = plan.collectLeaves()
+    if any(leaves.apply(n).nodeName().split(" ")[0] != "LogicalRelation" for n in range(leaves.size())):
+        return None
+    limit = "spark.sql.debug.maxToStringFields"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "100000")
+    try:
+        seen = [plan.canonicalized().toString()]
+    finally:
+        spark.conf.set(limit, before)
+    path_of, hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path, spark.sparkContext._jsc.hadoopConfiguration()
+    wanted = set(df.inputFiles())
+    for folder in sorted({file.rsplit("/", 1)[0] for file in wanted}):
+        # File names come as URIs; one listing a folder gives all sizes and times.
+        folder = path_of(spark.sparkContext._jvm.java.net.URI(folder))
+        for status in folder.getFileSystem(hadoop).listStatus(folder):
+            if status.getPath().toUri().toString() in wanted or status.getPath().toString() in wanted:
+                seen.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(seen[:1] + sorted(seen[1:])).encode()).hexdigest()
+
+
+def materialize_known(df, path):
+    """As `materialize`, below `path` by the fingerprint of `df`: a changed input or plan is computed anew.
+
+    What was computed from earlier inputs stays beside it until its folder is removed. A
+    table without a fingerprint is computed on every call.
+    """
+    known = fingerprint(df)
+    return materialize(df, f"{path}/{known}") if known else stage(df, "unknown")
+
+
 def spread(df):
     """`df` over all cores if it is read from fewer files than there are cores.
 

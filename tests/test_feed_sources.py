@@ -1,5 +1,6 @@
 import gzip
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from sieveline import staging
 from sieveline.operators import feed, profile
 from sieveline.plans import corpus
 from sieveline.sources import manifest, readers, writers
+from sieveline.staging import fingerprint, materialize_known
 from sieveline.streaming import ingest, upsert
 
 WORKS = [
@@ -213,6 +215,61 @@ def test_upsert_stream(spark, tmp_path):
     assert add([("d", [4.0], "2023-01-01", "000")]) == {"a": [0.5], "b": [3.0], "d": [4.0]}
 
 
+def bytes_of(folder):
+    return sum(file.stat().st_size for file in folder.rglob("*.parquet"))
+
+
+def test_small_batches_write_little(spark, tmp_path):
+    source, table, rejected, state = (str(tmp_path / name) for name in ("in", "table", "rejected", "state"))
+    schema = VECTORS + ", gone boolean"
+
+    def add(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        before = bytes_of(tmp_path / "table") if (tmp_path / "table").exists() else 0
+        arriving = spark.readStream.schema(schema).parquet(source)
+        upsert.upsert_stream(arriving, table, rejected, state, 50, buckets=4).awaitTermination()
+        return bytes_of(tmp_path / "table") - before
+
+    rng = random.Random(3)
+    expected = {f"W{n}": [rng.random() for _ in range(50)] for n in range(5_000)}
+    whole = add([(i, v, "2024-01-01", "0", False) for i, v in expected.items()])
+    for day in range(2, 8):
+        changed = {f"W{rng.randrange(6_000)}": [float(day)] * 50 for _ in range(20)}
+        dead = {f"W{rng.randrange(6_000)}" for _ in range(10)} - changed.keys()
+        rows = [(i, v, f"2024-01-0{day}", "0", None) for i, v in changed.items()]
+        rows += [(i, None, f"2024-01-0{day}", "0", True) for i in dead] + [(None, None, "2024-01-09", "0", True)]
+        assert add(rows) < whole / 10
+        expected = {i: v for i, v in (expected | changed).items() if i not in dead}
+    # Small versions were merged with each other, the large one stayed.
+    assert len(upsert._spans(spark, table)) < 4
+    found = {r.id: r.embedding for r in upsert.current(spark, table).collect()}
+    assert found.keys() == expected.keys() and all(found[i] == pytest.approx(v) for i, v in expected.items())
+    assert not set(expected) & {r.id for r in upsert.gone(spark, table).collect()}
+    assert {r.reason for r in spark.read.parquet(rejected).collect()} == {"missing id"}
+    # A row that is older than a tombstone stays hidden, whether merged or not.
+    one = upsert.gone(spark, table).orderBy("id").first().id
+    add([(one, [9.0] * 50, "2024-01-01", "0", False)])
+    assert one not in {r.id for r in upsert.current(spark, table).collect()}
+    upsert.vacuum(spark, table)
+    assert {r.id for r in upsert.current(spark, table).collect()} == set(expected)
+
+
+def test_fingerprint_follows_the_input(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(5).write.parquet(path)
+    read = lambda: spark.read.schema("id long").parquet(path)
+    first = fingerprint(read().where("id > 1"))
+    assert first and first == fingerprint(read().where("id > 1")) != fingerprint(read().where("id > 2"))
+    spark.range(2).write.mode("append").parquet(path)
+    assert fingerprint(read().where("id > 1")) != first
+    assert fingerprint(spark.createDataFrame([(1,)], "id long")) is None
+    kept = str(tmp_path / "kept")
+    assert materialize_known(read().groupBy().count(), kept).first()[0] == 7
+    assert materialize_known(read().groupBy().count(), kept).first()[0] == 7 and len(list((tmp_path / "kept").iterdir())) == 1
+    spark.range(1).write.mode("append").parquet(path)
+    assert materialize_known(read().groupBy().count(), kept).first()[0] == 8
+
+
 def test_profiles(spark):
     works = spark.createDataFrame(
         [("a", "x", 2016), ("b", None, 2015), ("c", "y", 2001), ("d", "z", None)],

@@ -45,6 +45,34 @@ def test_model_hook(spark):
     assert {r.n: r.embedding[0] for r in plain} == {n: float(n) for n in range(10)}
 
 
+def test_token_limit(spark):
+    rows = spark.createDataFrame([("a b  c\td e",), ("a",), ("",)], "text string")
+    found = [sum(r.terms.values) for r in embedding.hashed_terms(rows, "text", dim=8, max_tokens=3).collect()]
+    assert sorted(found) == [1, 2, 3]
+    assert embedding.first_words(" a b  c ", 2) == " a b" and embedding.first_words(" a b  c ", 3) == " a b  c "
+
+    class Words:
+        def encode(self, texts):
+            return [[float(len(text.split()))] for text in texts]
+
+    class Tokens(Words):
+        def truncate(self, text, n):
+            return " ".join(text.split()[:n] + ["end"])
+
+    for model, most in ((Words, 3), (Tokens, 4)):
+        made = embedding.embed_with(rows, model, max_tokens=3).collect()
+        assert {r.text: r.embedding[0] for r in made} == {"a b  c\td e": most, "a": 2 + most - 3, "": 1 + most - 3}
+
+
+def test_packed_batches():
+    lengths = [5, 1, 9, 2, 2, 30, 1]
+    batches = list(embedding.packed(lengths, 3, 12))
+    assert sorted(place for batch in batches for place in batch) == list(range(7))
+    for batch in batches:
+        assert len(batch) <= 3 and (len(batch) == 1 or max(lengths[p] for p in batch) * len(batch) <= 12)
+    assert list(embedding.packed([], 3, 12)) == []
+
+
 def training(spark):
     rng = random.Random(5)
     rows = []
