@@ -21,11 +21,12 @@ CHUNK = 4
 # Candidates with fewer equal positions are no pairs: at a similarity of 0.75, 144 are expected, with
 # a deviation of 6; fewer than 114 come less than once in a million pairs, and for more similar ones not at all.
 LEAST_EQUAL = 114
-# A cell of the exhaustive join holds at most about two blocks.
+# A cell of the exhaustive join holds at most about two blocks: of texts, and of short signatures that screen them.
 BLOCK = 1_024
+SCREEN_BLOCK = 8_192
 KEPT = list(itertools.combinations(range(CHUNK), CHUNK - 1))
 
-SIGNED = "doc_id long, n long, digest binary, keys array<long>, signature binary"
+SIGNED = "doc_id long, n long, digest binary, keys array<long>, signature binary, short binary"
 
 
 def _keys(values):
@@ -49,11 +50,14 @@ def _first_common(equal):
 
 
 def signatures(docs, size=SIZE):
-    """(doc_id, n, digest, keys, signature) per row: size and digest of its shingle set, the rest null if it is empty."""
+    """(doc_id, n, digest, keys, signature, short) per row: size and digest of its shingle set, the rest null if it is empty.
+
+    `short` holds the low bytes of the signature: what is equal in it may be equal, what differs is not.
+    """
 
     def sign(batches):
         for batch in batches:
-            ids, counts, digests, keys, signs = batch.column(0), [], [], [], []
+            ids, counts, digests, keys, signs, shorts = batch.column(0), [], [], [], [], []
             for text in batch.column(1):
                 shingles = shingle_set(text.as_buffer().to_pybytes(), size)
                 counts.append(len(shingles))
@@ -62,12 +66,15 @@ def signatures(docs, size=SIZE):
                     digests.append(digest(shingles))
                     keys.append(_keys(values))
                     signs.append(values.tobytes())
+                    shorts.append(values.astype(np.uint8).tobytes())
                 else:
                     digests.append(None)
                     keys.append(None)
                     signs.append(None)
-            columns = [ids, pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(signs, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "digest", "keys", "signature"])
+                    shorts.append(None)
+            columns = [ids, pa.array(counts, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+            columns += [pa.array(signs, pa.binary()), pa.array(shorts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "digest", "keys", "signature", "short"])
 
     return docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).cast("binary").alias("text")).mapInArrow(sign, SIGNED)
 
@@ -142,6 +149,62 @@ def _mixed(members):
     return stage(counts.where("lo <> hi").select("key", "n"), "mixed")
 
 
+def _cells(members, mixed, block, *columns):
+    """Members of mixed buckets, cut into blocks, once for each cell: a pair of blocks of one bucket."""
+    sizes = mixed.select("key", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    rows = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    rows = rows.select("key", "doc_id", "component", "block", other)
+    cell = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+    side = F.signum(F.col("block") - F.col("other")).cast("int")
+    return rows.select(cell.alias("cell"), "doc_id", "component", side.alias("side"), *columns)
+
+
+def _by_cell(batches, compare):
+    """compare(rows of one cell) for each cell of batches sorted by it, the first column."""
+    left = None
+    for batch in batches:
+        part = pa.Table.from_batches([batch])
+        part = part if left is None else pa.concat_tables([left, part])
+        cell = part.column(0).to_numpy()
+        cuts = np.concatenate([[0], np.nonzero(np.diff(cell))[0] + 1])
+        for start, end in zip(cuts, cuts[1:]):
+            yield compare(part.slice(start, end - start))
+        left = part.slice(cuts[-1]) if len(part) else None
+    if left is not None and len(left):
+        yield compare(left)
+
+
+def _screened(members, mixed, reps):
+    """The members (key, doc_id, component) of mixed buckets that have a near one of another component there.
+
+    Short signatures alone are compared, so documents that share a template
+    and little else meet here, in wide cells of narrow rows, and go no further.
+    """
+    rows = _cells(members, mixed, SCREEN_BLOCK, "key").join(reps.select("doc_id", "short"), "doc_id")
+    rows = rows.select("cell", "key", "doc_id", "component", "side", "short")
+
+    def screen(table):
+        ids, comps, sides = (table.column(n).to_numpy() for n in (2, 3, 4))
+        short = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint8).reshape(len(ids), POSITIONS)
+        alive = np.zeros(len(ids), bool)
+        for i in range(len(ids) - 1):
+            rest = slice(i + 1, None)
+            apart = (comps[rest] != comps[i]) & (ids[rest] != ids[i]) & ((sides[rest] == 0) | (sides[rest] != sides[i]))
+            # Those already known to have one need not be found again by another that has.
+            at = np.nonzero(apart & ~(alive[rest] & alive[i]))[0] + i + 1
+            near = at[(short[at] == short[i]).sum(axis=1) >= LEAST_EQUAL]
+            alive[near], alive[i] = True, alive[i] or len(near) > 0
+        return table.select([1, 2, 3]).filter(pa.array(alive)).combine_chunks()
+
+    def cells(batches):
+        for table in _by_cell(batches, screen):
+            yield from table.to_batches()
+
+    rows = rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(cells, "key long, doc_id long, component long")
+    return stage(rows.distinct(), "screened")
+
+
 def _cell_links(members, mixed, signed, docs, size, percent):
     """Links between components of mixed buckets, as many as join what is similar there.
 
@@ -152,14 +215,8 @@ def _cell_links(members, mixed, signed, docs, size, percent):
     Pairs of sets the cell has joined already are skipped, so it returns fewer
     links than it has rows.
     """
-    sizes = mixed.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = members.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("key", "doc_id", "component", "block", other)
-    cell = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
-    side = F.signum(F.col("block") - F.col("other")).cast("int")
     number = F.shiftright("key", 48).cast("int")
-    rows = rows.select(cell.alias("cell"), "doc_id", "component", side.alias("side"), number.alias("number"))
+    rows = _cells(members, mixed, BLOCK, number.alias("number"))
     rows = stage(rows, "cells")
     told = _texts(docs, rows.select("doc_id")).join(signed.select("doc_id", "signature"), "doc_id")
     rows = rows.join(told, "doc_id").select("cell", "doc_id", "component", "side", "number", "signature", "text")
@@ -188,16 +245,7 @@ def _cell_links(members, mixed, signed, docs, size, percent):
                     yield ids[i], ids[j]
 
     def cells(batches):
-        left = None
-        for batch in batches:
-            part = pa.Table.from_batches([batch])
-            part = part if left is None else pa.concat_tables([left, part])
-            cell = part.column(0).to_numpy()
-            cuts = np.concatenate([[0], np.nonzero(np.diff(cell))[0] + 1])
-            yield _batch(pair for start, end in zip(cuts, cuts[1:]) for pair in compare(part.slice(start, end - start)))
-            left = part.slice(cuts[-1]) if len(part) else None
-        if left is not None and len(left):
-            yield _batch(compare(left))
+        yield from _by_cell(batches, lambda table: _batch(compare(table)))
 
     return _pairs(rows.repartition("cell").sortWithinPartitions("cell").mapInArrow(cells, "a long, b long"))
 
@@ -221,7 +269,8 @@ def near_duplicates(docs, size=SIZE, percent=PERCENT):
     3. Each member of a bucket is compared with the bucket's hub (a star, not all
        pairs) and pairs confirmed on the full sets become links.
     4. Buckets whose other members are then in several components are compared
-       exhaustively across components, in bounded cells; confirmed pairs join.
+       exhaustively across components, in bounded cells: first the low bytes of the signatures, then those
+       that have a near one by their texts; confirmed pairs join.
 
     Which pairs within a component are compared is open, the components are not.
     A null doc_id links with nothing, has a null component and is kept; empty
@@ -244,7 +293,8 @@ def near_duplicates(docs, size=SIZE, percent=PERCENT):
     component = F.coalesce("component", "doc_id").alias("component")
     apart = members.join(found, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", component)
     apart = stage(apart, "apart")
-    more = _cell_links(apart, _mixed(apart), reps, docs, size, percent)
+    near = _screened(apart, _mixed(apart), reps)
+    more = _cell_links(near, _mixed(near), reps, docs, size, percent)
     found = components(more.union(found.select("node", "component")))
 
     ends = rows.select("digest", "rep").distinct().join(found, F.col("rep") == F.col("node"), "left")
