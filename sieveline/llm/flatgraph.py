@@ -1,11 +1,13 @@
 """Embedding near-dedup by a flat graph of robustly pruned neighbours."""
 
 import hashlib
-import math
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sieveline.llm.components import Sets, components
 from sieveline.staging import stage
@@ -20,16 +22,14 @@ TASK_QUERIES = 8_192
 # Centers closer than this to an earlier one are left out, so that a dense ball has one.
 CENTER_COSINE = 0.6
 OVERLAP = 2
-PROBES = 5
 NEAR, FAR, ALPHA, CANDIDATES = 20, 8, 1.2, 56
-BEAM = 32
+# The first try: beam and probed cells. Both are doubled until the audit is content.
+BEAM, PROBES = 8, 3
 # A beam that holds any cell: all its rows are compared.
 WHOLE = 2**62
-# The audit draws AUDITED vectors or ROOTS times the root of their number, whichever is more, in rounds
-# of up to ROUND, and goes on until LINKED of those drawn have links or none is left to draw.
-AUDITED, ROOTS, ROUND = 512, 16, 8_192
-LINKED = 200
-PLACES = 2**40
+# The audit plants a copy of each of PLANTED vectors, turned by a little less than the range, and asks for
+# them; and compares up to CLASS_SAMPLE of the vectors found with about as many links, in one scan.
+PLANTED, CLASS_SAMPLE = 1_024, 32
 RECALL = 0.95
 
 
@@ -79,25 +79,28 @@ def _spread(points):
     return kept[:n]
 
 
-def _routed(reps, centers, most):
-    """One row per vector and each of its `most` nearest centers: (id, center, place, vector, mult).
+def _routed(rows, centers, most):
+    """`rows` (id, vector, ...) once for each of their `most` nearest centers, with (center, place).
 
     `place` is 0 for the nearest center.
     """
     dim = centers.shape[1]
-    sent = reps.sparkSession.sparkContext.broadcast(centers)
+    sent = rows.sparkSession.sparkContext.broadcast(centers)
+    place_of = rows.columns.index("vector")
 
     def route(batches):
         for batch in batches:
-            scores = _matrix(batch.column(1), dim) @ sent.value.T
+            scores = _matrix(batch.column(place_of), dim) @ sent.value.T
             k = min(most, scores.shape[1])
             top = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-            rows = pa.array(np.repeat(np.arange(len(batch)), k))
+            at = pa.array(np.repeat(np.arange(len(batch)), k))
             place = pa.array(np.tile(np.arange(k, dtype=np.int32), len(batch)))
-            columns = [batch.column(n).take(rows) for n in range(3)]
-            yield pa.RecordBatch.from_arrays([columns[0], pa.array(top.ravel().astype(np.int32)), place, *columns[1:]], ["id", "center", "place", "vector", "mult"])
+            columns = [column.take(at) for column in batch.columns]
+            center = pa.array(top.ravel().astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*columns, center, place], [*batch.schema.names, "center", "place"])
 
-    return reps.select("id", "vector", "mult").mapInArrow(route, "id long, center int, place int, vector array<double>, mult long")
+    added = [T.StructField("center", T.IntegerType()), T.StructField("place", T.IntegerType())]
+    return rows.mapInArrow(route, T.StructType([*rows.schema.fields, *added]))
 
 
 def robust_prune(point, candidates, most, alpha=ALPHA):
@@ -200,6 +203,9 @@ def _graph(members):
     return lists.groupBy("id").agg(F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours"))
 
 
+FOUND = "id long, links long, nodes long, root long, planted long"
+
+
 def _found(members, graph, queries, beam, cosine):
     """(id, links, nodes, root) rows: partial counts of the links and linked nodes of vectors, and ids in one set with them.
 
@@ -207,14 +213,17 @@ def _found(members, graph, queries, beam, cosine):
     Of the vectors found only those count whose nearest center is the cell's, so
     each link counts once for each end; other members lead the way. All links
     found by a task are joined there: one row per id leaves it, not one per link.
+    A query with a target is planted: if its target is found, its number is the one thing returned, as `planted`.
     """
     blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
     own = (F.col("place") == 0).alias("own")
-    nodes = members.join(graph, "id").select("cell", blocks, "id", "vector", "mult", own, "neighbours")
-    asked = queries.select(*(F.col(name).alias(f"_{name}") for name in ("cell", "block", "id", "vector")))
+    held = queries.groupBy("cell").agg(F.max("blocks").alias("blocks"))
+    # One row per cell.
+    nodes = members.join(F.broadcast(held), "cell").join(graph, "id").select("cell", blocks, "id", "vector", "mult", own, "neighbours")
+    asked = queries.select(*(F.col(name).alias(f"_{name}") for name in ("cell", "block", "id", "vector", "target")))
 
     def searched(key, left, right):
-        counts, linked, sets = {}, {}, Sets()
+        counts, linked, sets, planted = {}, {}, Sets(), []
         if len(left) and len(right):
             ids = left.column("id").to_numpy()
             order = np.argsort(ids)
@@ -232,48 +241,97 @@ def _found(members, graph, queries, beam, cosine):
             mean = points.mean(axis=0)
             medoid = int(np.argmax(points @ mean))
             roots = ids.copy()
+            targets = right.column("_target").to_pylist()
             asked_ids = right.column("_id").to_numpy()
-            for query_id, query in zip(asked_ids, _matrix(right.column("_vector").combine_chunks(), dim)):
+            for query_id, target, query in zip(asked_ids, targets, _matrix(right.column("_vector").combine_chunks(), dim)):
                 found = search(query, points, links, medoid, beam, cosine)
+                if target is not None:
+                    if (own[found] & (ids[found] == target)).any():
+                        planted.append(int(query_id))
+                    continue
                 found = found[own[found] & (ids[found] != query_id)]
                 if len(found):
                     query_id = int(query_id)
                     counts[query_id], linked[query_id] = int(mult[found].sum()), len(found)
                     root = sets.join([query_id, *map(int, np.unique(roots[found]))])
                     roots[found] = root
-        touched = np.array(sorted(sets.parent), np.int64)
-        return pa.table(
-            {
-                "id": touched,
-                "links": np.array([counts.get(int(x), 0) for x in touched], np.int64),
-                "nodes": np.array([linked.get(int(x), 0) for x in touched], np.int64),
-                "root": np.array([sets.find(int(x)) for x in touched], np.int64),
-            }
-        )
-
-    return nodes.groupBy("cell", "block").cogroup(asked.groupBy("_cell", "_block")).applyInArrow(searched, "id long, links long, nodes long, root long")
-
-
-def _linked(reps, dim, cosine, beam, probes):
-    """The partial counts of one way of searching `reps` (id, vector, mult), all of `dim` numbers, and if it probed all cells."""
-    rows = reps.count()
-    wanted = max(1, min(MOST_CENTERS, -(-rows // SHARD_ROWS)))
+        touched = sorted(sets.parent)
+        rows = [(x, counts.get(x, 0), linked.get(x, 0), sets.find(x), None) for x in touched]
+        rows += [(None, None, None, None, number) for number in planted]
+        names = ["id", "links", "nodes", "root", "planted"]
+        return pa.table([pa.array([row[n] for row in rows], pa.int64()) for n in range(5)], names=names)
+
+    return nodes.groupBy("cell", "block").cogroup(asked.groupBy("_cell", "_block")).applyInArrow(searched, FOUND)
+
+
+@dataclass(frozen=True)
+class Graph:
+    """Centers, the number of cells of each (center, cells), vectors by cell, and their neighbours."""
+
+    centers: np.ndarray
+    cells: DataFrame
+    members: DataFrame
+    lists: DataFrame
+
+
+def _built(reps, dim):
+    """The graph of `reps` (id, vector, mult), all of `dim` numbers."""
+    wanted = max(1, min(MOST_CENTERS, -(-reps.count() // SHARD_ROWS)))
     drawn = reps.orderBy(F.xxhash64("id"), "id").limit(2 * wanted).select("vector").toArrow().column("vector")
     centers = _spread(_matrix(drawn.combine_chunks(), dim))[:wanted]
-    routed = stage(_routed(reps, centers, max(probes, OVERLAP)), "routed")
-    in_cluster, asks = F.col("place") < OVERLAP, F.col("place") < probes
-    sizes = routed.groupBy("center").agg(
-        F.greatest(F.lit(1), F.ceil(F.count_if(in_cluster) / CELL_ROWS)).cast("int").alias("cells"),
-        F.greatest(F.lit(1), F.ceil(F.count_if(asks) / TASK_QUERIES)).cast("int").alias("blocks"),
-    )
+    routed = stage(_routed(reps.select("id", "vector", "mult"), centers, OVERLAP), "routed")
+    cells = routed.groupBy("center").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / CELL_ROWS)).cast("int").alias("cells"))
+    # One row per center.
+    cells = F.broadcast(stage(cells, "cells"))
+    cell = F.col("center").cast("long") * F.lit(2**21) + F.pmod(F.xxhash64("id"), F.col("cells"))
+    members = routed.join(cells, "center").withColumn("cell", cell).select("cell", "place", "id", "vector", "mult")
+    return Graph(centers, cells, members, stage(_graph(members), "graph"))
+
+
+def _searched(graph, queries, beam, probes, cosine):
+    """Partial counts of one way of searching for `queries` (id, vector, target), staged."""
+    routed = stage(_routed(queries.select("id", "vector", "target"), graph.centers, probes), "asked")
+    blocks = F.greatest(F.lit(1), F.ceil(F.count("*") / TASK_QUERIES)).cast("int").alias("blocks")
     # One row per center.
-    routed = routed.join(F.broadcast(stage(sizes, "sizes")), "center")
-    first = F.col("center").cast("long") * F.lit(2**21)
-    members = routed.where(in_cluster).withColumn("cell", first + F.pmod(F.xxhash64("id"), F.col("cells")))
-    asked = routed.where(asks).withColumn("n", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-    asked = asked.withColumn("cell", first + F.col("n")).withColumn("block", F.pmod(F.xxhash64(F.lit(2), "id"), F.col("blocks")).cast("int"))
-    graph = stage(_graph(members), "graph")
-    return stage(_found(members, graph, asked, beam, cosine), "found"), probes >= len(centers)
+    routed = routed.join(F.broadcast(stage(routed.groupBy("center").agg(blocks), "blocks")), "center").join(graph.cells, "center")
+    asked = routed.withColumn("n", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    asked = asked.withColumn("cell", F.col("center").cast("long") * F.lit(2**21) + F.col("n"))
+    asked = asked.withColumn("block", F.pmod(F.xxhash64(F.lit(2), "id"), F.col("blocks")).cast("int"))
+    return stage(_found(graph.members, graph.lists, asked, beam, cosine), "found")
+
+
+def turned(points, cosine, seed=0):
+    """Each row turned in a random direction, to a cosine halfway between `cosine` and 1 at most and just above it at least."""
+    random = np.random.default_rng(seed)
+    aside = random.normal(size=points.shape)
+    aside -= (aside * points).sum(axis=1, keepdims=True) * points
+    size = np.sqrt((aside * aside).sum(axis=1, keepdims=True))
+    aside = np.divide(aside, size, out=np.zeros_like(aside), where=size > 1e-9)
+    near = cosine + (1 - cosine) * random.uniform(1e-6, 0.5, (len(points), 1))
+    made = near * points + np.sqrt(1 - near * near) * aside
+    return made / np.sqrt((made * made).sum(axis=1, keepdims=True))
+
+
+def planted(reps, dim, cosine, n=PLANTED):
+    """(id, vector, target): `n` vectors drawn by hash, turned by a little less than the range. No link of theirs is ever missing."""
+    drawn = reps.orderBy(F.xxhash64(F.lit(1), "id"), "id").limit(n).select("id", "vector").toArrow()
+    points = turned(_matrix(drawn.column("vector").combine_chunks(), dim), cosine) if drawn.num_rows else np.empty((0, dim))
+    rows = [(number, vector.tolist(), target) for number, (vector, target) in enumerate(zip(points, drawn.column("id").to_pylist()))]
+    return reps.sparkSession.createDataFrame(rows, "id long, vector array<double>, target long"), len(rows)
+
+
+def _content(graph, copies, n, cosine, recall, beam, probes):
+    """(beam, probes, share of the planted copies that find their vector), the first doubling that reaches `recall`."""
+    while True:
+        found = _searched(graph, copies, beam, probes, cosine)
+        share = found.where("planted IS NOT NULL").select("planted").distinct().count() / n
+        if share >= recall or beam == WHOLE and probes >= len(graph.centers):
+            return beam, probes, share
+        beam, probes = _doubled(beam, probes)
+
+
+def _doubled(beam, probes):
+    return (2 * beam if 2 * beam <= CELL_ROWS else WHOLE), 2 * probes
 
 
 def _there(reps, drawn, dim, cosine):
@@ -302,7 +360,7 @@ def _there(reps, drawn, dim, cosine):
     return {row["id"]: (row["links"], row["nodes"]) for row in rows}
 
 
-def audit(reps, found, dim, cosine=COSINE, queries=AUDITED):
+def audit(reps, found, dim, cosine=COSINE, queries=PLANTED):
     """(links found, links there) of `queries` vectors drawn by hash, by brute force over all of `reps`."""
     drawn = reps.orderBy(F.xxhash64(F.lit(1), "id"), "id").limit(queries).select("id", "vector").toArrow()
     there = {i: links for i, (links, _) in _there(reps, drawn, dim, cosine).items()}
@@ -316,22 +374,18 @@ def _of(found, ids, column):
     return {row["id"]: row["n"] for row in found.join(wanted, "id").groupBy("id").agg(F.sum(column).alias("n")).collect()}
 
 
-def linked_sample(reps, dim, cosine=COSINE):
-    """{id: nodes linked} of vectors drawn by hash that have links, by brute force over all of `reps`.
+def linked_sample(reps, found, dim, cosine=COSINE, most=CLASS_SAMPLE):
+    """{id: nodes linked} of vectors that were found to have links, by brute force in one scan of `reps`.
 
-    More and more are drawn until LINKED of them have links (see AUDITED). So if there
-    are none in the sample, every vector was drawn and `reps` has no links.
+    Up to `most` drawn by hash of each class of vectors with about as many linked nodes (see recalls()),
+    so a hot group does not stand for all. Of a table without links none is drawn.
     """
-    rows = reps.count()
-    least = max(AUDITED, ROOTS * math.isqrt(rows))
-    place = F.pmod(F.xxhash64(F.lit(1), "id"), F.lit(PLACES))
-    there, start, size = {}, 0, min(least, ROUND)
-    while start < PLACES and (start * rows < least * PLACES or len(there) < LINKED):
-        stop = min(PLACES, start + -(-size * PLACES // max(rows, 1)))
-        drawn = reps.where((place >= start) & (place < stop)).select("id", "vector").toArrow()
-        there |= {i: nodes for i, (_, nodes) in _there(reps, drawn, dim, cosine).items()}
-        start, size = stop, min(2 * size, ROUND)
-    return there
+    counts = found.where("id IS NOT NULL").groupBy("id").agg(F.sum("nodes").alias("n")).where("n > 0")
+    place = F.row_number().over(Window.partitionBy(F.floor(F.log2("n"))).orderBy(F.xxhash64("id"), "id"))
+    # At most 63 classes.
+    some = stage(counts.withColumn("place", place).where(F.col("place") <= most).select("id"), "drawn")
+    drawn = reps.join(F.broadcast(some), "id").select("id", "vector").toArrow()
+    return {i: nodes for i, (_, nodes) in _there(reps, drawn, dim, cosine).items()} if drawn.num_rows else {}
 
 
 def recalls(there, found):
@@ -365,15 +419,16 @@ def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_
        some far ones, in both directions. A node's lists from all cells are united.
     4. Each node is searched for in the cells of its PROBES nearest centers, greedily
        from the medoid, expanding all nodes within range.
-    5. Nodes are drawn until LINKED of them have links, and compared with all others
-       by brute force; a table with few links or none is drawn whole. If the mean
-       recall of any class of nodes with about as many linked nodes is below `recall`,
-       the search is repeated with twice the beam and probes, until it is enough.
-       Once all cells are probed and the beam exceeds CELL_ROWS, cells are
+    5. Beam and probed cells are those for which enough planted queries find what they were made
+       from: copies of nodes drawn by hash, turned by a little less than the
+       range; so the audit has links to find in any table. They are only asked for, never found.
+    6. After the search, nodes with links of every class of about as many linked nodes are compared with all others,
+       in one scan. If the mean recall of a class is below `recall`, the search is repeated with twice the
+       beam and probes. Once all cells are probed and the beam exceeds CELL_ROWS, cells are
        compared whole, which finds every link.
 
-    audited_recall is the mean recall of the linked nodes drawn, each counted once; null
-    only if all nodes were compared and none has a link.
+    audited_recall is the least of the planted share and the mean recalls of the classes; null
+    only if there are no nodes.
 
     Null ids and unusable vectors (see unit_vectors()) have no links; their component is
     their own vec_id. Vectors of different length are not compared. Rows that
@@ -393,15 +448,17 @@ def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_
     audited = []
     for (dim,) in sorted(map(tuple, reps.select("dim").distinct().collect())):
         own = reps.where(F.col("dim") == dim)
-        there = linked_sample(own, dim, cosine)
-        beam, probes = BEAM, PROBES
+        graph = _built(own, dim)
+        copies, n = planted(own, dim, cosine)
+        beam, probes, share = _content(graph, copies, n, cosine, recall, BEAM, PROBES)
+        queries = own.withColumn("target", F.lit(None).cast("long"))
         while True:
-            found, everywhere = _linked(own, dim, cosine, beam, probes)
-            sampled = recalls(there, found)
-            if least_mean(sampled) >= recall or everywhere and beam == WHOLE:
+            found = _searched(graph, queries, beam, probes, cosine).where("id IS NOT NULL")
+            reached = least_mean(recalls(linked_sample(own, found, dim, cosine), found))
+            if reached >= recall or beam == WHOLE and probes >= len(graph.centers):
                 break
-            beam, probes = 2 * beam if 2 * beam <= CELL_ROWS else WHOLE, 2 * probes
-        audited += sampled
+            beam, probes = _doubled(beam, probes)
+        audited.append(min(share, reached))
         counts = counts.union(found.select("id", "links", "root"))
 
     links = stage(counts.select(F.col("root").alias("a"), F.col("id").alias("b")).union(joins), "links")
@@ -420,5 +477,5 @@ def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_
         "n_links",
         "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
-        F.lit(sum(own for _, own in audited) / len(audited) if audited else None).cast("double").alias("audited_recall"),
+        F.lit(min(audited, default=None)).cast("double").alias("audited_recall"),
     )

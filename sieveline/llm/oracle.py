@@ -108,7 +108,8 @@ WITH RECURSIVE vectors AS (
   WHERE list_dot_product(x.v, y.v) >= 0.95 * x.size * y.size
 ), {REACHED}
 SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
-       least(vec_id, coalesce(least_other, vec_id)) AS component_id, vec_id <= coalesce(least_other, vec_id) AS kept
+       least(vec_id, coalesce(least_other, vec_id)) AS component_id, vec_id <= coalesce(least_other, vec_id) AS kept,
+       true AS recall_reached
 FROM embeddings LEFT JOIN (SELECT node AS vec_id, min(other) AS least_other FROM reached GROUP BY node) USING (vec_id)
 """
 

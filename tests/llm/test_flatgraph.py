@@ -120,17 +120,39 @@ def test_audit_counts_links_by_brute_force(spark):
     assert collections.Counter(n for n, _ in truth.values())[0] > 0
 
 
-def test_audit_draws_until_vectors_have_links(spark, monkeypatch):
-    monkeypatch.setattr(flatgraph, "AUDITED", 8)
-    monkeypatch.setattr(flatgraph, "ROOTS", 0)
-    vectors = corpus(6, lone=900, balls=(2, 2), copies=0)
+def test_linked_sample_draws_from_every_class(spark):
+    vectors = corpus(6, lone=900, balls=(2, 2, 40), copies=0)
     units = {i: np.array(v) / np.linalg.norm(v) for i, v in vectors.items()}
     truth = {i: n for i, (n, _) in brute(vectors).items() if n}
     reps = spark.createDataFrame([(i, v.tolist(), 1) for i, v in units.items()], "id long, vector array<double>, mult long")
-    assert flatgraph.linked_sample(reps, 32) == truth
-    monkeypatch.setattr(flatgraph, "LINKED", 3)
-    some = flatgraph.linked_sample(reps, 32)
-    assert 3 <= len(some) and some.items() <= truth.items()
+    # Half of the links of each were found; the sample knows all.
+    found = spark.createDataFrame([(i, 0, -(-n // 2), 0) for i, n in truth.items()], "id long, links long, nodes long, root long")
+    some = flatgraph.linked_sample(reps, found, 32, most=4)
+    assert some.items() <= truth.items() and len(some) <= 4 * 6 and {1, 39} <= set(some.values())
+    assert flatgraph.linked_sample(reps, found.limit(0), 32) == {}
+
+
+def test_planted_copies_are_within_the_range(spark):
+    rng = np.random.default_rng(3)
+    points = np.array([unit(rng, 16) for _ in range(300)])
+    made = flatgraph.turned(points, 0.95)
+    cosines = (points * made).sum(axis=1)
+    assert (cosines >= 0.95).all() and cosines.min() < 0.955 and cosines.max() < 0.98
+    reps = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(points)], "id long, vector array<double>, mult long")
+    copies, n = flatgraph.planted(reps, 16, 0.95, 100)
+    assert n == 100 and {row.target for row in copies.collect()} <= set(range(300))
+    # One number has no direction to be turned in.
+    assert np.allclose(flatgraph.turned(np.array([[1.0], [-1.0]]), 0.95), [[1.0], [-1.0]])
+
+
+def test_a_table_without_links_is_audited(spark, monkeypatch):
+    scans = []
+    there = flatgraph._there
+    monkeypatch.setattr(flatgraph, "_there", lambda *a: scans.append(1) or there(*a))
+    monkeypatch.setattr(flatgraph, "SHARD_ROWS", 100)
+    vectors = corpus(8, lone=700, balls=(), copies=0)
+    rows = flatgraph.near_vectors(frame(spark, list(vectors.items()))).collect()
+    assert rows[0].audited_recall >= 0.95 and len(scans) <= 2
 
 
 def test_a_hot_group_does_not_hide_missed_pairs(spark):
@@ -156,7 +178,8 @@ def test_search_goes_on_when_all_cells_are_probed(spark, monkeypatch):
     monkeypatch.setattr(flatgraph, "CELL_ROWS", 1_000)
     vectors = corpus(7, lone=100, balls=(2, 2, 30), copies=3)
     rows = flatgraph.near_vectors(frame(spark, list(vectors.items()))).collect()
-    assert len(beams) == 2 and rows[0].audited_recall == 1
+    # The planted queries twice, then all once.
+    assert len(beams) == 3 and rows[0].audited_recall == 1
     assert {row.vec_id: (row.n_links, row.component_id) for row in rows} == brute(vectors)
 
 
