@@ -130,11 +130,11 @@ def _other_number(digits, permute):
 
 
 def phone(value, permute):
-    """With +1 any ten digits are a number; without a code only those of the ten-digit plan."""
+    """With +1, or with parentheses, any ten digits are a number; else only those of the ten-digit plan."""
     digits = _digits(value)
     if value[0] != "+" or digits[0] == "1" and len(digits) == 11:
         own = _plan_number(digits[-10:], permute)
-        if own is None and value[0] == "+":
+        if own is None and value[0] in "+(":
             own = _other_number(digits[-10:], permute)
         return own and _refilled(value, digits[:-10] + own, str.isdigit)
     # Other countries: the last seven digits or more after a code of up to three.
@@ -162,30 +162,42 @@ def ssn(value, permute):
 FIRST_DAY, LAST_DAY = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1, 1).toordinal()
 
 
+def _written(part):
+    """How a month or day is written: with one digit, with two, or with a zero before one."""
+    return "one" if len(part) == 1 else "zero" if part[0] == "0" else "two"
+
+
 def date(value, permute):
     """A calendar day of 1900 to 2099, in the order year-month-day, month/day/year, or day.month.year.
 
     With slashes, days above 12 in the first place are read as day/month/year and
-    permuted among such days.
+    permuted among such days. If a part has one digit, days are permuted among those
+    whose month and day are written like them.
     """
-    first, second, third = map(int, re.split("[-/.]", value))
-    order = "ymd" if value[4] in "-/." else "dmy" if "." in value or first > 12 else "mdy"
-    year, month, day = {"ymd": (first, second, third), "mdy": (third, first, second), "dmy": (third, second, first)}[order]
+    parts = re.split("([-/.])", value)
+    order = "ymd" if len(parts[0]) == 4 else "dmy" if "." in value or int(parts[0]) > 12 else "mdy"
+    given = dict(zip(order, parts[::2]))
     try:
-        ordinal = datetime.date(year, month, day).toordinal()
+        ordinal = datetime.date(*(int(given[part]) for part in "ymd")).toordinal()
     except ValueError:
         return None
     if not FIRST_DAY <= ordinal < LAST_DAY:
         return None
     late = order == "dmy" and "." not in value
     kind = "late date" if late else "date"
+    forms = tuple(_written(given[part]) for part in "md")
+    if "one" in forms:
+        kind = " ".join((kind, *forms))
     while True:
         ordinal = FIRST_DAY + permute(kind, ordinal - FIRST_DAY, LAST_DAY - FIRST_DAY)
         found = datetime.date.fromordinal(ordinal)
+        own = {"y": f"{found.year}", "m": f"{found.month:02d}", "d": f"{found.day:02d}"}
+        if "one" in forms:
+            own |= {part: f"{number}" for part, number, form in zip("md", (found.month, found.day), forms) if form == "one"}
+            if tuple(_written(own[part]) for part in "md") != forms:
+                continue
         if not late or found.day > 12:
-            break
-    parts = {"ymd": f"{found:%Y%m%d}", "mdy": f"{found:%m%d%Y}", "dmy": f"{found:%d%m%Y}"}[order]
-    return _refilled(value, parts, str.isdigit)
+            return "".join([own[order[0]], parts[1], own[order[1]], parts[3], own[order[2]]])
 
 
 def email(value, permute):
@@ -196,7 +208,7 @@ def email(value, permute):
 
 def secret(value, permute):
     """Each character within its kind: digits or letters of a hexadecimal number, else digits, lower or upper case letters."""
-    head, *rest = re.split(r"""(\s*[=:]\s*["']?)""", value, maxsplit=1)
+    head, *rest = re.split(r"""(["']?\s*[=:]\s*["']?)""", value, maxsplit=1)
     if rest:
         return head + rest[0] + _characters("secret", rest[1], permute)
     return value[:4] + _characters("key", value[4:], permute)
@@ -253,12 +265,19 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 KINDS = {
     "email": (email, r"(?<![\w.+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![\w-])"),
     "ip": (ip, rf"(?<![\w.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\w)"),
-    "date": (date, r"(?<![\w./-])(?:\d{4}([-/.])\d\d\1\d\d|\d\d([/.])\d\d\2\d{4})(?![\w/-]|\.\d)"),
+    "date": (date, r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([/.])\d{1,2}\2\d{4})(?!(?!T\d)[\w/-]|\.\d)"),
     "ssn": (ssn, r"(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])"),
     "card": (card, r"(?<![\w-])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?![\w-])"),
     "iban": (iban, r"(?<!\w)[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)"),
     "phone": (phone, r"(?<![\w+.-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])|(?<![\w+])\+\d(?:[ .-]?\d){7,14}(?![\w-])"),
-    "secret": (secret, r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)|(?<!\w)(?i:password|passwd|secret|token|api_key|apikey)\s*[=:]\s*[\"']?[A-Za-z0-9]{12,}(?!\w)"),
+    "secret": (
+        secret,
+        r"(?<!\w)AKIA[A-Z0-9]{16}(?!\w)"
+        # The end of a name, which may be quoted, and a value: a quoted one without blanks, one of letters and
+        # digits, or up to a blank if it has a digit. The signs that end a sentence do not belong to it.
+        r"|(?i:password|passwd|secret|token|api[_-]?key|access[_-]?key)[\"']?\s*[=:]\s*"
+        r"(?:[\"'][^\s\"']{8,}(?=[\"'])|[\"']?(?:(?=[^\s\"']*\d)[^\s\"',;<>]{11,}[A-Za-z0-9=/+_-]|[A-Za-z0-9]{12,}(?!\w)))",
+    ),
 }
 
 
@@ -274,7 +293,7 @@ def _numbered(patterns):
 
 
 # Texts without any of these hold nothing to replace.
-CANDIDATE = re.compile(r"[0-9@]|AKIA|(?i:passw|secret|token|api_?key)", re.ASCII)
+CANDIDATE = re.compile(r"[0-9@]|AKIA|(?i:passw|secret|token|api[_-]?key|access[_-]?key)", re.ASCII)
 FOUND = _numbered({kind: pattern for kind, (_, pattern) in KINDS.items()})
 
 
@@ -299,7 +318,7 @@ def pseudonyms(docs, key):
 
     E-mail names, IPv4 addresses, calendar dates, US social security numbers,
     payment cards (Luhn), IBANs (mod 97), phone numbers, access keys and secrets
-    that are valid (ten digits without +1 only where area and exchange begin with
+    that are valid (ten digits without +1 or parentheses only where area and exchange begin with
     2 to 9) are replaced in place by values of the same format and
     validity, permuted under `key` (bytes). So equal values have equal
     pseudonyms in all documents, different ones different, and the holder of the key
