@@ -4,36 +4,53 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveline.llm.tables import row_hash, running, text_of
-from sieveline.staging import stage
+from sieveline.staging import join_hot, stage
 
 BITS = 5
 ACCURACY = 10_000
 
 
-def _ordinal(docs, name):
-    """A number that sorts as the column does: itself, or for strings the first seven bytes."""
-    if isinstance(docs.schema[name].dataType, T.StringType):
-        first = F.rpad(F.hex(F.substring(docs[name].cast("binary"), 1, 7)), 14, "0")
-        return F.conv(first, 16, 10).cast("double")
-    return docs[name].cast("double")
+def _is_text(docs, name):
+    return isinstance(docs.schema[name].dataType, T.StringType)
+
+
+def _text_levels(docs, name, bits, level):
+    """`docs` with a column `level` for a string column: the rank of its value, weighted by rows, in 2**bits levels.
+
+    Distinct values are counted before they are shuffled, and a range sort
+    gives the rows before each of them; so names that share a long prefix
+    are told apart, and a value of a third of all rows is one row here.
+    """
+    values = docs.where(docs[name].isNotNull()).groupBy(docs[name].alias("_value")).agg(F.count("*").alias("_n"))
+    ranked = stage(running(stage(values, "values"), ["_value"], {"_upto": "_n"}), "ranked")
+    total = ranked.agg(F.sum("_n")).first()[0] or 1
+    place = F.expr(f"CAST(((_upto - _n) * {2**bits}L) DIV {total}L AS BIGINT)")
+    ranked = ranked.select(F.col("_value").alias(name), place.alias(level))
+    told = join_hot(docs.where(docs[name].isNotNull()), ranked, name)
+    rest = docs.where(docs[name].isNull()).withColumn(level, F.lit(0).cast("long"))
+    return told.select(*docs.columns, level).unionByName(rest)
 
 
 def levels(docs, columns, bits=BITS):
-    """(name, column) pairs: each of `columns` quantised to 2**bits levels of about as many rows.
+    """(docs, levels): `docs` with one more column for each of `columns`, quantised to 2**bits levels of about as many rows.
 
-    The cuts are approximate percentiles of the whole column, 2**bits - 1 numbers
-    of each; equal values have equal levels, null and NaN have level 0.
+    Numbers are cut at approximate percentiles of the whole column, 2**bits - 1 numbers
+    of each; strings at the ranks of their values by count. Equal values have equal levels, null and NaN have level 0.
     """
     shares = [n / 2**bits for n in range(1, 2**bits)]
-    ordinals = {name: _ordinal(docs, name) for name in columns}
-    usable = {name: F.when(~F.isnan(column), column) for name, column in ordinals.items()}
-    cuts = docs.agg(*(F.percentile_approx(column, shares, ACCURACY).alias(f"_{n}") for n, column in enumerate(usable.values())))
-    found = cuts.first()
+    numbers = [name for name in columns if not _is_text(docs, name)]
+    usable = {name: F.when(~F.isnan(docs[name].cast("double")), docs[name].cast("double")) for name in numbers}
+    cuts = docs.agg(F.lit(0), *(F.percentile_approx(column, shares, ACCURACY) for column in usable.values())).first()
 
     def level(column, own):
         return F.size(F.filter(F.array(*map(F.lit, own or [])).cast("array<double>"), lambda cut: cut < column)).cast("long")
 
-    return [(name, level(column, found[n])) for n, (name, column) in enumerate(usable.items())]
+    named = {name: f"_level_{n}" for n, name in enumerate(columns)}
+    docs = docs.withColumns({named[name]: level(usable[name], cuts[n + 1]) for n, name in enumerate(numbers)})
+    for name in columns:
+        if name not in numbers:
+            docs = _text_levels(docs, name, bits, named[name])
+    return docs, [F.col(named[name]) for name in columns]
 
 
 def curve_index(coordinates, bits=BITS):
@@ -108,8 +125,8 @@ def shard(docs, dimensions=("lang", "source", "size"), shards=8, bits=BITS):
     )
     narrow = stage(narrow, "sized")
     named = ["_size" if name == "size" else f"_of_{name}" for name in dimensions]
-    curve = curve_index([column for _, column in levels(narrow, named, bits)], bits)
-    placed = stage(narrow.select("_id", "_size", "_crc", "_row", curve.alias("_curve")), "curve")
+    leveled, coordinates = levels(narrow, named, bits)
+    placed = stage(leveled.select("_id", "_size", "_crc", "_row", curve_index(coordinates, bits).alias("_curve")), "curve")
     total = placed.count()
     numbered = running(placed, ["_curve", "_id", "_crc", "_size", "_row"], {}, row="_rank")
     # The first row of shard s is ceil(s * total / shards).

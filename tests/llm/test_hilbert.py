@@ -73,3 +73,49 @@ def test_files_span_small_ranges(spark, tmp_path):
     assert max(row.n for row in spans) <= 100
     full = [row for row in spans if row.n > 50]
     assert sum(row.size for row in full) / len(full) < 600 and sum(row.sources for row in full) / len(full) < 7
+
+
+def test_names_with_a_common_prefix(spark):
+    rng = random.Random(5)
+    # A third of all rows has one value.
+    names = [None if rng.random() < 0.1 else f"https://example.org/source_{rng.choice([3, rng.randint(0, 90), rng.randint(0, 90)]):02d}" for _ in range(900)]
+    docs = spark.createDataFrame([(i, name, i % 7) for i, name in enumerate(names)], "doc_id long, source string, n long")
+    leveled, (source, n) = hilbert.levels(docs.repartition(4), ["source", "n"], 5)
+    found = {row.doc_id: (row.a, row.b) for row in leveled.select("doc_id", source.alias("a"), n.alias("b")).collect()}
+    known = sorted(name for name in names if name)
+    expected = {name: known.index(name) * 32 // len(known) for name in set(known)}
+    assert {i: a for i, (a, _) in found.items()} == {i: expected.get(name, 0) for i, name in enumerate(names)}
+    assert len({a for a, _ in found.values()}) > 15 and [found[i][1] for i in range(7)] == sorted({b for _, b in found.values()})
+
+
+def plain_curve(point, bits):
+    """Index along the Hilbert curve by recursion on the state of a cell: its entry corner and its direction."""
+    n, entry, direction, index = len(point), 0, 0, 0
+    rotate = lambda x, k: ((x >> k % n) | (x << (n - k % n))) & ((1 << n) - 1)
+    gray = lambda x: x ^ (x >> 1)
+    for b in range(bits - 1, -1, -1):
+        corner = sum((point[axis] >> b & 1) << (n - 1 - axis) for axis in range(n))
+        turned = rotate(corner ^ entry, direction + 1)
+        place = next(w for w in range(1 << n) if gray(w) == turned)
+        index = index << n | place
+        first = 0 if place == 0 else gray(2 * ((place - 1) // 2))
+        ones = lambda x: next(k for k in range(n + 1) if not x >> k & 1)
+        side = 0 if place == 0 else ones(place - 1) % n if place % 2 == 0 else ones(place) % n
+        entry ^= ((first << (direction + 1) % n) | (first >> (n - (direction + 1) % n))) & ((1 << n) - 1)
+        direction = (direction + side + 1) % n
+    return index
+
+
+def test_cells_of_a_run_are_those_of_a_plain_curve(spark):
+    """Both curves fill each aligned block of cells before they leave it, in whatever orientation."""
+    cells = list(itertools.product(range(8), repeat=3))
+    frame = spark.createDataFrame(cells, "x long, y long, z long")
+    ours = {row[:3]: row["at"] for row in frame.withColumn("at", hilbert.curve_index([F.col(c) for c in "xyz"], 3)).collect()}
+    plain = {cell: plain_curve(cell, 3) for cell in cells}
+    assert sorted(plain.values()) == sorted(ours.values()) == list(range(512))
+    for curve in (ours, plain):
+        for size in (1, 2, 4):
+            runs = {}
+            for cell, at in curve.items():
+                runs.setdefault(tuple(x // size for x in cell), set()).add(at // size**3)
+            assert all(len(run) == 1 for run in runs.values())
