@@ -2,6 +2,7 @@
 
 import base64
 import heapq
+import json
 
 import numpy as np
 import pyarrow as pa
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveline.llm.tables import text_of
+from sieveline.staging import stage
 
 ENCODED = T.StructType().add("doc_id", "long").add("n_tokens", "long").add("ids", "binary")
 CACHED_WORDS = 400_000
@@ -120,7 +122,7 @@ def _packed(pieces, merged):
     return np.diff(bounds), bounds * 4, ids
 
 
-def encode(docs, ranks, pattern, keep=()):
+def encode(docs, ranks, pattern, keep=(), tokens=False):
     """(doc_id, n_tokens, ids) and the columns `keep` of `docs` per row; `ids` are little-endian unsigned 32-bit ranks.
 
     Each match of `pattern` is a word, encoded for itself without special
@@ -128,7 +130,8 @@ def encode(docs, ranks, pattern, keep=()):
     regular expressions; in each Arrow batch the distinct ones are merged and
     their tokens dealt back to the texts. `ranks` (bytes to rank) is the whole
     vocabulary and goes to the executors once; single bytes must have ranks.
-    Null and empty texts have no tokens; an empty table gives no rows.
+    Null and empty texts have no tokens; an empty table gives no rows. With `tokens` a
+    last column of this name has the ranks as an array.
     """
     sent = docs.sparkSession.sparkContext.broadcast(ranks)
 
@@ -139,25 +142,106 @@ def encode(docs, ranks, pattern, keep=()):
             buffers = [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(ids))]
             packed = pa.Array.from_buffers(pa.binary(), len(batch), buffers)
             own = [batch.column(0), pa.array(counts), packed, *batch.columns[2:]]
+            if tokens:
+                own.append(pa.ListArray.from_arrays(pa.array((bounds // 4).astype(np.int32)), pa.array(ids.astype(np.int32))))
             yield pa.RecordBatch.from_arrays(own, schema.names)
 
     words = F.regexp_extract_all(text_of(docs), F.lit("(?U)" + pattern), F.lit(0))
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), words.alias("_words"), *(docs[name] for name in keep))
     schema = T.StructType([*ENCODED, *rows.schema.fields[2:]])
+    schema = schema.add("tokens", T.ArrayType(T.IntegerType())) if tokens else schema
     return rows.mapInArrow(run, schema)
 
 
-def decode(encoded, ranks):
-    """`encoded` (with columns doc_id, n_tokens, ids) and `decoded`, the bytes of its tokens. Null ids decode to null."""
-    sent = encoded.sparkSession.sparkContext.broadcast({rank: token for token, rank in ranks.items()})
+def _literal(value, kind):
+    """A constant array that Spark parses once, when it plans."""
+    return F.from_json(F.lit(json.dumps(value)), kind)
 
-    def run(batches):
-        tokens = sent.value
-        for batch in batches:
-            texts = [
-                None if ids is None else b"".join(map(tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
-                for ids in (value.as_py() for value in batch.column(2))
-            ]
-            yield batch.append_column("decoded", pa.array(texts, pa.binary()))
 
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(run, T.StructType([*ENCODED, T.StructField("decoded", T.BinaryType())]))
+def _numbers(packed):
+    """Ranks as an array of integers from little-endian unsigned 32-bit numbers."""
+    byte = lambda at: F.conv(F.hex(F.substring(packed, at, F.lit(1))), 16, 10).cast("int")
+    number = lambda n: byte(4 * n + 1) + 256 * byte(4 * n + 2) + 65_536 * byte(4 * n + 3)
+    places = F.filter(F.sequence(F.lit(0), F.octet_length(packed).cast("int")), lambda n: 4 * n < F.octet_length(packed))
+    return F.transform(places, number)
+
+
+def decode(encoded, ranks, keep=()):
+    """`encoded` (with columns doc_id, n_tokens, ids, and `keep`) and `decoded`, the bytes of its tokens. Null ids decode to null.
+
+    The piece of each token is taken from a literal array by its place and the
+    pieces are joined, by Spark's functions alone. Ranks come from the column
+    `tokens` (an array) if encode() was asked for it, else from the packed ids.
+    Ranks are below 2 ** 24.
+    """
+    pieces = [""] * (max(ranks.values(), default=-1) + 1)
+    for token, rank in ranks.items():
+        pieces[rank] = token.hex()
+    table = _literal(pieces, "array<string>")
+    tokens = F.col("tokens") if "tokens" in encoded.columns else _numbers(F.col("ids"))
+    joined = F.array_join(F.transform(tokens, lambda rank: F.element_at(table, rank + 1)), "")
+    return encoded.select("doc_id", "n_tokens", "ids", *keep, F.unhex(joined).alias("decoded"))
+
+
+# Buckets of the table of pairs; about one pair in each.
+BUCKETS = 262_139
+
+
+def pair_table(ranks):
+    """For each bucket the pairs of ranks that merge and the rank they merge to, as JSON values."""
+    buckets = [[] for _ in range(BUCKETS)]
+    for token, rank in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                pair = left << 24 | right
+                buckets[pair % BUCKETS].append({"p": pair, "r": rank})
+    return buckets
+
+
+def folded(word, ranks):
+    """Ranks of the tokens of a binary column of words: merges folded by higher-order functions, one a step."""
+    table = _literal(pair_table(ranks), "array<array<struct<p:bigint,r:int>>>")
+    single = _literal([ranks[bytes([b])] for b in range(256)], "array<int>")
+    byte = lambda n: F.conv(F.hex(F.substring(word, n, F.lit(1))), 16, 10).cast("int")
+    length = F.octet_length(word).cast("int")
+    start = F.transform(F.sequence(F.lit(1), length), lambda n: F.element_at(single, byte(n) + 1))
+
+    def merged(left, right):
+        pair = F.shiftleft(left.cast("long"), 24).bitwiseOR(right.cast("long"))
+        known = F.transform(F.array(pair), lambda p: F.filter(F.element_at(table, (p % BUCKETS).cast("int") + 1), lambda x: x["p"] == p))
+        return F.get(F.get(known, F.lit(0)), F.lit(0))["r"]
+
+    def step(parts, _):
+        pairs = F.transform(F.slice(parts, 1, F.size(parts) - 1), lambda left, n: merged(left, F.get(parts, n + 1)))
+
+        def lowest(found):
+            low = F.array_min(found)
+            at = F.array_position(found, low).cast("int")
+            return F.when(low.isNull(), parts).otherwise(
+                F.concat(F.slice(parts, F.lit(1), at - 1), F.array(low), F.slice(parts, at + 2, F.size(parts)))
+            )
+
+        return F.get(F.transform(F.array(pairs), lowest), F.lit(0))
+
+    return F.when(length > 1, F.aggregate(F.sequence(F.lit(2), length), start, step)).otherwise(start)
+
+
+def encode_folded(docs, ranks, pattern):
+    """As encode(), by Spark's higher-order functions over the distinct words of all texts; far slower, see the README.
+
+    Words are counted out, folded once each and joined back to their places.
+    doc_id is a key here. A word in the vocabulary is its own token.
+    """
+    words = F.regexp_extract_all(text_of(docs), F.lit("(?U)" + pattern), F.lit(0))
+    texts = stage(docs.select(docs["doc_id"].cast("long").alias("doc_id"), words.alias("words")), "words")
+    places = texts.select("doc_id", F.posexplode("words").alias("place", "word"))
+    whole = docs.sparkSession.createDataFrame([(token, rank) for token, rank in ranks.items()], "bytes binary, rank int")
+    distinct = places.select("word").distinct().withColumn("bytes", F.col("word").cast("binary"))
+    known = distinct.join(F.broadcast(whole), "bytes", "left")
+    own = F.when(F.col("rank").isNotNull(), F.array("rank")).otherwise(folded(F.col("bytes"), ranks))
+    merged = stage(known.select("word", own.alias("own")), "merged")
+    joined = places.join(merged, "word").groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", "own"))).alias("all"))
+    tokens = joined.select("doc_id", F.flatten(F.transform("all", lambda one: one["own"])).alias("tokens"))
+    tokens = texts.select("doc_id").join(tokens, "doc_id", "left")
+    return tokens.withColumn("tokens", F.coalesce("tokens", F.array().cast("array<int>")))

@@ -23,6 +23,10 @@ THRESHOLD = 0.3
 FEATURES = 4
 
 
+class TooFewLabels(ValueError):
+    """There is nothing to tell good texts from bad ones by."""
+
+
 @dataclass(frozen=True)
 class Model:
     """Two dictionaries, and scale and weights of the calibration over the numbers of Sizes and 1."""
@@ -102,14 +106,14 @@ def labelled_sample(docs, labels, rows=FIT_ROWS, chars=FIT_CHARS):
 
     Rows are drawn by hash of doc_id among those with a quality and a text of 1 to `chars` characters.
     """
-    texts = text_of(docs)
+    docs = docs.select(docs["doc_id"].alias("doc_id"), text_of(docs).alias("text"))
     wanted = {}
     for quality in (1, 0):
         ids = labels.where(F.col("quality") == quality).select(F.col("doc_id").alias("_id")).distinct()
         # Twice as many as needed, as some texts are too long or missing.
         ids = ids.where("_id IS NOT NULL").orderBy(F.xxhash64("_id"), "_id").limit(2 * rows)
-        found = docs.join(F.broadcast(ids), docs["doc_id"] == F.col("_id"))
-        found = found.where(F.char_length(texts).between(1, chars)).select("_id", texts.cast("binary").alias("_text"))
+        found = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"))
+        found = found.where(F.char_length("text").between(1, chars)).select("_id", F.col("text").cast("binary").alias("_text"))
         found = found.orderBy(F.xxhash64("_id"), "_id", "_text").limit(rows).toArrow()
         wanted[quality] = found.column("_text").to_pylist()
     return wanted
@@ -120,12 +124,12 @@ def fit(docs, labels, rows=FIT_ROWS, chars=FIT_CHARS):
 
     Every second text of a class trains its dictionary, the others calibrate the
     score. Class weights are those of the sample, corrected to the numbers of
-    `labels`. Raises if a class has fewer than two texts.
+    `labels`. Raises TooFewLabels if a class has fewer than two texts.
     """
     sample = labelled_sample(docs, labels, rows, chars)
     counts = {row["quality"]: row["count"] for row in labels.groupBy("quality").count().collect() if row["quality"] in (0, 1)}
     if min(len(sample[0]), len(sample[1])) < 2:
-        raise ValueError("fewer than two labelled texts in a class")
+        raise TooFewLabels("fewer than two labelled texts in a class")
     model = [_dictionary(sample[quality][::2]) for quality in (1, 0)]
     sizes_of = Sizes(*model)
     rest = {quality: sample[quality][1::2] for quality in (1, 0)}

@@ -108,7 +108,7 @@ def op8_minhash_hamming(spark, sf_dir):
 @query
 def op9_byte_bpe(spark, sf_dir):
     ranks = bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, bpe_pattern())
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, bpe_pattern(), tokens=True)
     decoded = bpe.decode(encoded, ranks)
     return decoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 

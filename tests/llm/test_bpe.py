@@ -39,8 +39,11 @@ def test_against_the_library(spark, ranks, reader):
     ]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
     docs = docs.withColumns({name: F.lit(name) for name in ("words", "ids", "n_tokens", "decoded")})
-    rows = bpe.decode(bpe.encode(docs, ranks, bpe_pattern()), ranks).collect()
+    packed = bpe.encode(docs, ranks, bpe_pattern())
+    rows = bpe.decode(packed, ranks).collect()
     assert len(rows) == len(texts)
+    listed = bpe.decode(bpe.encode(docs, ranks, bpe_pattern(), tokens=True), ranks)
+    assert sorted(map(tuple, listed.collect())) == sorted(map(tuple, rows))
     for row in rows:
         text = texts[row.doc_id] or ""
         ids = reader.encode_ordinary(text)
@@ -64,3 +67,10 @@ def test_words_beyond_the_cache(ranks, monkeypatch):
     merged = bpe._Merged(ranks)
     first = [merged[word] for word in (b" one", b" twothing", b"xyzzyx", b"qwxkj", b"zzzq", b" one")]
     assert len(merged) <= 3 and first[0] == first[-1]
+
+
+def test_folding_agrees(spark, ranks):
+    texts = ["café naïve 你好 \U0001f600", "it's  we'll xyzzyx qwxkj zzzq", "", None, "a", "aab" * 15, "thsheing onouthnt " * 3, "\x00\r\n"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    packed = {row.doc_id: list(row.tokens) for row in bpe.encode(docs, ranks, bpe_pattern(), tokens=True).collect()}
+    assert {row.doc_id: list(row.tokens) for row in bpe.encode_folded(docs, ranks, bpe_pattern()).collect()} == packed

@@ -172,5 +172,29 @@ def test_pipeline_stages(spark):
 
 
 def test_pipeline_runs(spark):
-    result = corpus_pipeline.run(spark, SMALL)
-    assert result.count() > 0 and result.agg(F.min("n_tokens")).first()[0] > 0
+    result = corpus_pipeline.run(spark, SMALL).join(table(spark, SMALL, "documents").select("doc_id"), "doc_id").collect()
+    assert result and all(row.n_tokens > 0 and len(row.ids) == 4 * row.n_tokens for row in result)
+    library = reader()
+    for row in result:
+        text = library.decode_bytes([int(n) for n in np.frombuffer(row.ids, "<u4")])
+        assert row.decoded_sha256 == hashlib.sha256(text).hexdigest()
+
+
+def odd_documents(spark):
+    """The given documents with nulls, empty and repeated rows, and columns with names that stages use inside."""
+    given = table(spark, SMALL, "documents").limit(60)
+    odd = [(None, None, None, None, None), (-1, None, "en", "s", None), (-2, "", None, "s", 0), (-2, "", None, "s", 0), (-3, " \n\n ", "xx", None, 4)]
+    rows = given.unionByName(spark.createDataFrame(odd, given.schema)).unionByName(given.limit(3))
+    return rows.withColumns({name: F.lit(name) for name in ("score", "kept", "component_id", "size", "taken", "words", "ids", "_id", "n_tokens")})
+
+
+def test_pipeline_stages_of_odd_documents(spark):
+    docs = odd_documents(spark).persist()
+    columns, ids = docs.columns, {row.doc_id for row in docs.select("doc_id").collect()}
+    for n, (name, step) in enumerate(corpus_pipeline.STAGES):
+        after = step(spark, docs, SMALL)
+        rows = after.collect()
+        assert {row.doc_id for row in rows} <= ids and rows, name
+        assert after.columns == columns or n == len(corpus_pipeline.STAGES) - 1, name
+        none = step(spark, docs.limit(0), SMALL)
+        assert none.columns == after.columns and none.collect() == [], name
