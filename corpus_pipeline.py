@@ -2,7 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept
 and returns a DataFrame; run() writes it as Parquet and reads it for the next.
-All but the last return the columns of documents.
+All but the last return the columns of documents, extra ones included.
+
+Null and empty texts go through each stage by its operator's rule: the quality
+score of an empty text decides on it, it is one empty line, near nothing, of
+size 0 in the mix (so it is taken as often as any document of no words is), and has no
+tokens. Repeated rows are kept or dropped alike by the first and third stage; the
+second drops lines of the later rows only if another doc_id has them. An empty
+table gives no rows, and where labels are too few to learn from nothing is rejected.
 """
 
 from pyspark.sql import functions as F
@@ -16,7 +23,10 @@ from sieveline.staging import stage
 def good_documents(spark, docs, sf_dir):
     """Documents that the quality classifier, fitted on labelled rows of `docs`, does not reject."""
     labels = table(spark, sf_dir, "labels")
-    model = quality.fit(docs, labels.where(~quality.held_out(F.col("doc_id"))))
+    try:
+        model = quality.fit(docs, labels.where(~quality.held_out(F.col("doc_id"))))
+    except quality.TooFewLabels:
+        return docs
     return quality.good_only(docs, model)
 
 
@@ -37,9 +47,11 @@ def mixed_sources(spark, docs, sf_dir):
 
 
 def token_ids(spark, docs, sf_dir):
-    """doc_id, source, n_tokens and token ids of each row, little-endian unsigned 32-bit."""
+    """doc_id, n_tokens, ids (little-endian unsigned 32-bit), source, and the sha256 of the bytes the ids decode to."""
     ranks = bpe.read_ranks(vocabulary("byte_bpe_50k.tiktoken"))
-    return bpe.encode(docs, ranks, bpe_pattern(), keep=("source",))
+    encoded = bpe.encode(docs, ranks, bpe_pattern(), keep=("source",), tokens=True)
+    decoded = bpe.decode(encoded, ranks, keep=("source",))
+    return decoded.withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 STAGES = [
