@@ -1,6 +1,7 @@
 """Chat formatting with loss masks aligned to token offsets."""
 
 import hashlib
+import itertools
 import json
 import re
 
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 
 START, MIDDLE, END = "<|turn|>", "\n", "<|over|>\n"
 LEARNED = ("assistant",)
+# Conversations encoded by one call.
+CHATS = 256
 
 FORMATTED = (
     "conv_id long, n_turns long, formatted string, loss_spans array<struct<start:int,end:int>>,"
@@ -123,21 +126,31 @@ def format_chats(turns, vocabulary, learned=LEARNED):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(sent.value)
-        span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
-        kinds = [pa.int64(), pa.string(), pa.list_(span), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.bool_())]
         for batch in batches:
-            rows = []
-            for conversation in batch.column(1):
-                told = [(turn["role"], turn["text"]) for turn in conversation.as_py()]
-                text, spans = render(told)
-                loss = [place for (role, _), place in zip(told, spans) if role in learned]
-                encoded = tokenizer.encode(text, add_special_tokens=False)
-                offsets = np.array(encoded.offsets, np.int32).reshape(-1, 2)
-                mask = np.zeros(len(offsets), bool)
-                mask[overlaps(offsets, loss)[0]] = True
-                rows.append((len(told), text, [{"start": a, "end": b} for a, b in loss], encoded.ids, offsets.ravel(), mask))
-            columns = [pa.array([row[n] for row in rows], kind) for n, kind in enumerate(kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
+            conversations = batch.column(1)
+            said = conversations.flatten()
+            roles, texts = said.field(0).to_pylist(), said.field(1).to_pylist()
+            ends = np.concatenate([[0], np.cumsum(conversations.value_lengths().to_numpy())])
+            counts = np.diff(ends)
+            for start in range(0, len(batch), CHATS):
+                part = range(start, min(start + CHATS, len(batch)))
+                told = [list(zip(roles[ends[n] : ends[n + 1]], texts[ends[n] : ends[n + 1]])) for n in part]
+                rendered = [render(turns) for turns in told]
+                loss = [[place for (role, _), place in zip(turns, spans) if role in learned] for turns, (_, spans) in zip(told, rendered)]
+                encoded = tokenizer.encode_batch([text for text, _ in rendered], add_special_tokens=False)
+                offsets = [_flat(one.offsets, 2 * len(one)) for one in encoded]
+                masks = []
+                for one, spans in zip(offsets, loss):
+                    masks.append(np.zeros(len(one) // 2, bool))
+                    masks[-1][overlaps(one, spans)[0]] = True
+                spans = pa.StructArray.from_arrays(
+                    [pa.array([place[n] for spans in loss for place in spans], pa.int32()) for n in range(2)], ["start", "end"]
+                )
+                ids = [np.array(one.ids, np.int32) for one in encoded]
+                columns = [batch.column(0).slice(start, len(part)), pa.array(counts[start : start + len(part)], pa.int64())]
+                columns += [pa.array([text for text, _ in rendered], pa.string()), pa.ListArray.from_arrays(_ends(loss), spans)]
+                columns += [pa.ListArray.from_arrays(_ends(arrays), pa.array(np.concatenate(arrays))) for arrays in (ids, offsets, masks)]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     return whole_conversations(turns).mapInArrow(run, FORMATTED)
 
@@ -151,23 +164,37 @@ def read_back(formatted):
 
     def run(batches):
         for batch in batches:
-            rows = []
-            for row in batch.to_pylist():
-                text = row["formatted"]
-                told = parsed(text)
-                offsets = np.array(row["offsets"], np.int64).reshape(-1, 2)[np.array(row["token_loss"], bool)]
-                spans = [(span["start"], span["end"]) for span in row["loss_spans"]]
-                _, starts, ends = overlaps(offsets, spans)
+            rows, texts = [], batch.column(1).to_pylist()
+            spans, offsets, marked = (batch.column(n) for n in (2, 3, 4))
+            places = np.stack([spans.flatten().field(n).to_numpy() for n in range(2)], axis=1)
+            all_offsets = offsets.flatten().to_numpy().reshape(-1, 2)
+            mask = marked.flatten().to_numpy(zero_copy_only=False)
+            span_at, token_at = (np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy())]) for column in (spans, marked))
+            for n, text in enumerate(texts):
+                told, tokens = parsed(text), slice(token_at[n], token_at[n + 1])
+                _, starts, ends = overlaps(all_offsets[tokens][mask[tokens]], places[span_at[n] : span_at[n + 1]])
                 # Parts of two texts never touch, the template stands between them.
-                loss = "".join(unescaped(text[start:end]) for start, end in covered(starts, ends))
+                loss = "".join(unescaped(text[start:end]) for start, end in covered(starts.tolist(), ends.tolist()))
                 said = "".join(f"{role}\n{body}\n" for role, body in told)
-                rows.append((row["conv_id"], len(told), _sha(said), len(loss), _sha(loss), len(text)))
+                rows.append((len(told), _sha(said), len(loss), _sha(loss), len(text)))
             names = [part.split()[0] for part in READ.split(", ")]
-            kinds = [pa.string() if "sha" in name else pa.int64() for name in names]
-            yield pa.RecordBatch.from_arrays([pa.array([row[n] for row in rows], kind) for n, kind in enumerate(kinds)], names)
+            kinds = [pa.string() if "sha" in name else pa.int64() for name in names[1:]]
+            columns = [pa.array([row[n] for row in rows], kind) for n, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names)
 
+    # The tokens themselves are not read.
+    formatted = formatted.select("conv_id", "formatted", "loss_spans", "offsets", "token_loss")
     return formatted.mapInArrow(run, READ)
 
 
+def _flat(pairs, n):
+    return np.fromiter(itertools.chain.from_iterable(pairs), np.int32, n)
+
+
+def _ends(lists):
+    """Offsets of an Arrow list array of these lists."""
+    return pa.array(np.concatenate([[0], np.cumsum([len(one) for one in lists])]).astype(np.int32))
+
+
 def _sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
