@@ -23,8 +23,8 @@ TASK_QUERIES = 8_192
 CENTER_COSINE = 0.6
 OVERLAP = 2
 NEAR, FAR, ALPHA, CANDIDATES = 20, 8, 1.2, 56
-# The first try: beam and probed cells. Both are doubled until the audit is content.
-BEAM, PROBES = 8, 3
+# The first try: beam and probed cells. They are raised in turn until the audit is content.
+BEAM, PROBES = 4, 4
 # A beam that holds any cell: all its rows are compared.
 WHOLE = 2**62
 # The audit plants a copy of each of PLANTED vectors, turned by a little less than the range, and asks for
@@ -321,17 +321,20 @@ def planted(reps, dim, cosine, n=PLANTED):
 
 
 def _content(graph, copies, n, cosine, recall, beam, probes):
-    """(beam, probes, share of the planted copies that find their vector), the first doubling that reaches `recall`."""
+    """(beam, probes, share of the planted copies that find their vector), the first try that reaches `recall`."""
     while True:
         found = _searched(graph, copies, beam, probes, cosine)
         share = found.where("planted IS NOT NULL").select("planted").distinct().count() / n
         if share >= recall or beam == WHOLE and probes >= len(graph.centers):
             return beam, probes, share
-        beam, probes = _doubled(beam, probes)
+        beam, probes = _raised(graph, beam, probes)
 
 
-def _doubled(beam, probes):
-    return (2 * beam if 2 * beam <= CELL_ROWS else WHOLE), 2 * probes
+def _raised(graph, beam, probes):
+    """The next try: half as many probes more, or twice the beam where probes are the more of the two or all."""
+    if probes < len(graph.centers) and probes <= beam:
+        return beam, probes + max(1, probes // 2)
+    return (2 * beam if 2 * beam <= CELL_ROWS else WHOLE), probes
 
 
 def _there(reps, drawn, dim, cosine):
@@ -423,8 +426,8 @@ def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_
        from: copies of nodes drawn by hash, turned by a little less than the
        range; so the audit has links to find in any table. They are only asked for, never found.
     6. After the search, nodes with links of every class of about as many linked nodes are compared with all others,
-       in one scan. If the mean recall of a class is below `recall`, the search is repeated with twice the
-       beam and probes. Once all cells are probed and the beam exceeds CELL_ROWS, cells are
+       in one scan. If the mean recall of a class is below `recall`, the search is repeated with a wider
+       beam or more probes. Once all cells are probed and the beam exceeds CELL_ROWS, cells are
        compared whole, which finds every link.
 
     audited_recall is the least of the planted share and the mean recalls of the classes; null
@@ -457,7 +460,7 @@ def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_
             reached = least_mean(recalls(linked_sample(own, found, dim, cosine), found))
             if reached >= recall or beam == WHOLE and probes >= len(graph.centers):
                 break
-            beam, probes = _doubled(beam, probes)
+            beam, probes = _raised(graph, beam, probes)
         audited.append(min(share, reached))
         counts = counts.union(found.select("id", "links", "root"))
 
