@@ -777,6 +777,40 @@ def snapshot_completeness(spark, sf_dir):
     )
 
 
+@query
+def snapshot_delta(spark, sf_dir):
+    """Orders by month and status in one snapshot and all but some of them in the next: rows fed again, ids retracted.
+
+    In the second snapshot fulfilled orders of the last year are no longer there, and urgent ones lie in a file of their own.
+    """
+    orders = standins.table(spark, sf_dir, "orders").select(
+        standins.work_id("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyy-MM").alias("updated_date"), "o_orderstatus",
+        "o_orderpriority", F.year("o_orderdate").alias("year"),
+    )
+    last = orders.agg(F.max("year")).first()[0]
+    later = orders.where(~((F.col("year") == last) & (F.col("o_orderstatus") == "F")))
+    later = later.withColumn("o_orderstatus", F.when(F.col("o_orderpriority") == "1-URGENT", "U").otherwise(F.col("o_orderstatus")))
+    scans, manifests = [], []
+    for rows in (orders, later):
+        folder = staged_path(spark, "snapshot")
+        rows.select("id", F.concat_ws("-", "updated_date", "o_orderstatus").alias("updated_date")).repartition("updated_date").write.partitionBy(
+            "updated_date"
+        ).json(folder)
+        scan = spark.read.schema("id string, updated_date string").json(folder)
+        scans.append(scan)
+        counts = manifest.file_counts(scan).select(F.element_at(F.split("file", "/"), 1).alias("folder"), F.col("n_read").alias("record_count"))
+        # Files are named anew by each write; the manifest names them by their folder.
+        url = F.concat(F.lit("data/"), "folder", F.lit("/part_000"))
+        manifests.append(stage(counts.select(url.alias("url"), F.lit(None).cast("long").alias("content_length"), "record_count"), "manifest"))
+    delta = stage(manifest.snapshot_delta(*manifests), "delta")
+    named = [scan.select("id", F.concat(F.lit("updated_date="), "updated_date", F.lit("/part_000")).alias("file")) for scan in scans]
+    fresh = stage(named[1].join(delta.where("state IN ('new', 'changed')"), "file", "left_semi"), "fresh")
+    gone = manifest.retracted(named[0], delta, fresh)
+    fed = fresh.groupBy(F.lit("fed").alias("step")).agg(F.count("*").alias("n"))
+    dropped = gone.groupBy(F.lit("retracted").alias("step")).agg(F.count("*").alias("n"))
+    return delta.groupBy(F.col("state").alias("step")).agg(F.count("*").alias("n")).unionByName(fed).unionByName(dropped)
+
+
 @query
 def manifest_scan(spark, sf_dir):
     """A manifest of all orders per month against a scan of the files written of the sold ones."""

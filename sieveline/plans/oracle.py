@@ -568,6 +568,24 @@ SQL["master_csv"] = _with(
 )
 SQL["hits_parquet"] = SQL["knn_vectors"]
 SQL["materialized_twice"] = "SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus"
+SQL["snapshot_delta"] = """WITH orders1 AS (
+  SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m') || '-' || o_orderstatus AS file FROM orders
+), orders2 AS (
+  SELECT o_orderkey AS id,
+         strftime(o_orderdate, '%Y-%m') || '-' || CASE WHEN o_orderpriority = '1-URGENT' THEN 'U' ELSE o_orderstatus END AS file
+  FROM orders WHERE NOT (year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders) AND o_orderstatus = 'F')
+), files AS (
+  SELECT file, CASE WHEN a.n IS NULL THEN 'new' WHEN b.n IS NULL THEN 'vanished' WHEN a.n = b.n THEN 'same' ELSE 'changed' END AS step
+  FROM (SELECT file, count(*) AS n FROM orders1 GROUP BY file) a FULL JOIN (SELECT file, count(*) AS n FROM orders2 GROUP BY file) b USING (file)
+), fed AS (
+  SELECT id FROM orders2 JOIN files USING (file) WHERE step IN ('new', 'changed')
+), gone AS (
+  SELECT DISTINCT id FROM orders1 JOIN files USING (file) WHERE step IN ('changed', 'vanished') AND id NOT IN (SELECT id FROM fed)
+    AND id NOT IN (SELECT id FROM orders1 JOIN files USING (file) WHERE step NOT IN ('changed', 'vanished'))
+)
+SELECT step, count(*) AS n FROM files GROUP BY step
+UNION ALL SELECT 'fed', count(*) FROM fed HAVING count(*) > 0
+UNION ALL SELECT 'retracted', count(*) FROM gone HAVING count(*) > 0"""
 SQL["materialized_changed"] = """WITH counts AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY o_orderstatus)
 SELECT o_orderstatus, n, true AS computed_once, 0 AS call FROM counts WHERE o_orderstatus <> 'P'
 UNION ALL SELECT o_orderstatus, n, true, 2 FROM counts"""

@@ -48,6 +48,49 @@ def file_counts(rows):
     return rows.select(name.alias("file")).groupBy("file").agg(F.count("*").alias("n_read"))
 
 
+def _file(url):
+    parts = F.split(url, "/")
+    return F.concat_ws("/", F.element_at(parts, -2), F.element_at(parts, -1))
+
+
+def snapshot_delta(before, after):
+    """(file, state): what became of each file between two manifests (url, content_length, record_count).
+
+    A file is `new`, `vanished`, `changed` if its length or number of records is another, or `same`;
+    only the first three need work. A file that a manifest lists twice counts with the greater numbers.
+    """
+    sides = []
+    for name, entries in (("_before", before), ("_after", after)):
+        marks = F.struct(F.max("content_length").alias("length"), F.max("record_count").alias("records"))
+        sides.append(entries.where("url IS NOT NULL").groupBy(_file(F.col("url")).alias("file")).agg(marks.alias(name)))
+    state = (
+        F.when(F.col("_before").isNull(), "new")
+        .when(F.col("_after").isNull(), "vanished")
+        .when(F.col("_before").eqNullSafe(F.col("_after")), "same")
+        .otherwise("changed")
+    )
+    return sides[0].join(sides[1], "file", "full_outer").select("file", state.alias("state"))
+
+
+def delta_rows(rows, delta):
+    """Rows of a scan, with their file, that lie in a new or changed file; other files are not to be embedded again."""
+    parts = F.split(F.col("_metadata.file_path"), "/")
+    named = rows.withColumn("file", F.concat_ws("/", F.element_at(parts, -2), F.element_at(parts, -1)))
+    return named.join(delta.where("state IN ('new', 'changed')").select("file"), "file", "left_semi")
+
+
+def retracted(held, delta, fresh):
+    """Ids of `held` (id, file) from changed or vanished files that no file of the new snapshot holds: tombstones.
+
+    `fresh` (id) are the rows of new and changed files. An id that is also held from a file that stayed the
+    same is not retracted, nor is one that moved to another file.
+    """
+    touched = delta.where("state IN ('changed', 'vanished')").select("file")
+    gone = held.where("id IS NOT NULL").join(touched, "file", "left_semi").select("id").distinct()
+    kept = held.join(touched, "file", "left_anti").select("id").union(fresh.select("id"))
+    return gone.join(kept.where("id IS NOT NULL").distinct(), "id", "left_anti")
+
+
 def completeness(entries, counts):
     """Declared against read records per file; either side may be missing."""
     parts = F.split("url", "/")

@@ -270,6 +270,24 @@ def test_fingerprint_follows_the_input(spark, tmp_path):
     assert materialize_known(read().groupBy().count(), kept).first()[0] == 8
 
 
+def test_snapshot_delta(spark, tmp_path):
+    schema = "url string, content_length long, record_count long"
+    before = [("x/d=1/a.gz", 5, 1), ("x/d=1/b.gz", 5, None), ("x/d=2/a.gz", 5, 2), ("x/d=2/a.gz", 6, 2), ("x/d=3/a.gz", None, 1), (None, 1, 1)]
+    after = [("y/d=1/a.gz", 5, 1), ("y/d=1/b.gz", 5, 3), ("y/d=2/a.gz", 6, 2), ("y/d=4/a.gz", 1, 1)]
+    delta = manifest.snapshot_delta(spark.createDataFrame(before, schema), spark.createDataFrame(after, schema)).cache()
+    states = {row.file: row.state for row in delta.collect()}
+    assert states == {"d=1/a.gz": "same", "d=1/b.gz": "changed", "d=2/a.gz": "same", "d=3/a.gz": "vanished", "d=4/a.gz": "new"}
+    held = [("W1", "d=1/a.gz"), ("W2", "d=1/b.gz"), ("W3", "d=1/b.gz"), ("W4", "d=3/a.gz"), ("W5", "d=3/a.gz"), ("W1", "d=3/a.gz"), (None, "d=3/a.gz")]
+    fresh = spark.createDataFrame([("W2",), ("W5",), (None,)], "id string")
+    gone = manifest.retracted(spark.createDataFrame(held, "id string, file string"), delta, fresh)
+    assert sorted(row.id for row in gone.collect()) == ["W3", "W4"]
+    for name in ("a", "b"):
+        (tmp_path / "d=1").mkdir(exist_ok=True)
+        (tmp_path / "d=1" / f"{name}.gz").write_bytes(gzip.compress(json.dumps({"id": f"W{name}"}).encode()))
+    rows = spark.read.schema("id string").json(str(tmp_path))
+    assert [row.id for row in manifest.delta_rows(rows, delta).collect()] == ["Wb"]
+
+
 def test_profiles(spark):
     works = spark.createDataFrame(
         [("a", "x", 2016), ("b", None, 2015), ("c", "y", 2001), ("d", "z", None)],
