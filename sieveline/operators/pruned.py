@@ -183,7 +183,9 @@ def _search(blocks, wanted, positions, vectors, k, reach):
     rows = blocks.rows.where(F.col("part").isin(parts)) if parts else blocks.rows.limit(0)
     rows = rows.withColumn("part", F.col("part").cast("long"))
     schema = _partial_schema(rows)
-    rows, tasks = few_tasks(rows.join(small(wanted.drop("n", "part")), ["cell", "run"]).select("id", "embedding", "cell", "run", "places"))
+    # Tasks are counted by the files read; each returns up to k rows per query.
+    rows, tasks = few_tasks(rows)
+    rows = rows.join(small(wanted.drop("n", "part")), ["cell", "run"]).select("id", "embedding", "cell", "run", "places")
 
     def search(batches):
         positions, vectors, reach = shared.value
