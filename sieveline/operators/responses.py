@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sieveline import settings
-from sieveline.staging import stage
+from sieveline.staging import join_hot, stage
 
 
 def distinct_ids(hits):
@@ -127,13 +127,7 @@ def overlap_in_blocks(hits, lists):
     blocks = max(1, -(-names.count() // settings.LIST_BLOCK))
     block = F.pmod(F.xxhash64(F.col("query_pos").cast("long")), F.lit(blocks)).cast("int")
     hits = hits.select("id", F.col("query_pos").cast("long").alias("query_pos"))
-    per_block = stage(hits.groupBy("id", block.alias("block")).agg(F.collect_set("query_pos").alias("names")), "blocks")
-    met = per_block.groupBy("id").agg(F.collect_list("block").alias("others"))
-    own = per_block.alias("p").join(met.alias("m"), F.col("p.id").eqNullSafe(F.col("m.id")))
-    own = own.select(F.col("p.id").alias("own_id"), F.col("p.names").alias("a"), F.explode("others").alias("other"))
-    both = own.join(per_block, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("other") == F.col("block")))
-    pairs = both.select(F.explode("a").alias("query_a"), "names").select("query_a", F.explode("names").alias("query_b"))
-    counts = pairs.groupBy("query_a", "query_b").agg(F.count("*").alias("n_common"))
+    counts = _meetings(hits, block).groupBy("query_a", "query_b").agg(F.count("*").alias("n_common"))
     # Every two lists, by the pair of their blocks.
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     firsts = hits.select("query_pos").distinct().select(F.col("query_pos").alias("query_a"), block.alias("block_a"), every.alias("block_b"))
@@ -144,6 +138,51 @@ def overlap_in_blocks(hits, lists):
     )
 
 
+def _meetings(hits, block):
+    """(query_a, query_b) once for each id that two lists share, by blocks of the lists of an id."""
+    per_block = stage(hits.groupBy("id", block.alias("block")).agg(F.collect_set("query_pos").alias("names")), "blocks")
+    met = per_block.groupBy("id").agg(F.collect_list("block").alias("others"))
+    own = per_block.alias("p").join(met.alias("m"), F.col("p.id").eqNullSafe(F.col("m.id")))
+    own = own.select(F.col("p.id").alias("own_id"), F.col("p.names").alias("a"), F.explode("others").alias("other"))
+    both = own.join(per_block, F.col("own_id").eqNullSafe(F.col("id")) & (F.col("other") == F.col("block")))
+    return both.select(F.explode("a").alias("query_a"), "names").select("query_a", F.explode("names").alias("query_b"))
+
+
+def large_overlaps(hits, least):
+    """(query_a, query_b, n_common) of the lists, query_a < query_b, that have at least `least` ids in common.
+
+    An id counts once per list; null ids and null lists count nowhere. Lists that
+    share nothing much are never paired, not even over ids that all lists have: with the ids of
+    each list ordered by the number of lists that have them, two lists with
+    `least` common ids share one that neither has among its last `least` - 1. So
+    lists meet over their rarest ids, by blocks, and only those that met
+    are counted in full. The result is exact and holds no zeros.
+    """
+    if least < 1:
+        raise ValueError("lists are paired by at least one common id")
+    hits = hits.select("id", F.col("query_pos").cast("long").alias("query_pos"))
+    hits = stage(hits.where("id IS NOT NULL AND query_pos IS NOT NULL").distinct(), "entries")
+    counted = hits.groupBy("id").agg(F.count("*").alias("n_lists"))
+    hits = stage(join_hot(hits, counted, "id"), "counted")
+    # Ids of a list found in as many lists are one class; one row per class.
+    classes = hits.groupBy("query_pos", "n_lists").agg(F.count("*").alias("n"))
+    own = Window.partitionBy("query_pos")
+    before = own.orderBy("n_lists").rowsBetween(Window.unboundedPreceding, -1)
+    placed = classes.select(
+        "query_pos", "n_lists", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"), F.sum("n").over(own).alias("all")
+    )
+    # Whole classes are kept up to the one with the last id needed.
+    cuts = placed.where(F.col("before") <= F.col("all") - least).groupBy("query_pos").agg(F.max("n_lists").alias("last"))
+    rare = join_hot(hits, cuts, "query_pos").where(F.col("n_lists") <= F.col("last")).select("id", "query_pos")
+    blocks = max(1, -(-cuts.count() // settings.LIST_BLOCK))
+    block = F.pmod(F.xxhash64("query_pos"), F.lit(blocks)).cast("int")
+    met = stage(_meetings(rare, block).where("query_a < query_b").distinct(), "met")
+    firsts = hits.select("id", F.col("query_pos").alias("query_a")).join(met, "query_a")
+    seconds = hits.select("id", F.col("query_pos").alias("query_b"))
+    common = firsts.join(seconds, ["id", "query_b"], "left_semi").groupBy("query_a", "query_b")
+    return common.agg(F.count("*").alias("n_common")).where(F.col("n_common") >= least)
+
+
 def membership(rows, others, by):
     """Per list the distinct ids, and how many of them each other table has.
 

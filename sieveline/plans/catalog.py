@@ -25,6 +25,7 @@ from sieveline.operators import (
     seeds,
     similarity,
     vector_index,
+    work_index,
 )
 from sieveline.plans import corpus, screening, standins
 from sieveline.settings import MAX_TOKENS, RERANK_SEED
@@ -47,6 +48,7 @@ BUCKETS = 16
 # More ids than this are joined with the buckets, fewer are broadcast.
 INDEXED_KEYS = 100
 TEXT_DEPTH = 20
+COMMON = 30
 
 
 def query(function):
@@ -254,6 +256,12 @@ def resp_overlap(spark, sf_dir):
     return responses.common_ids(found, found)
 
 
+@query
+def resp_large_overlaps(spark, sf_dir):
+    """The pairs of result lists that have many ids in common, without a grid of all pairs."""
+    return responses.large_overlaps(standins.hits(spark, sf_dir), COMMON)
+
+
 @query
 def resp_membership(spark, sf_dir):
     hits, near = standins.both_hits(spark, sf_dir)
@@ -377,6 +385,16 @@ def enrich_from_index(spark, sf_dir):
     return candidates.enrich(near, works, ("id", "title", "abstract"))
 
 
+@query
+def works_lookup(spark, sf_dir):
+    """The works that cite a seed, looked up in an index of two deliveries; most of the ids are of no known work."""
+    works = standins.works(spark, sf_dir)
+    first = F.length("id") % 2 == 0
+    index = work_index.create_work_index(spark, staged_path(spark, "works"), works.where(first))
+    index.append(works.where(~first))
+    return index.lookup(citations.citing_works(standins.edges(spark, sf_dir), standins.seed_ids(spark, sf_dir)))
+
+
 # Review labels
 
 

@@ -1,6 +1,6 @@
 """SQL over the given tables that each registered query must agree with."""
 
-from sieveline.plans.catalog import CELLS, CLUSTERS, CUT, KEEP, POOL_CUT, PRUNED_BLOCK, SINCE, TARGET, TARGET_RECALL, TEXT_DEPTH
+from sieveline.plans.catalog import CELLS, CLUSTERS, COMMON, CUT, KEEP, POOL_CUT, PRUNED_BLOCK, SINCE, TARGET, TARGET_RECALL, TEXT_DEPTH
 from sieveline.plans.standins import DEPTH, DIM, EXCLUDED
 from sieveline.settings import MAX_TOKENS, RERANK_SEED, VECTOR_DIM
 
@@ -261,6 +261,12 @@ SQL["resp_overlap"] = _with(
         WHERE x.query_pos = a.query_pos AND y.query_pos = b.query_pos) AS n_common
 FROM lists a, lists b""",
 )
+SQL["resp_large_overlaps"] = _with(
+    RESPONSES,
+    f"""SELECT x.query_pos AS query_a, y.query_pos AS query_b, count(*) AS n_common
+FROM hits x JOIN hits y ON x.id = y.id AND x.query_pos < y.query_pos
+GROUP BY ALL HAVING count(*) >= {COMMON}""",
+)
 SQL["resp_membership"] = _with(
     [*RESPONSES, CRITERIA, NEAR, EDGES, SEED_IDS, SNOWBALL],
     """SELECT list, count(*) AS n_ids,
@@ -354,6 +360,11 @@ CITING = [WORKS, REVIEW, SEED_IDS, EDGES]
 SQL["citing_works"] = _with(
     CITING, "SELECT DISTINCT citing AS id FROM edges WHERE cited IN (SELECT id FROM seed_ids)"
 )
+SQL["works_lookup"] = _with(
+    CITING,
+    """SELECT id, doi, title, abstract FROM works
+WHERE id IN (SELECT citing FROM edges WHERE cited IN (SELECT id FROM seed_ids))""",
+)
 SQL["citation_links"] = _with(CITING, "SELECT citing, cited FROM edges WHERE cited IN (SELECT id FROM seed_ids)")
 SQL["snowball"] = _with(
     [*CITING, SNOWBALL, DATES],

@@ -46,3 +46,7 @@ PIVOTS = 16
 PART_VECTORS = 1_000_000
 FIRST_BLOCKS = 64
 HOT_ROWS = 1_000_000
+LOOKUP_KEYS = 20_000
+LOOKUP_VALUES = 200
+LOOKUP_GROUP_BYTES = 16 * 1024 * 1024
+LOOKUP_PAGE_ROWS = 1_000
