@@ -10,17 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveline.llm.components import Sets, components
-from sieveline.staging import stage
+from sieveline.staging import small, stage
 
 COSINE = 0.95
-# Shards: about one center per SHARD_ROWS vectors, MOST_CENTERS at most; a cluster of more than
+# Shards: about one center per SHARD_ROWS vectors, MOST_CENTERS at most. Where more than CROWDED times as many
+# are wanted as there are, each has up to MOST_CENTERS fine centers of its own. A cluster of more than
 # CELL_ROWS vectors is cut by hash into cells, each of which is searched.
 SHARD_ROWS = 2_048
 MOST_CENTERS = 4_096
+CROWDED = 4
 CELL_ROWS = 4_096
+# Bits of a fine center's number, below that of its coarse one.
+FINE_BITS = 13
 TASK_QUERIES = 8_192
 # Centers closer than this to an earlier one are left out, so that a dense ball has one.
 CENTER_COSINE = 0.6
+FINE_COSINE = 0.8
 OVERLAP = 2
 NEAR, FAR, ALPHA, CANDIDATES = 20, 8, 1.2, 56
 # The first try: beam and probed cells. They are raised in turn until the audit is content.
@@ -68,12 +73,12 @@ def _matrix(column, dim):
     return np.asarray(flat, float).reshape(-1, dim)
 
 
-def _spread(points):
-    """Of the rows of `points`, those that are no nearer than CENTER_COSINE to an earlier one kept."""
+def _spread(points, cosine=CENTER_COSINE):
+    """Of the rows of `points`, those that are no nearer than `cosine` to an earlier one kept."""
     kept = np.empty_like(points)
     n = 0
     for point in points:
-        if not n or (kept[:n] @ point).max() < CENTER_COSINE:
+        if not n or (kept[:n] @ point).max() < cosine:
             kept[n] = point
             n += 1
     return kept[:n]
@@ -103,6 +108,79 @@ def _routed(rows, centers, most):
     return rows.mapInArrow(route, T.StructType([*rows.schema.fields, *added]))
 
 
+def _fine_centers(reps, centers, share):
+    """(coarse, number, vector): up to MOST_CENTERS centers of each of `centers`, drawn by hash among the nodes nearest to it.
+
+    `share` is the number wanted for each node; twice as many are drawn, none near another is kept.
+    """
+    drawn = reps.where(F.pmod(F.xxhash64(F.lit(3), "id"), F.lit(2**40)) < int(2 * share * 2**40))
+    order = Window.partitionBy("center").orderBy(F.xxhash64("id"), "id")
+    most = MOST_CENTERS
+    some = _routed(drawn.select("id", "vector"), centers, 1).withColumn("turn", F.row_number().over(order))
+    some = some.where(F.col("turn") <= 2 * most).select("center", "turn", "vector")
+
+    def spread(key, table):
+        table = table.sort_by("turn")
+        vectors = table.column("vector").combine_chunks()
+        kept = _spread(_matrix(vectors, len(vectors[0])), FINE_COSINE)[: -(-len(table) // 2)]
+        coarse = pa.array([key[0].as_py()] * len(kept), pa.int32())
+        number = pa.array(range(len(kept)), pa.int32())
+        return pa.table({"coarse": coarse, "number": number, "vector": pa.array(kept.tolist(), pa.list_(pa.float64()))})
+
+    return some.groupBy("center").applyInArrow(spread, "coarse int, number int, vector array<double>")
+
+
+def _routed_finely(near, fine, most):
+    """What _routed() gave, each row once for each of the nearest fine centers of its center, with (center, place) anew.
+
+    The nearest center gives its `most` nearest fine ones, the second half as many, the third
+    a third. `place` is 0 for the nearest fine center of the nearest center. A center's rows come in blocks,
+    each with a copy of its fine centers. A center without fine ones has itself.
+    """
+    blocks = F.ceil(F.count("*") / TASK_QUERIES).cast("int").alias("blocks")
+    counted = small(stage(near.groupBy("center").agg(blocks), "blocks"))
+    asked = near.join(counted, "center").withColumn("block", F.pmod(F.xxhash64(F.lit(3), "id"), F.col("blocks")).cast("int"))
+    asked = asked.select(*near.columns, "block")
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("_block")
+    held = fine.join(counted, F.col("coarse") == F.col("center"))
+    held = held.select(F.col("coarse").alias("_coarse"), each, F.col("number").alias("_number"), F.col("vector").alias("_vector"))
+    names = near.columns
+
+    def route(key, left, right):
+        taken, centers, places = [], [], []
+        coarse = left.column("center").to_numpy() << FINE_BITS if len(left) else None
+        if len(left) and len(right):
+            vectors = left.column("vector").combine_chunks()
+            dim = len(vectors[0])
+            points, number = _matrix(vectors, dim), right.column("_number").to_numpy()
+            own = _matrix(right.column("_vector").combine_chunks(), dim)
+            place = left.column("place").to_numpy()
+            wanted = np.minimum(-(-most // (place + 1)), len(own))
+            for start in range(0, len(points), 512):
+                scores = points[start : start + 512] @ own.T
+                top = np.argsort(-scores, axis=1, kind="stable")[:, : wanted[start : start + 512].max()]
+                rows, nth = np.nonzero(np.arange(top.shape[1]) < wanted[start : start + 512, None])
+                taken.append(start + rows)
+                centers.append(coarse[start + rows] + number[top[rows, nth]])
+                places.append(place[start + rows] + nth)
+        elif len(left):
+            taken, centers, places = [np.arange(len(left))], [coarse], [left.column("place").to_numpy()]
+        empty = np.empty(0, np.int64)
+        table = left.select(names).take(pa.array(np.concatenate([empty, *taken]).astype(np.int64)))
+        for name, parts in (("center", centers), ("place", places)):
+            column = pa.array(np.concatenate([empty, *parts]).astype(np.int32))
+            table = table.set_column(names.index(name), name, column)
+        return table
+
+    return asked.groupBy("center", "block").cogroup(held.groupBy("_coarse", "_block")).applyInArrow(route, near.schema)
+
+
+def _dealt(rows, graph, most):
+    """_routed() to the centers of `graph`, through both levels if it has two."""
+    near = _routed(rows, graph.centers, most)
+    return near if graph.fine is None else _routed_finely(stage(near, "coarse"), graph.fine, most)
+
+
 def robust_prune(point, candidates, most, alpha=ALPHA):
     """Indices of up to `most` rows of `candidates`, nearest first; one is left out if a chosen one is `alpha` times nearer to it than `point`."""
     own = 1 - candidates @ point
@@ -217,9 +295,8 @@ def _found(members, graph, queries, beam, cosine):
     """
     blocks = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
     own = (F.col("place") == 0).alias("own")
-    held = queries.groupBy("cell").agg(F.max("blocks").alias("blocks"))
-    # One row per cell.
-    nodes = members.join(F.broadcast(held), "cell").join(graph, "id").select("cell", blocks, "id", "vector", "mult", own, "neighbours")
+    held = small(stage(queries.groupBy("cell").agg(F.max("blocks").alias("blocks")), "held"))
+    nodes = members.join(held, "cell").join(graph, "id").select("cell", blocks, "id", "vector", "mult", own, "neighbours")
     asked = queries.select(*(F.col(name).alias(f"_{name}") for name in ("cell", "block", "id", "vector", "target")))
 
     def searched(key, left, right):
@@ -265,36 +342,58 @@ def _found(members, graph, queries, beam, cosine):
 
 
 @dataclass(frozen=True)
-class Graph:
-    """Centers, the number of cells of each (center, cells), vectors by cell, and their neighbours."""
+class Centers:
+    """Centers, and the fine centers (coarse, number, vector) of each if there are two levels.
+
+    `most` is a number of probes that reaches every cluster.
+    """
 
     centers: np.ndarray
+    fine: DataFrame | None
+    most: int
+
+
+@dataclass(frozen=True)
+class Graph(Centers):
+    """The number of cells of each center (center, cells), vectors by cell, and their neighbours."""
+
     cells: DataFrame
     members: DataFrame
     lists: DataFrame
 
 
-def _built(reps, dim):
-    """The graph of `reps` (id, vector, mult), all of `dim` numbers."""
-    wanted = max(1, min(MOST_CENTERS, -(-reps.count() // SHARD_ROWS)))
-    drawn = reps.orderBy(F.xxhash64("id"), "id").limit(2 * wanted).select("vector").toArrow().column("vector")
-    centers = _spread(_matrix(drawn.combine_chunks(), dim))[:wanted]
-    routed = stage(_routed(reps.select("id", "vector", "mult"), centers, OVERLAP), "routed")
+def _centers(reps):
+    """One level of centers for the nodes `reps`, or two where the first would be crowded."""
+    n = reps.count()
+    wanted = max(1, -(-n // SHARD_ROWS))
+    first = min(MOST_CENTERS, wanted)
+    drawn = reps.orderBy(F.xxhash64("id"), "id").limit(2 * first).select("vector").toArrow().column("vector")
+    centers = _spread(_matrix(drawn.combine_chunks(), len(drawn[0])))[:first]
+    if wanted <= CROWDED * len(centers):
+        return Centers(centers, None, len(centers))
+    fine = stage(_fine_centers(reps, centers, wanted / n), "fine")
+    largest = fine.agg(F.max("number")).first()[0]
+    return Centers(centers, fine, len(centers) * (1 + (largest or 0)))
+
+
+def _built(reps):
+    """The graph of `reps` (id, vector, mult), all of one length."""
+    level = _centers(reps)
+    routed = stage(_dealt(reps.select("id", "vector", "mult"), level, OVERLAP), "routed")
     cells = routed.groupBy("center").agg(F.greatest(F.lit(1), F.ceil(F.count("*") / CELL_ROWS)).cast("int").alias("cells"))
-    # One row per center.
-    cells = F.broadcast(stage(cells, "cells"))
+    cells = small(stage(cells, "cells"))
     cell = F.col("center").cast("long") * F.lit(2**21) + F.pmod(F.xxhash64("id"), F.col("cells"))
     members = routed.join(cells, "center").withColumn("cell", cell).select("cell", "place", "id", "vector", "mult")
-    return Graph(centers, cells, members, stage(_graph(members), "graph"))
+    return Graph(level.centers, level.fine, level.most, cells, members, stage(_graph(members), "graph"))
 
 
 def _searched(graph, queries, beam, probes, cosine):
     """Partial counts of one way of searching for `queries` (id, vector, target), staged."""
-    routed = stage(_routed(queries.select("id", "vector", "target"), graph.centers, probes), "asked")
+    routed = stage(_dealt(queries.select("id", "vector", "target"), graph, probes), "asked")
     blocks = F.greatest(F.lit(1), F.ceil(F.count("*") / TASK_QUERIES)).cast("int").alias("blocks")
-    # One row per center.
-    routed = routed.join(F.broadcast(stage(routed.groupBy("center").agg(blocks), "blocks")), "center").join(graph.cells, "center")
-    asked = routed.withColumn("n", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    blocks = small(stage(routed.groupBy("center").agg(blocks), "blocks"))
+    asked = routed.join(blocks, "center").join(graph.cells, "center")
+    asked = asked.withColumn("n", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     asked = asked.withColumn("cell", F.col("center").cast("long") * F.lit(2**21) + F.col("n"))
     asked = asked.withColumn("block", F.pmod(F.xxhash64(F.lit(2), "id"), F.col("blocks")).cast("int"))
     return stage(_found(graph.members, graph.lists, asked, beam, cosine), "found")
@@ -325,14 +424,14 @@ def _content(graph, copies, n, cosine, recall, beam, probes):
     while True:
         found = _searched(graph, copies, beam, probes, cosine)
         share = found.where("planted IS NOT NULL").select("planted").distinct().count() / n
-        if share >= recall or beam == WHOLE and probes >= len(graph.centers):
+        if share >= recall or beam == WHOLE and probes >= graph.most:
             return beam, probes, share
         beam, probes = _raised(graph, beam, probes)
 
 
 def _raised(graph, beam, probes):
     """The next try: half as many probes more, or twice the beam where probes are the more of the two or all."""
-    if probes < len(graph.centers) and probes <= beam:
+    if probes < graph.most and probes <= beam:
         return beam, probes + max(1, probes // 2)
     return (2 * beam if 2 * beam <= CELL_ROWS else WHOLE), probes
 
@@ -416,11 +515,13 @@ def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_
     that links reach. Only pairs whose cosine was computed are links.
 
     1. Equal vectors are one node, held by their smallest vec_id.
-    2. Centers are drawn among the nodes, none near another. Each node belongs to
-       the clusters of its OVERLAP nearest centers; big clusters are cut into cells.
+    2. Centers are drawn among the nodes, none near another; where there are too few for the rows, each has
+       fine centers of its own, which no task or broadcast holds together. Each node belongs to
+       the clusters of its OVERLAP nearest centers (of two levels, to OVERLAP of the nearest one and to
+       fewer of the next ones); big clusters are cut into cells.
     3. Per cell a graph is built: the CANDIDATES nearest nodes, robustly pruned, and
        some far ones, in both directions. A node's lists from all cells are united.
-    4. Each node is searched for in the cells of its PROBES nearest centers, greedily
+    4. Each node is searched for in the cells of its nearest centers, PROBES at first, greedily
        from the medoid, expanding all nodes within range.
     5. Beam and probed cells are those for which enough planted queries find what they were made
        from: copies of nodes drawn by hash, turned by a little less than the
@@ -451,14 +552,14 @@ def near_vectors(vectors, cosine=COSINE, recall=RECALL, id_col="vec_id", vector_
     audited = []
     for (dim,) in sorted(map(tuple, reps.select("dim").distinct().collect())):
         own = reps.where(F.col("dim") == dim)
-        graph = _built(own, dim)
+        graph = _built(own)
         copies, n = planted(own, dim, cosine)
         beam, probes, share = _content(graph, copies, n, cosine, recall, BEAM, PROBES)
         queries = own.withColumn("target", F.lit(None).cast("long"))
         while True:
             found = _searched(graph, queries, beam, probes, cosine).where("id IS NOT NULL")
             reached = least_mean(recalls(linked_sample(own, found, dim, cosine), found))
-            if reached >= recall or beam == WHOLE and probes >= len(graph.centers):
+            if reached >= recall or beam == WHOLE and probes >= graph.most:
                 break
             beam, probes = _raised(graph, beam, probes)
         audited.append(min(share, reached))

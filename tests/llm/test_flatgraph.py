@@ -67,6 +67,59 @@ def test_against_brute_force(spark, monkeypatch, small):
         assert result == truth
 
 
+@pytest.mark.parametrize("crowded", [False, True])
+def test_two_levels_of_centers(spark, monkeypatch, crowded):
+    """More centers are wanted than one level has, or those of it fall together as all vectors lean one way."""
+    monkeypatch.setattr(flatgraph, "SHARD_ROWS", 10)
+    monkeypatch.setattr(flatgraph, "MOST_CENTERS", 400 if crowded else 6)
+    monkeypatch.setattr(flatgraph, "CELL_ROWS", 64)
+    monkeypatch.setattr(flatgraph, "TASK_QUERIES", 90)
+    vectors = corpus(11)
+    if crowded:
+        lean = unit(np.random.default_rng(4), 32)
+        vectors = {i: (np.array(v) / np.linalg.norm(v) + 1.3 * lean).tolist() for i, v in vectors.items()}
+    built = []
+    real = flatgraph._centers
+
+    def centers(reps):
+        built.append(real(reps))
+        return built[-1]
+
+    monkeypatch.setattr(flatgraph, "_centers", centers)
+    result, truth = found(frame(spark, list(vectors.items()))), brute(vectors)
+    (level,) = built
+    assert level.fine.count() > 2 * len(level.centers) and level.most >= level.fine.count()
+    assert level.fine.groupBy("coarse").count().agg(F.max("count")).first()[0] <= flatgraph.MOST_CENTERS
+    links = sum(n for n, _ in truth.values())
+    assert sum(min(result[i][0], truth[i][0]) for i in truth) >= 0.97 * links
+    assert all(result[i][0] <= truth[i][0] for i in truth)
+    assert sum(result[i][1] == truth[i][1] for i in truth) >= 0.97 * len(truth)
+
+
+def test_rows_of_two_levels(spark):
+    """Each row has one place 0, at the nearest fine center of its nearest center; enough probes reach all clusters."""
+    rng = np.random.default_rng(8)
+    centers = np.array([unit(rng, 8) for _ in range(3)])
+    fine = [(coarse, number, unit(rng, 8).tolist()) for coarse, n in ((0, 2), (2, 5)) for number in range(n)]
+    table = spark.createDataFrame(fine, "coarse int, number int, vector array<double>")
+    points = {i: unit(rng, 8) for i in range(200)}
+    rows = spark.createDataFrame([(i, point.tolist()) for i, point in points.items()], "id long, vector array<double>")
+    level = flatgraph.Centers(centers, table, 15)
+    own = {}
+    for row in flatgraph._dealt(rows, level, 2).collect():
+        own.setdefault(row.id, []).append((row.place, row.center))
+    for i, point in points.items():
+        coarse = int(np.argmax(centers @ point))
+        scores = [(point @ np.array(v), n) for c, n, v in fine if c == coarse]
+        nearest = max(scores)[1] if scores else 0
+        assert sorted(own[i])[0] == (0, (coarse << flatgraph.FINE_BITS) + nearest)
+        assert [place for place, _ in own[i]].count(0) == 1 and len(set(own[i])) == len(own[i])
+    every = {(c << flatgraph.FINE_BITS) + n for c, n, _ in fine} | {1 << flatgraph.FINE_BITS}
+    reached = flatgraph._dealt(rows, level, level.most).groupBy("id").agg(F.collect_set("center").alias("all")).collect()
+    assert len(reached) == 200 and all(set(row["all"]) == every for row in reached)
+    assert flatgraph._dealt(rows.limit(0), level, 2).count() == 0
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (None, [1.0, 0.0]), (7, [1.0, 0.0]), (8, [2.0, -0.0])]
