@@ -5,7 +5,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-PAIR_CELLS = 2_000_000
+PAIR_CELLS = 1_000_000
 CACHED_CELLS = 100_000
 
 
@@ -121,6 +121,8 @@ class RunningTopK:
             kth = np.partition(screened, self.k - 1, axis=0)[self.k - 1]
             limit = np.minimum(limit, kth[None, :] + 2 * margin.max())
         row, col = np.nonzero(screened <= limit)
+        if not len(row):
+            return
         col = columns[col]
         found = exact_distances(rows, row, self.queries, col, self.metric)
         self.waiting.append(
@@ -144,34 +146,67 @@ class RunningTopK:
     def compact(self):
         """Reduce what is held to k rows per query and tighten the bounds."""
         tables = ([self.kept] if self.kept is not None else []) + self.waiting
-        self.waiting, self.waiting_rows = [], 0
+        self.kept, self.waiting, self.waiting_rows = None, [], 0
         if not tables:
             return
         table = pa.concat_tables(tables)
-        keys = [("query", "ascending"), ("distance", "ascending"), ("id", "ascending")]
-        table = table.take(pc.sort_indices(table, sort_keys=keys)).combine_chunks()
-        query = table["query"].to_numpy()
-        place = np.arange(len(query)) - np.searchsorted(query, query, side="left")
-        last = place == self.k - 1
-        self.bound[query[last]] = np.minimum(self.bound[query[last]], table["distance"].to_numpy()[last])
-        self.kept = table.filter(pa.array(place < self.k))
+        del tables
+        query, distance = table["query"].to_numpy(), table["distance"].to_numpy()
+        order = np.lexsort((distance, query))
+        if self._cut_by_id(query[order], distance[order]):
+            keys = [("query", "ascending"), ("distance", "ascending"), ("id", "ascending")]
+            order = pc.sort_indices(table, sort_keys=keys).to_numpy()
+        place = self._places(query[order])
+        order = order[place < self.k]
+        last = order[place[place < self.k] == self.k - 1]
+        self.bound[query[last]] = np.minimum(self.bound[query[last]], distance[last])
+        self.kept = table.take(pa.array(order)).combine_chunks()
+
+    @staticmethod
+    def _places(query):
+        return np.arange(len(query)) - np.searchsorted(query, query, side="left")
+
+    def _cut_by_id(self, query, distance):
+        """True if a query's k-th distance is also that of a row after it, so that ids decide which row stays."""
+        at = np.flatnonzero(self._places(query) == self.k)
+        return bool((distance[at] == distance[at - 1]).any())
 
     def result(self):
         self.compact()
         return self.kept
 
 
+class References:
+    """Vectors that others are compared with by cosine, and their copies of unit length in single precision."""
+
+    def __init__(self, vectors):
+        self.vectors, self.unit = vectors, _unit(vectors)
+
+
+def _unit(vectors):
+    sizes = np.sqrt(_dots(vectors, vectors))[:, None]
+    return np.divide(vectors, sizes, out=np.zeros(vectors.shape, np.float32), where=sizes > 0, casting="same_kind")
+
+
 def most_similar_rows(rows, references):
-    """Index and cosine of the most similar reference; the first on a tie."""
-    sizes = np.sqrt((rows * rows).sum(axis=1)[:, None] * (references * references).sum(axis=1)[None, :])
-    products = rows @ references.T
-    screened = np.divide(products, sizes, out=np.zeros_like(products), where=sizes > 0)
-    row, col = np.nonzero(screened >= screened.max(axis=1, keepdims=True) - 1e-9)
+    """Index and cosine of the most similar one of `references`; the first on a tie.
+
+    Products in single precision screen the references, with a margin above twice their
+    rounding error; those that pass are compared in double precision. Rows are
+    taken in steps, so that memory does not grow with the references.
+    """
+    references = references if isinstance(references, References) else References(references)
     best = np.full(len(rows), -np.inf)
     index = np.zeros(len(rows), dtype=np.int64)
-    cos = 1.0 - exact_distances(rows, row, references, col, "cosine")
-    order = np.lexsort((col, -cos, row))
-    row, col, cos = row[order], col[order], cos[order]
-    first = np.r_[True, row[1:] != row[:-1]]
-    index[row[first]], best[row[first]] = col[first], cos[first]
+    margin = 4e-7 * (rows.shape[1] + 8)
+    step = max(1, 4 * PAIR_CELLS // len(references.vectors))
+    for start in range(0, len(rows), step):
+        part = rows[start : start + step]
+        screened = _unit(part) @ references.unit.T
+        row, col = np.nonzero(screened >= screened.max(axis=1, keepdims=True) - np.float32(margin))
+        cos = 1.0 - exact_distances(part, row, references.vectors, col, "cosine")
+        order = np.lexsort((col, -cos, row))
+        row, col, cos = row[order], col[order], cos[order]
+        first = np.r_[True, row[1:] != row[:-1]]
+        index[start + row[first]], best[start + row[first]] = col[first], cos[first]
     return index, best

@@ -10,13 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveline import settings
-from sieveline.functions.vectors import RunningTopK, as_matrix, comparable, exact_distances
+from sieveline.functions.vectors import as_matrix, comparable, exact_distances
 from sieveline.operators.neighbors import (
     BATCH_ROWS,
+    _chunks,
     _empty,
     _hits_table,
     _match_blocks,
     _partial_schema,
+    by_groups,
     merge_hits,
     query_head,
 )
@@ -132,19 +134,26 @@ def _probe_in_place(rows, centers, head, k, nprobe, metric, vector_col):
     by_cluster = {int(c): np.nonzero((probed == c).any(axis=1))[0] for c in np.unique(probed)}
     shared = spark.sparkContext.broadcast((positions, vectors, by_cluster))
 
+    def add(best, chunk, start, stop):
+        ids, matrix, cuts = chunk
+        for cluster, first, end in cuts:
+            asked = shared.value[2][cluster]
+            asked = asked[np.searchsorted(asked, start) : np.searchsorted(asked, stop)] - start
+            if len(asked):
+                best.add(ids.slice(first, end - first), matrix[first:end], asked)
+
+    def by_cluster_of(chunk):
+        found = chunk["cluster"].to_numpy()
+        order = np.argsort(found, kind="stable")
+        cuts = np.flatnonzero(np.r_[True, np.diff(found[order]) != 0])
+        cuts = [(int(found[order[a]]), a, b) for a, b in zip(cuts, np.r_[cuts[1:], len(order)])]
+        return chunk["id"].chunk(0).take(pa.array(order)), as_matrix(chunk["embedding"].chunk(0))[order], cuts
+
     def search(batches):
-        positions, vectors, by_cluster = shared.value
-        best = RunningTopK(vectors, k, metric)
-        for batch in batches:
-            clusters = batch.column(2).to_numpy(zero_copy_only=False)
-            for cluster in np.unique(clusters):
-                part = pa.array(np.nonzero(clusters == cluster)[0])
-                best.add(
-                    batch.column(0).take(part), as_matrix(batch.column(1).take(part)), by_cluster[int(cluster)]
-                )
-        found = best.result()
-        if found is not None:
-            yield from _hits_table(positions, found).to_batches(max_chunksize=BATCH_ROWS)
+        positions, vectors, _ = shared.value
+        chunks = map(by_cluster_of, _chunks(batches, vectors.shape[1]))
+        for start, found in by_groups(vectors, k, metric, chunks, add):
+            yield from _hits_table(positions[start:], found).to_batches(max_chunksize=BATCH_ROWS)
 
     rows, tasks = few_tasks(rows.filter(F.col("cluster").isin(list(by_cluster))))
     names = spark.createDataFrame(

@@ -37,7 +37,7 @@ def nearest(
     With element `bfloat16` vectors are compared in that precision.
 
     A query set within the bounds is broadcast and the corpus is read once in
-    place, every task keeping k rows per query. A larger one is matched block
+    place, every task returning k rows per query and holding those of a group of queries. A larger one is matched block
     by block through a shuffle. Queries without a vector have no hits; queries
     of different lengths, or with elements that are no numbers, are an error that
     names them. Corpus rows that cannot be compared (see `vector_fault`) are no
@@ -112,6 +112,50 @@ def _hits_table(positions, found):
     )
 
 
+def _chunks(batches, dim):
+    """Tables of the rows of `batches`, of about CHUNK_CELLS numbers in vectors of `dim`; none is empty."""
+    most, waiting, held = max(1, settings.CHUNK_CELLS // dim), [], 0
+    for batch in batches:
+        for start in range(0, batch.num_rows, most):
+            part = batch.slice(start, most)
+            if held and held + part.num_rows > most:
+                yield pa.Table.from_batches(waiting).combine_chunks()
+                waiting, held = [], 0
+            waiting.append(part)
+            held += part.num_rows
+    if held:
+        yield pa.Table.from_batches(waiting).combine_chunks()
+
+
+def by_groups(vectors, k, metric, chunks, add, bound=None):
+    """(place of the first query, hits of a group of queries), so that hits held do not grow with the queries.
+
+    `add(best, chunk, start, stop)` compares a chunk with the queries from `start` to `stop`. Queries whose
+    hits all fit HELD_HITS are one group, held over all chunks. Of more
+    queries every chunk gives k hits each, group by group, and the k-th distances so far
+    bound what later chunks give.
+    """
+    step = max(1, settings.HELD_HITS // k)
+    bound = np.full(len(vectors), np.inf) if bound is None else np.array(bound)
+    if len(vectors) <= step:
+        best = RunningTopK(vectors, k, metric, bound)
+        for chunk in chunks:
+            add(best, chunk, 0, len(vectors))
+        found = best.result()
+        if found is not None:
+            yield 0, found
+        return
+    for chunk in chunks:
+        for start in range(0, len(vectors), step):
+            stop = min(start + step, len(vectors))
+            best = RunningTopK(vectors[start:stop], k, metric, bound[start:stop])
+            add(best, chunk, start, stop)
+            found = best.result()
+            if found is not None:
+                bound[start:stop] = best.bound
+                yield start, found
+
+
 def _search_in_place(rows, head, vector_col, k, metric, element):
     """Each task scans its part of the corpus against the broadcast queries."""
     spark = rows.sparkSession
@@ -120,13 +164,10 @@ def _search_in_place(rows, head, vector_col, k, metric, element):
 
     def search(batches):
         positions, vectors = shared.value
-        best = RunningTopK(vectors, k, metric)
-        for batch in batches:
-            if batch.num_rows:
-                best.add(batch.column(0), as_matrix(batch.column(1), element))
-        found = best.result()
-        if found is not None:
-            yield from _hits_table(positions, found).to_batches(max_chunksize=BATCH_ROWS)
+        chunks = _chunks(batches, vectors.shape[1])
+        chunks = ((chunk["id"].chunk(0), as_matrix(chunk["embedding"].chunk(0), element)) for chunk in chunks)
+        for start, found in by_groups(vectors, k, metric, chunks, lambda best, chunk, *_: best.add(*chunk)):
+            yield from _hits_table(positions[start:], found).to_batches(max_chunksize=BATCH_ROWS)
 
     # Every task emits up to k rows per query, so few long tasks shuffle less
     # than one task per file split.
@@ -181,11 +222,12 @@ def _match_blocks(left, right, k, metric, element="float", keys=("query_block",
         if queries.num_rows == 0 or rows.num_rows == 0:
             return nothing
         queries, rows = queries.combine_chunks(), rows.combine_chunks()
-        vectors = as_matrix(queries["embedding"].chunk(0), element)
-        best = RunningTopK(vectors, k, metric, queries["reach"].to_numpy())
-        best.add(rows["id"].chunk(0), as_matrix(rows["embedding"].chunk(0), element))
-        found = best.result()
-        return nothing if found is None else _hits_table(queries["query_pos"].to_numpy(), found)
+        vectors, positions = as_matrix(queries["embedding"].chunk(0), element), queries["query_pos"].to_numpy()
+        # Rows are few enough to be one chunk.
+        chunk = [(rows["id"].chunk(0), as_matrix(rows["embedding"].chunk(0), element))]
+        add, reach = lambda best, chunk, *_: best.add(*chunk), queries["reach"].to_numpy()
+        found = [_hits_table(positions[start:], hits) for start, hits in by_groups(vectors, k, metric, chunk, add, reach)]
+        return pa.concat_tables(found).combine_chunks() if found else nothing
 
     keys = list(keys)
     return left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(search, schema)

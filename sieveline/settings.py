@@ -36,6 +36,8 @@ MASTER_OLD_FLAG = "Data_3b_includedrecords_top88-corrected"
 BROADCAST_ROWS = 500_000
 QUERY_VECTOR_BYTES = 64 * 1024 * 1024
 TASK_HITS = 4_000_000
+HELD_HITS = 200_000
+CHUNK_CELLS = 2_000_000
 TASK_BYTES = 1024 * 1024 * 1024
 MERGE_ROWS = 4_000_000
 MOST_LISTS = 2_000
