@@ -14,12 +14,13 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from sieveline import settings
-from sieveline.functions.vectors import RunningTopK, as_matrix, comparable, exact_distances
+from sieveline.functions.vectors import PAIR_CELLS, as_matrix, comparable, exact_distances
 from sieveline.operators.clusters import _held
-from sieveline.operators.neighbors import BATCH_ROWS, _empty, _hits_table, _partial_schema, merge_hits, query_head
-from sieveline.staging import few_tasks, number_rows, small, stage
+from sieveline.operators.neighbors import BATCH_ROWS, _chunks, _empty, _hits_table, _partial_schema, by_groups, merge_hits, query_head
+from sieveline.staging import number_rows, stage
 
 # Bounds are off by rounding less than this share.
 MARGIN = 1e-9
@@ -130,77 +131,125 @@ def block_bounds(lo, hi, to_pivots):
 BOUNDED = "place int, part long, cell int, run long, n long, bound double"
 
 
+def _dealt(bounds):
+    """The blocks over all cores: their table is small, but every query is compared with every block."""
+    return bounds.repartition(bounds.sparkSession.sparkContext.defaultParallelism)
+
+
 def _nearest_blocks(bounds, to_pivots, k):
     """Per query the blocks of least bound that hold `k` vectors together: (place, part, cell, run, n, bound)."""
     shared = bounds.sparkSession.sparkContext.broadcast(to_pivots)
 
     def run(batches):
         to_pivots = shared.value
-        held = [[] for _ in to_pivots]
-        for batch in batches:
-            part, cell, number, n = (batch.column(c).to_numpy(zero_copy_only=False) for c in range(4))
-            bound = block_bounds(as_matrix(batch.column(4)), as_matrix(batch.column(5)), to_pivots)
-            for place in range(len(to_pivots)):
-                found = held[place] + list(zip(bound[:, place], cell, number, n, part))
-                found.sort(key=lambda block: block[:3])
-                before = np.cumsum([0] + [block[3] for block in found])[:-1]
-                held[place] = [block for block, count in zip(found, before) if count < k]
-        for place, found in enumerate(held):
-            if found:
-                bound, cell, number, n, part = zip(*found)
-                columns = [pa.array([place] * len(found), pa.int32()), pa.array(part, pa.int64()), pa.array(cell, pa.int32())]
-                columns += [pa.array(number, pa.int64()), pa.array(n, pa.int64()), pa.array(bound, pa.float64())]
+        for chunk in _chunks(batches, 2 * to_pivots.shape[1]):
+            chunk = chunk.sort_by([("cell", "ascending"), ("run", "ascending")]).combine_chunks()
+            n, lo, hi = chunk["n"].to_numpy(), as_matrix(chunk["lo"].chunk(0)), as_matrix(chunk["hi"].chunk(0))
+            step, most = max(1, PAIR_CELLS // len(n)), min(k, len(n))
+            for start in range(0, len(to_pivots), step):
+                bound = np.ascontiguousarray(block_bounds(lo, hi, to_pivots[start : start + step]).T)
+                # No block is empty, so k of the least bounds are enough.
+                last = np.partition(bound, most - 1, axis=1)[:, most - 1 : most]
+                place, block = np.nonzero(bound <= last)
+                bound = bound[place, block]
+                order = np.lexsort((block, bound, place))
+                place, block, bound = place[order], block[order], bound[order]
+                before = np.cumsum(n[block]) - n[block]
+                near = before - before[np.searchsorted(place, place)] < k
+                blocks = chunk.select(["part", "cell", "run", "n"]).take(pa.array(block[near])).combine_chunks()
+                columns = [pa.array((start + place[near]).astype(np.int32)), *(c.chunk(0) for c in blocks.columns), pa.array(bound[near])]
                 yield pa.RecordBatch.from_arrays(columns, ["place", "part", "cell", "run", "n", "bound"])
 
-    found = bounds.select("part", "cell", "run", "n", "lo", "hi").mapInArrow(run, BOUNDED)
+    found = _dealt(bounds.select("part", "cell", "run", "n", "lo", "hi")).mapInArrow(run, BOUNDED)
     order = Window.partitionBy("place").orderBy("bound", "cell", "run")
     before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return found.withColumn("_before", before).where(F.col("_before") < k).drop("_before")
 
 
+def _needed(lo, hi, to_pivots, reach):
+    """(first block, blocks x queries) in steps: True where the bounds do not leave a block out for a query."""
+    step = max(1, PAIR_CELLS // len(to_pivots))
+    for at in range(0, len(lo), step):
+        yield at, block_bounds(lo[at : at + step], hi[at : at + step], to_pivots) <= reach * (1 + MARGIN) + MARGIN
+
+
 def _blocks_within(bounds, to_pivots, reach):
-    """Blocks that the bounds do not leave out, with the places of the queries that need them."""
-    shared = bounds.sparkSession.sparkContext.broadcast((to_pivots, reach * (1 + MARGIN) + MARGIN))
+    """Blocks that the bounds do not leave out for every query, as rows of `bounds`, and (place, n): vectors in those of a query.
+
+    Which query needs which block is not listed, as that grows with blocks times queries; the search finds it anew.
+    """
+    shared = bounds.sparkSession.sparkContext.broadcast((to_pivots, reach))
+    schema = T.StructType([T.StructField("place", T.IntegerType()), *bounds.schema.fields])
+    names = bounds.columns
 
     def run(batches):
         to_pivots, reach = shared.value
+        read = np.zeros(len(to_pivots), np.int64)
         for batch in batches:
-            wanted = block_bounds(as_matrix(batch.column(4)), as_matrix(batch.column(5)), to_pivots) <= reach[None, :]
-            places = pa.array([np.flatnonzero(row).astype(np.int32) for row in wanted], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], places], ["part", "cell", "run", "n", "places"])
-
-    found = bounds.select("part", "cell", "run", "n", "lo", "hi").mapInArrow(
-        run, "part long, cell int, run long, n long, places array<int>"
-    )
-    return found.where(F.size("places") > 0)
-
-
-def _search(blocks, wanted, positions, vectors, k, reach):
-    """The k nearest rows per query and task of the blocks in `wanted` (part, cell, run, places)."""
+            n, wanted = batch["n"].to_numpy(), np.zeros(batch.num_rows, bool)
+            for at, needed in _needed(as_matrix(batch["lo"]), as_matrix(batch["hi"]), to_pivots, reach):
+                some = slice(at, at + len(needed))
+                wanted[some] = needed.any(axis=1)
+                read += np.where(needed, n[some, None], 0).sum(axis=0)
+            kept = batch.filter(pa.array(wanted))
+            yield pa.RecordBatch.from_arrays([pa.nulls(kept.num_rows, pa.int32()), *kept.columns], ["place", *names])
+        place = np.flatnonzero(read).astype(np.int32)
+        columns = [pa.array(read[place]) if name == "n" else pa.nulls(len(place), kind) for name, kind in kinds]
+        yield pa.RecordBatch.from_arrays([pa.array(place), *columns], ["place", *names])
+
+    kinds = [(field.name, field.type) for field in to_arrow_schema(bounds.schema)]
+    found = stage(_dealt(bounds).mapInArrow(run, schema), "wanted")
+    read = found.where("place IS NOT NULL").groupBy("place").agg(F.sum("n").alias("n"))
+    return found.where("place IS NULL").drop("place"), read
+
+
+def _search(blocks, wanted, positions, vectors, k, reach, to_pivots=None):
+    """The k nearest rows per query and task of the blocks in `wanted`.
+
+    A block has `places` of the queries that need it, or else `lo` and `hi`, by which those within `reach` need it.
+    """
     spark = wanted.sparkSession
-    shared = spark.sparkContext.broadcast((positions, vectors, reach))
+    shared = spark.sparkContext.broadcast((positions, vectors, reach, to_pivots))
     parts = [row.part for row in wanted.select("part").distinct().toLocalIterator()]
     rows = blocks.rows.where(F.col("part").isin(parts)) if parts else blocks.rows.limit(0)
-    rows = rows.withColumn("part", F.col("part").cast("long"))
     schema = _partial_schema(rows)
-    # Tasks are counted by the files read; each returns up to k rows per query.
-    rows, tasks = few_tasks(rows)
-    rows = rows.join(small(wanted.drop("n", "part")), ["cell", "run"]).select("id", "embedding", "cell", "run", "places")
+    listed = "places" in wanted.columns
+    needs = ["places"] if listed else ["lo", "hi"]
+    rows = rows.select("id", "embedding", "cell", "run").join(wanted.select("cell", "run", *needs), ["cell", "run"])
+    # Blocks lie in few files, and each is compared with many queries.
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    rows = rows.select("id", "embedding", "cell", "run", *needs).repartition(tasks, "cell", "run")
+
+    def cut(chunk):
+        chunk = chunk.sort_by([("cell", "ascending"), ("run", "ascending")]).combine_chunks()
+        cell, run = chunk["cell"].to_numpy(), chunk["run"].to_numpy()
+        cuts = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (run[1:] != run[:-1])])
+        needed = [chunk[name].chunk(0).take(pa.array(cuts)) for name in needs]
+        needed = [np.array(p, np.int64) for p in needed[0].to_pylist()] if listed else [as_matrix(column) for column in needed]
+        return chunk["id"].chunk(0), as_matrix(chunk["embedding"].chunk(0)), cuts, needed
+
+    def add(best, chunk, start, stop):
+        ids, matrix, cuts, needed = chunk
+        ends = np.r_[cuts[1:], len(matrix)]
+
+        def compare(block, asked):
+            if len(asked):
+                best.add(ids.slice(cuts[block], ends[block] - cuts[block]), matrix[cuts[block] : ends[block]], asked)
+
+        if listed:
+            for block, places in enumerate(needed):
+                compare(block, places[np.searchsorted(places, start) : np.searchsorted(places, stop)] - start)
+            return
+        _, _, reach, to_pivots = shared.value
+        for at, within in _needed(*needed, to_pivots[start:stop], reach[start:stop]):
+            for block, queries in enumerate(within):
+                compare(at + block, np.flatnonzero(queries))
 
     def search(batches):
-        positions, vectors, reach = shared.value
-        best = RunningTopK(vectors, k, bound=reach)
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cell, run = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            cuts = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]) | (run[1:] != run[:-1])])
-            for start, end in zip(cuts, np.r_[cuts[1:], batch.num_rows]):
-                ids, matrix = batch.column(0).slice(start, end - start), as_matrix(batch.column(1).slice(start, end - start))
-                best.add(ids, matrix, np.array(batch.column(4)[int(start)].as_py(), np.int64))
-        found = best.result()
-        if found is not None:
-            yield from _hits_table(positions, found).to_batches(max_chunksize=BATCH_ROWS)
+        positions, vectors, reach, _ = shared.value
+        chunks = map(cut, _chunks(batches, vectors.shape[1]))
+        for start, found in by_groups(vectors, k, "euclidean", chunks, add, reach):
+            yield from _hits_table(positions[start:], found).to_batches(max_chunksize=BATCH_ROWS)
 
     return rows.mapInArrow(search, schema), tasks
 
@@ -253,9 +302,8 @@ def _pruned(spark, blocks, head, k, vector_col):
     ends = known.groupBy("query_pos").agg(F.max("distance").alias("reach"), F.count("*").alias("n")).toArrow()
     ends = {p: r for p, r, n in zip(*(ends[c].to_pylist() for c in ("query_pos", "reach", "n"))) if n == k}
     reach = np.array([ends.get(int(position), np.inf) for position in positions])
-    wanted = stage(_blocks_within(blocks.bounds, to_pivots, reach), "wanted")
-    read = wanted.select(F.explode("places").alias("place"), "n").groupBy("place").agg(F.sum("n").alias("n"))
-    partial, tasks = _search(blocks, wanted, positions, vectors, k, reach)
+    wanted, read = _blocks_within(blocks.bounds, to_pivots, reach)
+    partial, tasks = _search(blocks, wanted, positions, vectors, k, reach, to_pivots)
     hits = merge_hits(partial, k, tasks, F.col("query_pos"))
     names = head.select(["query_pos", "query_id"]).to_pandas()
     names = spark.createDataFrame(names.assign(place=range(len(names))), "query_pos long, query_id string, place int")

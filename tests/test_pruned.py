@@ -81,3 +81,20 @@ def test_edges(spark, tmp_path):
     assert pruned.nearest_pruned(blocks, queries.where("query_pos = 1"), 9).collect() == []
     empty = pruned.write_blocks(spark.createDataFrame([], SCHEMA), centers, str(tmp_path / "empty"))
     assert pruned.nearest_pruned(empty, queries, 9).collect() == []
+
+
+def test_blocks_within_do_not_list_queries(spark, written):
+    """The table of blocks to read has a row a block and a row a query, whatever the number of queries that need a block."""
+    _, matrix, blocks = written
+    far = pruned._to_all(matrix[::30].astype(float), blocks.pivots)
+    wanted, read = pruned._blocks_within(blocks.bounds, far, np.full(len(far), np.inf))
+    assert wanted.columns == blocks.bounds.columns and wanted.count() == blocks.bounds.count()
+    assert {(row.place, row.n) for row in read.collect()} == {(place, len(matrix)) for place in range(len(far))}
+
+
+def test_bounds_are_compared_in_steps(monkeypatch):
+    monkeypatch.setattr(pruned, "PAIR_CELLS", 100)
+    lo, hi, far = np.zeros((37, 2)), np.arange(74.0).reshape(37, 2), np.full((9, 2), 30.0)
+    steps = list(pruned._needed(lo, hi, far, np.full(9, 5.0)))
+    assert max(needed.size for _, needed in steps) <= 100
+    assert (np.concatenate([needed for _, needed in steps]) == (pruned.block_bounds(lo, hi, far) <= 5 * (1 + 1e-9) + 1e-9)).all()
