@@ -1,15 +1,20 @@
 """Cosine similarity of every row with a set of reference vectors."""
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveline import settings
-from sieveline.functions.vectors import as_matrix, comparable, most_similar_rows
-from sieveline.operators.neighbors import nearest, query_head
+from sieveline.functions.vectors import References, as_matrix, comparable, most_similar_rows
+from sieveline.operators.neighbors import query_head
 from sieveline.staging import stage
 
+# Rows and references of one group beyond the bound, and rows compared at once in it.
+ROW_BLOCK, REFERENCE_BLOCK, ROW_STEP = 16_384, 8_192, 4_096
+
 
 def most_similar(
     rows,
@@ -42,6 +47,7 @@ def _in_place(rows, head, key, vector_col, dim):
 
     def compare(batches):
         positions, vectors = shared.value
+        vectors = References(vectors)
         for batch in batches:
             if batch.num_rows and len(positions):
                 index, best = most_similar_rows(as_matrix(batch.column(1)), vectors)
@@ -67,27 +73,40 @@ def _in_place(rows, head, key, vector_col, dim):
 
 
 def _by_join(rows, references, key, vector_col):
-    """Beyond the bound: each row looks for its one nearest reference."""
-    numbered = rows.select(
-        F.col(key).alias("row_key"),
-        F.col(vector_col),
-        F.monotonically_increasing_id().alias("query_pos"),
-        F.lit(None).cast("string").alias("query_id"),
-    )
+    """Beyond the bound: blocks of rows meet blocks of references, and each row keeps the best of its blocks."""
+    numbered = rows.select(F.col(key).alias("row_key"), F.col(vector_col).alias("embedding"), F.monotonically_increasing_id().alias("row"))
     numbered = stage(numbered, "rows")
-    best = nearest(references.withColumnRenamed("query_pos", "reference"), numbered, 1, "cosine", id_col="reference")
-    names = references.select(F.col("query_pos").alias("reference"), "query_id")
+    references = stage(references.withColumnRenamed(vector_col, "embedding"), "references")
+    row_blocks = max(1, math.ceil(numbered.count() / ROW_BLOCK))
+    reference_blocks = max(1, math.ceil(references.count() / REFERENCE_BLOCK))
+    number = lambda name, n: F.pmod(F.xxhash64(name), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = numbered.select("row", "embedding", number("row", row_blocks).alias("row_block"), every(reference_blocks).alias("reference_block"))
+    right = references.select(
+        "query_pos", "embedding", number("query_pos", reference_blocks).alias("reference_block"), every(row_blocks).alias("row_block")
+    )
+    nothing = pa.table({"row": pa.array([], pa.int64()), "query_pos": pa.array([], pa.int64()), "similarity": pa.array([], pa.float64())})
+
+    def compare(some, others):
+        if not some.num_rows or not others.num_rows:
+            return nothing
+        others = others.sort_by("query_pos").combine_chunks()
+        vectors = References(as_matrix(others["embedding"].chunk(0)))
+        found = []
+        for batch in some.to_batches(max_chunksize=ROW_STEP):
+            index, best = most_similar_rows(as_matrix(batch["embedding"]), vectors)
+            found.append(pa.table([batch["row"], others["query_pos"].chunk(0).take(pa.array(index)), pa.array(best)], schema=nothing.schema))
+        return pa.concat_tables(found).combine_chunks()
+
+    keys = ["row_block", "reference_block"]
+    found = left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(compare, "row long, query_pos long, similarity double")
+    # The greatest similarity; of equal ones the lowest query_pos.
+    best = found.groupBy("row").agg(F.max(F.struct("similarity", (-F.col("query_pos")).alias("least"))).alias("best"))
+    best = best.select("row", (-F.col("best.least")).alias("query_pos"), "best.similarity")
     return (
-        best.drop("query_id")
-        .join(numbered.select("query_pos", "row_key"), "query_pos")
-        .drop("query_pos")
-        .join(names, "reference")
-        .select(
-            F.col("row_key").alias(key),
-            F.col("reference").alias("query_pos"),
-            "query_id",
-            (1.0 - F.col("distance")).alias("similarity"),
-        )
+        best.join(numbered.select("row", "row_key"), "row")
+        .join(references.select("query_pos", "query_id"), "query_pos")
+        .select(F.col("row_key").alias(key), "query_pos", "query_id", "similarity")
     )
 
 
