@@ -940,7 +940,9 @@ def upsert_corrected(spark, sf_dir):
 
 def _json_works(spark, sf_dir):
     path = staged_path(spark, "works")
-    raw = standins.raw_works(spark, sf_dir).hint("rebalance", "updated_date")
+    # Texts are dealt and sorted by folder; the index, several times as large, is made as it is written.
+    texts = standins.dated_texts(spark, sf_dir).hint("rebalance", "updated_date").sortWithinPartitions("updated_date")
+    raw = standins.with_index(texts).select(*standins.RAW_COLUMNS)
     raw.write.partitionBy("updated_date").option("compression", "gzip").json(path)
     return path
 

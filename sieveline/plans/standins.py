@@ -135,7 +135,12 @@ def referencing_works(spark, sf_dir):
 
 def inverted_works(spark, sf_dir):
     """Raw works whose abstract is an inverted index of the whole text."""
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return with_index(spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")))
+
+
+def with_index(documents):
+    """`documents` with an inverted index of the whole text instead of the text, which takes several times its room."""
+    others = [name for name in documents.columns if name != "text"]
     words = F.split(F.trim(F.regexp_replace("text", r"\s+", " ")), " ")
     placed = F.sort_array(F.transform(words, lambda token, pos: F.struct(token.alias("token"), pos.alias("pos"))))
     first = F.filter(
@@ -151,28 +156,32 @@ def inverted_works(spark, sf_dir):
         ),
     )
     return (
-        documents.select("doc_id", "lang", placed.alias("placed"))
+        documents.select(*others, placed.alias("placed"))
         .withColumn("first", first)
         .withColumn("ends", ends)
-        .select("doc_id", "lang", F.map_from_arrays(tokens, positions).alias("abstract_inverted_index"))
+        .select(*others, F.map_from_arrays(tokens, positions).alias("abstract_inverted_index"))
     )
 
 
+def dated_texts(spark, sf_dir):
+    """The texts of raw works with year and update date: what is joined and moved before the index is made."""
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("doc_id"), F.to_date("o_orderdate").alias("date"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+    return documents.join(orders, "doc_id", "left").select(
+        full_id(work_id("doc_id")).alias("id"),
+        F.col("lang").alias("title"),
+        "text",
+        F.year("date").alias("publication_year"),
+        F.coalesce(F.trunc("date", "year").cast("string"), F.lit("1970-01-01")).alias("updated_date"),
+    )
+
+
+RAW_COLUMNS = ("id", "title", "abstract_inverted_index", "publication_year", "updated_date")
+
+
 def raw_works(spark, sf_dir):
     """Raw works with a full id, title, index, year and update date."""
-    dated = dates(spark, sf_dir)
-    return (
-        inverted_works(spark, sf_dir)
-        .withColumn("id", work_id("doc_id"))
-        .join(dated, "id", "left")
-        .select(
-            full_id(F.col("id")).alias("id"),
-            F.col("lang").alias("title"),
-            "abstract_inverted_index",
-            "publication_year",
-            F.coalesce(F.trunc("publication_date", "year").cast("string"), F.lit("1970-01-01")).alias("updated_date"),
-        )
-    )
+    return with_index(dated_texts(spark, sf_dir)).select(*RAW_COLUMNS)
 
 
 def master(spark, sf_dir):
