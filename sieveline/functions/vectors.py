@@ -51,8 +51,8 @@ def closeness(distance):
     return F.lit(1.0) / (F.lit(1.0) + distance)
 
 
-def as_matrix(column, element="float"):
-    """Rows of an Arrow list column as a float64 matrix.
+def as_matrix(column, element="float", dtype=np.float64):
+    """Rows of an Arrow list column as a float64 matrix, or with dtype None in the precision they have.
 
     With element `bfloat16` the values are first rounded to its 8 significant
     bits, half to even, as an index with that element type stores them.
@@ -61,7 +61,7 @@ def as_matrix(column, element="float"):
     if element == "bfloat16":
         bits = values.astype(np.float32).view(np.uint32)
         values = ((bits + 0x7FFF + ((bits >> 16) & 1)) & 0xFFFF0000).astype(np.uint32).view(np.float32)
-    return values.astype(np.float64).reshape(len(column), -1)
+    return (values if dtype is None else values.astype(dtype)).reshape(len(column), -1)
 
 
 def exact_distances(rows, row, others, other, metric):
@@ -111,7 +111,7 @@ class RunningTopK:
         columns = np.arange(len(self.queries)) if columns is None else columns
         step = max(1, PAIR_CELLS // max(1, len(columns)))
         for start in range(0, len(vectors), step):
-            self._add_rows(ids.slice(start, step), vectors[start : start + step], columns)
+            self._add_rows(ids.slice(start, step), vectors[start : start + step].astype(np.float64, copy=False), columns)
 
     def _add_rows(self, ids, rows, columns):
         screened, margin = self._screen(rows, columns)

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,8 +38,8 @@ def nearest(
     With element `bfloat16` vectors are compared in that precision.
 
     A query set within the bounds is broadcast and the corpus is read once in
-    place, every task returning k rows per query and holding those of a group of queries. A larger one is matched block
-    by block through a shuffle. Queries without a vector have no hits; queries
+    place, every task returning k rows per query and holding those of a group of queries. A larger one is matched with
+    blocks of the corpus through a shuffle. Queries without a vector have no hits; queries
     of different lengths, or with elements that are no numbers, are an error that
     names them. Corpus rows that cannot be compared (see `vector_fault`) are no
     hits of any query; `split_valid` reports them by the same rule.
@@ -53,7 +54,7 @@ def nearest(
         partial, names, parts = _search_in_place(rows, head, vector_col, depth, metric, element)
     else:
         queries = queries.filter(F.col(vector_col).isNotNull())
-        partial, names, parts = _search_blocks(rows, corpus.count(), queries, vector_col, depth, metric, element)
+        partial, names, parts = _search_blocks(rows, corpus.count(), queries, vector_col, depth, metric, element, dim)
     hits = merge_hits(partial, depth, parts, F.col("query_pos"))
     hits = hits.join(names, "query_pos")
     if exclude_self:
@@ -179,39 +180,69 @@ def _search_in_place(rows, head, vector_col, k, metric, element):
     return partial, F.broadcast(names), tasks
 
 
-def _search_blocks(rows, n_rows, queries, vector_col, k, metric, element):
-    """Match every block of queries with every block of corpus rows.
+def _search_blocks(rows, n_rows, queries, vector_col, k, metric, element, dim):
+    """Match every block of corpus rows with all queries.
 
-    Blocks are cut by a hash, so they have the same size whatever the data,
-    and each pair of blocks is one group that returns k rows per query. With
-    many blocks of rows a share of them is searched first: its k-th distance
-    per query can only be too large, so the other blocks need not return
-    anything beyond it.
+    Blocks are cut by a hash, so they have the same size whatever the data.
+    Rows are shuffled once and only the queries go to every block, so that what is
+    written does not grow with the product of both sides but with the queries by the
+    blocks, which are as large as a task may hold. Some blocks, of about the square root of
+    their number, are searched first: the k-th distance per query there can only be
+    too large, so the other blocks need not return anything beyond it.
     """
-    block_queries = max(1, min(settings.BLOCK_QUERIES, settings.TASK_HITS // k))
-    query_blocks = math.ceil(queries.count() / block_queries)
-    row_blocks = max(1, math.ceil(n_rows / settings.BLOCK_VECTORS))
-    left = queries.select(
-        "query_pos",
-        F.col(vector_col).alias("embedding"),
-        F.lit(float("inf")).alias("reach"),
-        F.pmod(F.xxhash64("query_pos"), F.lit(query_blocks)).cast("int").alias("query_block"),
-        F.explode(F.sequence(F.lit(0), F.lit(row_blocks - 1))).alias("row_block"),
-    )
-    right = rows.select(
-        "id",
-        "embedding",
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"),
-        F.pmod(F.xxhash64("id"), F.lit(row_blocks)).cast("int").alias("row_block"),
-    )
-    if row_blocks > settings.FIRST_BLOCKS:
-        some = F.col("row_block") % settings.FIRST_BLOCKS == 0
-        first = _match_blocks(left.filter(some), right.filter(some), k, metric, element)
-        first = merge_hits(first, k, math.ceil(row_blocks / settings.FIRST_BLOCKS), F.col("query_pos"))
-        reach = F.when(F.count("*") == k, F.max("distance")).otherwise(float("inf")).alias("reach")
-        reaches = stage(first.groupBy("query_pos").agg(reach), "reach")
-        left = left.drop("reach").join(reaches, "query_pos", "left").fillna(float("inf"), "reach")
-    return _match_blocks(left, right, k, metric, element), queries.select("query_pos", "query_id"), row_blocks
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    blocks = max(1, math.ceil(n_rows * dim / settings.BLOCK_CELLS), min(4 * cores, math.ceil(n_rows / settings.BLOCK_VECTORS)))
+    first = min(blocks, settings.FIRST_BLOCKS, max(cores, math.ceil(math.sqrt(blocks))))
+    names = queries.select("query_pos", "query_id")
+    asked = queries.select("query_pos", F.col(vector_col).alias("embedding"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+    endless = F.lit(float("inf"))
+    found = _stream_blocks(rows, asked.withColumn("reach", endless), 0, first, k, metric, element, dim)
+    if first == blocks:
+        return found, names, blocks
+    found = stage(merge_hits(found, k, first, F.col("query_pos")).drop("rank"), "first")
+    reach = F.when(F.count("*") == k, F.max("distance")).otherwise(endless).alias("reach")
+    asked = asked.join(found.groupBy("query_pos").agg(reach), "query_pos", "left").fillna(float("inf"), "reach")
+    rest = _stream_blocks(rows, asked, first, blocks, k, metric, element, dim)
+    return found.unionByName(rest), names, blocks - first + 1
+
+
+def _stream_blocks(rows, queries, start, stop, k, metric, element, dim):
+    """Up to k rows per query and block from `start` to `stop`; a task holds one block and takes the queries in chunks."""
+    schema = _partial_schema(rows)
+    kinds = {df.schema["embedding"].dataType.elementType.simpleString() for df in (rows, queries)}
+    vector = F.col("embedding").cast("array<double>" if len(kinds) > 1 else f"array<{kinds.pop()}>").alias("embedding")
+    blocks = F.explode(F.sequence(F.lit(start), F.lit(stop - 1))).alias("block")
+    left = queries.select(F.lit(True).alias("asked"), blocks, "query_pos", "reach", vector)
+    right = rows.filter((F.col("block") >= start) & (F.col("block") < stop))
+    right = right.select(F.lit(False).alias("asked"), "block", "id", vector)
+    dealt = left.unionByName(right, allowMissingColumns=True).repartitionById(stop - start, F.col("block") - start)
+    step = max(1, settings.HELD_HITS // k)
+
+    def hold(batches, held):
+        for batch in batches:
+            n = pc.index(batch.column("asked"), True).as_py()
+            n = batch.num_rows if n < 0 else n
+            if n:
+                held.append((batch.column("id").slice(0, n), as_matrix(batch.column("embedding").slice(0, n), element, None)))
+            if n < batch.num_rows:
+                yield batch.slice(n)
+
+    def search(batches):
+        # Rows come first, so all of them are held when the first queries come.
+        held = []
+        for chunk in _chunks(hold(batches, held), dim):
+            for at in range(0, chunk.num_rows, step):
+                part = chunk.slice(at, step)
+                vectors = as_matrix(part["embedding"].chunk(0), element)
+                best = RunningTopK(vectors, k, metric, part["reach"].to_numpy())
+                for ids, matrix in held:
+                    best.add(ids, matrix)
+                found = best.result()
+                if found is not None:
+                    yield from _hits_table(part["query_pos"].to_numpy(), found).to_batches(max_chunksize=BATCH_ROWS)
+
+    return dealt.sortWithinPartitions("asked").mapInArrow(search, schema)
 
 
 def _match_blocks(left, right, k, metric, element="float", keys=("query_block", "row_block")):

@@ -216,7 +216,8 @@ def search_by_text(spark, sf_dir):
     seeds_of = standins.seed_ids(spark, sf_dir)
     newest = standins.table(spark, sf_dir, "documents").agg(F.max("doc_id").alias("doc_id"))
     newest = newest.select(standins.work_id("doc_id").alias("id"), F.lit(-1).cast("long").alias("query_pos"))
-    asked = seeds_of.unionByName(newest).join(standins.works(spark, sf_dir), "id")
+    # Ids are counted and broadcast, so that the texts of all works stay in place.
+    asked = standins.works(spark, sf_dir).join(small(stage(seeds_of.unionByName(newest), "asked_ids")), "id")
     asked = stage(_encoded(asked.withColumnRenamed("id", "query_id"), "query_pos", "query_id"), "asked")
     return _rounded(neighbors.nearest(vectors, asked, TEXT_DEPTH))
 

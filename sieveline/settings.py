@@ -44,6 +44,7 @@ MOST_LISTS = 2_000
 LIST_BLOCK = 1_000
 BLOCK_QUERIES = 4_096
 BLOCK_VECTORS = 32_768
+BLOCK_CELLS = 32_000_000
 PIVOTS = 16
 PART_VECTORS = 1_000_000
 FIRST_BLOCKS = 64
