@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 PAIR_CELLS = 1_000_000
 CACHED_CELLS = 100_000
+# Squared lengths up to which sums in single precision are finite.
+SINGLE_SIZE = 1e30
 
 
 def dot(a, b):
@@ -91,7 +93,7 @@ class RunningTopK:
     """The k nearest vectors per query seen so far, over all batches of a task.
 
     A matrix product screens each batch against the k-th distance held so
-    far, with a margin above its rounding error. Pairs that pass get their
+    far, in single precision where that says enough, with a margin above its rounding error. Pairs that pass get their
     distance summed directly, so the result does not depend on batching.
     Equal distances are ordered by id.
     """
@@ -102,28 +104,24 @@ class RunningTopK:
         self.k = k
         self.metric = metric
         self.bound = np.full(len(queries), np.inf) if bound is None else np.array(bound)
+        self.single = None
         self.kept = None
         self.waiting = []
         self.waiting_rows = 0
 
     def add(self, ids, vectors, columns=None):
         """Compare `vectors` with all queries, or with those in `columns`."""
-        columns = np.arange(len(self.queries)) if columns is None else columns
-        step = max(1, PAIR_CELLS // max(1, len(columns)))
+        step = max(1, PAIR_CELLS // max(1, len(self.queries) if columns is None else len(columns)))
         for start in range(0, len(vectors), step):
-            self._add_rows(ids.slice(start, step), vectors[start : start + step].astype(np.float64, copy=False), columns)
+            rows = vectors[start : start + step].astype(np.float64, copy=False)
+            self._add_rows(ids.slice(start, step), rows, slice(None) if columns is None else columns)
 
     def _add_rows(self, ids, rows, columns):
-        screened, margin = self._screen(rows, columns)
-        limit = self.bound[columns]
-        limit = (limit * limit if self.metric == "euclidean" else limit)[None, :] + margin
-        if len(rows) > self.k:
-            kth = np.partition(screened, self.k - 1, axis=0)[self.k - 1]
-            limit = np.minimum(limit, kth[None, :] + 2 * margin.max())
-        row, col = np.nonzero(screened <= limit)
+        near = self._near_single(rows, columns)
+        row, col = self._near_double(rows, columns) if near is None else near
         if not len(row):
             return
-        col = columns[col]
+        col = col if isinstance(columns, slice) else columns[col]
         found = exact_distances(rows, row, self.queries, col, self.metric)
         self.waiting.append(
             pa.table({"query": pa.array(col), "distance": pa.array(found), "id": ids.take(pa.array(row))})
@@ -132,6 +130,41 @@ class RunningTopK:
         if self.waiting_rows > max(20_000, self.kept.num_rows if self.kept else 0):
             self.compact()
 
+    def _near_single(self, rows, columns):
+        """Rows and queries of the pairs that products in single precision do not rule out, for Euclidean distances.
+
+        A pair is within the bound b if r.q - r.r / 2 >= (q.q - b * b) / 2; the last number of the
+        vectors multiplied gives the second term, and sizes are taken less by above twice
+        the rounding error. None while bounds are open or where a fiftieth of the pairs
+        would pass, as with vectors close together and far from zero.
+        """
+        bound = self.bound[columns]
+        if self.metric != "euclidean" or not np.isfinite(bound).all():
+            return None
+        sizes, row_sizes = self.sizes[columns], _dots(rows, rows)
+        if max(row_sizes.max(), sizes.max(initial=0.0), bound.max(initial=0.0) ** 2) > SINGLE_SIZE:
+            return None
+        if self.single is None:
+            self.single = np.ones((len(self.queries), rows.shape[1] + 1), np.float32)
+            self.single[:, :-1] = self.queries
+        loss = 4e-7 * (rows.shape[1] + 8)
+        single = np.empty((len(rows), rows.shape[1] + 1), np.float32)
+        single[:, :-1], single[:, -1] = rows, row_sizes * (loss - 1) / 2
+        least = (sizes * (1 - loss) - bound * bound * (1 + loss)) / 2 - 1e-9
+        products = single @ self.single[columns].T
+        place = np.flatnonzero(products >= least.astype(np.float32))
+        return np.divmod(place, products.shape[1]) if 50 * len(place) <= products.size else None
+
+    def _near_double(self, rows, columns):
+        """Rows and queries of the pairs that products in double precision do not rule out."""
+        screened, margin = self._screen(rows, columns)
+        limit = self.bound[columns]
+        limit = (limit * limit if self.metric == "euclidean" else limit)[None, :] + margin
+        if len(rows) > self.k:
+            kth = np.partition(screened, self.k - 1, axis=0)[self.k - 1]
+            limit = np.minimum(limit, kth[None, :] + 2 * margin.max())
+        return np.nonzero(screened <= limit)
+
     def _screen(self, rows, columns):
         queries, sizes = self.queries[columns], self.sizes[columns]
         row_sizes = (rows * rows).sum(axis=1)

@@ -101,3 +101,26 @@ def test_texts_stay_in_place(spark, tmp_path):
     assert asked == {-1, *range(0, 120, 10)} and len(hits) == 20 * len(asked)
     assert all(hit.id == hit.query_id and hit.distance == 0 for hit in hits if hit["rank"] == 0)
     assert written < 160 * 4000 / 4
+
+
+@pytest.mark.parametrize("size, shift", [(1, 0), (1, 1e4), (1e-3, 1e6), (1e-25, 0), (1e17, 0), (1e25, 0), (None, 0)])
+def test_single_precision_loses_no_pair(size, shift):
+    """Screening in single precision leaves the k nearest of double precision, also of vectors it cannot tell apart."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(7)
+    data = rng.normal(size=(6_000, 24)) * (10.0 ** rng.integers(-12, 12, size=(6_000, 1)) if size is None else size) + shift
+    data[1_000:1_050] = data[10]
+    data[2_000:2_400] = data[10] * (1 + 1e-9 * rng.normal(size=(400, 1)))
+    asked, k = data[:20], 15
+    ids = [f"W{n:05}" for n in range(len(data))]
+    best = vectors.RunningTopK(asked, k)
+    for at in range(0, len(data), 500):
+        best.add(pa.array(ids[at : at + 500]), data[at : at + 500])
+        best.compact()
+    row, col = np.divmod(np.arange(len(data) * 20), 20)
+    far = vectors.exact_distances(data, row, asked, col, "euclidean").reshape(-1, 20)
+    expected = [(q, *pair) for q in range(20) for pair in sorted(zip(far[:, q].tolist(), ids))[:k]]
+    found = sorted((hit["query"], hit["distance"], hit["id"]) for hit in best.result().to_pylist())
+    assert found == expected
+    assert (best.single is None) == (size in (1e17, 1e25))
